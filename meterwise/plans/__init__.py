@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+CATALOG_MODULES = ("catalog", "catalog_series")
+
 
 def registry():
     """All registered queries (importing the catalog modules registers them)."""
-    from meterwise.plans import catalog  # noqa: F401
-    return catalog.REGISTRY
+    import importlib
+    for name in CATALOG_MODULES:
+        importlib.import_module(f"meterwise.plans.{name}")
+    from meterwise.plans.catalog import REGISTRY
+    return REGISTRY
