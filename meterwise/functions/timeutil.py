@@ -25,6 +25,10 @@ def window_start(as_of: dt.datetime = P.AS_OF, days: int | None = None) -> dt.da
     return None if days is None else as_of - dt.timedelta(days=days)
 
 
+def hour_floor(value: dt.datetime) -> dt.datetime:
+    return value.replace(minute=0, second=0, microsecond=0)
+
+
 def last_days(df, ts: str = "start_time", days: int | None = 7, as_of: dt.datetime = P.AS_OF):
     """Rows with ``ts >= as_of - days``; no bound when ``days`` is None."""
     if days is None:

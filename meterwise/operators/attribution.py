@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterwise import params as P
-from meterwise.functions.timeutil import ntz, window_start
+from meterwise.functions.timeutil import hour_floor, ntz, window_start
 
 
 def query_window(qh: DataFrame, *, wh: str | None = P.WAREHOUSE, as_of: dt.datetime = P.AS_OF,
@@ -47,8 +47,10 @@ def attribute(qh: DataFrame, meter: DataFrame, *, wh: str | None = P.WAREHOUSE,
     if wh is not None:
         m = m.filter(F.col("warehouse_name") == wh)
     if days is not None:
-        # Only metering hours at or after the first query hour can match.
-        m = m.filter(F.col("_hour") >= F.date_trunc("hour", ntz(window_start(as_of, days))))
+        # Only metering hours at or after the first query hour can match.  A
+        # metering row starts inside its hour, so this is a plain range filter
+        # on start_time that reaches the metering table's scan.
+        m = m.filter(F.col("start_time") >= ntz(hour_floor(window_start(as_of, days))))
     if prorate:
         # Share of the hour's credits in proportion to elapsed time; the hour
         # totals are a (warehouse, hour) aggregate, never a per-group window.
