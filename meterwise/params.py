@@ -64,6 +64,7 @@ MODEL_FILE = "gbt_global"
 # Parameters that make the time-bounded reports reproducible.
 AS_OF = dt.datetime(2024, 1, 31, 0, 0, 0)
 AS_OF_DATE = dt.date(2024, 1, 31)
+SEED_STAMP = dt.datetime(2024, 1, 1, 0, 0, 0)
 WAREHOUSE = "FORECAST_WH"
 AUX_WAREHOUSE = "AUX_WH"
 MONTHLY_QUOTA = 600.0

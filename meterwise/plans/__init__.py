@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-CATALOG_MODULES = ("catalog", "catalog_series")
+CATALOG_MODULES = ("catalog", "catalog_series", "catalog_dashboard")
 
 
 def registry():

@@ -80,7 +80,8 @@ def billing_daily(meter: DataFrame) -> DataFrame:
 def cost_params(spark: SparkSession, rows=P.SEED_PARAMS, updated_at: dt.datetime | None = None) -> DataFrame:
     """The seeded cost parameter table (two rows)."""
     df = spark.createDataFrame([(n, float(v)) for n, v in rows], "param_name string, param_value double")
-    stamp = F.lit(updated_at) if updated_at is not None else F.current_timestamp()
+    stamp = (F.lit(updated_at.strftime("%Y-%m-%d %H:%M:%S")) if updated_at is not None
+             else F.current_timestamp())
     return df.withColumn("updated_at", stamp.cast("timestamp"))
 
 
@@ -104,7 +105,7 @@ class UsageLogs:
         self.meter = metering_history(self.qh)
         self.load = load_history(self.qh)
         self.billing = billing_daily(self.meter)
-        self.params = cost_params(spark, updated_at=P.AS_OF)
+        self.params = cost_params(spark, updated_at=P.SEED_STAMP)
 
 
 def usage_logs(spark: SparkSession, sf_dir: str, days: int | None = None, as_of: dt.datetime = P.AS_OF,

@@ -16,6 +16,13 @@ from pyspark.sql import types as T
 from meterwise.session import scratch_path
 
 
+def _stamp(stamp: dt.datetime | None):
+    """A timestamp literal read in the session time zone (now when None)."""
+    if stamp is None:
+        return F.current_timestamp()
+    return F.lit(stamp.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp")
+
+
 def _is_path(name: str) -> bool:
     return "/" in name or ":" in name
 
@@ -90,7 +97,7 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], *,
         else:
             out.append(F.col(f"t.{c}").alias(c))
     if stamp_col is not None:
-        new_stamp = F.lit(stamp).cast("timestamp") if stamp is not None else F.current_timestamp()
+        new_stamp = _stamp(stamp)
         out.append(F.when(matched, new_stamp).otherwise(F.col(f"t.{stamp_col}")).alias(stamp_col))
     return joined.select(*out).select(*target.columns)
 
@@ -100,6 +107,6 @@ def set_param(params: DataFrame, name: str, value: float, stamp: dt.datetime | N
     hit = F.col("param_name") == name
     out = params.withColumn("param_value", F.when(hit, F.lit(float(value))).otherwise(F.col("param_value")))
     if "updated_at" in params.columns:
-        new_stamp = F.lit(stamp).cast("timestamp") if stamp is not None else F.current_timestamp()
+        new_stamp = _stamp(stamp)
         out = out.withColumn("updated_at", F.when(hit, new_stamp).otherwise(F.col("updated_at")))
     return out
