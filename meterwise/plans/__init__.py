@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-CATALOG_MODULES = ("catalog", "catalog_series", "catalog_dashboard")
+CATALOG_MODULES = ("catalog", "catalog_series", "catalog_dashboard", "catalog_models")
 
 
 def registry():

@@ -1,0 +1,75 @@
+"""Distributed weekly-series generator (trend + bounded noise, clamped).
+
+Each track row expands to ``weeks`` rows with ``explode(sequence(...))`` (no
+cross join, work is spread by track); the noise is a deterministic function
+of (track key, week, seed), so a re-run or a retried task gives the same
+rows, and every region reuses the same base draw.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from meterwise.schemas import WEEKLY_INPUT, conform
+
+# --- fixed values: generator shape ------------------------------------------
+BASE_STREAMS = 750000
+WEEKLY_STEP = 12500
+BASE_NOISE = 20000                      # uniform in [-20000, 20000]
+# (region, lower clamp, upper clamp, scale of the base, extra noise half-width)
+REGIONS = (("Global", 50000, 5000000, 1.0, 0), ("US", 25000, 3500000, 0.8, 15000))
+# ---------------------------------------------------------------------------
+
+# Multipliers of the deterministic noise (primes; any odd constants would do).
+_A, _B, _C = 7919, 104729, 31
+
+
+def _noise(seq, key, seed: int, half_width: int, salt: int) -> F.Column:
+    """Integer in [-half_width, half_width] from (week, track key, seed)."""
+    span = 2 * half_width + 1
+    if salt == 0:
+        raw = seq * _A + key * _B + F.lit(seed * _C)
+    else:
+        raw = seq * _B + key * _A + F.lit(seed * salt)
+    return F.pmod(raw, F.lit(span)) - F.lit(half_width)
+
+
+def generate_weekly(tracks: DataFrame, *, weeks: int = 52, anchor: dt.date = dt.date(2024, 1, 27),
+                    seed: int = 42, slope: int = WEEKLY_STEP) -> DataFrame:
+    """``weeks`` weekly rows per track and region.
+
+    ``tracks`` has isrc, display_artist, track, release_date and an integer
+    ``track_key``.  Week ``seq`` (0-based) ends ``7 * (seq + 1)`` days before
+    ``anchor``; its base value grows with the week number, so the series
+    falls over calendar time, as the reference generator's does.
+    """
+    w = Window.partitionBy("isrc").orderBy("seq")   # one partition = one track's `weeks` rows
+    rows = (tracks.withColumn("seq", F.explode(F.sequence(F.lit(0), F.lit(weeks - 1))))
+            .withColumn("week_number", F.row_number().over(w))
+            .withColumn("week_ending", F.date_sub(F.lit(anchor), (F.col("seq") + 1) * 7))
+            .withColumn("base_streams", F.lit(BASE_STREAMS) + F.col("week_number") * slope
+                        + _noise(F.col("seq"), F.col("track_key"), seed, BASE_NOISE, 0)))
+    out = None
+    for region, lo, hi, scale, extra in REGIONS:
+        value = F.col("base_streams") if scale == 1.0 else F.col("base_streams") * F.lit(scale)
+        if extra:
+            value = value + _noise(F.col("seq"), F.col("track_key"), seed, extra, 17)
+        part = rows.select(F.lit(region).alias("region"), "isrc", "display_artist", "track", "release_date",
+                           "week_ending",
+                           F.round(F.least(F.greatest(value, F.lit(lo)), F.lit(hi))).cast("bigint").alias("streams"))
+        out = part if out is None else out.unionByName(part)
+    return conform(out, WEEKLY_INPUT)
+
+
+def tracks_from_parts(part: DataFrame) -> DataFrame:
+    """One track per part brand (the same mapping as the weekly input)."""
+    brand = F.col("p_brand")
+    return (part.select(brand).distinct()
+            .select(brand.alias("isrc"), F.concat(F.lit("Artist "), brand).alias("display_artist"),
+                    F.concat(F.lit("Track "), brand).alias("track"),
+                    F.date_add(F.lit("1995-01-01").cast("date"), -7 * F.substring(brand, 7, 10).cast("int"))
+                    .alias("release_date"),
+                    F.substring(brand, 7, 10).cast("int").alias("track_key")))
