@@ -58,10 +58,17 @@ def training_features(weekly: DataFrame, *, region: str = GLOBAL, max_age: int =
     The age filter runs before the windows (so lags never reach back past
     it); windows are ordered by week since release.
     """
-    base = weekly.filter(F.col("region") == region)
-    df = (base.join(qualifying(base, min_weeks).select("isrc"), "isrc", "left_semi")
+    # Qualification counts every week of the track (before the age filter).  It
+    # is a window over the same (isrc, week_since_release) order the features
+    # use, so qualification and features share one shuffle and one sort; the
+    # set holds at most one entry per calendar week of one track.
+    every = Window.partitionBy("isrc").orderBy("week_since_release").rowsBetween(
+        Window.unboundedPreceding, Window.unboundedFollowing)
+    df = (weekly.filter(F.col("region") == region)
           .select("isrc", "week_ending", "release_date", "streams")
           .withColumn("week_since_release", week_since_release())
+          .withColumn("_weeks", F.size(F.collect_set("week_ending").over(every)))
+          .filter(F.col("_weeks") > min_weeks).drop("_weeks")
           .filter(F.col("week_since_release") < max_age))
     df = _lagged(df, "week_since_release", leak_free=leak_free)
     df = df.withColumn("pct_change", F.coalesce(F.col("_chg"), F.lit(0.0))).drop("_chg")
@@ -104,25 +111,39 @@ def features_asof(spine: DataFrame, features: DataFrame, *, key: str = "isrc", s
                   feature_ts: str = "week_ending", bucket_days: int = 7, how: str = "left") -> DataFrame:
     """For each spine row, the latest feature row of its key at or before its time.
 
-    Exact, and without a window over the spine: each feature row owns the
-    interval up to the next feature row of its key; intervals are cut into
-    ``bucket_days`` buckets, and spine rows equi-join on (key, bucket) with an
-    interval check.  A hot key spreads over its buckets, and a hot
-    (key, bucket) is split by AQE's skew join on the spine side.
+    Exact, with no window over the spine and no pairing of all rows of a key:
+
+    1. Each feature row owns ``[ts, next ts)`` of its key (``lead`` over the
+       feature rows of one key -- bounded by that key's feature history).
+    2. Closed intervals are cut into ``bucket_days`` buckets; spine rows
+       equi-join on (key, bucket) plus the interval check.  A hot key spreads
+       over its buckets, and a hot (key, bucket) is split by AQE skew join.
+    3. Spine rows still unmatched (after the last feature row of their key,
+       or before the first) join the one-row-per-key table of last rows.
+       Only those rows take this second shuffle.
     """
     w = Window.partitionBy(key).orderBy(feature_ts)
-    spine_end = spine.select(F.max(spine_ts)).scalar()
-    f = (features.withColumn("_next", F.lead(feature_ts).over(w))
-         .withColumn("_b", F.explode(F.sequence(
-             F.floor(_epoch_days(feature_ts) / bucket_days),
-             F.floor(_epoch_days(F.coalesce(F.col("_next"), F.greatest(spine_end, F.col(feature_ts)))) / bucket_days)))))
     fcols = [c for c in features.columns if c != key]
-    f = f.select(F.col(key).alias("_k"), "_b", "_next", *[F.col(c).alias(f"_f_{c}") for c in fcols])
+    f = features.withColumn("_next", F.lead(feature_ts).over(w))
+    closed = (f.filter(F.col("_next").isNotNull())
+              .select(F.col(key).alias("_k"), "_next", *[F.col(c).alias(f"_f_{c}") for c in fcols],
+                      F.explode(F.sequence(F.floor(_epoch_days(feature_ts) / bucket_days),
+                                           F.floor(_epoch_days("_next") / bucket_days))).alias("_fb")))
+    last = (f.filter(F.col("_next").isNull())
+            .select(F.col(key).alias("_lk"), *[F.col(c).alias(f"_l_{c}") for c in fcols]))
     s = spine.withColumn("_b", F.floor(_epoch_days(spine_ts) / bucket_days))
-    cond = ((s[key] == f["_k"]) & (s["_b"] == f["_b"]) & (f[f"_f_{feature_ts}"] <= s[spine_ts])
-            & (f["_next"].isNull() | (s[spine_ts] < f["_next"])))
-    out = s.join(f, cond, how)
-    return out.select(*[s[c] for c in spine.columns], *[F.col(f"_f_{c}").alias(c) for c in fcols])
+    cond = ((s[key] == closed["_k"]) & (s["_b"] == closed["_fb"]) & (closed[f"_f_{feature_ts}"] <= s[spine_ts])
+            & (s[spine_ts] < closed["_next"]))
+    first = s.join(closed, cond, "left")
+    hit = F.col(f"_f_{feature_ts}").isNotNull()
+    matched = first.filter(hit).select(*spine.columns, *[F.col(f"_f_{c}").alias(c) for c in fcols])
+    rest = first.filter(~hit).select(*spine.columns)
+    tail_cond = (rest[key] == last["_lk"]) & (last[f"_l_{feature_ts}"] <= rest[spine_ts])
+    tail = rest.join(last, tail_cond, "left").select(*spine.columns, *[F.col(f"_l_{c}").alias(c) for c in fcols])
+    out = matched.unionByName(tail)
+    if how == "inner":
+        out = out.filter(F.col(feature_ts).isNotNull())
+    return out
 
 
 def weekly_summary(weekly: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from meterwise.plans.sizing import bounded_broadcast
 from meterwise.schemas import WEEKLY_INPUT, conform
 from meterwise.sources.tables import read_table
 
@@ -42,7 +43,13 @@ def _shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
     supp_region = (supp.join(F.broadcast(nation), supp.s_nationkey == nation.n_nationkey)
                    .join(F.broadcast(region), nation.n_regionkey == region.r_regionkey)
                    .select("s_suppkey", "r_name"))
-    # part and supplier grow with the data: no hint, Catalyst/AQE pick the join from sizes.
+    # Each supplier has one nation and one region, so supplier's row count
+    # bounds supp_region: broadcast it when that count is small (a footer-only
+    # count), else let the planner shuffle.  Catalyst alone over-estimates the
+    # join (product of input sizes) and would shuffle lineitem needlessly.
+    supp_region = bounded_broadcast(supp_region, supp)
+    # part grows with the data and is a single scan, whose size Catalyst
+    # estimates well: no hint, Catalyst/AQE pick broadcast or sort-merge.
     return (li.join(part, li.l_partkey == part.p_partkey)
             .join(supp_region, li.l_suppkey == supp_region.s_suppkey)
             .select("r_name", "p_brand", week_ending("l_shipdate").alias("week_ending"), "l_quantity"))
