@@ -7,7 +7,7 @@ adaptive query execution) and the location of durable scratch storage.
 
 from __future__ import annotations
 
-import os
+import contextlib
 import tempfile
 import uuid
 
@@ -59,10 +59,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/meterwise/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str | None:
-    """Strip a ``file:`` scheme; None for remote file systems."""
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    if "://" in path:
-        return None
-    return os.path.abspath(path)
+@contextlib.contextmanager
+def tagged(spark: SparkSession, workload: str, path: str | None = None, scheduled: bool = False):
+    """Label every Spark job in the block with a ``WORKLOAD:x|PATH:y`` tag.
+
+    The tag is set as a job tag and as the job description, so it shows in
+    event logs and can be joined back to usage; it is always cleared.
+    """
+    tag = f"WORKLOAD:{workload}" + (f"|PATH:{path}" if path else "") + ("|SCHEDULED:TRUE" if scheduled else "")
+    spark.addTag(tag)
+    spark.sparkContext.setJobDescription(tag)
+    try:
+        yield tag
+    finally:
+        spark.removeTag(tag)
+        spark.sparkContext.setJobDescription(None)

@@ -40,6 +40,19 @@ def ensure_table(spark: SparkSession, name: str, schema: T.StructType) -> DataFr
     return spark.table(name)
 
 
+def ensure_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """Create every declared table under ``root`` unless it exists."""
+    from meterwise import schemas as S
+    declared = {"weekly_input": S.WEEKLY_INPUT, "scored_output": S.SCORED_OUTPUT,
+                "forecast_output": S.FORECAST_OUTPUT, "cost_params": S.COST_PARAMS}
+    return {name: ensure_table(spark, f"{root.rstrip('/')}/{name}", schema) for name, schema in declared.items()}
+
+
+def values_df(spark: SparkSession, rows, schema: T.StructType | str) -> DataFrame:
+    """An inline literal relation with a declared schema."""
+    return spark.createDataFrame(list(rows), schema)
+
+
 def replace_table(df: DataFrame, name: str) -> DataFrame:
     """CREATE OR REPLACE ... AS SELECT."""
     if _is_path(name):

@@ -133,3 +133,33 @@ def test_generator_bounds_and_age_filter_fact(spark):
     from meterwise.operators.features import training_features
     kept = training_features(g).groupBy("isrc").count().collect()
     assert {r["isrc"]: r["count"] for r in kept} == {"TRK002": 14, "TRK003": 44}
+
+
+def test_cost_params_view_defaults(spark):
+    from meterwise.operators.costs import cost_params_view
+    params = spark.createDataFrame([("DOLLARS_PER_CREDIT", 2.5)], "param_name string, param_value double")
+    got = {r["param_name"]: r["param_value"] for r in cost_params_view(params).collect()}
+    assert got == {"DOLLARS_PER_CREDIT": 2.5, "SP_WH_MEDIUM_CREDITS_PER_HOUR": 6.0}
+
+
+def test_tagged_sets_and_clears_tags(spark):
+    from meterwise.session import tagged
+    with tagged(spark, "TRAINING", "NATIVE", scheduled=True) as tag:
+        assert tag == "WORKLOAD:TRAINING|PATH:NATIVE|SCHEDULED:TRUE"
+        assert tag in spark.getTags()
+    assert tag not in spark.getTags()
+
+
+def test_ensure_tables_and_forecast_projection(spark):
+    from meterwise.operators.forecast import to_reference_shape
+    from meterwise.session import scratch_path
+    from meterwise.sources.sinks import ensure_tables
+    tables = ensure_tables(spark, scratch_path(spark, "declared"))
+    assert set(tables) == {"weekly_input", "scored_output", "forecast_output", "cost_params"}
+    fc = forecast(fit_trend(spark.createDataFrame(
+        [("A", dt.date(2024, 1, 6) + dt.timedelta(days=7 * i), 10 + i) for i in range(4)],
+        "isrc string, week_ending date, streams long")), periods=2)
+    shaped = to_reference_shape(fc)
+    assert shaped.columns == ["timestamp", "target_value", "target_name", "forecasted_value", "lower_bound",
+                              "upper_bound", "horizon", "metric"]
+    assert shaped.count() == 2
