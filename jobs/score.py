@@ -8,7 +8,7 @@ from __future__ import annotations
 from common import parse, session
 
 from meterwise.operators import features as FT
-from meterwise.operators.models import score_region
+from meterwise.operators.models import NO_ROWS, score_region
 from meterwise.operators.registry import ModelRegistry
 from meterwise.session import tagged
 from meterwise.sources.sinks import staged_replace
@@ -21,14 +21,20 @@ def main() -> str:
     with tagged(spark, "INFERENCE", "BOOSTED"):
         model = ModelRegistry(spark, f"{args.out}/models").get("stream_forecast", args.version)
         scored = score_region(model, FT.scoring_features(weekly_input(spark, args.sf_dir), region=args.region))
-        if isinstance(scored, str):
-            return scored
+
+        class NoRows(Exception):
+            pass
 
         def check(staged):
+            if staged.isEmpty():
+                raise NoRows()
             if staged.filter("is_forecast = 1 AND streams_predicted IS NULL").limit(1).count():
                 raise ValueError("scored rows without a prediction")
 
-        staged_replace(scored, f"{args.out}/forecast_output_{args.region.lower()}", validate=check)
+        try:
+            staged_replace(scored, f"{args.out}/forecast_output_{args.region.lower()}", validate=check)
+        except NoRows:
+            return NO_ROWS
     return "OK"
 
 

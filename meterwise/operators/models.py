@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,22 +48,28 @@ def gbt_estimator(params: dict | None = None, *, features_col: str = "features",
 def train_gbt(features: DataFrame, *, cols: Sequence[str] = FEATURE_COLUMNS, target: str = TARGET_COLUMN,
               params: dict | None = None) -> PipelineModel | str:
     """fit assembler + boosted trees on the log target; NO_DATA when empty."""
-    data = features.select(*[F.col(c).cast("double").alias(c) for c in cols], F.col(target).cast("double"))
-    if data.isEmpty():
-        return NO_DATA
-    pipe = Pipeline(stages=[VectorAssembler(inputCols=list(cols), outputCol="features", handleInvalid="keep"),
-                            gbt_estimator(params, label_col=target)])
-    return pipe.fit(data)
+    # The fit passes over its input several times (metadata, split candidates,
+    # boosting rounds).  The training set is one row per track-week, so it is
+    # persisted once for the fit (a lost block is recomputed from lineage).
+    data = (features.select(*[F.col(c).cast("double").alias(c) for c in cols], F.col(target).cast("double"))
+            .persist(StorageLevel.MEMORY_AND_DISK))
+    try:
+        if data.isEmpty():
+            return NO_DATA
+        pipe = Pipeline(stages=[VectorAssembler(inputCols=list(cols), outputCol="features", handleInvalid="keep"),
+                                gbt_estimator(params, label_col=target)])
+        return pipe.fit(data)
+    finally:
+        data.unpersist()
 
 
 def score_region(model: PipelineModel, features: DataFrame, *, model_file: str = P.MODEL_FILE,
-                 cols: Sequence[str] = FEATURE_COLUMNS) -> DataFrame | str:
+                 cols: Sequence[str] = FEATURE_COLUMNS) -> DataFrame:
     """every input row twice -- observed (no prediction, flag 0) and scored (flag 1).
 
-    These are in-sample scores of the rows given, not future weeks.
+    These are in-sample scores of the rows given, not future weeks.  An empty
+    input gives an empty result; the scoring job reports it as NO_ROWS.
     """
-    if features.isEmpty():
-        return NO_ROWS
     base = features.select(*[F.col(c).cast("double").alias(c) for c in cols],
                            "region", "isrc", "display_artist", "track", "release_date", "week_ending", "streams")
     scored = (model.transform(base)

@@ -78,3 +78,8 @@ def test_feature_view_registry(spark, weekly):
     assert view.count() == reg.read_view("stream_features", "v1").count() == weekly.count()
     assert reg.delete_view("stream_features", "v1")
     assert not reg.delete_view("stream_features", "v1")
+
+
+def test_empty_scoring_input(model, weekly):
+    out = score_region(model, FT.scoring_features(weekly.filter(F.lit(False))))
+    assert out.isEmpty()
