@@ -9,6 +9,7 @@ events it reads and Catalyst pushes time filters down to the events scan.
 from __future__ import annotations
 
 import datetime as dt
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,7 +31,7 @@ def query_history(events: DataFrame) -> DataFrame:
            .when(F.col("event_type") == "click", F.lit("WORKLOAD:DATA_PREP"))
            .when(F.col("event_type") == "error", F.lit("WORKLOAD:INFERENCE")))
     elapsed = F.round(F.col("value") * 1000).cast("bigint")
-    q = e.select(
+    return e.select(
         F.col("event_id").alias("query_id"),
         F.concat(F.lit("user_"), F.col("user_id").cast("string")).alias("user_name"),
         F.when(F.col("user_id") % 4 == 0, F.lit(P.AUX_WAREHOUSE)).otherwise(F.lit(P.WAREHOUSE)).alias("warehouse_name"),
@@ -44,8 +45,8 @@ def query_history(events: DataFrame) -> DataFrame:
         F.lit(0).cast("bigint").alias("queued_repair_time"),
         (F.col("k").cast("bigint") * 1048576).alias("bytes_scanned"),
         (F.col("k").cast("bigint") * 10).alias("rows_produced"),
+        F.timestamp_add("MILLISECOND", elapsed, F.col("ts")).alias("end_time"),
     )
-    return q.withColumn("end_time", F.timestamp_add("MILLISECOND", F.col("total_elapsed_time"), F.col("start_time")))
 
 
 def metering_history(qh: DataFrame) -> DataFrame:
@@ -98,19 +99,38 @@ class UsageLogs:
     boundary yields exactly the log rows of those hours -- and the cut is a
     plain range predicate on the events scan (parquet row-group pruning),
     where a filter on the aggregated ``start_time`` could not be pushed.
+    Each log is built on first use only.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str, since: dt.datetime | None = None):
         self.spark = spark
         self.sf_dir = sf_dir
-        self.events = read_table(spark, sf_dir, "events")
-        if since is not None:
-            self.events = self.events.filter(F.col("ts") >= ntz(hour_floor(since)))
-        self.qh = query_history(self.events)
-        self.meter = metering_history(self.qh)
-        self.load = load_history(self.qh)
-        self.billing = billing_daily(self.meter)
-        self.params = cost_params(spark, updated_at=P.SEED_STAMP)
+        self.since = since
+
+    @cached_property
+    def events(self) -> DataFrame:
+        ev = read_table(self.spark, self.sf_dir, "events")
+        return ev if self.since is None else ev.filter(F.col("ts") >= ntz(hour_floor(self.since)))
+
+    @cached_property
+    def qh(self) -> DataFrame:
+        return query_history(self.events)
+
+    @cached_property
+    def meter(self) -> DataFrame:
+        return metering_history(self.qh)
+
+    @cached_property
+    def load(self) -> DataFrame:
+        return load_history(self.qh)
+
+    @cached_property
+    def billing(self) -> DataFrame:
+        return billing_daily(self.meter)
+
+    @cached_property
+    def params(self) -> DataFrame:
+        return cost_params(self.spark, updated_at=P.SEED_STAMP)
 
 
 def usage_logs(spark: SparkSession, sf_dir: str, days: int | None = None, as_of: dt.datetime = P.AS_OF,

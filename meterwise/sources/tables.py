@@ -8,6 +8,21 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
+# Declared schemas of the tables the package reads.  Reading with a declared
+# schema skips schema inference (a footer-reading job per table) and fails
+# loudly if a producer changes a type.
+DECLARED = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE",
+    "lineitem": ("l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, "
+                 "l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, "
+                 "l_linestatus STRING, l_shipdate TIMESTAMP_NTZ"),
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+}
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
@@ -16,7 +31,8 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Lazy parquet scan; projections and filters applied later reach the scan."""
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    return spark.read.parquet(table_path(sf_dir, name))
+    reader = spark.read.schema(DECLARED[name]) if name in DECLARED else spark.read
+    return reader.parquet(table_path(sf_dir, name))
 
 
 def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:

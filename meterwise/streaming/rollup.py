@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from meterwise.functions.tags import workload_type
 from meterwise.session import scratch_path
 from meterwise.sources.logs import query_history
-from meterwise.sources.tables import table_path
+from meterwise.sources.tables import DECLARED, table_path
 
 LOG_LATENCY = "45 minutes"
 
@@ -30,8 +30,7 @@ LOG_LATENCY = "45 minutes"
 def events_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Stream the events table's files (schema taken from the table, not inferred per batch)."""
     path = table_path(sf_dir, "events")
-    schema = spark.read.parquet(path).schema
-    reader = spark.readStream.schema(schema)
+    reader = spark.readStream.schema(DECLARED["events"])
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     # A file source needs a folder or a glob; the one-character class selects this file.
