@@ -41,16 +41,17 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
-    ``spark.checkpoint.dir`` is read from the session; a private folder is
-    created only when nothing is configured (local tests).
+    ``spark.checkpoint.dir`` (a startup setting) is honoured as Spark applies
+    it; a private folder is set on the SparkContext only when nothing is
+    configured (local tests).
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="meterwise-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(configured)
-    return configured
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    configured = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="meterwise-ckpt-")
+    sc.setCheckpointDir(configured)
+    return sc.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

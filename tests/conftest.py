@@ -27,8 +27,8 @@ def spark(tmp_path_factory):
         builder = builder.config(k, v)
     session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
-    if not session.conf.get("spark.checkpoint.dir", None):
-        session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("ckpt")))
+    if not session.sparkContext.getCheckpointDir() and not session.conf.get("spark.checkpoint.dir", None):
+        session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("ckpt")))
     ensure_checkpoint_dir(session)
     yield session
     session.stop()
