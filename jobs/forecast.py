@@ -5,22 +5,21 @@
 
 from __future__ import annotations
 
-from common import parse, session
+from common import parse, session, weekly
 
 from meterwise import params as P
 from meterwise.operators.forecast import fit_trend, forecast
 from meterwise.session import tagged
 from meterwise.sources.sinks import replace_table
-from meterwise.sources.weekly import weekly_input
 
 
 def main() -> str:
     args = parse(__doc__, [(("--by-track",), {"action": "store_true"}),
                            (("--periods",), {"type": int, "default": P.FORECAST_HORIZON})])
     spark = session("meterwise-forecast")
-    weekly = weekly_input(spark, args.sf_dir, region="Global")
+    data = weekly(spark, args, region="Global")
     with tagged(spark, "TRAINING", "NATIVE"):
-        model = fit_trend(weekly, series_cols=["isrc"] if args.by_track else ())
+        model = fit_trend(data, series_cols=["isrc"] if args.by_track else ())
         model = replace_table(model, f"{args.out}/trend_model")
     with tagged(spark, "INFERENCE", "NATIVE"):
         out = replace_table(forecast(model, periods=args.periods), f"{args.out}/forecast_output_trend")

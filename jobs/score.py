@@ -5,14 +5,13 @@
 
 from __future__ import annotations
 
-from common import parse, session
+from common import parse, session, weekly
 
 from meterwise.operators import features as FT
 from meterwise.operators.models import NO_ROWS, score_region
 from meterwise.operators.registry import ModelRegistry
 from meterwise.session import tagged
 from meterwise.sources.sinks import staged_replace
-from meterwise.sources.weekly import weekly_input
 
 
 def main() -> str:
@@ -20,7 +19,7 @@ def main() -> str:
     spark = session("meterwise-score")
     with tagged(spark, "INFERENCE", "BOOSTED"):
         model = ModelRegistry(spark, f"{args.out}/models").get("stream_forecast", args.version)
-        scored = score_region(model, FT.scoring_features(weekly_input(spark, args.sf_dir), region=args.region))
+        scored = score_region(model, FT.scoring_features(weekly(spark, args, region=args.region), region=args.region))
 
         class NoRows(Exception):
             pass

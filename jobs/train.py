@@ -5,20 +5,19 @@
 
 from __future__ import annotations
 
-from common import parse, session
+from common import parse, session, weekly
 
 from meterwise.operators import features as FT
 from meterwise.operators.models import train_gbt
 from meterwise.operators.registry import ModelRegistry
 from meterwise.session import tagged
-from meterwise.sources.weekly import weekly_input
 
 
 def main() -> str:
     args = parse(__doc__, [(("--version",), {"default": "v1"}), (("--quick",), {"action": "store_true"})])
     spark = session("meterwise-train")
     with tagged(spark, "TRAINING", "BOOSTED"):
-        feats = FT.training_features(weekly_input(spark, args.sf_dir, region="Global"))
+        feats = FT.training_features(weekly(spark, args, region="Global"))
         model = train_gbt(feats, params={"n_estimators": 10, "max_depth": 4} if args.quick else None)
         if isinstance(model, str):
             return model
