@@ -1,12 +1,10 @@
-"""Cost estimator and parameter look-ups."""
+"""Cost estimator: a Column expression and the same as a SQL function."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from meterwise import params as P
-
 
 def estimate_cost(runtime_hours, credits_per_hour, dollars_per_credit) -> Column:
     """credits = hours x rate; dollars = credits x price, as one struct.
@@ -30,28 +28,3 @@ def register_sql_estimator(spark, name: str = "estimate_wh_cost") -> None:
             'estimated_credits', runtime_hours * credits_per_hour,
             'estimated_dollars', runtime_hours * credits_per_hour * dollars_per_credit)
     """)
-
-
-def param_row(params: DataFrame, *names: str, defaults: dict | None = None) -> DataFrame:
-    """One row with a column per named parameter (NULL, or the default, if absent).
-
-    The result has exactly one row whatever ``params`` holds, so joining it
-    with ``crossJoin(broadcast(...))`` is a bounded broadcast.
-    """
-    defaults = defaults or {}
-    aggs = []
-    for name in names:
-        value = F.max(F.when(F.col("param_name") == name, F.col("param_value")))
-        if name in defaults:
-            value = F.coalesce(value, F.lit(float(defaults[name])))
-        aggs.append(value.alias(name.lower()))
-    return params.agg(*aggs)
-
-
-def with_params(df: DataFrame, params: DataFrame, *names: str, defaults: dict | None = None) -> DataFrame:
-    """Attach parameter values as columns (a scalar subquery kept lazy)."""
-    return df.crossJoin(F.broadcast(param_row(params, *names, defaults=defaults)))
-
-
-def price_column() -> Column:
-    return F.col(P.DOLLARS_PER_CREDIT.lower())

@@ -9,8 +9,6 @@ list; everything else is a partial + final hash aggregate.
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 

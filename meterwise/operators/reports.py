@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from meterwise import params as P
 from meterwise.functions.tags import model_path, parse_tag, workload_type
-from meterwise.functions.timeutil import diff_units, last_days, ntz, trunc, window_start
+from meterwise.functions.timeutil import diff_units, last_days, trunc
 from meterwise.operators.attribution import attribute, query_window
 
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from meterwise import params as P
 from meterwise.operators import features as FT
 from meterwise.operators.models import score_region, train_gbt
 from meterwise.operators.registry import ModelRegistry
