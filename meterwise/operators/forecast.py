@@ -47,11 +47,15 @@ def _centered(df: DataFrame) -> DataFrame:
 
 
 def fit_trend(df: DataFrame, *, ts: str = "week_ending", y: str = "streams", series_cols: Sequence[str] = (),
-              series_name: str = "Global", duplicates: str = "sum", period_days: int = 7) -> DataFrame:
-    """one model row per series (n, means, Sxx, Sxy, Syy, last period).
+              series_name: str = "Global", duplicates: str = "sum", period_days: int = 7,
+              seasonal: bool = False, min_season_periods: int = 104) -> DataFrame:
+    """one model row per series (n, means, centered sums, slope, variance, last period).
 
     Rows sharing a timestamp within a series are combined first (``sum`` or
-    ``avg``), so several tracks under one date make one observation.
+    ``avg``), so several tracks under one date make one observation.  With
+    ``seasonal``, series spanning at least ``min_season_periods`` periods get
+    an additive week-of-year index: the mean trend residual per ISO week,
+    kept in the model row as a map (at most 53 entries per series).
     """
     combine = F.sum if duplicates == "sum" else F.avg
     series = (F.concat_ws("|", *[F.col(c).cast("string") for c in series_cols]) if series_cols
@@ -59,15 +63,26 @@ def fit_trend(df: DataFrame, *, ts: str = "week_ending", y: str = "streams", ser
     obs = (df.groupBy(series.alias("series"), F.col(ts).alias("ts"))
            .agg(combine(y).alias("y"))
            .withColumn("t", period_index("ts", period_days)))
-    fitted = _centered(moments(obs, "t", "y", ["series"], F.max("ts").alias("last_ts"), F.max("t").alias("last_t")))
+    fitted = _centered(moments(obs, "t", "y", ["series"], F.max("ts").alias("last_ts"), F.max("t").alias("last_t"),
+                               F.min("t").alias("first_t")))
     n = F.col("n").cast("double")
     ok = (F.col("n") >= 3) & (F.col("cxx") > 0)
-    return fitted.select(
-        "series", "n", "last_ts", "last_t", (F.col("sx") / n).alias("tbar"), (F.col("sy") / n).alias("ybar"),
-        "cxx", "cxy", "cyy",
+    model = fitted.select(
+        "series", "n", "last_ts", "last_t", "first_t", (F.col("sx") / n).alias("tbar"),
+        (F.col("sy") / n).alias("ybar"), "cxx", "cxy", "cyy",
         F.when(ok, F.col("cxy") / F.col("cxx")).alias("slope"),
         F.when(ok, F.greatest(F.lit(0.0), (F.col("cyy") - F.col("cxy") * F.col("cxy") / F.col("cxx"))
                                 / (n - 2))).alias("sigma2"))
+    if not seasonal:
+        return model.withColumn("season", F.lit(None).cast("map<int,double>"))
+    trend = F.col("ybar") + F.coalesce(F.col("slope"), F.lit(0.0)) * (F.col("t").cast("double") - F.col("tbar"))
+    index = (obs.join(model.filter(F.col("last_t") - F.col("first_t") >= min_season_periods)
+                      .select("series", "tbar", "ybar", "slope"), "series")
+             .groupBy("series", F.weekofyear("ts").alias("woy"))
+             .agg(F.avg(F.col("y").cast("double") - trend).alias("s"))
+             .groupBy("series")
+             .agg(F.map_from_entries(F.collect_list(F.struct("woy", "s"))).alias("season")))
+    return model.join(index, "series", "left")
 
 
 def forecast(model: DataFrame, *, periods: int = P.FORECAST_HORIZON, level_z: float = P.Z_95,
@@ -75,7 +90,9 @@ def forecast(model: DataFrame, *, periods: int = P.FORECAST_HORIZON, level_z: fl
     """``periods`` future periods per series with lower and upper bounds."""
     h = F.col("horizon")
     dt = (F.col("last_t") + h).cast("double") - F.col("tbar")
-    yhat = F.when(F.col("slope").isNull(), F.col("ybar")).otherwise(F.col("ybar") + F.col("slope") * dt)
+    trend = F.when(F.col("slope").isNull(), F.col("ybar")).otherwise(F.col("ybar") + F.col("slope") * dt)
+    woy = F.weekofyear(F.date_add("last_ts", h * period_days))
+    yhat = trend + F.coalesce(F.try_element_at("season", woy), F.lit(0.0))
     se = F.sqrt(F.col("sigma2") * (F.lit(1.0) + F.lit(1.0) / F.col("n") + dt * dt / F.col("cxx")))
     r = (lambda c: F.round(c, digits)) if digits is not None else (lambda c: c)
     out = (model.withColumn("horizon", F.explode(F.sequence(F.lit(1), F.lit(periods))))

@@ -133,31 +133,35 @@ UNION ALL SELECT 'pk_unique', count(*) FILTER (WHERE c > 1), count(*)
     "weekly_input"))(lambda spark, d: quality_report(weekly_input(spark, d)))
 
 
-def _forecast_sql(series_expr: str) -> str:
+def _forecast_sql(series_expr: str, seasonal: bool = False) -> str:
     """Oracle of fit_trend + forecast (same operations, same order)."""
+    season = "coalesce(i.s, 0.0::double)" if seasonal else "0.0::double"
+    index_join = "LEFT JOIN idx i ON f.series = i.series AND weekofyear(f.ts) = i.woy" if seasonal else ""
     return f"""
-SELECT series, last_ts + cast(7 * horizon AS int) AS ts, cast(horizon AS int) AS horizon,
-  round(yhat, 4) AS forecast, round(yhat - {P.Z_95} * se, 4) AS lower_bound, round(yhat + {P.Z_95} * se, 4) AS upper_bound
-FROM (
-  SELECT *, CASE WHEN slope IS NULL THEN ybar ELSE ybar + slope * dt END AS yhat,
-    sqrt(sigma2 * (1.0::double + 1.0::double / n + dt * dt / cxx)) AS se
-  FROM (
-    SELECT *, cast(last_t + horizon AS double) - tbar AS dt
-    FROM (
-      SELECT series, n, last_ts, last_t, sx / n AS tbar, sy / n AS ybar, cxx,
+WITH obs AS (SELECT {series_expr} AS series, week_ending AS ts, sum(streams) AS y
+             FROM weekly_input WHERE region = 'Global' GROUP BY 1, 2),
+o2 AS (SELECT series, ts, y, cast(floor(date_diff('day', DATE '1970-01-01', ts) / 7) AS bigint) AS t FROM obs),
+m AS (SELECT series, count(*) AS n, sum(cast(t AS double)) AS sx, sum(cast(y AS double)) AS sy,
+        sum(cast(t AS double) * cast(t AS double)) AS sxx, sum(cast(t AS double) * cast(y AS double)) AS sxy,
+        sum(cast(y AS double) * cast(y AS double)) AS syy, max(ts) AS last_ts, max(t) AS last_t, min(t) AS first_t
+      FROM o2 GROUP BY series),
+c AS (SELECT *, sxx - sx * sx / n AS cxx, sxy - sx * sy / n AS cxy, syy - sy * sy / n AS cyy FROM m),
+p AS (SELECT series, n, last_ts, last_t, first_t, sx / n AS tbar, sy / n AS ybar, cxx,
         CASE WHEN n >= 3 AND cxx > 0 THEN cxy / cxx END AS slope,
         CASE WHEN n >= 3 AND cxx > 0 THEN greatest(0.0::double, (cyy - cxy * cxy / cxx) / (n - 2)) END AS sigma2
-      FROM (
-        SELECT *, sxx - sx * sx / n AS cxx, sxy - sx * sy / n AS cxy, syy - sy * sy / n AS cyy
-        FROM (
-          SELECT series, count(*) AS n, sum(cast(t AS double)) AS sx, sum(cast(y AS double)) AS sy,
-            sum(cast(t AS double) * cast(t AS double)) AS sxx, sum(cast(t AS double) * cast(y AS double)) AS sxy,
-            sum(cast(y AS double) * cast(y AS double)) AS syy, max(ts) AS last_ts, max(t) AS last_t
-          FROM (SELECT series, ts, y, cast(floor(date_diff('day', DATE '1970-01-01', ts) / 7) AS bigint) AS t
-                FROM (SELECT {series_expr} AS series, week_ending AS ts, sum(streams) AS y
-                      FROM weekly_input WHERE region = 'Global' GROUP BY 1, 2) o) o2
-          GROUP BY series) m) c) p,
-    range(1, {P.FORECAST_HORIZON + 1}) AS r(horizon)) q) z"""
+      FROM c),
+idx AS (SELECT o2.series, cast(weekofyear(o2.ts) AS int) AS woy,
+          avg(cast(o2.y AS double) - (p.ybar + coalesce(p.slope, 0.0::double) * (cast(o2.t AS double) - p.tbar))) AS s
+        FROM o2 JOIN p ON o2.series = p.series WHERE p.last_t - p.first_t >= 104 GROUP BY 1, 2),
+f AS (SELECT p.*, r.horizon, cast(p.last_t + r.horizon AS double) - p.tbar AS dt,
+        p.last_ts + cast(7 * r.horizon AS int) AS ts
+      FROM p, range(1, {P.FORECAST_HORIZON + 1}) AS r(horizon)),
+y AS (SELECT f.*, CASE WHEN slope IS NULL THEN ybar ELSE ybar + slope * dt END + {season} AS yhat,
+        sqrt(sigma2 * (1.0::double + 1.0::double / n + dt * dt / cxx)) AS se
+      FROM f {index_join})
+SELECT series, ts, cast(horizon AS int) AS horizon, round(yhat, 4) AS forecast,
+  round(yhat - {P.Z_95} * se, 4) AS lower_bound, round(yhat + {P.Z_95} * se, 4) AS upper_bound
+FROM y"""
 
 
 register("forecast_trend", "F10 F11 F12", with_ctes(_forecast_sql("'Global'"), "weekly_input"))(
@@ -166,6 +170,11 @@ register("forecast_trend", "F10 F11 F12", with_ctes(_forecast_sql("'Global'"), "
 register("forecast_by_track", "F10 F11", with_ctes(_forecast_sql("isrc"), "weekly_input"))(
     lambda spark, d: FC.forecast(FC.fit_trend(weekly_input(spark, d, region="Global"), series_cols=["isrc"])))
 
+register("forecast_seasonal", "F10 F11 (week-of-year index)", with_ctes(_forecast_sql("isrc", seasonal=True),
+                                                                        "weekly_input"))(
+    lambda spark, d: FC.forecast(FC.fit_trend(weekly_input(spark, d, region="Global"), series_cols=["isrc"],
+                                              seasonal=True)))
+
 register("linear_fit", "F9", with_ctes(f"""
 SELECT isrc, n, round(cxy / nullif(cxx, 0), 6) AS slope,
   round(sy / n - cxy / nullif(cxx, 0) * sx / n, 6) AS intercept,

@@ -128,4 +128,8 @@ def with_ctes(body: str, *names: str, extra: dict[str, str] | None = None) -> st
         parts.append(f"{name} AS ({sql}\n)")
     if not parts:
         return body
+    stripped = body.lstrip()
+    if stripped[:5].upper() == "WITH ":
+        # The body has CTEs of its own: one WITH list, fixture views first.
+        return "WITH " + ",\n".join(parts) + ",\n" + stripped[5:]
     return "WITH " + ",\n".join(parts) + "\n" + body

@@ -163,3 +163,21 @@ def test_ensure_tables_and_forecast_projection(spark):
     assert shaped.columns == ["timestamp", "target_value", "target_name", "forecasted_value", "lower_bound",
                               "upper_bound", "horizon", "metric"]
     assert shaped.count() == 2
+
+
+def test_seasonal_index_recovers_pattern(spark):
+    """A flat series with a +100 bump in ISO week 10 of every year forecasts the bump back."""
+    start = dt.date(2020, 1, 4)  # a Saturday
+    rows = []
+    for i in range(3 * 52 + 10):
+        d = start + dt.timedelta(days=7 * i)
+        rows.append(("A", d, 1000 + (100 if d.isocalendar()[1] == 10 else 0)))
+    df = spark.createDataFrame(rows, "isrc string, week_ending date, streams long")
+    plain = {r["ts"]: r["forecast"] for r in forecast(fit_trend(df, series_cols=["isrc"]), periods=52).collect()}
+    seas = {r["ts"]: r["forecast"] for r in
+            forecast(fit_trend(df, series_cols=["isrc"], seasonal=True), periods=52).collect()}
+    bump = [t for t in seas if t.isocalendar()[1] == 10]
+    other = [t for t in seas if t.isocalendar()[1] not in (10, 53)]
+    assert len(bump) == 1
+    assert seas[bump[0]] - plain[bump[0]] > 80
+    assert max(abs(seas[t] - plain[t]) for t in other) < 20
