@@ -25,9 +25,14 @@ from meterwise.sources.logs import query_history
 from meterwise.sources.tables import DECLARED, table_path
 
 LOG_LATENCY = "45 minutes"
+# Files per micro-batch: ``availableNow`` still processes everything, but in
+# bounded batches, so a back-fill over a long history never forms one giant
+# batch (state and shuffle sizes stay per-batch).
+MAX_FILES_PER_TRIGGER = 256
 
 
-def events_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
+def events_stream(spark: SparkSession, sf_dir: str,
+                  max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER) -> DataFrame:
     """Stream the events table's files (schema taken from the table, not inferred per batch)."""
     path = table_path(sf_dir, "events")
     reader = spark.readStream.schema(DECLARED["events"])
@@ -124,7 +129,7 @@ def merge_sum(current: DataFrame | None, delta: DataFrame, keys, measures) -> Da
 
 
 def incremental_metering(spark: SparkSession, sf_dir: str, *, base: str | None = None,
-                         checkpoint: str | None = None, max_files_per_trigger: int | None = None,
+                         checkpoint: str | None = None, max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER,
                          source: DataFrame | None = None) -> DataFrame:
     """R2: keep a per-(warehouse, hour) usage table current, batch by batch."""
     base = base or scratch_path(spark, "metering_incremental")
