@@ -115,35 +115,31 @@ def features_asof(spine: DataFrame, features: DataFrame, *, key: str = "isrc", s
 
     1. Each feature row owns ``[ts, next ts)`` of its key (``lead`` over the
        feature rows of one key -- bounded by that key's feature history).
-    2. Closed intervals are cut into ``bucket_days`` buckets; spine rows
-       equi-join on (key, bucket) plus the interval check.  A hot key spreads
-       over its buckets, and a hot (key, bucket) is split by AQE skew join.
-    3. Spine rows still unmatched (after the last feature row of their key,
-       or before the first) join the one-row-per-key table of last rows.
-       Only those rows take this second shuffle.
+    2. A per-key aggregate of the spine gives the spine's bucket range for
+       that key (one row per key, partial aggregation first).
+    3. Each interval, clipped to that range, is cut into ``bucket_days``
+       buckets; the last, open interval ends at the key's last spine bucket.
+    4. One left join of the spine on (key, bucket) plus the interval check.
+       A hot key spreads over its buckets; a hot (key, bucket) is split by
+       AQE's skew join on the spine side.
     """
+    bucket = (lambda c: F.floor(_epoch_days(c) / bucket_days))
     w = Window.partitionBy(key).orderBy(feature_ts)
     fcols = [c for c in features.columns if c != key]
+    s = spine.withColumn("_b", bucket(spine_ts))
+    span = s.groupBy(F.col(key).alias("_sk")).agg(F.min("_b").alias("_b0"), F.max("_b").alias("_b1"))
     f = features.withColumn("_next", F.lead(feature_ts).over(w))
-    closed = (f.filter(F.col("_next").isNotNull())
-              .select(F.col(key).alias("_k"), "_next", *[F.col(c).alias(f"_f_{c}") for c in fcols],
-                      F.explode(F.sequence(F.floor(_epoch_days(feature_ts) / bucket_days),
-                                           F.floor(_epoch_days("_next") / bucket_days))).alias("_fb")))
-    last = (f.filter(F.col("_next").isNull())
-            .select(F.col(key).alias("_lk"), *[F.col(c).alias(f"_l_{c}") for c in fcols]))
-    s = spine.withColumn("_b", F.floor(_epoch_days(spine_ts) / bucket_days))
-    cond = ((s[key] == closed["_k"]) & (s["_b"] == closed["_fb"]) & (closed[f"_f_{feature_ts}"] <= s[spine_ts])
-            & (s[spine_ts] < closed["_next"]))
-    first = s.join(closed, cond, "left")
-    hit = F.col(f"_f_{feature_ts}").isNotNull()
-    matched = first.filter(hit).select(*spine.columns, *[F.col(f"_f_{c}").alias(c) for c in fcols])
-    rest = first.filter(~hit).select(*spine.columns)
-    tail_cond = (rest[key] == last["_lk"]) & (last[f"_l_{feature_ts}"] <= rest[spine_ts])
-    tail = rest.join(last, tail_cond, "left").select(*spine.columns, *[F.col(f"_l_{c}").alias(c) for c in fcols])
-    out = matched.unionByName(tail)
-    if how == "inner":
-        out = out.filter(F.col(feature_ts).isNotNull())
-    return out
+    lo = F.greatest(bucket(feature_ts), F.col("_b0"))
+    hi = F.when(F.col("_next").isNull(), F.col("_b1")).otherwise(F.least(bucket("_next"), F.col("_b1")))
+    intervals = (f.join(span, f[key] == span["_sk"], "inner")
+                 .filter(lo <= hi)
+                 .select(F.col(key).alias("_k"), "_next", *[F.col(c).alias(f"_f_{c}") for c in fcols],
+                         F.explode(F.sequence(lo, hi)).alias("_fb")))
+    cond = ((s[key] == intervals["_k"]) & (s["_b"] == intervals["_fb"])
+            & (intervals[f"_f_{feature_ts}"] <= s[spine_ts])
+            & (intervals["_next"].isNull() | (s[spine_ts] < intervals["_next"])))
+    return (s.join(intervals, cond, "inner" if how == "inner" else "left")
+            .select(*spine.columns, *[F.col(f"_f_{c}").alias(c) for c in fcols]))
 
 
 def weekly_summary(weekly: DataFrame) -> DataFrame:

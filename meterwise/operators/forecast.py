@@ -63,8 +63,22 @@ def fit_trend(df: DataFrame, *, ts: str = "week_ending", y: str = "streams", ser
     obs = (df.groupBy(series.alias("series"), F.col(ts).alias("ts"))
            .agg(combine(y).alias("y"))
            .withColumn("t", period_index("ts", period_days)))
-    fitted = _centered(moments(obs, "t", "y", ["series"], F.max("ts").alias("last_ts"), F.max("t").alias("last_t"),
-                               F.min("t").alias("first_t")))
+    if seasonal:
+        # One pass: moments per (series, ISO week), then per series.  The week
+        # partials (<= 53 per series) ride along as an array, from which the
+        # seasonal index -- the mean trend residual per week -- is computed
+        # with higher-order functions: no join back to the observations.
+        weekly = moments(obs, "t", "y", ["series", F.weekofyear("ts").alias("woy")],
+                         F.max("ts").alias("last_ts"), F.max("t").alias("last_t"), F.min("t").alias("first_t"))
+        totals = weekly.groupBy("series").agg(
+            *[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "sxy", "syy")],
+            F.max("last_ts").alias("last_ts"), F.max("last_t").alias("last_t"), F.min("first_t").alias("first_t"),
+            F.collect_list(F.struct("woy", F.col("n").alias("wn"), F.col("sx").alias("wsx"),
+                                    F.col("sy").alias("wsy"))).alias("_weeks"))
+    else:
+        totals = moments(obs, "t", "y", ["series"], F.max("ts").alias("last_ts"), F.max("t").alias("last_t"),
+                         F.min("t").alias("first_t"))
+    fitted = _centered(totals)
     n = F.col("n").cast("double")
     ok = (F.col("n") >= 3) & (F.col("cxx") > 0)
     model = fitted.select(
@@ -72,17 +86,21 @@ def fit_trend(df: DataFrame, *, ts: str = "week_ending", y: str = "streams", ser
         (F.col("sy") / n).alias("ybar"), "cxx", "cxy", "cyy",
         F.when(ok, F.col("cxy") / F.col("cxx")).alias("slope"),
         F.when(ok, F.greatest(F.lit(0.0), (F.col("cyy") - F.col("cxy") * F.col("cxy") / F.col("cxx"))
-                                / (n - 2))).alias("sigma2"))
+                                / (n - 2))).alias("sigma2"),
+        *([F.col("_weeks")] if seasonal else []))
     if not seasonal:
         return model.withColumn("season", F.lit(None).cast("map<int,double>"))
-    trend = F.col("ybar") + F.coalesce(F.col("slope"), F.lit(0.0)) * (F.col("t").cast("double") - F.col("tbar"))
-    index = (obs.join(model.filter(F.col("last_t") - F.col("first_t") >= min_season_periods)
-                      .select("series", "tbar", "ybar", "slope"), "series")
-             .groupBy("series", F.weekofyear("ts").alias("woy"))
-             .agg(F.avg(F.col("y").cast("double") - trend).alias("s"))
-             .groupBy("series")
-             .agg(F.map_from_entries(F.collect_list(F.struct("woy", "s"))).alias("season")))
-    return model.join(index, "series", "left")
+    slope = F.coalesce(F.col("slope"), F.lit(0.0))
+
+    def residual(w):
+        # mean over the week of y - (ybar + slope (t - tbar))
+        return F.struct(w["woy"].alias("key"),
+                        (w["wsy"] / w["wn"] - (F.col("ybar") + slope * (w["wsx"] / w["wn"] - F.col("tbar"))))
+                        .alias("value"))
+
+    season = F.when(F.col("last_t") - F.col("first_t") >= min_season_periods,
+                    F.map_from_entries(F.transform("_weeks", residual)))
+    return model.withColumn("season", season).drop("_weeks")
 
 
 def forecast(model: DataFrame, *, periods: int = P.FORECAST_HORIZON, level_z: float = P.Z_95,

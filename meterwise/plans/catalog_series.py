@@ -150,9 +150,11 @@ p AS (SELECT series, n, last_ts, last_t, first_t, sx / n AS tbar, sy / n AS ybar
         CASE WHEN n >= 3 AND cxx > 0 THEN cxy / cxx END AS slope,
         CASE WHEN n >= 3 AND cxx > 0 THEN greatest(0.0::double, (cyy - cxy * cxy / cxx) / (n - 2)) END AS sigma2
       FROM c),
-idx AS (SELECT o2.series, cast(weekofyear(o2.ts) AS int) AS woy,
-          avg(cast(o2.y AS double) - (p.ybar + coalesce(p.slope, 0.0::double) * (cast(o2.t AS double) - p.tbar))) AS s
-        FROM o2 JOIN p ON o2.series = p.series WHERE p.last_t - p.first_t >= 104 GROUP BY 1, 2),
+idx AS (SELECT w.series, w.woy,
+          w.wsy / w.wn - (p.ybar + coalesce(p.slope, 0.0::double) * (w.wsx / w.wn - p.tbar)) AS s
+        FROM (SELECT series, cast(weekofyear(ts) AS int) AS woy, count(*) AS wn, sum(cast(t AS double)) AS wsx,
+                sum(cast(y AS double)) AS wsy FROM o2 GROUP BY 1, 2) w
+        JOIN p ON w.series = p.series WHERE p.last_t - p.first_t >= 104),
 f AS (SELECT p.*, r.horizon, cast(p.last_t + r.horizon AS double) - p.tbar AS dt,
         p.last_ts + cast(7 * r.horizon AS int) AS ts
       FROM p, range(1, {P.FORECAST_HORIZON + 1}) AS r(horizon)),

@@ -181,3 +181,29 @@ def test_seasonal_index_recovers_pattern(spark):
     assert len(bump) == 1
     assert seas[bump[0]] - plain[bump[0]] > 80
     assert max(abs(seas[t] - plain[t]) for t in other) < 20
+
+
+def test_features_asof_matches_brute_force(spark):
+    """Random spine and feature rows (gaps, ties with feature dates, keys without features)."""
+    import random
+
+    from meterwise.operators.features import features_asof
+    rnd = random.Random(7)
+    base = dt.date(2024, 1, 6)
+    feats, spine = [], []
+    for k in ("a", "b", "c"):
+        days = sorted(rnd.sample(range(0, 400), 12))
+        feats += [(k, base + dt.timedelta(days=d), float(i)) for i, d in enumerate(days)]
+    for k in ("a", "b", "c", "z"):
+        spine += [(k, base + dt.timedelta(days=rnd.randrange(-30, 450))) for _ in range(40)]
+    spine += [("a", feats[0][1]), ("b", feats[15][1])]          # exactly on a feature date
+    fdf = spark.createDataFrame(feats, "isrc string, week_ending date, v double")
+    sdf = spark.createDataFrame(spine, "isrc string, ts date")
+    got = sorted((r["isrc"], r["ts"], r["week_ending"], r["v"])
+                 for r in features_asof(sdf, fdf, key="isrc", spine_ts="ts", feature_ts="week_ending").collect())
+    want = []
+    for k, t in spine:
+        cands = [(d, v) for kk, d, v in feats if kk == k and d <= t]
+        d, v = max(cands) if cands else (None, None)
+        want.append((k, t, d, v))
+    assert got == sorted(want, key=lambda x: (x[0], x[1], x[2] or dt.date.min, x[3] or 0.0))
