@@ -117,7 +117,7 @@ ASOF LEFT JOIN fv f ON s.isrc = f.isrc AND s.ts >= f.week_ending""", "weekly_inp
     extra={"fv": _FV_SQL}))(_asof)
 
 _ALLOWED = ", ".join(f"'{r}'" for r in P.ALLOWED_REGIONS)
-register("quality_report", "Q1 Q2 Q3 Q4 Q5 Q6", with_ctes(f"""
+QUALITY_SQL = f"""
 SELECT 'streams_non_negative' AS rule, count(*) FILTER (WHERE streams < 0) AS failed, count(*) AS total FROM weekly_input
 UNION ALL SELECT 'week_ending_saturday', count(*) FILTER (WHERE dayofweek(week_ending) != 6), count(*) FROM weekly_input
 UNION ALL SELECT 'region_allowed', count(*) FILTER (WHERE NOT coalesce(region IN ({_ALLOWED}), false)), count(*)
@@ -129,7 +129,8 @@ UNION ALL SELECT 'isrc_single_track', count(*) FILTER (WHERE names > 1), count(*
 UNION ALL SELECT 'min_history', count(*) FILTER (WHERE weeks <= {P.MIN_HISTORY_WEEKS}), count(*)
   FROM (SELECT isrc, count(DISTINCT week_ending) AS weeks FROM weekly_input WHERE region = 'Global' GROUP BY isrc) t
 UNION ALL SELECT 'pk_unique', count(*) FILTER (WHERE c > 1), count(*)
-  FROM (SELECT region, isrc, week_ending, count(*) AS c FROM weekly_input GROUP BY region, isrc, week_ending) t""",
+  FROM (SELECT region, isrc, week_ending, count(*) AS c FROM weekly_input GROUP BY region, isrc, week_ending) t"""
+register("quality_report", "Q1 Q2 Q3 Q4 Q5 Q6", with_ctes(QUALITY_SQL,
     "weekly_input"))(lambda spark, d: quality_report(weekly_input(spark, d)))
 
 

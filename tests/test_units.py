@@ -207,3 +207,25 @@ def test_features_asof_matches_brute_force(spark):
         d, v = max(cands) if cands else (None, None)
         want.append((k, t, d, v))
     assert got == sorted(want, key=lambda x: (x[0], x[1], x[2] or dt.date.min, x[3] or 0.0))
+
+
+def test_quality_rules_fail_where_they_should(spark):
+    """A dirty weekly frame, checked against the same rules written as SQL and run by DuckDB."""
+    import duckdb
+
+    from meterwise.operators.quality import quality_report
+    from meterwise.plans.catalog_series import QUALITY_SQL
+    from meterwise.schemas import WEEKLY_INPUT
+    sat = dt.date(2024, 1, 6)
+    rows = [("Global", "T1", "a", "x", sat, sat + dt.timedelta(days=7 * i), 100 + i) for i in range(12)]
+    rows += [("Global", "T2", "a", "y", sat, sat, 5), ("Global", "T2", "a", "z", sat, sat, -1),   # dup key, 2 names
+             ("US", "T3", "a", "t", sat, sat + dt.timedelta(days=1), 3),                         # bad region, not Sat
+             ("Global", None, "a", "t", sat, sat, 1), ("Global", "T4", "a", "t", sat, None, 2)]   # null keys
+    df = spark.createDataFrame(rows, WEEKLY_INPUT)
+    got = {r["rule"]: (r["failed"], r["total"]) for r in quality_report(df).collect()}
+    con = duckdb.connect()
+    con.register("weekly_input", df.toPandas())
+    want = {r[0]: (r[1], r[2]) for r in con.execute(QUALITY_SQL).fetchall()}
+    assert got == want
+    assert got["pk_unique"][0] == 1 and got["isrc_single_track"][0] == 1 and got["streams_non_negative"][0] == 1
+    assert got["region_allowed"][0] == 1 and got["pk_not_null"][0] == 2 and got["min_history"] == (3, 4)
