@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from meterwise import params as P
 from meterwise.functions.tags import model_path, workload_type
+from meterwise.functions.timeutil import diff_units
 from meterwise.operators.attribution import attribute, query_window
 from meterwise.operators.reports import meter_window, param_value, query_performance, warehouse_load
 
@@ -159,9 +160,10 @@ def recommendation_metrics(qh, meter, load, *, wh=P.WAREHOUSE, as_of=P.AS_OF, da
     """One row with every figure the rules need (each a scalar sub-query)."""
     perf = query_performance(qh, wh=wh, as_of=as_of, days=days)
     cost = cost_by_workload_dash(qh, meter, wh=wh, as_of=as_of, days=days)
-    untagged = cost.select(F.sum(F.when(F.col("workload_type") == P.WORKLOAD_DEFAULT,
-                                        F.col("total_credits"))).cast("double")).scalar()
-    all_credits = cost.select(F.sum("total_credits").cast("double")).scalar()
+    credits = cost.select(F.struct(
+        F.sum(F.when(F.col("workload_type") == P.WORKLOAD_DEFAULT, F.col("total_credits"))).cast("double").alias("u"),
+        F.sum("total_credits").cast("double").alias("a"))).scalar()   # one pass, two figures
+    untagged, all_credits = credits.getField("u"), credits.getField("a")
     return (warehouse_load(load, wh=wh, as_of=as_of, days=days)
             .agg(F.max("avg_queued_queries").alias("max_queued"))
             .select("max_queued",
@@ -234,16 +236,18 @@ def kpi_status(qh, meter, *, wh=P.WAREHOUSE, as_of=P.AS_OF, days=7, trend_days=3
         F.lit(100.0) * F.sum(F.when(workload_type() == P.WORKLOAD_DEFAULT, F.col("credits_used"))).cast("double")
         / F.nullif(F.sum("credits_used").cast("double"), F.lit(0.0))).scalar()
     q = query_window(qh, wh=wh, as_of=as_of, days=days)
-    queue = q.select(F.lit(100.0) * F.sum("queued_overload_time")
-                     / F.nullif(F.sum("total_elapsed_time"), F.lit(0))).scalar()
+    qs = q.select(F.struct(F.sum("queued_overload_time").alias("queued"),
+                           F.sum("total_elapsed_time").alias("elapsed"))).scalar()   # one pass, two figures
+    queue = F.lit(100.0) * qs.getField("queued") / F.nullif(qs.getField("elapsed"), F.lit(0))
+    active_h = qs.getField("elapsed") / F.lit(1000.0) / F.lit(3600.0)
+    # The metering window is the base row: session hours and metered hours in one pass.
     m = meter_window(meter, wh=wh, as_of=as_of, days=days)
-    session_h = m.select(F.sum(F.unix_seconds(F.date_trunc("second", "end_time"))
-                               - F.unix_seconds(F.date_trunc("second", "start_time"))) / F.lit(3600.0)).scalar()
-    active_h = q.select(F.sum("total_elapsed_time") / F.lit(1000.0) / F.lit(3600.0)).scalar()
+    base = m.agg((F.sum(diff_units("second", "start_time", "end_time")) / F.lit(3600.0)).alias("_session_h"),
+                 F.count_distinct(F.date_trunc("hour", "start_time")).cast("double").alias("_hours"))
+    session_h = F.col("_session_h")
     idle = F.lit(100.0) * (session_h - active_h) / F.nullif(session_h, F.lit(0.0))
-    util = _utilisation(meter, wh=wh, as_of=as_of, days=days, mode="calendar")
+    util = F.lit(100.0) * F.col("_hours") / F.lit(float(days * 24))
     lo, hi = P.UTILISATION_BAND
-    base = m.agg(F.count(F.lit(1)).alias("_n"))
     return (base.select(F.explode(F.array(
         F.struct(F.lit("daily_cost_variance_pct").alias("kpi"), F.round(variance, 2).alias("value"),
                  _band(variance, P.DAILY_VARIANCE_OK_PCT, P.DAILY_VARIANCE_ACT_PCT).alias("status")),
