@@ -24,7 +24,7 @@ def week_ending(ts) -> F.Column:
     return F.date_add(F.date_trunc("week", c + F.expr("INTERVAL 1 DAY")).cast("date"), 5)
 
 
-def _track_columns(brand: F.Column) -> list[F.Column]:
+def track_columns(brand: F.Column) -> list[F.Column]:
     return [
         brand.alias("isrc"),
         F.concat(F.lit("Artist "), brand).alias("display_artist"),
@@ -33,8 +33,12 @@ def _track_columns(brand: F.Column) -> list[F.Column]:
     ]
 
 
-def _shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = read_table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey", "l_quantity", "l_shipdate")
+def shipments_of(spark: SparkSession, sf_dir: str):
+    """A function mapping lineitem rows to (region, brand, week, quantity) rows.
+
+    The dimension side (part, supplier -> region) is built once; the returned
+    function applies it to any lineitem DataFrame, batch or streaming.
+    """
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_brand")
     supp = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     # nation (25 rows) and region (5 rows) have a fixed size: broadcasting them is bounded.
@@ -48,11 +52,20 @@ def _shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
     # count), else let the planner shuffle.  Catalyst alone over-estimates the
     # join (product of input sizes) and would shuffle lineitem needlessly.
     supp_region = bounded_broadcast(supp_region, supp)
-    # part grows with the data and is a single scan, whose size Catalyst
-    # estimates well: no hint, Catalyst/AQE pick broadcast or sort-merge.
-    return (li.join(part, li.l_partkey == part.p_partkey)
-            .join(supp_region, li.l_suppkey == supp_region.s_suppkey)
-            .select("r_name", "p_brand", week_ending("l_shipdate").alias("week_ending"), "l_quantity"))
+
+    def apply(lineitem: DataFrame) -> DataFrame:
+        li = lineitem.select("l_partkey", "l_suppkey", "l_quantity", "l_shipdate")
+        # part grows with the data and is a single scan, whose size Catalyst
+        # estimates well: no hint, Catalyst/AQE pick broadcast or sort-merge.
+        return (li.join(part, li.l_partkey == part.p_partkey)
+                .join(supp_region, li.l_suppkey == supp_region.s_suppkey)
+                .select("r_name", "p_brand", week_ending("l_shipdate").alias("week_ending"), "l_quantity"))
+
+    return apply
+
+
+def _shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shipments_of(spark, sf_dir)(read_table(spark, sf_dir, "lineitem"))
 
 
 def weekly_input(spark: SparkSession, sf_dir: str, region: str | None = None) -> DataFrame:
@@ -76,7 +89,7 @@ def weekly_input(spark: SparkSession, sf_dir: str, region: str | None = None) ->
                .agg(F.sum("q").alias("q"))
                .select(F.coalesce("r_name", F.lit(GLOBAL)).alias("region"), "p_brand", "week_ending", "q"))
     brand = F.col("p_brand")
-    out = agg.select("region", *_track_columns(brand), "week_ending", F.col("q").cast("bigint").alias("streams"))
+    out = agg.select("region", *track_columns(brand), "week_ending", F.col("q").cast("bigint").alias("streams"))
     return conform(out, WEEKLY_INPUT)
 
 

@@ -128,29 +128,78 @@ def merge_sum(current: DataFrame | None, delta: DataFrame, keys, measures) -> Da
                                   .alias(m) for m in measures])
 
 
-def incremental_metering(spark: SparkSession, sf_dir: str, *, base: str | None = None,
-                         checkpoint: str | None = None, max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER,
-                         source: DataFrame | None = None) -> DataFrame:
-    """R2: keep a per-(warehouse, hour) usage table current, batch by batch."""
-    base = base or scratch_path(spark, "metering_incremental")
-    checkpoint = checkpoint or scratch_path(spark, "metering_incremental_ckpt")
-    keys, measures = ["warehouse_name", "hour"], ["query_count", "total_elapsed_ms"]
+def _merge_stream(spark: SparkSession, stream: DataFrame, batch_agg, keys, measures, *, base: str,
+                  checkpoint: str) -> DataFrame:
+    """Run ``stream`` to the end of the available files, merging each batch into ``base``.
 
+    Every micro-batch writes version ``v=<epoch>`` = previous version + the
+    batch's aggregate (``merge_sum``), so a replayed epoch rewrites the same
+    version from the same input.  Returns the newest version.
+    """
     def merge(batch: DataFrame, epoch_id: int) -> None:
         target = f"{base}/v={epoch_id}"
         prev_versions = [v for v in _versions(spark, base) if v < epoch_id]
         prev = spark.read.parquet(f"{base}/v={max(prev_versions)}") if prev_versions else None
-        merge_sum(prev, _batch_hours(batch), keys, measures).write.mode("overwrite").parquet(target)
+        merge_sum(prev, batch_agg(batch), keys, measures).write.mode("overwrite").parquet(target)
         if prev_versions:
             # Keep the version this one was built from, for a replay of this epoch.
             _drop_versions_before(spark, base, max(prev_versions))
 
-    stream = source if source is not None else events_stream(spark, sf_dir, max_files_per_trigger)
     q = (stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    latest = latest_version(spark, base)
-    table = spark.read.parquet(latest)
+    return spark.read.parquet(latest_version(spark, base))
+
+
+def incremental_metering(spark: SparkSession, sf_dir: str, *, base: str | None = None,
+                         checkpoint: str | None = None, max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER,
+                         source: DataFrame | None = None) -> DataFrame:
+    """R2: keep a per-(warehouse, hour) usage table current, batch by batch."""
+    stream = source if source is not None else events_stream(spark, sf_dir, max_files_per_trigger)
+    table = _merge_stream(spark, stream, _batch_hours, ["warehouse_name", "hour"],
+                          ["query_count", "total_elapsed_ms"],
+                          base=base or scratch_path(spark, "metering_incremental"),
+                          checkpoint=checkpoint or scratch_path(spark, "metering_incremental_ckpt"))
     return table.withColumn(
         "credits_used", F.round(F.col("total_elapsed_ms") * 6 / F.lit(3600000.0), 6).cast("decimal(18,6)"))
 
+
+def lineitem_stream(spark: SparkSession, sf_dir: str,
+                    max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER) -> DataFrame:
+    reader = spark.readStream.schema(DECLARED["lineitem"])
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    path = table_path(sf_dir, "lineitem")
+    return reader.parquet(path[:-1] + "[" + path[-1] + "]")
+
+
+def incremental_weekly_input(spark: SparkSession, sf_dir: str, *, base: str | None = None,
+                             checkpoint: str | None = None, source: DataFrame | None = None,
+                             max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER) -> DataFrame:
+    """R2: keep the weekly input current as new shipment files arrive.
+
+    Each batch of lineitem rows joins the static part and supplier-region
+    tables (stream-static joins), is summed per (region, track, week) and per
+    (track, week) for Global, and is merged by key into the stored table.
+    Plays are additive, so the merged table equals a full recomputation.
+    """
+    from meterwise.sources.weekly import GLOBAL, shipments_of, track_columns
+
+    dims = shipments_of(spark, sf_dir)
+
+    def batch_agg(batch: DataFrame) -> DataFrame:
+        rows = dims(batch)
+        regional = (rows.groupBy("r_name", "p_brand", "week_ending")
+                    .agg(F.sum("l_quantity").cast("bigint").alias("q")))
+        both = (regional.groupingSets([["r_name", "p_brand", "week_ending"], ["p_brand", "week_ending"]],
+                                      "r_name", "p_brand", "week_ending")
+                .agg(F.sum("q").alias("streams"))
+                .select(F.coalesce("r_name", F.lit(GLOBAL)).alias("region"), "p_brand", "week_ending", "streams"))
+        return both
+
+    stream = source if source is not None else lineitem_stream(spark, sf_dir, max_files_per_trigger)
+    table = _merge_stream(spark, stream, batch_agg, ["region", "p_brand", "week_ending"], ["streams"],
+                          base=base or scratch_path(spark, "weekly_incremental"),
+                          checkpoint=checkpoint or scratch_path(spark, "weekly_incremental_ckpt"))
+    brand = F.col("p_brand")
+    return table.select("region", *track_columns(brand), "week_ending", F.col("streams").cast("bigint"))

@@ -36,3 +36,14 @@ def test_incremental_merge_over_several_batches(spark):
                 .agg(F.count(F.lit(1)).alias("query_count"), F.sum("total_elapsed_time").alias("total_elapsed_ms")))
     got = table.select("warehouse_name", "hour", "query_count", "total_elapsed_ms")
     assert spark_rows(got) == spark_rows(expected)
+
+
+def test_incremental_weekly_input_over_several_batches(spark):
+    from meterwise.sources.tables import DECLARED
+    from meterwise.sources.weekly import weekly_input
+    from meterwise.streaming.rollup import incremental_weekly_input
+    src_dir = scratch_path(spark, "lineitem_split")
+    read_table(spark, SF_SMALL, "lineitem").repartition(4).write.parquet(src_dir)
+    stream = spark.readStream.schema(DECLARED["lineitem"]).option("maxFilesPerTrigger", 1).parquet(src_dir)
+    got = incremental_weekly_input(spark, SF_SMALL, source=stream)
+    assert spark_rows(got) == spark_rows(weekly_input(spark, SF_SMALL))
