@@ -36,3 +36,10 @@ def test_prepare_train_score_forecast(spark, monkeypatch):
     scored = spark.read.parquet(f"{out}/forecast_output_global")
     assert scored.count() == 2 * weekly.filter(F.col("region") == "Global").count()
     assert run_job(monkeypatch, "score", *common, "--region", "NOWHERE") == "NO_ROWS"
+
+
+def test_usage_reports_job(spark, monkeypatch):
+    out = scratch_path(spark, "reports_job")
+    assert run_job(monkeypatch, "usage_reports", "--sf-dir", SF_SMALL, "--out", out, "--days", "14") == "OK"
+    assert spark.read.parquet(f"{out}/reports/cost_by_workload_path").count() > 0
+    assert spark.read.parquet(f"{out}/reports/kpi_status").count() == 5
