@@ -9,7 +9,7 @@ from meterwise.operators import budget as B
 from meterwise.operators import costs as C
 from meterwise.operators import dashboard as D
 from meterwise.plans import oracle as O
-from meterwise.plans.catalog import QUERY_PERFORMANCE_SQL, register
+from meterwise.plans.catalog import QUERY_PERFORMANCE_SQL, logs, register
 from meterwise.plans.oracle import WH, since, with_ctes
 from meterwise.sources.logs import usage_logs
 
@@ -35,41 +35,37 @@ DASH_COST = f"""SELECT workload_type, model_path, count(DISTINCT query_id) AS qu
   sum(credits_used) AS total_credits FROM ({_att(7)}) a GROUP BY workload_type, model_path"""
 
 
-def _logs(days):
-    return lambda spark, d: usage_logs(spark, d, days)
-
-
 register("dashboard_kpis", "D1", with_ctes(f"""
 SELECT total_credits, round(total_credits * {PRICE_D}, 6) AS total_cost, total_executions,
   round(a, 6) AS avg_credits_per_hour
 FROM (SELECT cast(sum(credits_used) AS double) AS total_credits, count(*) AS total_executions,
         cast(sum(credits_used) AS double) / nullif(count(DISTINCT date_trunc('hour', start_time)), 0) AS a
       FROM ({_mwin(7)}) m) k""", "mh", "params"))(
-    lambda spark, d: (lambda L: D.dashboard_kpis(L.meter, L.params))(usage_logs(spark, d, 7)))
+    logs(7, lambda L: D.dashboard_kpis(L.meter, L.params)))
 
 register("queue_alert", "D2", with_ctes(f"""
 SELECT max(avg_queued_load) AS peak_queued_queries, coalesce(max(avg_queued_load) > 0, false) AS queuing_detected
 FROM lh WHERE warehouse_name = {WH} AND start_time >= {since(7)}""", "lh"))(
-    lambda spark, d: D.queue_alert(usage_logs(spark, d, 7).load))
+    logs(7, lambda L: D.queue_alert(L.load)))
 
 register("workload_costs", "D3", with_ctes(f"""
 SELECT workload_type, cast(sum(total_credits) AS double) AS total_credits, cast(sum(query_count) AS bigint) AS query_count,
   round(cast(sum(total_credits) AS double) * {PRICE_D}, 6) AS estimated_cost
 FROM dash GROUP BY workload_type""", "attributed", "params", extra={"dash": DASH_COST}))(
-    lambda spark, d: (lambda L: D.workload_costs(L.qh, L.meter, L.params))(usage_logs(spark, d, 7)))
+    logs(7, lambda L: D.workload_costs(L.qh, L.meter, L.params)))
 
 register("path_costs", "D4", with_ctes(f"""
 SELECT model_path, cast(sum(total_credits) AS double) AS total_credits, cast(sum(query_count) AS bigint) AS query_count,
   round(cast(sum(total_credits) AS double) * {PRICE_D}, 6) AS estimated_cost
 FROM dash WHERE model_path != 'OTHER' GROUP BY model_path""", "attributed", "params", extra={"dash": DASH_COST}))(
-    lambda spark, d: (lambda L: D.path_costs(L.qh, L.meter, L.params))(usage_logs(spark, d, 7)))
+    logs(7, lambda L: D.path_costs(L.qh, L.meter, L.params)))
 
 register("cost_breakdown", "D5", with_ctes(f"""
 SELECT workload_type AS workload, model_path, query_count AS queries,
   cast(round(total_credits, 4) AS double) AS credits,
   round(cast(total_credits AS double) * {PRICE_D}, 2) AS cost_dollars
 FROM dash""", "attributed", "params", extra={"dash": DASH_COST}))(
-    lambda spark, d: (lambda L: D.cost_breakdown(L.qh, L.meter, L.params))(usage_logs(spark, d, 7)))
+    logs(7, lambda L: D.cost_breakdown(L.qh, L.meter, L.params)))
 
 register("spend_stats", "D6", with_ctes(f"""
 SELECT count(*) AS days,
@@ -78,19 +74,19 @@ SELECT count(*) AS days,
   round(cast(sum(credits) AS double) / nullif(count(*), 0) * {PRICE_D} * 30, 6) AS projected_monthly_cost
 FROM (SELECT cast(start_time AS date) AS date, sum(credits_used) AS credits FROM ({_mwin(30)}) m GROUP BY 1) d""",
     "mh", "params"))(
-    lambda spark, d: (lambda L: D.spend_stats(L.meter, L.params, days=30))(usage_logs(spark, d, 30)))
+    logs(30, lambda L: D.spend_stats(L.meter, L.params, days=30)))
 
 register("slowest_queries", "D7", with_ctes("""
 SELECT query_id, execution_time_seconds, workload_type FROM qp
 ORDER BY execution_time_seconds DESC, query_id LIMIT 10""", "qh", extra={"qp": QUERY_PERFORMANCE_SQL}))(
-    lambda spark, d: D.slowest_queries(usage_logs(spark, d, 7).qh))
+    logs(7, lambda L: D.slowest_queries(L.qh)))
 
 register("workload_perf", "D8", with_ctes("""
 SELECT workload_type, round(avg(execution_time_seconds), 2) AS avg_time_s,
   round(median(execution_time_seconds), 2) AS median_time_s, round(max(execution_time_seconds), 2) AS max_time_s,
   round(sum(gb_scanned), 2) AS total_gb_scanned, count(query_id) AS query_count
 FROM qp GROUP BY workload_type""", "qh", extra={"qp": QUERY_PERFORMANCE_SQL}))(
-    lambda spark, d: D.workload_perf(usage_logs(spark, d, 7).qh))
+    logs(7, lambda L: D.workload_perf(L.qh)))
 
 register("runtime_histogram", "D9", with_ctes(f"""
 SELECT workload_type, bin, count(*) AS query_count, round(lo + bin * w, 6) AS bin_start,
@@ -102,13 +98,13 @@ FROM (SELECT q.workload_type, lo, (hi - lo) / {P.HISTOGRAM_BINS} AS w,
              ELSE 0 END AS int) AS bin
       FROM qp q, (SELECT min(execution_time_seconds) AS lo, max(execution_time_seconds) AS hi FROM qp) mm) b
 GROUP BY workload_type, bin, lo, w""", "qh", extra={"qp": QUERY_PERFORMANCE_SQL}))(
-    lambda spark, d: D.runtime_histogram(usage_logs(spark, d, 7).qh))
+    logs(7, lambda L: D.runtime_histogram(L.qh)))
 
 register("queued_queries", "D10", with_ctes("""
 SELECT query_id, workload_type, execution_time_seconds, queue_time_seconds,
   (SELECT count(*) FROM qp WHERE queue_time_seconds > 0) AS queued_count
 FROM qp WHERE queue_time_seconds > 0 ORDER BY execution_time_seconds DESC, query_id LIMIT 10""", "qh",
-    extra={"qp": QUERY_PERFORMANCE_SQL}))(lambda spark, d: D.queued_queries(usage_logs(spark, d, 7).qh))
+    extra={"qp": QUERY_PERFORMANCE_SQL}))(logs(7, lambda L: D.queued_queries(L.qh)))
 
 _FMT = "printf('%.1f', round({x}, 1))"
 register("recommendations", "D11", with_ctes(f"""
@@ -138,7 +134,7 @@ SELECT (SELECT max(avg_queued_load) FROM lh WHERE warehouse_name = {WH} AND star
   (SELECT cast(sum(CASE WHEN workload_type = 'UNTAGGED' THEN total_credits END) AS double) FROM dash) AS untagged_credits,
   (SELECT 100.0::double * cast(sum(CASE WHEN workload_type = 'UNTAGGED' THEN total_credits END) AS double)
           / nullif(cast(sum(total_credits) AS double), 0) FROM dash) AS untagged_pct"""}))(
-    lambda spark, d: (lambda L: D.recommendations(L.qh, L.meter, L.load))(usage_logs(spark, d, 7)))
+    logs(7, lambda L: D.recommendations(L.qh, L.meter, L.load)))
 
 register("kpi_status", "D12", with_ctes(f"""
 SELECT 'daily_cost_variance_pct' AS kpi, round(variance, 2) AS value,
@@ -169,7 +165,7 @@ SELECT
      (SELECT sum(total_elapsed_time) / 1000.0::double / 3600.0::double AS a FROM ({_qwin(7)}) q) aa) AS idle,
   (SELECT 100.0::double * count(DISTINCT date_trunc('hour', start_time)) / {7 * 24}.0::double
      FROM ({_mwin(7)}) m) AS util"""}))(
-    lambda spark, d: (lambda L: D.kpi_status(L.qh, L.meter))(usage_logs(spark, d, 30)))
+    logs(30, lambda L: D.kpi_status(L.qh, L.meter)))
 
 # ---------------------------------------------------------------- budgets ---
 
@@ -180,7 +176,7 @@ SELECT '{P.BUDGET_NAME}' AS monitor_name, {P.MONTHLY_QUOTA}::double AS credit_qu
 FROM (SELECT coalesce(cast(sum(credits_used) AS double), 0.0::double) AS used FROM mh
       WHERE warehouse_name = {WH} AND start_time >= TIMESTAMP '2024-01-01 00:00:00'
         AND start_time < TIMESTAMP '2024-02-01 00:00:00') u""", "mh"))(
-    lambda spark, d: B.budget_status(usage_logs(spark, d).meter))
+    logs(None, lambda L: B.budget_status(L.meter)))
 
 _CROSS = "\nUNION ALL ".join(
     f"SELECT '{P.BUDGET_NAME}' AS resource_monitor_name, {t} AS threshold, '{a}' AS trigger_type, t{t} AS trigger_time "
@@ -193,7 +189,7 @@ register("budget_crossings", "M2", with_ctes(_CROSS, "mh", extra={
                           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS running
 FROM mh WHERE warehouse_name = {WH}""",
     "c": f"SELECT m, {_MINS} FROM r GROUP BY m"}))(
-    lambda spark, d: B.budget_crossings(usage_logs(spark, d).meter))
+    logs(None, lambda L: B.budget_crossings(L.meter)))
 
 # ------------------------------------------------------------------ costs ---
 
@@ -204,7 +200,18 @@ SELECT size, runtime_hours, credits_per_hour, round(runtime_hours * credits_per_
   round(runtime_hours * credits_per_hour * {O.PRICE}, 6) AS estimated_dollars
 FROM (SELECT size, credits_per_hour, round({_HOURS}, 6) AS runtime_hours
       FROM (VALUES {_LADDER}) AS t(size, credits_per_hour)) s""", "mh", "params"))(
-    lambda spark, d: (lambda L: C.estimate_scenarios(L.meter, L.params))(usage_logs(spark, d, 7)))
+    logs(7, lambda L: C.estimate_scenarios(L.meter, L.params)))
+
+def _preflight(spark, d):
+    week, history = usage_logs(spark, d, 7), usage_logs(spark, d)   # billing spans months
+    return C.preflight_estimate(week.qh, week.meter, history.billing, week.params)
+
+
+def _refresh_params(spark, d):
+    week, history = usage_logs(spark, d, 7), usage_logs(spark, d)
+    return (C.refresh_cost_params(week.params, week.meter, history.billing)
+            .withColumn("updated_at", F.col("updated_at").cast("timestamp_ntz")))
+
 
 _RUNTIME = (f"(SELECT avg({O.diff_units('minute', 'start_time', 'end_time')}) / 60.0::double FROM qh "
             f"WHERE start_time >= {since(7)} AND query_text ILIKE '%job_purchase%')")
@@ -218,8 +225,7 @@ SELECT round(h, 6) AS runtime_hours, round(r, 6) AS credits_per_hour, p AS dolla
   round(h * r, 6) AS estimated_credits, round(h * r * p, 6) AS estimated_dollars,
   round(h * l, 6) AS large_estimated_credits, round(h * l * {O.PRICE}, 6) AS large_estimated_dollars
 FROM (SELECT {_RUNTIME} AS h, {_RATE} AS r, {_BILLED} AS p, {_LARGE} AS l) x""", "qh", "mh", "billing", "params"))(
-    lambda spark, d: (lambda L, B30: C.preflight_estimate(L.qh, L.meter, B30.billing, L.params))(
-        usage_logs(spark, d, 7), usage_logs(spark, d)))
+    _preflight)
 
 _RATE6 = f"round({_RATE}, 6)"
 register("refresh_cost_params", "S9 S10 C4", with_ctes(f"""
@@ -231,6 +237,4 @@ FROM params t FULL OUTER JOIN (
   SELECT 'DOLLARS_PER_CREDIT' AS param_name, {_BILLED} AS param_value
   UNION ALL SELECT 'OBSERVED_CREDITS_PER_HOUR', {_RATE6}) s ON t.param_name = s.param_name""",
     "mh", "billing", "params"))(
-    lambda spark, d: (lambda L, A: C.refresh_cost_params(L.params, L.meter, A.billing)
-                      .withColumn("updated_at", F.col("updated_at").cast("timestamp_ntz")))(
-        usage_logs(spark, d, 7), usage_logs(spark, d)))
+    _refresh_params)
