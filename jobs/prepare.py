@@ -4,13 +4,16 @@
 
 Written partitioned by region and sorted by (isrc, week_ending) inside each
 file, so a region filter prunes whole folders and the per-track windows of
-the training and scoring jobs read their rows clustered.
+the training and scoring jobs read their rows clustered.  The quality report
+and the weekly summary (plays and distinct tracks per region and week) are
+refreshed from the written table.
 """
 
 from __future__ import annotations
 
 from common import parse, session
 
+from meterwise.operators.features import weekly_summary
 from meterwise.operators.quality import quality_report
 from meterwise.session import tagged
 from meterwise.sources.weekly import weekly_input
@@ -24,8 +27,10 @@ def main() -> str:
         target = f"{args.out}/weekly_input"
         (weekly.repartition("region", "isrc").sortWithinPartitions("region", "isrc", "week_ending")
          .write.mode("overwrite").partitionBy("region").parquet(target))
-        report = quality_report(spark.read.parquet(target))
-        report.write.mode("overwrite").parquet(f"{args.out}/weekly_quality")
+        prepared = spark.read.parquet(target)
+        quality_report(prepared).write.mode("overwrite").parquet(f"{args.out}/weekly_quality")
+        # The weekly summary, kept as a table refreshed with its input (a materialised view).
+        weekly_summary(prepared).write.mode("overwrite").partitionBy("region").parquet(f"{args.out}/weekly_summary")
     return "OK"
 
 

@@ -27,6 +27,8 @@ def test_prepare_train_score_forecast(spark, monkeypatch):
     weekly = spark.read.parquet(f"{out}/weekly_input")
     assert {r["region"] for r in weekly.select("region").distinct().collect()} >= {"Global"}
     assert spark.read.parquet(f"{out}/weekly_quality").count() == 7
+    summary = spark.read.parquet(f"{out}/weekly_summary")
+    assert summary.count() == weekly.select("region", "week_ending").distinct().count()
     common = ["--sf-dir", SF_SMALL, "--out", out, "--weekly", f"{out}/weekly_input"]
     assert run_job(monkeypatch, "forecast", *common, "--by-track") == "OK"
     fc = spark.read.parquet(f"{out}/forecast_output_trend")
