@@ -9,13 +9,19 @@ from tests.conftest import SF_SMALL
 from tests.helpers import duck_rows, spark_rows
 
 ORACLES = E.oracle_sql()
+# Spark type -> DuckDB type of the same values.
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+         "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_matches_oracle(spark, duck, name):
-    s_cols, s_rows = spark_rows(E.queries()[name](spark, SF_SMALL))
+    df = E.queries()[name](spark, SF_SMALL)
+    s_cols, s_rows = spark_rows(df)
     d_cols, d_rows = duck_rows(duck(SF_SMALL), ORACLES[name])
     assert s_cols == d_cols
+    rel = duck(SF_SMALL).sql(ORACLES[name])
+    assert {c: TYPES.get(t, t) for c, t in df.dtypes} == dict(zip(rel.columns, map(str, rel.types)))
     assert len(s_rows) == len(d_rows)
     assert s_rows == d_rows
 
