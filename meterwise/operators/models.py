@@ -32,17 +32,20 @@ def gbt_estimator(params: dict | None = None, *, features_col: str = "features",
     n_estimators -> maxIter, max_depth -> maxDepth, learning_rate -> stepSize,
     subsample -> subsamplingRate, colsample_bytree -> featureSubsetStrategy
     (MLlib samples per node, not per tree), random_state -> seed, squared
-    error -> lossType.  ``cacheNodeIds`` + checkpointing keep the lineage of
-    long boosting runs short (checkpoints go to spark.checkpoint.dir).
+    error -> lossType.  Deep trees cache node ids per instance (MLlib's advice
+    for deep trees; on shallow ones it only adds a persist per round) and
+    checkpoint every ``checkpoint_interval`` rounds to spark.checkpoint.dir,
+    which keeps the lineage of long boosting runs short.
     """
     p = dict(P.GBT_PARAMS)
     p.update(params or {})
+    deep = int(p["max_depth"]) >= 6
     return GBTRegressor(
         featuresCol=features_col, labelCol=label_col, predictionCol="prediction",
         maxIter=int(p["n_estimators"]), maxDepth=int(p["max_depth"]), stepSize=float(p["learning_rate"]),
         subsamplingRate=float(p["subsample"]), featureSubsetStrategy=str(p["colsample_bytree"]),
         lossType="squared", maxBins=int(p.get("max_bins", 32)), seed=int(p["random_state"]),
-        cacheNodeIds=True, checkpointInterval=checkpoint_interval)
+        cacheNodeIds=deep, checkpointInterval=checkpoint_interval)
 
 
 def train_gbt(features: DataFrame, *, cols: Sequence[str] = FEATURE_COLUMNS, target: str = TARGET_COLUMN,
