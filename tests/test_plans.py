@@ -54,3 +54,20 @@ def test_weekly_input_single_lineitem_scan(spark):
     text = plan_text(weekly_input(spark, SF_SMALL), "simple")
     assert text.count("lineitem.parquet") == 1
     assert "Expand" in text
+
+
+# Reports bounded by a trailing window: the bound must reach the events scan.
+WINDOWED = ["hourly_utilization", "queuing_periods", "warehouse_load", "cost_by_workload", "cost_by_workload_path",
+            "path_comparison", "path_workload_comparison", "daily_credit_trend", "longest_queries",
+            "query_performance", "expensive_queries", "hour_of_day", "idle_time", "auto_suspend", "training_runs",
+            "inference_runs", "executive_summary", "recent_sessions", "credits_per_hour", "expected_runtime",
+            "scheduled_attribution", "recent_successful", "dashboard_kpis", "queue_alert", "workload_costs",
+            "path_costs", "cost_breakdown", "spend_stats", "slowest_queries", "workload_perf", "runtime_histogram",
+            "queued_queries", "recommendations", "kpi_status", "estimate_scenarios"]
+
+
+@pytest.mark.parametrize("name", WINDOWED)
+def test_window_bound_is_pushed_to_events_scan(spark, name):
+    text = plan_text(E.queries()[name](spark, SF_SMALL))
+    scans = [line for line in text.splitlines() if line.startswith("PushedFilters")]
+    assert scans and all("GreaterThanOrEqual(ts," in line for line in scans), scans

@@ -229,3 +229,20 @@ def test_quality_rules_fail_where_they_should(spark):
     assert got == want
     assert got["pk_unique"][0] == 1 and got["isrc_single_track"][0] == 1 and got["streams_non_negative"][0] == 1
     assert got["region_allowed"][0] == 1 and got["pk_not_null"][0] == 2 and got["min_history"] == (3, 4)
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.text(alphabet="WORKLADINGTEFPHSBVC:|_", max_size=40)), min_size=1,
+                max_size=8))
+def test_classification_matches_case_semantics(spark_session_for_hypothesis, tags):
+    """Spark's classification equals a plain reading of the CASE/LIKE chain."""
+    def py(tag, prefix, classes, default):
+        if tag is None:
+            return default
+        return next((c for c in classes if f"{prefix}:{c}" in tag), default)
+
+    df = spark_session_for_hypothesis.createDataFrame([(t,) for t in tags], "query_tag string")
+    got = [(r["w"], r["p"]) for r in df.select(workload_type().alias("w"), model_path().alias("p")).collect()]
+    want = [(py(t, "WORKLOAD", P.WORKLOAD_CLASSES, P.WORKLOAD_DEFAULT), py(t, "PATH", P.PATH_CLASSES, P.PATH_DEFAULT))
+            for t in tags]
+    assert got == want
