@@ -2,8 +2,9 @@
 
     spark-submit jobs/usage_reports.py --sf-dir <tables> --out <root> [--as-of 2024-01-31T00:00:00] [--days 7]
 
-Every report is written with a staged replace under <out>/reports/<name>;
-the logs are read once per window (the events scan is cut to the window).
+Every report is written with a staged replace under <out>/reports/<name>.
+The events scan is cut to the window; metering and load (per warehouse-hour)
+are aggregated once and checkpointed, then shared by all reports.
 """
 
 from __future__ import annotations
@@ -16,12 +17,12 @@ from meterwise import params as P
 from meterwise.operators import dashboard as D
 from meterwise.operators import reports as R
 from meterwise.session import tagged
-from meterwise.sources.logs import usage_logs
+from meterwise.sources.logs import materialize_hourly, usage_logs
 from meterwise.sources.sinks import staged_replace
 
 
 def reports(spark, sf_dir: str, as_of: dt.datetime, days: int) -> dict:
-    L = usage_logs(spark, sf_dir, max(days, 30), as_of=as_of)
+    L = materialize_hourly(usage_logs(spark, sf_dir, max(days, 30), as_of=as_of))
     kw = {"as_of": as_of, "days": days}
     return {
         "hourly_utilization": R.hourly_utilization(L.meter, **kw),

@@ -133,6 +133,18 @@ class UsageLogs:
         return cost_params(self.spark, updated_at=P.SEED_STAMP)
 
 
+def materialize_hourly(logs: UsageLogs) -> UsageLogs:
+    """Aggregate metering and load once and cut their lineage (reliable checkpoint).
+
+    Both are per-(warehouse, hour) tables -- tiny next to the events they come
+    from -- so a job running many reports reads them from the shared checkpoint
+    folder instead of re-aggregating the events window for every report.
+    """
+    logs.meter = logs.meter.checkpoint(eager=True)
+    logs.load = logs.load.checkpoint(eager=True)
+    return logs
+
+
 def usage_logs(spark: SparkSession, sf_dir: str, days: int | None = None, as_of: dt.datetime = P.AS_OF,
                since: dt.datetime | None = None) -> UsageLogs:
     """Logs of ``sf_dir``; with ``days``, only the hours a ``days`` report can touch."""
