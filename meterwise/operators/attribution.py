@@ -16,6 +16,8 @@ a shuffled join (with skew splitting of a hot warehouse-hour) when it is not.
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,14 +29,14 @@ from meterwise.functions.timeutil import hour_floor, ntz, window_start
 def query_window(qh: DataFrame, *, wh: str | None = P.WAREHOUSE, as_of: dt.datetime = P.AS_OF,
                  days: int | None = None, success_only: bool = True) -> DataFrame:
     """Warehouse / time-window / success filters (all pushed below the join)."""
-    q = qh
+    conds = []
     if wh is not None:
-        q = q.filter(F.col("warehouse_name") == wh)
+        conds.append(F.col("warehouse_name") == wh)
     if days is not None:
-        q = q.filter(F.col("start_time") >= ntz(window_start(as_of, days)))
+        conds.append(F.col("start_time") >= ntz(window_start(as_of, days)))
     if success_only:
-        q = q.filter(F.col("execution_status") == "SUCCESS")
-    return q
+        conds.append(F.col("execution_status") == "SUCCESS")
+    return qh.filter(reduce(and_, conds)) if conds else qh
 
 
 def attribute(qh: DataFrame, meter: DataFrame, *, wh: str | None = P.WAREHOUSE,

@@ -13,13 +13,15 @@ millisecond sums, so results do not depend on summation order.
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterwise import params as P
 from meterwise.functions.tags import model_path, parse_tag, workload_type
-from meterwise.functions.timeutil import diff_units, last_days, trunc
+from meterwise.functions.timeutil import diff_units, last_days, ntz, trunc, window_start
 from meterwise.operators.attribution import attribute, query_window
 
 
@@ -46,8 +48,10 @@ def seconds_avg(ms: str = "total_elapsed_time") -> Column:
 
 def meter_window(meter: DataFrame, *, wh: str | None = P.WAREHOUSE, as_of: dt.datetime = P.AS_OF,
                  days: int | None = 7) -> DataFrame:
-    m = meter if wh is None else meter.filter(F.col("warehouse_name") == wh)
-    return last_days(m, "start_time", days, as_of)
+    conds = [] if wh is None else [F.col("warehouse_name") == wh]
+    if days is not None:
+        conds.append(F.col("start_time") >= ntz(window_start(as_of, days)))
+    return meter.filter(reduce(and_, conds)) if conds else meter
 
 
 # ------------------------------------------------------------ A1 - A7 -------
