@@ -13,7 +13,6 @@ from collections.abc import Sequence
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -52,18 +51,18 @@ def train_gbt(features: DataFrame, *, cols: Sequence[str] = FEATURE_COLUMNS, tar
               params: dict | None = None) -> PipelineModel | str:
     """fit assembler + boosted trees on the log target; NO_DATA when empty."""
     # The fit passes over its input several times (metadata, split candidates,
-    # boosting rounds).  The training set is one row per track-week, so it is
-    # persisted once for the fit (a lost block is recomputed from lineage).
+    # boosting rounds).  The training set (one row per track-week) is written
+    # once to the shared checkpoint folder: that cuts the lineage, survives
+    # executor loss, and keeps the partitioning AQE chose for the data.  (A
+    # persisted plan keeps the raw shuffle partition count -- hundreds of
+    # near-empty partitions that every tree level would then visit.)
     data = (features.select(*[F.col(c).cast("double").alias(c) for c in cols], F.col(target).cast("double"))
-            .persist(StorageLevel.MEMORY_AND_DISK))
-    try:
-        if data.isEmpty():
-            return NO_DATA
-        pipe = Pipeline(stages=[VectorAssembler(inputCols=list(cols), outputCol="features", handleInvalid="keep"),
-                                gbt_estimator(params, label_col=target)])
-        return pipe.fit(data)
-    finally:
-        data.unpersist()
+            .checkpoint(eager=True))
+    if data.isEmpty():
+        return NO_DATA
+    pipe = Pipeline(stages=[VectorAssembler(inputCols=list(cols), outputCol="features", handleInvalid="keep"),
+                            gbt_estimator(params, label_col=target)])
+    return pipe.fit(data)
 
 
 def score_region(model: PipelineModel, features: DataFrame, *, model_file: str = P.MODEL_FILE,
