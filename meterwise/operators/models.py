@@ -3,7 +3,7 @@
 Training is distributed: executors build the split histograms of each tree
 from their partitions, the driver only coordinates rounds.  Nothing is
 converted to pandas.  Scoring is ``model.transform`` -- a per-row native
-prediction -- followed by ``unionByName`` of the observed and scored halves.
+prediction -- with each row emitting its observed and scored halves.
 """
 
 from __future__ import annotations
@@ -74,16 +74,17 @@ def score_region(model: PipelineModel, features: DataFrame, *, model_file: str =
     """
     base = features.select(*[F.col(c).cast("double").alias(c) for c in cols],
                            "region", "isrc", "display_artist", "track", "release_date", "week_ending", "streams")
-    scored = (model.transform(base)
-              .select("region", "isrc", "display_artist", "track", "release_date", "week_ending",
-                      F.col("streams").alias("streams_actual"),
-                      F.expm1("prediction").alias("streams_predicted"),
-                      F.lit(1).alias("is_forecast"), F.lit(model_file).alias("model_file")))
-    observed = (base.select("region", "isrc", "display_artist", "track", "release_date", "week_ending",
-                            F.col("streams").alias("streams_actual"),
-                            F.lit(None).cast("double").alias("streams_predicted"),
-                            F.lit(0).alias("is_forecast"), F.lit(model_file).alias("model_file")))
-    return conform(observed.unionByName(scored), SCORED_OUTPUT)
+    # One pass: every scored row emits its observed twin and itself, so the
+    # features are derived and the model evaluated once per input row.
+    halves = F.array(
+        F.struct(F.lit(None).cast("double").alias("streams_predicted"), F.lit(0).alias("is_forecast")),
+        F.struct(F.expm1("prediction").alias("streams_predicted"), F.lit(1).alias("is_forecast")))
+    out = (model.transform(base)
+           .select("region", "isrc", "display_artist", "track", "release_date", "week_ending",
+                   F.col("streams").alias("streams_actual"), F.explode(halves).alias("h"))
+           .select("region", "isrc", "display_artist", "track", "release_date", "week_ending", "streams_actual",
+                   "h.streams_predicted", "h.is_forecast", F.lit(model_file).alias("model_file")))
+    return conform(out, SCORED_OUTPUT)
 
 
 def train_linear(df: DataFrame, *, x: str, y: str) -> PipelineModel:
