@@ -1,9 +1,10 @@
 """Distributed weekly-series generator (trend + bounded noise, clamped).
 
 Each track row expands to ``weeks`` rows with ``explode(sequence(...))`` (no
-cross join, work is spread by track); the noise is a deterministic function
-of (track key, week, seed), so a re-run or a retried task gives the same
-rows, and every region reuses the same base draw.
+cross join, work is spread by track), and each week row to one row per
+region; the noise is a deterministic function of (track key, week, seed), so
+a re-run or a retried task gives the same rows, and every region reuses the
+same base draw.
 """
 
 from __future__ import annotations
@@ -52,15 +53,19 @@ def generate_weekly(tracks: DataFrame, *, weeks: int = 52, anchor: dt.date = dt.
             .withColumn("week_ending", F.date_sub(F.lit(anchor), (F.col("seq") + 1) * 7))
             .withColumn("base_streams", F.lit(BASE_STREAMS) + F.col("week_number") * slope
                         + _noise(F.col("seq"), F.col("track_key"), seed, BASE_NOISE, 0)))
-    out = None
+    # Every week row emits one row per region from the same base draw (one
+    # pass over the expanded weeks, no union of re-derived branches).
+    per_region = []
     for region, lo, hi, scale, extra in REGIONS:
         value = F.col("base_streams") if scale == 1.0 else F.col("base_streams") * F.lit(scale)
         if extra:
             value = value + _noise(F.col("seq"), F.col("track_key"), seed, extra, 17)
-        part = rows.select(F.lit(region).alias("region"), "isrc", "display_artist", "track", "release_date",
-                           "week_ending",
-                           F.round(F.least(F.greatest(value, F.lit(lo)), F.lit(hi))).cast("bigint").alias("streams"))
-        out = part if out is None else out.unionByName(part)
+        per_region.append(F.struct(F.lit(region).alias("region"),
+                                   F.round(F.least(F.greatest(value, F.lit(lo)), F.lit(hi))).cast("bigint")
+                                   .alias("streams")))
+    out = (rows.select("isrc", "display_artist", "track", "release_date", "week_ending",
+                       F.explode(F.array(*per_region)).alias("r"))
+           .select("r.region", "isrc", "display_artist", "track", "release_date", "week_ending", "r.streams"))
     return conform(out, WEEKLY_INPUT)
 
 
