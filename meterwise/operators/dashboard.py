@@ -186,7 +186,8 @@ def recommendations(qh, meter, load, *, wh=P.WAREHOUSE, as_of=P.AS_OF, days=7,
 
     def rule(fired, priority, category, issue, advice):
         return F.struct(fired.alias("fired"), F.lit(priority).alias("priority"), F.lit(category).alias("category"),
-                        issue.alias("issue"), advice.alias("recommendation"), F.lit(rank[priority]).alias("priority_rank"))
+                        issue.alias("issue"), advice.alias("recommendation"),
+                        F.lit(rank[priority]).alias("priority_rank"))
 
     rules = F.array(
         rule(F.col("max_queued") > P.QUEUE_PEAK_HIGH, "HIGH", "Performance",

@@ -215,7 +215,8 @@ def hour_of_day(qh, *, wh=P.WAREHOUSE, as_of=P.AS_OF, days=7) -> DataFrame:
             .groupBy(F.hour("start_time").alias("hour_of_day"))
             .agg(F.count(F.lit(1)).alias("query_count"),
                  seconds_avg().alias("avg_execution_seconds"),
-                 F.sum(F.when(F.col("queued_overload_time") > 0, 1).otherwise(0)).cast("bigint").alias("queries_queued"))
+                 F.sum(F.when(F.col("queued_overload_time") > 0, 1).otherwise(0)).cast("bigint")
+                 .alias("queries_queued"))
             .orderBy("hour_of_day"))
 
 
@@ -223,7 +224,8 @@ def idle_time(qh, meter, *, wh=P.WAREHOUSE, as_of=P.AS_OF, days=7) -> DataFrame:
     """Metered hours minus summed query hours (can be negative)."""
     sessions = (meter_window(meter, wh=wh, as_of=as_of, days=days)
                 .groupBy("warehouse_name")
-                .agg((F.sum(diff_units("second", "start_time", "end_time")) / F.lit(3600.0)).alias("total_warehouse_hours"),
+                .agg((F.sum(diff_units("second", "start_time", "end_time")) / F.lit(3600.0))
+                     .alias("total_warehouse_hours"),
                      F.sum("credits_used").cast("double").alias("total_credits")))
     active = (query_window(qh, wh=wh, as_of=as_of, days=days)
               .groupBy("warehouse_name")
@@ -316,7 +318,8 @@ def recent_sessions(meter, *, wh=P.WAREHOUSE, as_of=P.AS_OF, days=7, limit=20) -
             .select("warehouse_name", "start_time", "end_time",
                     F.col("credits_used").cast("double").alias("credits_used"),
                     diff_units("minute", "start_time", "end_time").alias("duration_minutes"),
-                    F.round(F.col("credits_used").cast("double") / F.nullif(hours, F.lit(0)), 4).alias("credits_per_hour")))
+                    F.round(F.col("credits_used").cast("double") / F.nullif(hours, F.lit(0)), 4)
+                    .alias("credits_per_hour")))
 
 
 # ---------------------------------------------------------- A17 - A23 -------
@@ -359,7 +362,8 @@ def price_per_credit(billing, *, as_of_date: dt.date = P.AS_OF_DATE, months: int
                     F.col("credits_used").cast("double").alias("credits_used"),
                     F.col("amount_due").cast("double").alias("amount_due"),
                     F.round(F.col("amount_due").cast("double")
-                            / F.nullif(F.col("credits_used").cast("double"), F.lit(0.0)), 4).alias("dollars_per_credit"))
+                            / F.nullif(F.col("credits_used").cast("double"), F.lit(0.0)), 4)
+                    .alias("dollars_per_credit"))
             .orderBy(F.col("statement_date").desc()))
 
 
