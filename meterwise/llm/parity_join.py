@@ -10,10 +10,12 @@ and (pigeonhole) of its first D + r in a common order at least r are equal.
 B depends on the size band, and a document near a band's lower end is also
 sketched as one of the band below.
 
-Blocks that are equal are found by one shuffle.  Documents with fewer equal
-blocks than r cannot have a partner and leave; the others keep their rarest
-blocks (prefix filter), so that passages that many documents share make no
-candidates.  Candidates whose short bit sketches (one bit toggled per shingle)
+Equal blocks are found by one shuffle of these leading blocks.  Documents with
+fewer equal ones than r cannot have a partner and leave.  Of the others all
+blocks are compared: at least N - D of a document's N must be equal to some
+partner's, which a passage that many documents share doesn't reach; and of the
+equal ones each document needs only its rarest to meet its partners (prefix
+filter).  Candidates whose short bit sketches (one bit toggled per shingle)
 are farther apart than D (their Hamming distance is at most the difference) go,
 and the rest are verified on the sets themselves.
 
@@ -77,18 +79,16 @@ def bands(size: int, percent: int = PERCENT) -> list[int]:
     return [own] if own == low else [own, low]
 
 
-def blocks(hashes: np.ndarray, band: int, percent: int = PERCENT) -> np.ndarray:
-    """Keys of the first D + r non-empty blocks of the sketch for a band, in the order common to all documents."""
+def blocks(hashes: np.ndarray, band: int) -> np.ndarray:
+    """Keys of the non-empty blocks of the sketch for a band, in the order common to all documents."""
     h = mixed(hashes ^ np.uint64(0x5851F42D4C957F2D + band))
-    if band:
-        block = h % np.uint64(FIRST_BAND * 4 ** band)
-        order = np.argsort(block, kind="stable")
-        first = np.flatnonzero(np.concatenate([[True], np.diff(block[order]) != 0]))
-        content = np.bitwise_xor.reduceat(mixed(h[order] + np.uint64(band)), first)
-        h = mixed(content ^ mixed(block[order][first] + np.uint64(1)))
-    else:
-        h = np.sort(h)
-    return h[: slack(len(hashes), percent) + spare(len(hashes))]
+    if not band:
+        return np.sort(h)
+    block = h % np.uint64(FIRST_BAND * 4 ** band)
+    order = np.argsort(block, kind="stable")
+    first = np.flatnonzero(np.concatenate([[True], np.diff(block[order]) != 0]))
+    content = np.bitwise_xor.reduceat(mixed(h[order] + np.uint64(band)), first)
+    return mixed(content ^ mixed(block[order][first] + np.uint64(1)))
 
 
 def bit_sketch(hashes: np.ndarray) -> np.ndarray:
@@ -113,14 +113,58 @@ def _sets(docs: DataFrame, size: int, percent: int) -> DataFrame:
     return docs.withColumn("_set", digest("_text")).select("_id", "_text", "_set.*")
 
 
-def _distance(a: str, b: str) -> Column:
-    """Hamming distance of the bit sketches in columns ``a`` and ``b``."""
-    return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+def _leading(batches: Iterator[pd.DataFrame], size: int, percent: int) -> Iterator[pd.DataFrame]:
+    """(id, need, key) of the first D + r blocks of each text in its bands."""
+    hasher = WordHasher(SPACED_WORDS)
+    for batch in batches:
+        for lo in range(0, len(batch), CHUNK):
+            part = batch.iloc[lo:lo + CHUNK]
+            ids, need, keys = [], [], []
+            for key, value in zip(part["_id"], part["_text"]):
+                s = shingles(hasher(value.encode("utf-8", "surrogatepass")), size)
+                for band in bands(len(s), percent) if len(s) else []:
+                    k = blocks(s, band)[: slack(len(s), percent) + spare(len(s))]
+                    ids.append(np.full(len(k), key))
+                    need.append(np.full(len(k), needed(len(s), percent), np.int32))
+                    keys.append(k)
+            if ids:
+                yield pd.DataFrame({"id": np.concatenate(ids), "need": np.concatenate(need), "key": np.concatenate(keys).view(np.int64)})
+
+
+def _hashed(batches: Iterator[pd.DataFrame], size: int) -> Iterator[pd.DataFrame]:
+    """(id, n, hashes, bits) of each text."""
+    hasher = WordHasher(SPACED_WORDS)
+    for batch in batches:
+        for lo in range(0, len(batch), CHUNK):
+            part = batch.iloc[lo:lo + CHUNK]
+            found = [shingles(hasher(t.encode("utf-8", "surrogatepass")), size) for t in part["_text"]]
+            yield pd.DataFrame({"id": part["_id"].to_numpy(), "n": [len(s) for s in found], "hashes": [s.tobytes() for s in found],
+                                "bits": [bit_sketch(s) for s in found]})
+
+
+def _all_blocks(batches: Iterator[pd.DataFrame], percent: int) -> Iterator[pd.DataFrame]:
+    """(id, band, need, key) of all blocks: of N blocks, at least N - D are equal to a partner's."""
+    for batch in batches:
+        for lo in range(0, len(batch), CHUNK):
+            rows = []
+            for key, value in zip(batch["id"].iloc[lo:lo + CHUNK], batch["hashes"].iloc[lo:lo + CHUNK]):
+                s = np.frombuffer(value, np.uint64)
+                for band in bands(len(s), percent):
+                    k = blocks(s, band)
+                    rows.append((np.full(len(k), key), np.full(len(k), band, np.int32),
+                                 np.full(len(k), max(1, len(k) - slack(len(s), percent)), np.int32), k.view(np.int64)))
+            if rows:
+                yield pd.DataFrame(dict(zip(("id", "band", "need", "key"), map(np.concatenate, zip(*rows)))))
+
+
+def _renamed(df: DataFrame, prefix: str) -> DataFrame:
+    return df.toDF(*(prefix + c for c in df.columns))
 
 
-def _possible(n: str, m: str, percent: int) -> Column:
-    """Largest difference of sets of these sizes that are similar enough."""
-    return F.floor((F.col(n) + F.col(m)) * (100 - percent) / F.lit(100 + percent))
+def _near(x: str, y: str, percent: int) -> Column:
+    """Whether the bit sketches are no farther apart than sets of these sizes may be."""
+    distance = sum((F.bit_count(F.col(f"{x}bit{i}").bitwiseXOR(F.col(f"{y}bit{i}"))) for i in range(SKETCH_WORDS)), F.lit(0))
+    return distance * (100 + percent) <= (F.col(f"{x}n") + F.col(f"{y}n")) * (100 - percent)
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -154,68 +198,46 @@ def jaccard_classes(docs: DataFrame, text: str = "text", row_id: str = "doc_id",
     rows = docs.select(F.col(row_id).alias("_id"), F.col(text).alias("_text"))
     digests = written(_sets(rows, size, percent).drop("_text"), "set_digests")
     # Equal sets are one: the smallest id stands for them.
-    same = written(digests.where("n > 0").groupBy("n", "hi", "lo").agg(F.min("_id").alias("id")).where("id is not null"), "set_classes")
-    stands = digests.join(same.select(F.col("n").alias("n"), "hi", "lo", "id"), ["n", "hi", "lo"], "left")
-    keepers = same.select("id")
-
-    def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hasher = WordHasher(SPACED_WORDS)
-        for batch in batches:
-            for lo in range(0, len(batch), CHUNK):
-                part = batch.iloc[lo:lo + CHUNK]
-                ids, need, keys = [], [], []
-                for key, value in zip(part["_id"], part["_text"]):
-                    s = shingles(hasher(value.encode("utf-8", "surrogatepass")), size)
-                    for band in bands(len(s), percent) if len(s) else []:
-                        k = blocks(s, band, percent)
-                        ids.append(np.full(len(k), key))
-                        need.append(np.full(len(k), needed(len(s), percent), np.int32))
-                        keys.append(k)
-                if ids:
-                    yield pd.DataFrame({"id": np.concatenate(ids), "need": np.concatenate(need), "key": np.concatenate(keys).view(np.int64)})
-
-    # One row per class goes on; rows repeating the keeper's id are reduced by distinct (id, key) below.
-    reps = rows.join(keepers, F.col("_id") == F.col("id"), "left_semi").where(F.col("_text").isNotNull())
-    keyed = reps.mapInPandas(emit, f"id {id_type}, need int, key long")
-    by_key, by_id = Window.partitionBy("key"), Window.partitionBy("id")
-    shared = (keyed.withColumn("others", F.count("*").over(by_key)).where("others > 1").select("id", "need", "key"))
-    likely = written(shared.withColumn("met", F.count("*").over(by_id)).where("met >= need").select("id", "need", "key"), "shared_blocks")
-    counted = likely.withColumn("others", F.count("*").over(by_key)).where("others > 1")
-    ranked = (counted.withColumn("met", F.count("*").over(by_id))
-              .withColumn("rank", F.row_number().over(by_id.orderBy("others", "key"))))
-    prefix = written(ranked.where("rank <= met - need + 1").select("id", "key").distinct(), "prefix_blocks")
-
-    def hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hasher = WordHasher(SPACED_WORDS)
-        for batch in batches:
-            sets_ = [shingles(hasher(t.encode("utf-8", "surrogatepass")), size) for t in batch["_text"]]
-            yield pd.DataFrame({"id": batch["_id"], "n": [len(s) for s in sets_], "hashes": [s.tobytes() for s in sets_],
-                                "bits": [bit_sketch(s) for s in sets_]})
-
-    wanted = prefix.select("id").distinct()
-    sets = written(rows.join(wanted, F.col("_id") == F.col("id"), "left_semi").where(F.col("_text").isNotNull())
-                   .mapInPandas(hashes, f"id {id_type}, n long, hashes binary, bits array<long>").dropDuplicates(["id"]), "sets")
-    info = sets.select("id", "n", "bits")
-
-    def near(pairs: DataFrame) -> DataFrame:
-        """The distinct pairs (a, b) that sizes and bit sketches allow."""
-        both = (pairs.join(info.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("bits").alias("xa")), "a")
-                .join(info.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("xb")), "b"))
-        return both.where(_distance("xa", "xb") <= _possible("na", "nb", percent)).select("a", "b")
+    same = digests.where("n > 0").groupBy("n", "hi", "lo").agg(F.min("_id").alias("id")).where("id is not null")
+    stands = written(digests.join(same, ["n", "hi", "lo"], "left").select("_id", "n", "id"), "set_classes")
+    silent = written(stands.where("id is null or _id is null or _id <> id").select("_id").distinct(), "not_standing")
+
+    # First look: the leading blocks of all that stand for a set.
+    look = (rows.where(F.col("_text").isNotNull() & F.col("_id").isNotNull()).join(silent, "_id", "left_anti")
+            .mapInPandas(lambda batches: _leading(batches, size, percent), f"id {id_type}, need int, key long"))
+    by_key, by_id, by_band = Window.partitionBy("key"), Window.partitionBy("id"), Window.partitionBy("id", "band")
+    met = look.withColumn("others", F.count("*").over(by_key)).where("others > 1").select("id", "need")
+    likely = written(met.groupBy("id", "need").count().where("count >= need").select("id"), "likely")
+
+    # Second look: the sets and all blocks of the few that are left.
+    sets = written(rows.join(likely, F.col("_id") == F.col("id"), "left_semi").where(F.col("_text").isNotNull())
+                   .mapInPandas(lambda batches: _hashed(batches, size), f"id {id_type}, n long, hashes binary, bits array<long>")
+                   .dropDuplicates(["id"]), "sets")
+    every = sets.select("id", "hashes").mapInPandas(lambda batches: _all_blocks(batches, percent), f"id {id_type}, band int, need int, key long")
+    shared = (every.withColumn("others", F.count("*").over(by_key)).where("others > 1").drop("others")
+              .withColumn("met", F.count("*").over(by_band)).where("met >= need").drop("met"))
+    ranked = (shared.withColumn("others", F.count("*").over(by_key)).where("others > 1")
+              .withColumn("met", F.count("*").over(by_band))
+              .withColumn("rank", F.row_number().over(by_band.orderBy("others", "key"))))
+    prefix = written(ranked.where("rank <= met - need + 1").select("id", "key"), "rarest_blocks")
+    info = sets.select("id", "n", *(F.col("bits")[i].alias(f"bit{i}") for i in range(SKETCH_WORDS)))
 
     first = prefix.withColumn("a", F.min("id").over(by_key)).where("id > a").select("a", F.col("id").alias("b")).distinct()
-    stars = _verified(near(first), sets, percent)
+    near = (first.join(_renamed(info, "x_"), F.col("a") == F.col("x_id")).join(_renamed(info, "y_"), F.col("b") == F.col("y_id"))
+            .where(_near("x_", "y_", percent)).select("a", "b"))
+    stars = _verified(near, sets, percent)
     label = components(stars)
 
     # Blocks whose holders are not yet one class: those outside the first holder's class meet all of other classes.
     held = cut(prefix.join(label, "id", "left").select("key", "id", F.coalesce("component", "id").alias("c"))
                .withColumn("lead", F.min(F.struct("id", "c")).over(by_key)["c"])
-               .withColumn("classes", F.max(F.col("c") != F.col("lead")).over(by_key)).where("classes").drop("classes"))
-    odd = held.where("c <> lead").select("key", F.col("id").alias("x"), F.col("c").alias("cx"))
-    rest = (odd.join(held.select("key", F.col("id").alias("y"), F.col("c").alias("cy")), "key").where("cx <> cy")
-            .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+               .withColumn("open", F.max(F.col("c") != F.col("lead")).over(by_key)).where("open").drop("open"))
+    full = held.join(info, "id")
+    odd = _renamed(full.where("c <> lead").drop("lead"), "x_")
+    rest = (odd.join(_renamed(full.drop("lead"), "y_"), (F.col("x_key") == F.col("y_key")) & (F.col("x_c") != F.col("y_c")) & _near("x_", "y_", percent))
+            .select(F.least("x_id", "y_id").alias("a"), F.greatest("x_id", "y_id").alias("b")).distinct()
             .join(first, ["a", "b"], "left_anti"))
-    links = stars.unionByName(_verified(near(rest), sets, percent))
+    links = stars.unionByName(_verified(rest, sets, percent))
     final = components(links).withColumnRenamed("id", "member")
     return (stands.join(final, F.col("id") == F.col("member"), "left")
             .select(F.col("_id").alias(row_id), F.col("n").alias("n_shingles"),
