@@ -98,11 +98,10 @@ def sorted_groups(batches: Iterator[pd.DataFrame], key: str) -> Iterator[list[pd
         if batch.empty:
             continue
         keys = batch[key]
-        new = (keys != keys.shift()) & ~(keys.isna() & keys.shift().isna())
-        first = np.flatnonzero(new.to_numpy())
-        parts = [batch.iloc[i:j] for i, j in zip(first, [*first[1:], len(batch)])] if len(first) else [batch]
-        if first[0:1].tolist() != [0]:
-            parts = [batch]
+        new = ((keys != keys.shift()) & ~(keys.isna() & keys.shift().isna())).to_numpy()
+        new[0] = True
+        first = np.flatnonzero(new)
+        parts = [batch.iloc[i:j] for i, j in zip(first, [*first[1:], len(batch)])]
         if held and same(held[0][key].iloc[0], parts[0][key].iloc[0]):
             held.append(parts.pop(0))
         if parts:
