@@ -41,12 +41,20 @@ MARGIN = 1e-4
 
 def _unit(embedding: Column) -> Column:
     """The vector scaled to length 1 in double precision; null where it has no direction."""
-    x = F.transform(embedding, lambda v: v.cast("double"))
-    top = F.array_max(F.transform(x, F.abs))
-    good = (F.size(embedding) > 0) & F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))) & (top > 0)
-    scaled = F.transform(x, lambda v: v / top)
-    norm = F.sqrt(F.aggregate(scaled, F.lit(0.0), lambda s, v: s + v * v))
-    return F.when(good, F.transform(scaled, lambda v: v / norm + F.lit(0.0)))
+    @F.pandas_udf("array<double>")
+    def unit(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            out = []
+            for value in batch:
+                x = np.asarray(() if value is None else value, np.float64)  # null components become NaN
+                if len(x) and np.isfinite(x).all() and x.any():
+                    x = x / np.abs(x).max()
+                    out.append(x / np.sqrt(x @ x) + 0.0)
+                else:
+                    out.append(None)
+            yield pd.Series(out, dtype=object)
+
+    return unit(embedding)
 
 
 def _vectors(column: pd.Series, kind: type = np.float32) -> np.ndarray:
