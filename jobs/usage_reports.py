@@ -29,7 +29,7 @@ def reports(spark, sf_dir: str, as_of: dt.datetime, days: int) -> dict:
         "warehouse_load": R.warehouse_load(L.load, **kw),
         "cost_by_workload_path": R.cost_by_workload_path(L.qh, L.meter, L.params, **kw),
         "query_performance": R.query_performance(L.qh, **kw),
-        "daily_credit_trend": R.daily_credit_trend(L.meter, L.params, as_of=as_of, days=min(days, 30)),
+        "daily_credit_trend": R.daily_credit_trend(L.meter, L.params, as_of=as_of, days=max(days, 30)),
         "dashboard_kpis": D.dashboard_kpis(L.meter, L.params, **kw),
         "workload_costs": D.workload_costs(L.qh, L.meter, L.params, **kw),
         "path_costs": D.path_costs(L.qh, L.meter, L.params, **kw),

@@ -83,9 +83,9 @@ def cost_breakdown(qh, meter, params, *, wh=P.WAREHOUSE, as_of=P.AS_OF, days=7)
 
 
 def spend_stats(meter, params, *, wh=P.WAREHOUSE, as_of=P.AS_OF, days=7) -> DataFrame:
-    """Mean and peak daily cost, and mean x 30 (window capped at 30 days)."""
+    """Mean and peak daily cost over the window, and mean x 30."""
     price = param_value(params, default=P.PARAM_DEFAULTS[P.DOLLARS_PER_CREDIT])
-    daily = (meter_window(meter, wh=wh, as_of=as_of, days=min(days, 30))
+    daily = (meter_window(meter, wh=wh, as_of=as_of, days=days)
              .groupBy(F.col("start_time").cast("date").alias("date"))
              .agg(F.sum("credits_used").alias("credits")))
     mean = F.sum("credits").cast("double") / F.nullif(F.count(F.lit(1)), F.lit(0))
@@ -156,7 +156,7 @@ def _utilisation(meter, *, wh, as_of, days, mode: str) -> Column:
 
 
 def recommendation_metrics(qh, meter, load, *, wh=P.WAREHOUSE, as_of=P.AS_OF, days=7,
-                           utilisation_mode: str = "reference") -> DataFrame:
+                           utilisation_mode: str = "calendar") -> DataFrame:
     """One row with every figure the rules need (each a scalar sub-query)."""
     perf = query_performance(qh, wh=wh, as_of=as_of, days=days)
     cost = cost_by_workload_dash(qh, meter, wh=wh, as_of=as_of, days=days)
@@ -179,7 +179,7 @@ def _fmt1(c: Column) -> Column:
 
 
 def recommendations(qh, meter, load, *, wh=P.WAREHOUSE, as_of=P.AS_OF, days=7,
-                    utilisation_mode: str = "reference") -> DataFrame:
+                    utilisation_mode: str = "calendar") -> DataFrame:
     """The four rules; fired ones only, ordered by priority."""
     m = recommendation_metrics(qh, meter, load, wh=wh, as_of=as_of, days=days, utilisation_mode=utilisation_mode)
     rank = dict(P.PRIORITY_RANK)

@@ -127,8 +127,7 @@ SELECT priority, category, issue, recommendation, priority_rank FROM (
     "dash": DASH_COST,
     "metrics": f"""
 SELECT (SELECT max(avg_queued_load) FROM lh WHERE warehouse_name = {WH} AND start_time >= {since(7)}) AS max_queued,
-  (SELECT 100.0::double * count(DISTINCT date_trunc('hour', start_time))
-          / nullif(cast(count(DISTINCT date_trunc('hour', start_time)) AS double), 0) FROM ({_mwin(7)}) m)
+  (SELECT 100.0::double * count(DISTINCT date_trunc('hour', start_time)) / {7 * 24}.0::double FROM ({_mwin(7)}) m)
     AS utilisation_pct,
   (SELECT count(*) FILTER (WHERE execution_time_seconds > {P.SLOW_QUERY_SECONDS}) FROM qp) AS slow_queries,
   (SELECT cast(sum(CASE WHEN workload_type = 'UNTAGGED' THEN total_credits END) AS double) FROM dash) AS untagged_credits,
@@ -176,7 +175,7 @@ SELECT '{P.BUDGET_NAME}' AS monitor_name, {P.MONTHLY_QUOTA}::double AS credit_qu
 FROM (SELECT coalesce(cast(sum(credits_used) AS double), 0.0::double) AS used FROM mh
       WHERE warehouse_name = {WH} AND start_time >= TIMESTAMP '2024-01-01 00:00:00'
         AND start_time < TIMESTAMP '2024-02-01 00:00:00') u""", "mh"))(
-    logs(None, lambda L: B.budget_status(L.meter)))
+    logs(None, lambda L: B.budget_status(L.meter), start=P.AS_OF.replace(day=1, hour=0, minute=0, second=0, microsecond=0)))
 
 _CROSS = "\nUNION ALL ".join(
     f"SELECT '{P.BUDGET_NAME}' AS resource_monitor_name, {t} AS threshold, '{a}' AS trigger_type, t{t} AS trigger_time "

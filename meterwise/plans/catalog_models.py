@@ -43,9 +43,9 @@ FROM scored"""}))(lambda spark, d: generate_weekly(tracks_from_parts(read_table(
 
 register("stream_hourly_usage", "R1", with_ctes(f"""
 SELECT warehouse_name, workload_type, window_start, window_start + INTERVAL 1 HOUR AS window_end,
-  count(*) AS query_count, cast(sum(total_elapsed_time) AS bigint) AS total_elapsed_ms
+  count(*) AS query_count, cast(sum(total_elapsed_time) AS bigint) AS total_elapsed_ms,
+  window_start + INTERVAL 1 HOUR <= (SELECT max(start_time) FROM qh) - INTERVAL 45 MINUTE AS closed
 FROM (SELECT *, {O.workload_case()} AS workload_type, date_trunc('hour', start_time) AS window_start FROM qh) q
-WHERE window_start + INTERVAL 1 HOUR <= (SELECT max(start_time) FROM qh) - INTERVAL 45 MINUTE
 GROUP BY warehouse_name, workload_type, window_start""", "qh"))(lambda spark, d: hourly_usage_stream(spark, d))
 
 register("stream_incremental_metering", "R2 S9", with_ctes("""

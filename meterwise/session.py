@@ -38,18 +38,28 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
     return spark
 
 
+def is_local(master: str) -> bool:
+    """Whether driver and executors are one process (not ``local-cluster``)."""
+    return master == "local" or master.startswith("local[")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
     ``spark.checkpoint.dir`` (a startup setting) is honoured as Spark applies
-    it; a private folder is set on the SparkContext only when nothing is
-    configured (local tests).
+    it; a private folder is set on the SparkContext only in local mode and when
+    nothing is configured (tests).  On a cluster an unset folder is an error: a
+    folder of one machine is not seen by the others.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="meterwise-ckpt-")
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured:
+        if not is_local(sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        configured = tempfile.mkdtemp(prefix="meterwise-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,11 +30,10 @@ def _is_path(name: str) -> bool:
 def ensure_table(spark: SparkSession, name: str, schema: T.StructType) -> DataFrame:
     """Create an empty table with ``schema`` unless it already exists."""
     if _is_path(name):
-        try:
-            return spark.read.parquet(name)
-        except Exception:  # noqa: BLE001 - missing folder
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+        if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
             spark.createDataFrame([], schema).write.mode("ignore").parquet(name)
-            return spark.read.parquet(name)
+        return spark.read.parquet(name)
     if not spark.catalog.tableExists(name):
         spark.createDataFrame([], schema).write.format("parquet").saveAsTable(name)
     return spark.table(name)
@@ -94,15 +93,18 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], *,
     """Keyed MERGE: update matched rows (and their stamp), insert the rest.
 
     Expressed as a full outer join on the keys; the result is a DataFrame to be
-    written with :func:`staged_replace`.  Source keys must be unique.
+    written with :func:`staged_replace`.  A key that repeats in the source fails
+    the merge; null keys match null keys.
     """
     keys = list(keys)
     value_cols = [c for c in target.columns if c not in keys and c != stamp_col]
     t = target.alias("t")
-    s = source.alias("s")
-    cond = [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys]
+    once = F.count(F.lit(1)).over(Window.partitionBy(*keys)) == 1
+    s = (source.withColumn("_once", F.when(once, F.lit(True)).otherwise(F.raise_error(F.lit("merge: a source key repeats")).cast("boolean")))
+         .alias("s"))
+    cond = [F.col(f"t.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys]
     joined = t.join(s, cond, "full_outer")
-    matched = F.col(f"s.{keys[0]}").isNotNull()
+    matched = F.coalesce(F.col("s._once"), F.lit(False))
     out = [F.coalesce(F.col(f"s.{k}"), F.col(f"t.{k}")).alias(k) for k in keys]
     for c in value_cols:
         if c in source.columns:

@@ -79,11 +79,11 @@ def weekly_input(spark: SparkSession, sf_dir: str, region: str | None = None) ->
     elif region == GLOBAL:
         # Global = sum of the regional weekly totals; each regional total is cast
         # to bigint first, as in the two-level definition.
-        regional = rows.groupBy("r_name", "p_brand", "week_ending").agg(F.sum("l_quantity").cast("bigint").alias("q"))
+        regional = rows.groupBy("r_name", "p_brand", "week_ending").agg(F.round(F.sum("l_quantity")).cast("bigint").alias("q"))
         agg = (regional.groupBy("p_brand", "week_ending").agg(F.sum("q").alias("q"))
                .select(F.lit(GLOBAL).alias("region"), "p_brand", "week_ending", "q"))
     else:
-        regional = rows.groupBy("r_name", "p_brand", "week_ending").agg(F.sum("l_quantity").cast("bigint").alias("q"))
+        regional = rows.groupBy("r_name", "p_brand", "week_ending").agg(F.round(F.sum("l_quantity")).cast("bigint").alias("q"))
         agg = (regional.groupingSets([["r_name", "p_brand", "week_ending"], ["p_brand", "week_ending"]],
                                      "r_name", "p_brand", "week_ending")
                .agg(F.sum("q").alias("q"))

@@ -1,15 +1,16 @@
 """Incremental usage roll-ups with Structured Streaming.
 
-R1 ``hourly_usage_stream``: query log rows -> event-time watermark (the log
-    latency, 45 minutes) -> tumbling one-hour windows per warehouse and
-    workload -> append to parquet.  A window is written once, when the
-    watermark passes its end; state for closed windows is dropped, so state
-    size is bounded by the open windows, not by history.
+R1 ``hourly_usage_stream``: query log rows -> one-hour windows per warehouse
+    and workload, merged by key batch by batch, so that a late row updates its
+    window whatever the number and order of files.  The log latency only
+    decides the ``closed`` flag of a window; no row is dropped for lateness.
 R2 ``incremental_metering``: each micro-batch is aggregated per (warehouse,
-    hour) and merged into the running table with ``foreachBatch``.  Every
-    batch writes a new version folder computed from the previous version,
-    so a replayed batch (same epoch id) rewrites the same version: the sink
-    is idempotent and survives executor or driver loss via the checkpoint.
+    hour) and merged into the running table with ``foreachBatch``.
+
+A batch writes only the days it touches, as ``v=<epoch>/day=<day>`` computed
+from the newest earlier version of those days; the table is the newest version
+of each day.  A replayed batch (same epoch id) rewrites the same version: the
+sink is idempotent and survives executor or driver loss via the checkpoint.
 
 Checkpoints and outputs live under ``spark.checkpoint.dir`` (shared storage).
 """
@@ -27,7 +28,7 @@ from meterwise.sources.tables import DECLARED, table_path
 LOG_LATENCY = "45 minutes"
 # Files per micro-batch: ``availableNow`` still processes everything, but in
 # bounded batches, so a back-fill over a long history never forms one giant
-# batch (state and shuffle sizes stay per-batch).
+# batch.  Batches are merged by key, so the limit cannot change a result.
 MAX_FILES_PER_TRIGGER = 256
 
 
@@ -42,40 +43,33 @@ def events_stream(spark: SparkSession, sf_dir: str,
     return reader.parquet(path[:-1] + "[" + path[-1] + "]")
 
 
-def hourly_usage(qh: DataFrame, *, watermark: str | None = LOG_LATENCY) -> DataFrame:
-    """Queries and elapsed milliseconds per (warehouse, workload, hour window)."""
-    df = qh.withColumn("event_time", F.col("start_time").cast("timestamp"))
-    if watermark is not None:
-        df = df.withWatermark("event_time", watermark)
-    return (df.groupBy(F.window("event_time", "1 hour").alias("w"), "warehouse_name",
-                       workload_type().alias("workload_type"))
-            .agg(F.count(F.lit(1)).alias("query_count"),
-                 F.sum("total_elapsed_time").alias("total_elapsed_ms")))
-
+def hourly_usage(qh: DataFrame) -> DataFrame:
+    """Queries, elapsed milliseconds and last query start per (warehouse, workload, hour)."""
+    return (qh.groupBy("warehouse_name", workload_type().alias("workload_type"),
+                       F.date_trunc("hour", "start_time").cast("timestamp_ntz").alias("window_start"))
+            .agg(F.count(F.lit(1)).alias("query_count"), F.sum("total_elapsed_time").alias("total_elapsed_ms"),
+                 F.max("start_time").alias("last_start")))
 
-def _flatten(df: DataFrame) -> DataFrame:
-    return df.select("warehouse_name", "workload_type",
-                     F.col("w.start").cast("timestamp_ntz").alias("window_start"),
-                     F.col("w.end").cast("timestamp_ntz").alias("window_end"),
-                     "query_count", "total_elapsed_ms")
 
+def closed_windows(hours: DataFrame, latency: str = LOG_LATENCY) -> DataFrame:
+    """Add ``window_end`` and ``closed``: whether the log has passed the window's end by its latency."""
+    seen = hours.agg(F.max("last_start")).scalar()
+    end = F.col("window_start") + F.expr("INTERVAL 1 HOUR")
+    return hours.select("warehouse_name", "workload_type", "window_start", end.alias("window_end"), "query_count",
+                        "total_elapsed_ms", (end <= seen - F.expr(f"INTERVAL {latency}")).alias("closed"))
 
-def hourly_usage_stream(spark: SparkSession, sf_dir: str, *, out: str | None = None,
-                        checkpoint: str | None = None) -> DataFrame:
-    """Run the watermarked roll-up to completion of the available files.
 
-    Returns the written table.  Only windows closed by the watermark are
-    written (append mode); the batch twin restricted to closed windows is
-    ``hourly_usage`` over the same rows.
-    """
-    out = out or scratch_path(spark, "hourly_usage")
-    checkpoint = checkpoint or scratch_path(spark, "hourly_usage_ckpt")
-    stream = _flatten(hourly_usage(query_history(events_stream(spark, sf_dir))))
-    q = (stream.writeStream.outputMode("append").format("parquet")
-         .option("path", out).option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    return spark.read.parquet(out)
+def hourly_usage_stream(spark: SparkSession, sf_dir: str, *, out: str | None = None, checkpoint: str | None = None,
+                        source: DataFrame | None = None,
+                        max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER) -> DataFrame:
+    """Merge the available files into the hourly table; every window, with its ``closed`` flag."""
+    stream = source if source is not None else events_stream(spark, sf_dir, max_files_per_trigger)
+    hours = _merge_stream(spark, stream, lambda batch: hourly_usage(query_history(batch)),
+                          ["warehouse_name", "workload_type", "window_start"],
+                          ["query_count", "total_elapsed_ms"], day="window_start", latest=["last_start"],
+                          base=out or scratch_path(spark, "hourly_usage"),
+                          checkpoint=checkpoint or scratch_path(spark, "hourly_usage_ckpt"))
+    return closed_windows(hours)
 
 
 # ----------------------------------------------------------------- R2 -------
@@ -86,31 +80,32 @@ def _hadoop_fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def _versions(spark: SparkSession, base: str) -> list[int]:
-    """Committed version numbers under ``base`` (folders ``v=N`` with a _SUCCESS marker)."""
+def _versions(spark: SparkSession, base: str) -> dict[str, list[int]]:
+    """Committed versions (folders ``v=N`` with a _SUCCESS marker) that hold each day, in order."""
     fs, p = _hadoop_fs(spark, base)
-    if not fs.exists(p):
-        return []
-    out = []
-    for st in fs.listStatus(p):
+    found: dict[str, list[int]] = {}
+    for st in fs.listStatus(p) if fs.exists(p) else []:
         name = st.getPath().getName()
         if name.startswith("v=") and fs.exists(st.getPath().suffix("/_SUCCESS")):
-            out.append(int(name[2:]))
-    return out
+            for day in fs.listStatus(st.getPath()):
+                if day.getPath().getName().startswith("day="):
+                    found.setdefault(day.getPath().getName()[4:], []).append(int(name[2:]))
+    return {day: sorted(v) for day, v in found.items()}
 
 
-def latest_version(spark: SparkSession, base: str) -> str | None:
-    """Folder of the newest committed version under ``base`` (None if none)."""
-    versions = _versions(spark, base)
-    return f"{base}/v={max(versions)}" if versions else None
+def _newest(spark: SparkSession, base: str, schema, days: set[str] | None = None, before: int | None = None) -> DataFrame:
+    """The newest version (below ``before``) of the given days, or of all."""
+    paths = [f"{base}/v={max(old)}/day={day}" for day, versions in sorted(_versions(spark, base).items())
+             if (days is None or day in days) and (old := [v for v in versions if before is None or v < before])]
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
 
 
-def _drop_versions_before(spark: SparkSession, base: str, keep_from: int) -> None:
+def _drop_replaced(spark: SparkSession, base: str) -> None:
+    """Delete versions of a day other than its newest and the one that was built from (for a replay)."""
     fs, _ = _hadoop_fs(spark, base)
-    jvm = spark.sparkContext._jvm
-    for v in _versions(spark, base):
-        if v < keep_from:
-            fs.delete(jvm.org.apache.hadoop.fs.Path(f"{base}/v={v}"), True)
+    for day, versions in _versions(spark, base).items():
+        for v in versions[:-2]:
+            fs.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{base}/v={v}/day={day}"), True)
 
 
 def _batch_hours(batch: DataFrame) -> DataFrame:
@@ -119,36 +114,36 @@ def _batch_hours(batch: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("query_count"), F.sum("total_elapsed_time").alias("total_elapsed_ms")))
 
 
-def merge_sum(current: DataFrame | None, delta: DataFrame, keys, measures) -> DataFrame:
-    """Keyed merge that adds the batch's measures to the stored ones."""
-    if current is None:
-        return delta
-    joined = current.alias("c").join(delta.alias("d"), list(keys), "full_outer")
-    return joined.select(*keys, *[(F.coalesce(F.col(f"c.{m}"), F.lit(0)) + F.coalesce(F.col(f"d.{m}"), F.lit(0)))
-                                  .alias(m) for m in measures])
+def merge_sum(current: DataFrame, delta: DataFrame, keys, measures, latest=()) -> DataFrame:
+    """Keyed merge: measures add up, the columns in ``latest`` take the greater value."""
+    sums = [F.sum(m).cast(delta.schema[m].dataType).alias(m) for m in measures]
+    return current.unionByName(delta).groupBy(*keys).agg(*sums, *(F.max(c).alias(c) for c in latest))
 
 
 def _merge_stream(spark: SparkSession, stream: DataFrame, batch_agg, keys, measures, *, base: str,
-                  checkpoint: str) -> DataFrame:
+                  checkpoint: str, day: str, latest=()) -> DataFrame:
     """Run ``stream`` to the end of the available files, merging each batch into ``base``.
 
-    Every micro-batch writes version ``v=<epoch>`` = previous version + the
-    batch's aggregate (``merge_sum``), so a replayed epoch rewrites the same
-    version from the same input.  Returns the newest version.
+    ``day`` is the key column whose date the table is stored by.  The days of a
+    batch reach the driver (a bounded list); only they are read and rewritten.
     """
+    schemas = []
+
     def merge(batch: DataFrame, epoch_id: int) -> None:
-        target = f"{base}/v={epoch_id}"
-        prev_versions = [v for v in _versions(spark, base) if v < epoch_id]
-        prev = spark.read.parquet(f"{base}/v={max(prev_versions)}") if prev_versions else None
-        merge_sum(prev, batch_agg(batch), keys, measures).write.mode("overwrite").parquet(target)
-        if prev_versions:
-            # Keep the version this one was built from, for a replay of this epoch.
-            _drop_versions_before(spark, base, max(prev_versions))
+        delta = batch_agg(batch).persist()
+        schemas.append(delta.schema)
+        days = {str(r[0]) for r in delta.select(F.to_date(day)).distinct().collect()}
+        current = _newest(spark, base, delta.schema, days, epoch_id)
+        (merge_sum(current, delta, keys, measures, latest).withColumn("day", F.to_date(day))
+         .write.mode("overwrite").partitionBy("day").parquet(f"{base}/v={epoch_id}"))
+        delta.unpersist()
+        _drop_replaced(spark, base)
 
     q = (stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(latest_version(spark, base))
+    schema = schemas[-1] if schemas else batch_agg(spark.createDataFrame([], stream.schema)).schema
+    return _newest(spark, base, schema)
 
 
 def incremental_metering(spark: SparkSession, sf_dir: str, *, base: str | None = None,
@@ -157,7 +152,7 @@ def incremental_metering(spark: SparkSession, sf_dir: str, *, base: str | None =
     """R2: keep a per-(warehouse, hour) usage table current, batch by batch."""
     stream = source if source is not None else events_stream(spark, sf_dir, max_files_per_trigger)
     table = _merge_stream(spark, stream, _batch_hours, ["warehouse_name", "hour"],
-                          ["query_count", "total_elapsed_ms"],
+                          ["query_count", "total_elapsed_ms"], day="hour",
                           base=base or scratch_path(spark, "metering_incremental"),
                           checkpoint=checkpoint or scratch_path(spark, "metering_incremental_ckpt"))
     return table.withColumn(
@@ -190,7 +185,7 @@ def incremental_weekly_input(spark: SparkSession, sf_dir: str, *, base: str | No
     def batch_agg(batch: DataFrame) -> DataFrame:
         rows = dims(batch)
         regional = (rows.groupBy("r_name", "p_brand", "week_ending")
-                    .agg(F.sum("l_quantity").cast("bigint").alias("q")))
+                    .agg(F.round(F.sum("l_quantity")).cast("bigint").alias("q")))
         both = (regional.groupingSets([["r_name", "p_brand", "week_ending"], ["p_brand", "week_ending"]],
                                       "r_name", "p_brand", "week_ending")
                 .agg(F.sum("q").alias("streams"))
@@ -198,7 +193,7 @@ def incremental_weekly_input(spark: SparkSession, sf_dir: str, *, base: str | No
         return both
 
     stream = source if source is not None else lineitem_stream(spark, sf_dir, max_files_per_trigger)
-    table = _merge_stream(spark, stream, batch_agg, ["region", "p_brand", "week_ending"], ["streams"],
+    table = _merge_stream(spark, stream, batch_agg, ["region", "p_brand", "week_ending"], ["streams"], day="week_ending",
                           base=base or scratch_path(spark, "weekly_incremental"),
                           checkpoint=checkpoint or scratch_path(spark, "weekly_incremental_ckpt"))
     brand = F.col("p_brand")

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from meterwise.schemas import WEEKLY_INPUT
 from meterwise.session import scratch_path
-from meterwise.sources.sinks import append_table, ensure_table, replace_table, staged_replace
+from meterwise.sources.sinks import append_table, ensure_table, replace_table, staged_replace, upsert
 
 
 def test_table_lifecycle(spark):
@@ -20,3 +21,21 @@ def test_table_lifecycle(spark):
     # The staged copy lets a job overwrite the table it reads.
     out = staged_replace(spark.read.parquet(path).withColumn("streams", F.col("streams") * 2), path)
     assert [r["streams"] for r in out.collect()] == [10, 10]
+
+
+def test_merge_fails_on_a_repeated_source_key_and_matches_nulls(spark):
+    target = spark.createDataFrame([(1, 10), (None, 20)], "k long, v long")
+    source = spark.createDataFrame([(None, 21), (2, 30)], "k long, v long")
+    assert sorted(((r["k"], r["v"]) for r in upsert(target, source, ["k"]).collect()), key=str) == [(1, 10), (2, 30), (None, 21)]
+    with pytest.raises(Exception, match="source key repeats"):
+        upsert(target, source.union(source), ["k"]).collect()
+
+
+def test_cluster_without_shared_folder_is_an_error(monkeypatch):
+    from types import SimpleNamespace
+
+    from meterwise import session
+
+    sc = SimpleNamespace(getCheckpointDir=lambda: None, master="local-cluster[2,1,1024]")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(SimpleNamespace(sparkContext=sc, conf={}))

@@ -2,26 +2,33 @@
 
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from meterwise.session import scratch_path
 from meterwise.sources.logs import query_history
 from meterwise.sources.tables import read_table
-from meterwise.streaming.rollup import hourly_usage, hourly_usage_stream, incremental_metering
+from meterwise.streaming.rollup import closed_windows, hourly_usage, hourly_usage_stream, incremental_metering
 from tests.conftest import SF_SMALL
 from tests.helpers import spark_rows
 
 
-def test_stream_equals_batch_on_closed_windows(spark):
-    streamed = hourly_usage_stream(spark, SF_SMALL)
-    qh = query_history(read_table(spark, SF_SMALL, "events"))
-    max_ts = qh.agg(F.max("start_time")).first()[0]
-    batch = (hourly_usage(qh, watermark=None)
-             .select("warehouse_name", "workload_type",
-                     F.col("w.start").cast("timestamp_ntz").alias("window_start"),
-                     F.col("w.end").cast("timestamp_ntz").alias("window_end"), "query_count", "total_elapsed_ms")
-             .filter(F.col("window_end") <= F.lit(max_ts) - F.expr("INTERVAL 45 MINUTES")))
-    assert spark_rows(streamed) == spark_rows(batch)
+@pytest.mark.parametrize("files", [1, 4, 900])
+def test_hourly_stream_does_not_depend_on_files(spark, files):
+    """The same rows from 1, 4 and 900 files in random order, at the default and at small batch limits."""
+    events = read_table(spark, SF_SMALL, "events")
+    src_dir = scratch_path(spark, "events_files")
+    events.orderBy(F.rand(7)).repartition(files).write.parquet(src_dir)
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", max(1, files // 4)).parquet(src_dir)
+    batch = closed_windows(hourly_usage(query_history(events)))
+    assert spark_rows(hourly_usage_stream(spark, SF_SMALL, source=stream)) == spark_rows(batch)
+
+
+def test_replayed_batch_changes_nothing(spark):
+    """A batch that runs again from an empty stream checkpoint over its own epoch rewrites the same version."""
+    base = scratch_path(spark, "hours")
+    first = spark_rows(hourly_usage_stream(spark, SF_SMALL, out=base))
+    assert spark_rows(hourly_usage_stream(spark, SF_SMALL, out=base)) == first
 
 
 def test_incremental_merge_over_several_batches(spark):
