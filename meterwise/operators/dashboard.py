@@ -105,9 +105,9 @@ def slowest_queries(qh, *, wh=P.WAREHOUSE, as_of=P.AS_OF, days=7, limit=10) -> D
             .select("query_id", "execution_time_seconds", "workload_type"))
 
 
-def workload_perf(qh, *, wh=P.WAREHOUSE, as_of=P.AS_OF, days=7) -> DataFrame:
-    """Mean / median / max seconds, GB and count per workload, over the top-100 list."""
-    return (query_performance(qh, wh=wh, as_of=as_of, days=days)
+def workload_perf(qh, *, wh=P.WAREHOUSE, as_of=P.AS_OF, days=7, limit: int | None = None) -> DataFrame:
+    """Mean / median / max seconds, GB and count per workload, over the window (or its ``limit`` slowest)."""
+    return (query_performance(qh, wh=wh, as_of=as_of, days=days, limit=limit)
             .groupBy("workload_type")
             .agg(F.round(F.avg("execution_time_seconds"), 2).alias("avg_time_s"),
                  F.round(F.median("execution_time_seconds"), 2).alias("median_time_s"),
@@ -116,9 +116,10 @@ def workload_perf(qh, *, wh=P.WAREHOUSE, as_of=P.AS_OF, days=7) -> DataFrame:
                  F.count("query_id").alias("query_count")))
 
 
-def runtime_histogram(qh, *, wh=P.WAREHOUSE, as_of=P.AS_OF, days=7, bins=P.HISTOGRAM_BINS) -> DataFrame:
-    """Equal-width run-time bins (over the list's min..max) per workload."""
-    perf = query_performance(qh, wh=wh, as_of=as_of, days=days)
+def runtime_histogram(qh, *, wh=P.WAREHOUSE, as_of=P.AS_OF, days=7, bins=P.HISTOGRAM_BINS,
+                      limit: int | None = None) -> DataFrame:
+    """Equal-width run-time bins (over min..max) per workload, over the window (or its ``limit`` slowest)."""
+    perf = query_performance(qh, wh=wh, as_of=as_of, days=days, limit=limit)
     lo = perf.select(F.min("execution_time_seconds")).scalar()
     hi = perf.select(F.max("execution_time_seconds")).scalar()
     width = (hi - lo) / F.lit(bins)
@@ -131,8 +132,8 @@ def runtime_histogram(qh, *, wh=P.WAREHOUSE, as_of=P.AS_OF, days=7, bins=P.HISTO
 
 
 def queued_queries(qh, *, wh=P.WAREHOUSE, as_of=P.AS_OF, days=7, limit=10) -> DataFrame:
-    """Queries of the list that queued: the first ten and the total count."""
-    queued = query_performance(qh, wh=wh, as_of=as_of, days=days).filter(F.col("queue_time_seconds") > 0)
+    """Queries of the window that queued: the slowest ten and the total count."""
+    queued = query_performance(qh, wh=wh, as_of=as_of, days=days, limit=None).filter(F.col("queue_time_seconds") > 0)
     total = queued.select(F.count(F.lit(1))).scalar()
     return (queued.orderBy(F.col("execution_time_seconds").desc(), "query_id").limit(limit)
             .select("query_id", "workload_type", "execution_time_seconds", "queue_time_seconds",
@@ -158,7 +159,7 @@ def _utilisation(meter, *, wh, as_of, days, mode: str) -> Column:
 def recommendation_metrics(qh, meter, load, *, wh=P.WAREHOUSE, as_of=P.AS_OF, days=7,
                            utilisation_mode: str = "calendar") -> DataFrame:
     """One row with every figure the rules need (each a scalar sub-query)."""
-    perf = query_performance(qh, wh=wh, as_of=as_of, days=days)
+    perf = query_performance(qh, wh=wh, as_of=as_of, days=days, limit=None)
     cost = cost_by_workload_dash(qh, meter, wh=wh, as_of=as_of, days=days)
     credits = cost.select(F.struct(
         F.sum(F.when(F.col("workload_type") == P.WORKLOAD_DEFAULT, F.col("total_credits"))).cast("double").alias("u"),

@@ -182,12 +182,14 @@ def longest_queries(qh, *, wh=P.WAREHOUSE, as_of=P.AS_OF, days=7, limit=20) -> D
                     "bytes_scanned", "rows_produced"))
 
 
-def query_performance(qh, *, wh=P.WAREHOUSE, as_of=P.AS_OF, days=7, limit=100) -> DataFrame:
-    """A8 dashboard variant: top 100 with GB scanned and a three-class workload."""
+def query_performance(qh, *, wh=P.WAREHOUSE, as_of=P.AS_OF, days=7,
+                      limit: int | None = 100) -> DataFrame:
+    """A8 dashboard variant: the slowest ``limit`` queries with GB scanned and a three-class workload (None: all, unordered)."""
     wl = workload_type(default="OTHER")
-    return (query_window(qh, wh=wh, as_of=as_of, days=days)
-            .orderBy(F.col("total_elapsed_time").desc(), F.col("query_id"))
-            .limit(limit)
+    queries = query_window(qh, wh=wh, as_of=as_of, days=days)
+    if limit is not None:
+        queries = queries.orderBy(F.col("total_elapsed_time").desc(), F.col("query_id")).limit(limit)
+    return (queries
             .select("query_id", "query_tag", "user_name", "start_time",
                     (F.col("total_elapsed_time") / 1000).alias("execution_time_seconds"),
                     (F.col("queued_overload_time") / 1000).alias("queue_time_seconds"),

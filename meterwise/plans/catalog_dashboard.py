@@ -9,7 +9,7 @@ from meterwise.operators import budget as B
 from meterwise.operators import costs as C
 from meterwise.operators import dashboard as D
 from meterwise.plans import oracle as O
-from meterwise.plans.catalog import QUERY_PERFORMANCE_SQL, logs, register
+from meterwise.plans.catalog import QUERY_PERFORMANCE_SQL, QUERY_WINDOW_SQL, _billing_since, logs, register
 from meterwise.plans.oracle import WH, since, with_ctes
 from meterwise.sources.logs import usage_logs
 
@@ -85,7 +85,7 @@ register("workload_perf", "D8", with_ctes("""
 SELECT workload_type, round(avg(execution_time_seconds), 2) AS avg_time_s,
   round(median(execution_time_seconds), 2) AS median_time_s, round(max(execution_time_seconds), 2) AS max_time_s,
   round(sum(gb_scanned), 2) AS total_gb_scanned, count(query_id) AS query_count
-FROM qp GROUP BY workload_type""", "qh", extra={"qp": QUERY_PERFORMANCE_SQL}))(
+FROM qp GROUP BY workload_type""", "qh", extra={"qp": QUERY_WINDOW_SQL}))(
     logs(7, lambda L: D.workload_perf(L.qh)))
 
 register("runtime_histogram", "D9", with_ctes(f"""
@@ -97,14 +97,14 @@ FROM (SELECT q.workload_type, lo, (hi - lo) / {P.HISTOGRAM_BINS} AS w,
                         {P.HISTOGRAM_BINS - 1})
              ELSE 0 END AS int) AS bin
       FROM qp q, (SELECT min(execution_time_seconds) AS lo, max(execution_time_seconds) AS hi FROM qp) mm) b
-GROUP BY workload_type, bin, lo, w""", "qh", extra={"qp": QUERY_PERFORMANCE_SQL}))(
+GROUP BY workload_type, bin, lo, w""", "qh", extra={"qp": QUERY_WINDOW_SQL}))(
     logs(7, lambda L: D.runtime_histogram(L.qh)))
 
 register("queued_queries", "D10", with_ctes("""
 SELECT query_id, workload_type, execution_time_seconds, queue_time_seconds,
   (SELECT count(*) FROM qp WHERE queue_time_seconds > 0) AS queued_count
 FROM qp WHERE queue_time_seconds > 0 ORDER BY execution_time_seconds DESC, query_id LIMIT 10""", "qh",
-    extra={"qp": QUERY_PERFORMANCE_SQL}))(logs(7, lambda L: D.queued_queries(L.qh)))
+    extra={"qp": QUERY_WINDOW_SQL}))(logs(7, lambda L: D.queued_queries(L.qh)))
 
 _FMT = "printf('%.1f', round({x}, 1))"
 register("recommendations", "D11", with_ctes(f"""
@@ -123,7 +123,7 @@ SELECT priority, category, issue, recommendation, priority_rank FROM (
     {_FMT.format(x='untagged_pct')} || '% of credits are untagged',
     'Tag every workload as WORKLOAD:<type>|PATH:<path>.', 2 FROM metrics
 ) r WHERE coalesce(fired, false)""", "attributed", "lh", extra={
-    "qp": QUERY_PERFORMANCE_SQL,
+    "qp": QUERY_WINDOW_SQL,
     "dash": DASH_COST,
     "metrics": f"""
 SELECT (SELECT max(avg_queued_load) FROM lh WHERE warehouse_name = {WH} AND start_time >= {since(7)}) AS max_queued,
@@ -202,7 +202,7 @@ FROM (SELECT size, credits_per_hour, round({_HOURS}, 6) AS runtime_hours
     logs(7, lambda L: C.estimate_scenarios(L.meter, L.params)))
 
 def _preflight(spark, d):
-    week, history = usage_logs(spark, d, 7), usage_logs(spark, d)   # billing spans months
+    week, history = usage_logs(spark, d, 7), usage_logs(spark, d, since=_billing_since())   # billing spans months
     return C.preflight_estimate(week.qh, week.meter, history.billing, week.params)
 
 
