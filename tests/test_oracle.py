@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as E
+from meterwise.plans import registry
 from tests.conftest import SF_SMALL
 from tests.helpers import duck_rows, spark_rows
 
@@ -29,8 +30,8 @@ def test_matches_oracle(spark, duck, name):
 def test_registry_contract():
     qs, ors = E.queries(), E.oracle_sql()
     assert set(ors) <= set(qs)
-    # Everything except the boosted-tree run has an oracle.
-    assert set(qs) - set(ors) == {"gbt_scores"}
+    # Everything in the catalog except the boosted-tree run has an oracle.
+    assert set(registry()) <= set(qs) and set(registry()) - set(ors) == {"gbt_scores"}
 
 
 def test_entry_smoke(spark):

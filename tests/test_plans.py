@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as E
 from meterwise.operators.features import training_features
+from meterwise.plans import registry
 from meterwise.sources.weekly import weekly_input
 from tests.conftest import SF_SMALL
 
@@ -17,8 +18,8 @@ def plan_text(df, mode="formatted") -> str:
         df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString(mode))
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - {"gbt_scores", "stream_hourly_usage",
-                                                             "stream_incremental_metering"}))
+@pytest.mark.parametrize("name", sorted(set(registry()) - {"gbt_scores", "stream_hourly_usage",
+                                                            "stream_incremental_metering"}))
 def test_no_python_udfs(spark, name):
     text = plan_text(E.queries()[name](spark, SF_SMALL), "extended")
     assert not any(node in text for node in PY_NODES)
