@@ -20,7 +20,9 @@ are farther apart than D (their Hamming distance is at most the difference) go,
 and the rest are verified on the sets themselves.
 
 Only classes are asked for, so candidates are stars: each holder of a block is
-verified with the block's first holder; afterwards, pairs that share a block but
+verified with the block's most central holder, the one whose blocks are held by
+most others (the text that a family of copies was made from is nearer to each
+of them than they are to each other); afterwards, pairs that share a block but
 are still in different classes are verified as well.  No link between classes
 is lost and no group is paired all with all.
 """
@@ -218,23 +220,27 @@ def jaccard_classes(docs: DataFrame, text: str = "text", row_id: str = "doc_id",
               .withColumn("met", F.count("*").over(by_band)).where("met >= need").drop("met"))
     ranked = (shared.withColumn("others", F.count("*").over(by_key)).where("others > 1")
               .withColumn("met", F.count("*").over(by_band))
+              .withColumn("central", F.round(F.sum(F.log("others")).over(by_band) / F.col("need"), 6))
               .withColumn("rank", F.row_number().over(by_band.orderBy("others", "key"))))
-    prefix = written(ranked.where("rank <= met - need + 1").select("id", "key"), "rarest_blocks")
+    leads = (ranked.where("rank <= met - need + 1")
+             .withColumn("lead", F.min(F.struct(-F.col("central"), F.col("id").alias("id"))).over(by_key)["id"]))
+    prefix = written(leads.select("id", "key", "lead"), "rarest_blocks")
     info = sets.select("id", "n", *(F.col("bits")[i].alias(f"bit{i}") for i in range(SKETCH_WORDS)))
 
-    first = prefix.withColumn("a", F.min("id").over(by_key)).where("id > a").select("a", F.col("id").alias("b")).distinct()
+    first = prefix.where("id <> lead").select(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b")).distinct()
     near = (first.join(_renamed(info, "x_"), F.col("a") == F.col("x_id")).join(_renamed(info, "y_"), F.col("b") == F.col("y_id"))
             .where(_near("x_", "y_", percent)).select("a", "b"))
     stars = _verified(near, sets, percent)
     label = components(stars)
 
-    # Blocks whose holders are not yet one class: those outside the first holder's class meet all of other classes.
-    held = cut(prefix.join(label, "id", "left").select("key", "id", F.coalesce("component", "id").alias("c"))
-               .withColumn("lead", F.min(F.struct("id", "c")).over(by_key)["c"])
+    # Blocks whose holders are not yet one class: those outside the lead's class meet all of other classes.
+    held = cut(prefix.join(label, "id", "left").select("key", "id", "lead", F.coalesce("component", "id").alias("c"))
+               .withColumn("lead", F.max(F.when(F.col("id") == F.col("lead"), F.col("c"))).over(by_key))
                .withColumn("open", F.max(F.col("c") != F.col("lead")).over(by_key)).where("open").drop("open"))
     full = held.join(info, "id")
-    odd = _renamed(full.where("c <> lead").drop("lead"), "x_")
-    rest = (odd.join(_renamed(full.drop("lead"), "y_"), (F.col("x_key") == F.col("y_key")) & (F.col("x_c") != F.col("y_c")) & _near("x_", "y_", percent))
+    odd = _renamed(full.where("c <> lead"), "x_")
+    once = (F.col("y_c") == F.col("y_lead")) | (F.col("x_c") < F.col("y_c"))
+    rest = (odd.join(_renamed(full, "y_"), (F.col("x_key") == F.col("y_key")) & (F.col("x_c") != F.col("y_c")) & once & _near("x_", "y_", percent))
             .select(F.least("x_id", "y_id").alias("a"), F.greatest("x_id", "y_id").alias("b")).distinct()
             .join(first, ["a", "b"], "left_anti"))
     links = stars.unionByName(_verified(rest, sets, percent))
