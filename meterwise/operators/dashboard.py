@@ -3,8 +3,8 @@
 The dashboard computes these with pandas after pulling report results to one
 process; here each figure is a Spark aggregate over the report DataFrame, and
 single numbers enter other expressions as scalar sub-queries (evaluated once,
-no cross join).  Figures over the top-100 slow-query list are bounded by that
-list; everything else is a partial + final hash aggregate.
+no cross join).  Statistics run over the whole window as partial + final hash
+aggregates; only the query lists are cut to their length.
 """
 
 from __future__ import annotations

@@ -207,7 +207,7 @@ def _preflight(spark, d):
 
 
 def _refresh_params(spark, d):
-    week, history = usage_logs(spark, d, 7), usage_logs(spark, d)
+    week, history = usage_logs(spark, d, 7), usage_logs(spark, d, since=_billing_since())
     return (C.refresh_cost_params(week.params, week.meter, history.billing)
             .withColumn("updated_at", F.col("updated_at").cast("timestamp_ntz")))
 

@@ -65,7 +65,8 @@ def append_table(df: DataFrame, name: str) -> DataFrame:
     """INSERT INTO ... SELECT (columns matched by name)."""
     spark = df.sparkSession
     if _is_path(name):
-        df.write.mode("append").parquet(name)
+        target = ensure_table(spark, name, df.schema)
+        df.select(*[F.col(f.name).cast(f.dataType) for f in target.schema]).write.mode("append").parquet(name)
         return spark.read.parquet(name)
     target_cols = spark.table(name).columns
     df.select(*target_cols).write.insertInto(name)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from meterwise.schemas import WEEKLY_INPUT
@@ -39,3 +40,13 @@ def test_cluster_without_shared_folder_is_an_error(monkeypatch):
     sc = SimpleNamespace(getCheckpointDir=lambda: None, master="local-cluster[2,1,1024]")
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.ensure_checkpoint_dir(SimpleNamespace(sparkContext=sc, conf={}))
+
+
+def test_append_to_a_path_matches_columns_by_name_and_type(spark, tmp_path):
+    path = str(tmp_path / "appended")
+    append_table(spark.sql("SELECT 1L AS a, 'x' AS b"), path)
+    out = append_table(spark.sql("SELECT 'y' AS b, 2 AS a"), path)
+    assert sorted(map(tuple, out.select("a", "b").collect())) == [(1, "x"), (2, "y")]
+    assert out.schema["a"].dataType.simpleString() == "bigint"
+    with pytest.raises(AnalysisException):
+        append_table(spark.sql("SELECT 3L AS a"), path)
