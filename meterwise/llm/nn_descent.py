@@ -7,11 +7,14 @@ the vectors of its neighbours (of both directions) are brought together and
 compared with each other, and what is nearer than the farthest neighbour known
 goes into the lists.  Rounds go on until few lists change.
 
-Edges at or above the threshold are kept and make components.  A list whose
-last neighbour is still above the threshold is saturated: it is enlarged to its
-whole component, which is compared in tiles, so that links are counted in full
-without a row per pair.  At last a sample of vectors is compared with all to
-audit the recall; below the target, more blocks are drawn and the search goes on.
+Pairs at or above the threshold link.  Of all pairs ever compared, in a block or at
+a node, those that connect what links there are kept beside the lists, and make
+components.  A list full of links is saturated, and may have pushed out others:
+such vectors are searched again, now for neighbours outside their component
+(with those inside to lead there), until no new link appears.  Each component is
+compared in tiles, so that links are counted in full without a row per pair.  At
+last a sample of vectors is compared with all to audit the recall; below the
+target, more blocks are drawn and all vectors are searched so.
 """
 
 from __future__ import annotations
@@ -62,14 +65,46 @@ def _vectors(column: pd.Series, kind: type = np.float32) -> np.ndarray:
 
 
 def _top(edges: DataFrame, k: int) -> DataFrame:
-    """The ``k`` nearest distinct neighbours (v, sim, fresh) per u."""
-    best = edges.groupBy("u", "v").agg(F.max("sim").alias("sim"), F.min("fresh").alias("fresh"))
-    order = Window.partitionBy("u").orderBy(F.desc("sim"), "v")
+    """The ``k`` nearest distinct neighbours (v, sim, fresh) per u, of its own component and of others."""
+    best = edges.groupBy("u", "v", "own").agg(F.max("sim").alias("sim"), F.min("fresh").alias("fresh"))
+    order = Window.partitionBy("u", "own").orderBy(F.desc("sim"), "v")
     return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def _blocks(reps: DataFrame, count: int, seed: int) -> DataFrame:
-    """Edges (u, v, sim) to the nearest in blocks of vectors that lie on the same sides of random hyperplanes."""
+def _links(sim: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (i, j) that connect all that ``sim`` connects.
+
+    A spanning forest of the pairs surely above the threshold, so that a group
+    costs no pair per pair, and what lies within the margin between its trees.
+    """
+    if sim.max(initial=-2) < threshold - MARGIN:
+        return np.zeros(0, int), np.zeros(0, int)
+    near, tree = sim >= threshold + MARGIN, np.arange(len(sim))
+    left, i, j = np.ones(len(sim), bool), [], []
+    for root in np.flatnonzero(near.any(axis=1)):
+        todo = [root] if left[root] else []
+        left[root] = False
+        while todo:
+            at = todo.pop()
+            reached = np.flatnonzero(near[at] & left)
+            left[reached] = False
+            tree[reached] = root
+            i += [at] * len(reached)
+            j += reached.tolist()
+            todo += reached.tolist()
+    p, q = np.nonzero(np.triu((sim >= threshold - MARGIN) & (tree[:, None] != tree[None, :]), 1))
+    return np.concatenate([np.array(i, int), p]), np.concatenate([np.array(j, int), q])
+
+
+def _rows(ids: np.ndarray, sim: np.ndarray, i: np.ndarray, j: np.ndarray, link: bool) -> pd.DataFrame:
+    return pd.DataFrame({"u": ids[i], "v": ids[j], "sim": sim[i, j].astype(float), "link": link})
+
+
+def _blocks(nodes: DataFrame, count: int, seed: int, threshold: float) -> DataFrame:
+    """Pairs (u, v, sim, link) of different components, in blocks of vectors that lie on the same sides of random hyperplanes.
+
+    Without ``link``: to the nearest of each vector; with it: what connects all that is near in the block.
+    """
     bits = max(0, math.ceil(math.log2(max(1, count / BLOCK))) + 1)
 
     def sides(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -79,75 +114,112 @@ def _blocks(reps: DataFrame, count: int, seed: int) -> DataFrame:
                 for t in range(TABLES):
                     planes = np.random.default_rng([seed, t, dim]).standard_normal((dim, bits))
                     side = (x @ planes > 0) @ (1 << np.arange(bits, dtype=np.int64)) if bits else np.zeros(len(x), np.int64)
-                    yield pd.DataFrame({"id": part["id"], "dim": part["dim"], "table": t, "side": side, "vec": part["vec"]})
+                    yield part.assign(table=t, side=side)
 
     def nearest(block: pd.DataFrame) -> pd.DataFrame:
-        x, ids = _vectors(block["vec"]), block["id"].to_numpy()
+        x, ids, of = _vectors(block["vec"]), block["id"].to_numpy(), block["component"].to_numpy()
         sim = x @ x.T
-        np.fill_diagonal(sim, -2)
+        sim[of[:, None] == of[None, :]] = -2
         k = min(K, len(ids) - 1)
         at = np.argpartition(-sim, k - 1, axis=1)[:, :k] if k else np.zeros((len(ids), 0), int)
-        return pd.DataFrame({"u": np.repeat(ids, k), "v": ids[at.ravel()], "sim": np.take_along_axis(sim, at, 1).ravel().astype(float)})
+        i, j = np.repeat(np.arange(len(ids)), k), at.ravel()
+        other = of[i] != of[j]
+        return pd.concat([_rows(ids, sim, i[other], j[other], False), _rows(ids, sim, *_links(sim, threshold), True)])
 
-    placed = reps.select("id", "dim", "vec").mapInPandas(sides, "id long, dim int, table int, side long, vec binary")
+    placed = nodes.select("id", "component", "dim", "vec").mapInPandas(sides, "id long, component long, dim int, vec binary, table int, side long")
     # A side that many vectors share is cut into blocks; what that parts is found by the descent.
     order = Window.partitionBy("dim", "table", "side").orderBy(F.xxhash64("id", F.lit(seed)), "id")
     return (placed.withColumn("block", F.floor((F.row_number().over(order) - 1) / F.lit(BLOCK)))
-            .groupBy("dim", "table", "side", "block").applyInPandas(nearest, "u long, v long, sim double"))
+            .groupBy("dim", "table", "side", "block").applyInPandas(nearest, "u long, v long, sim double, link boolean"))
 
 
-def _descend(graph: DataFrame, reps: DataFrame) -> DataFrame:
-    """New edges (u, v, sim): neighbours of a node compared with each other, where one of the two is new there."""
-    both = (graph.select("u", "v", "sim", "fresh")
-            .unionByName(graph.select(F.col("v").alias("u"), F.col("u").alias("v"), "sim", "fresh")))
+def _descend(graph: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
+    """New pairs (u, v, sim, link) of different components: neighbours of a node compared with each other, where one of the two is new there."""
+    both = (graph.select("u", "v", "sim", "own", "fresh")
+            .unionByName(graph.select(F.col("v").alias("u"), F.col("u").alias("v"), "sim", "own", "fresh")))
     met = _top(both, JOINED)
-    last = graph.groupBy("u").agg(F.min(F.when(F.col("rank") == K, F.col("sim"))).alias("last"))
-    info = (reps.join(last, reps["id"] == last["u"], "left")
-            .select(F.col("id").alias("v"), "dim", "vec", F.coalesce("last", F.lit(-2.0)).alias("last")))
+    last = graph.where("not own").groupBy("u").agg(F.min(F.when(F.col("rank") == K, F.col("sim"))).alias("last"))
+    info = (nodes.join(last, nodes["id"] == last["u"], "left")
+            .select(F.col("id").alias("v"), "component", "vec", F.coalesce("last", F.lit(-2.0)).alias("last")))
     gathered = (met.join(info, "v").groupBy("u")
-                .agg(F.collect_list(F.struct("v", "dim", "vec", "last", "fresh")).alias("near")).select("near"))
+                .agg(F.collect_list(F.struct("v", "component", "vec", "last", "fresh")).alias("near")).select("near"))
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            u, v, s = [], [], []
+            out = []
             for near in batch["near"]:
                 x = _vectors([n["vec"] for n in near])
                 ids = np.array([n["v"] for n in near])
+                of = np.array([n["component"] for n in near])
                 low = np.array([n["last"] for n in near])
                 new = np.array([n["fresh"] for n in near])
-                sim = x @ x.T
-                i, j = np.nonzero(np.triu((sim > np.minimum(low[:, None], low[None, :])) & (new[:, None] | new[None, :]), 1))
-                u.append(ids[i])
-                v.append(ids[j])
-                s.append(sim[i, j])
-            if u:
-                yield pd.DataFrame({"u": np.concatenate(u), "v": np.concatenate(v), "sim": np.concatenate(s).astype(float)})
+                sim = np.where((of[:, None] != of[None, :]) & (new[:, None] | new[None, :]), x @ x.T, -2)
+                i, j = np.nonzero(np.triu(sim > np.maximum(np.minimum(low[:, None], low[None, :]), -1.5), 1))
+                p, q = _links(sim, threshold)
+                link = np.repeat([False, True], [len(i), len(p)])
+                i, j = np.concatenate([i, p]), np.concatenate([j, q])
+                out.append((ids[i], ids[j], sim[i, j], link))
+            if out:
+                u, v, s, link = map(np.concatenate, zip(*out))
+                yield pd.DataFrame({"u": u, "v": v, "sim": s.astype(float), "link": link})
 
-    found = gathered.mapInPandas(compare, "u long, v long, sim double")
-    return found.select(F.explode(F.array(F.struct("u", "v", "sim"), F.struct(F.col("v").alias("u"), F.col("u").alias("v"), "sim"))).alias("e")).select("e.*")
+    return gathered.mapInPandas(compare, "u long, v long, sim double, link boolean")
 
 
-def _search(reps: DataFrame, count: int, seed: int, known: DataFrame | None) -> DataFrame:
-    """The neighbour graph (u, v, sim, fresh, rank) after blocks and rounds of descent."""
-    start = _blocks(reps, count, seed).withColumn("fresh", F.lit(True))
+def _search(nodes: DataFrame, count: int, seed: int, known: DataFrame | None, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """The neighbour graph (u, v, sim, own, fresh, rank) after blocks and rounds of descent, and the pairs (u, v, sim) that link on the way.
+
+    Pairs of one component (of ``nodes``) are not looked for; ``known`` ones (u, v, sim, own) lead to its neighbours.
+    """
+    found = written(_blocks(nodes, count, seed, threshold), "blocks")
+    links = found.where("link")
+    start = found.where("not link").select("u", "v", "sim", F.lit(False).alias("own"), F.lit(True).alias("fresh"))
     if known is not None:
-        start = start.unionByName(known.select("u", "v", "sim", F.lit(False).alias("fresh")))
+        start = start.unionByName(known.select("u", "v", "sim", "own", F.lit(False).alias("fresh")))
     graph = written(_top(start, K), "neighbours")
     for _ in range(ROUNDS):
-        added = _descend(graph, reps).withColumn("fresh", F.lit(True))
-        graph = written(_top(graph.select("u", "v", "sim", F.lit(False).alias("fresh")).unionByName(added), K), "neighbours")
+        found = written(_descend(graph, nodes, threshold), "compared")
+        links = links.unionByName(found.where("link"))
+        both = F.array(F.struct("u", "v", "sim"), F.struct(F.col("v").alias("u"), F.col("u").alias("v"), "sim"))
+        added = (found.where("not link").select(F.explode(both).alias("e")).select("e.*")
+                 .withColumns({"own": F.lit(False), "fresh": F.lit(True)}))
+        graph = written(_top(graph.select("u", "v", "sim", "own", F.lit(False).alias("fresh")).unionByName(added), K), "neighbours")
         if graph.where("fresh").count() <= STILL * K * count:
             break
-    return graph
+    return graph, links.select("u", "v", "sim")
 
 
 def _double(edges: DataFrame, reps: DataFrame, threshold: float) -> DataFrame:
-    """Edges (u < v) whose cosine in double precision reaches the threshold."""
+    """Edges (u < v) whose cosine in double precision reaches the threshold; what is above the margin need not be computed again."""
     unit = reps.select("id", "unit")
-    near = (edges.where(F.col("sim") >= threshold - MARGIN).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
-            .join(unit.toDF("u", "x"), "u").join(unit.toDF("v", "y"), "v"))
+    pairs = (edges.where(F.col("sim") >= threshold - MARGIN).groupBy(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
+             .agg(F.max("sim").alias("sim")))
+    sure = F.col("sim") >= threshold + MARGIN
+    near = pairs.where(~sure).join(unit.toDF("u", "x"), "u").join(unit.toDF("v", "y"), "v")
     cosine = F.aggregate(F.zip_with("x", "y", lambda a, b: a * b), F.lit(0.0), lambda s, a: s + a)
-    return near.where(cosine >= threshold).select("u", "v")
+    return pairs.where(sure).select("u", "v").unionByName(near.where(cosine >= threshold).select("u", "v"))
+
+
+def _placed(reps: DataFrame, label: DataFrame | None) -> DataFrame:
+    """(id, component, dim, vec); what has no link is a component of its own."""
+    if label is None:
+        return reps.select("id", F.col("id").alias("component"), "dim", "vec")
+    return written(reps.join(label, "id", "left").select("id", F.coalesce("component", "id").alias("component"), "dim", "vec"), "placed")
+
+
+def _marked(graph: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs of the graph between ``nodes``, and whether their components are one."""
+    of = nodes.select("id", "component")
+    return (graph.select("u", "v", "sim").join(of.toDF("u", "cu"), "u").join(of.toDF("v", "cv"), "v")
+            .select("u", "v", "sim", (F.col("cu") == F.col("cv")).alias("own")))
+
+
+def _saturated(graph: DataFrame, placed: DataFrame, threshold: float) -> tuple[DataFrame, int]:
+    """Vectors whose list is full of links, so that more may have been pushed out, and how many; none if they are of one component."""
+    full = graph.where(F.col("sim") >= threshold - MARGIN).groupBy(F.col("u").alias("id")).count().where(F.col("count") >= K)
+    nodes = placed.join(full, "id", "left_semi")
+    n, first, last = nodes.agg(F.count("*"), F.min("component"), F.max("component")).first()
+    return nodes, n if first != last else 0
 
 
 def _component_links(reps: DataFrame, label: DataFrame, threshold: float) -> DataFrame:
@@ -217,13 +289,25 @@ def near_links(vectors: DataFrame, embedding: str = "embedding", row_id: str = "
 
     reps = written(rows.select("row", "unit").join(classes, F.col("row") == F.col("id")).select("id", "unit", "copies")
                    .mapInPandas(single, "id long, unit array<double>, copies long, dim int, vec binary"), "representatives")
-    count, graph, label = reps.count(), None, None
-    for search in range(SEARCHES if count > 1 else 0):
-        graph = _search(reps, count, search, graph)
-        edges = cut(_double(graph, reps, threshold))
-        label = components(edges, "u", "v")
-        if _recall(reps, label, threshold, search) >= TARGET:
+    count, graph, links, label = reps.count(), None, None, None
+    nodes, n, search, audits = _placed(reps, None), count, 0, 0
+    while count > 1 and audits < SEARCHES:
+        found, near = _search(nodes, n, search, None if graph is None else _marked(graph, nodes), threshold)
+        near = cut(_double(near, reps, threshold))
+        linked, search = bool(near.limit(1).count()), search + 1
+        if linked:
+            links = near if links is None else cut(links.unionByName(near))
+            label = components(links, "u", "v")
+        placed = _placed(reps, label)
+        graph = found if graph is None else graph.select("u", "v", "sim").unionByName(found.select("u", "v", "sim"))
+        graph = written(_top(_marked(graph, placed).withColumn("fresh", F.lit(False)), K), "neighbours")
+        if linked:  # what joins components may make others meet
+            nodes, n = _saturated(graph, placed, threshold)
+            if n:
+                continue
+        if label is None or _recall(reps, label, threshold, search) >= TARGET:
             break
+        nodes, n, audits = placed, count, audits + 1
     if label is None:
         label = classes.select("id", F.col("id").alias("component")).where("false")
     near = cut(_component_links(reps, label, threshold))

@@ -116,3 +116,32 @@ def test_contamination_odd_rows(spark, odd_docs, no_docs):
     assert by_id[None]["items"] == [""] and by_id[1]["n_words"] == 0 and by_id[5]["spans"][0]["start"] == 1
     assert winnowing.contamination(no_docs, items).count() == 0
     assert winnowing.contamination(odd_docs, items.where("false")).where("n_hit > 0").count() == 0
+
+
+def vectors(spark, x):
+    return spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+
+
+def tight_families(rng, families, size, dim, across):
+    """Families of near copies (cosine about 0.999 inside) around centres whose cosine is ``across``."""
+    common = rng.standard_normal(dim)
+    common /= np.linalg.norm(common)
+    out = []
+    for _ in range(families):
+        own = rng.standard_normal(dim)
+        own -= (own @ common) * common
+        centre = np.sqrt(across) * common + np.sqrt(1 - across) * own / np.linalg.norm(own)
+        out.append(centre + 0.03 / np.sqrt(dim) * rng.standard_normal((size, dim)))
+    return np.concatenate(out)
+
+
+@pytest.mark.parametrize("block", [512, 16])
+def test_tight_families_are_one_component(spark, monkeypatch, block):
+    monkeypatch.setattr(nn_descent, "BLOCK", block)
+    x = tight_families(np.random.default_rng(11), 2, 20, 64, 0.97)
+    x = np.concatenate([x, np.random.default_rng(12).standard_normal((60, 64))])
+    unit = x / np.linalg.norm(x, axis=1)[:, None]
+    n_links = (unit @ unit.T >= 0.95).sum(axis=1) - 1
+    assert (n_links[:40] == 39).all() and not n_links[40:].any()
+    found = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in nn_descent.near_links(vectors(spark, x)).collect()}
+    assert found == {i: (int(n), 0 if i < 40 else i) for i, n in enumerate(n_links)}
