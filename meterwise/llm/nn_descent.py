@@ -13,8 +13,9 @@ components.  A list full of links is saturated, and may have pushed out others:
 such vectors are searched again, now for neighbours outside their component
 (with those inside to lead there), until no new link appears.  Each component is
 compared in tiles, so that links are counted in full without a row per pair.  At
-last a sample of vectors is compared with all to audit the recall; below the
-target, more blocks are drawn and all vectors are searched so.
+last a sample of vectors, drawn until enough of them have links, is compared with
+all to audit the recall; below the target, twice as many tables of blocks are drawn
+and all vectors are searched so, and if that never reaches it, it is an error.
 """
 
 from __future__ import annotations
@@ -32,12 +33,15 @@ from meterwise.llm.common import components, cut, written
 THRESHOLD = 0.95
 #: Neighbours kept per vector, and brought together at a node in one round.
 K, JOINED = 10, 16
-#: Random tables of blocks per search, and rows of a block or tile.
+#: Random tables of blocks per search at least, and at a time; and rows of a block or tile.
 TABLES, BLOCK = 4, 512
 #: Rounds of a search at most, and the share of changed neighbours below which it ends.
 ROUNDS, STILL = 3, 0.01
-#: Vectors compared with all in an audit, the recall it asks for, and searches at most.
-AUDITED, TARGET, SEARCHES = 256, 0.98, 4
+#: An audit compares so many vectors at a time with all, until so many had links, or else all of a
+#: table of so many vectors, or one in a hundred of a larger one.
+AUDITED, LINKED, WHOLE = 2048, 256, 65536
+#: The recall that an audit asks for, and audits at most; each search after one has twice the tables of the last.
+TARGET, AUDITS = 0.98, 4
 #: Single precision in the search errs by less than this.
 MARGIN = 1e-4
 
@@ -100,18 +104,28 @@ def _rows(ids: np.ndarray, sim: np.ndarray, i: np.ndarray, j: np.ndarray, link:
     return pd.DataFrame({"u": ids[i], "v": ids[j], "sim": sim[i, j].astype(float), "link": link})
 
 
-def _blocks(nodes: DataFrame, count: int, seed: int, threshold: float) -> DataFrame:
+def _bits(count: int) -> int:
+    return max(0, math.ceil(math.log2(max(1, count / BLOCK))) + 1)
+
+
+def _tables(count: int, threshold: float) -> int:
+    """Tables in which a pair at the threshold lies on the same sides once with probability TARGET at least."""
+    together = (1 - math.acos(max(-1.0, min(1.0, threshold))) / math.pi) ** _bits(count)
+    return TABLES if together >= 1 else max(TABLES, math.ceil(math.log(1 - TARGET) / math.log1p(-together)))
+
+
+def _blocks(nodes: DataFrame, count: int, seed: int, tables: range, threshold: float) -> DataFrame:
     """Pairs (u, v, sim, link) of different components, in blocks of vectors that lie on the same sides of random hyperplanes.
 
     Without ``link``: to the nearest of each vector; with it: what connects all that is near in the block.
     """
-    bits = max(0, math.ceil(math.log2(max(1, count / BLOCK))) + 1)
+    bits = _bits(count)
 
     def sides(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for dim, part in batch.groupby("dim"):
                 x = _vectors(part["vec"])
-                for t in range(TABLES):
+                for t in tables:
                     planes = np.random.default_rng([seed, t, dim]).standard_normal((dim, bits))
                     side = (x @ planes > 0) @ (1 << np.arange(bits, dtype=np.int64)) if bits else np.zeros(len(x), np.int64)
                     yield part.assign(table=t, side=side)
@@ -166,17 +180,21 @@ def _descend(graph: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
     return gathered.mapInPandas(compare, "u long, v long, sim double, link boolean")
 
 
-def _search(nodes: DataFrame, count: int, seed: int, known: DataFrame | None, threshold: float) -> tuple[DataFrame, DataFrame]:
+def _search(nodes: DataFrame, count: int, seed: int, known: DataFrame | None, tables: int, threshold: float) -> tuple[DataFrame, DataFrame]:
     """The neighbour graph (u, v, sim, own, fresh, rank) after blocks and rounds of descent, and the pairs (u, v, sim) that link on the way.
 
     Pairs of one component (of ``nodes``) are not looked for; ``known`` ones (u, v, sim, own) lead to its neighbours.
     """
-    found = written(_blocks(nodes, count, seed, threshold), "blocks")
-    links = found.where("link")
-    start = found.where("not link").select("u", "v", "sim", F.lit(False).alias("own"), F.lit(True).alias("fresh"))
-    if known is not None:
-        start = start.unionByName(known.select("u", "v", "sim", "own", F.lit(False).alias("fresh")))
-    graph = written(_top(start, K), "neighbours")
+    graph = links = None
+    for t in range(0, tables, TABLES):  # a few at a time: each holds all vectors once
+        found = written(_blocks(nodes, count, seed, range(t, min(t + TABLES, tables)), threshold), "blocks")
+        links = found.where("link") if links is None else links.unionByName(found.where("link"))
+        start = found.where("not link").select("u", "v", "sim", F.lit(False).alias("own"), F.lit(True).alias("fresh"))
+        if graph is not None:
+            start = start.unionByName(graph.select("u", "v", "sim", "own", "fresh"))
+        elif known is not None:
+            start = start.unionByName(known.select("u", "v", "sim", "own", F.lit(False).alias("fresh")))
+        graph = written(_top(start, K), "neighbours")
     for _ in range(ROUNDS):
         found = written(_descend(graph, nodes, threshold), "compared")
         links = links.unionByName(found.where("link"))
@@ -245,27 +263,40 @@ def _component_links(reps: DataFrame, label: DataFrame, threshold: float) -> Dat
             .groupBy("id").agg(F.sum("near").alias("near")))
 
 
-def _recall(reps: DataFrame, label: DataFrame, threshold: float, seed: int) -> float:
-    """Share of the links of a bounded sample of vectors, compared with all in blocks, that the components hold."""
-    sample = reps.orderBy(F.xxhash64("id", F.lit(seed))).limit(AUDITED).select("id", "dim", "vec").collect()
-    by_dim = {}
-    for row in sample:
-        by_dim.setdefault(row["dim"], []).append(row)
+def _recall(placed: DataFrame, count: int, threshold: float, seed: int) -> float:
+    """Share of the links of a sample of vectors, compared with all in blocks, that the components hold; 1 where none has a link.
 
-    def all_links(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for dim, part in batch.groupby("dim"):
-                rows = by_dim.get(dim, [])
-                if rows:
-                    q, x = _vectors([r["vec"] for r in rows]), _vectors(part["vec"])
-                    i, j = np.nonzero(q @ x.T >= threshold + MARGIN)
-                    u, v = np.array([r["id"] for r in rows])[i], part["id"].to_numpy()[j]
-                    yield pd.DataFrame({"u": u[u != v], "v": v[u != v]})
-
-    true = reps.select("id", "dim", "vec").mapInPandas(all_links, "u long, v long")
-    held = (true.join(label.toDF("u", "cu"), "u", "left").join(label.toDF("v", "cv"), "v", "left")
-            .agg(F.count("*").alias("n"), F.count(F.when(F.col("cu") == F.col("cv"), 1)).alias("found")).first())
-    return held["found"] / held["n"] if held["n"] else 1.0
+    The sample grows until LINKED of its vectors have links, or to all vectors
+    (one in a hundred where there are more than WHOLE).  The share is the smaller of
+    that of all links and the mean over vectors, so that no large group hides small ones.
+    """
+    order = placed.withColumn("at", F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(max(1, -(-count // AUDITED)))))
+    links = held = linked = audited = 0
+    mean, part = 0.0, 0
+    while audited < count and linked < LINKED and audited * 100 < max(count, 100 * WHOLE):
+        by_dim = {}
+        rows = order.where(F.col("at") == part).select("id", "component", "dim", "vec").collect()
+        for row in rows:
+            by_dim.setdefault(row["dim"], []).append(row)
+
+        def all_links(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                for dim, part in batch.groupby("dim"):
+                    audit = by_dim.get(dim, [])
+                    if audit:
+                        q, ids, of = _vectors([r["vec"] for r in audit]), np.array([r["id"] for r in audit]), np.array([r["component"] for r in audit])
+                        near = (_vectors(part["vec"]) @ q.T >= threshold + MARGIN) & (part["id"].to_numpy()[:, None] != ids)
+                        same = near & (part["component"].to_numpy()[:, None] == of)
+                        some = near.any(axis=0)
+                        yield pd.DataFrame({"id": ids[some], "n": near.sum(axis=0)[some], "same": same.sum(axis=0)[some]})
+
+        if rows:
+            n, found, of, share = (placed.select("id", "component", "dim", "vec").mapInPandas(all_links, "id long, n long, same long")
+                                   .groupBy("id").agg(F.sum("n").alias("n"), F.sum("same").alias("same"))
+                                   .agg(F.sum("n"), F.sum("same"), F.count("*"), F.sum(F.col("same") / F.col("n"))).first())
+            links, held, linked, mean = links + (n or 0), held + (found or 0), linked + of, mean + (share or 0.0)
+        audited, part = audited + len(rows), part + 1
+    return min(held / links, mean / linked) if linked else 1.0
 
 
 def near_links(vectors: DataFrame, embedding: str = "embedding", row_id: str = "vec_id", threshold: float = THRESHOLD) -> DataFrame:
@@ -276,6 +307,7 @@ def near_links(vectors: DataFrame, embedding: str = "embedding", row_id: str = "
     Equal directions link (cosine 1) and are counted, not paired.  Each row is a
     vector of its own, also where a vec_id repeats; rows without a vec_id are
     linked, but never name a component (a component without any vec_id has none).
+    A RuntimeError says that the recall asked for was not reached.
     """
     rows = written(vectors.select(F.col(row_id).alias("vec_id"), _unit(F.col(embedding)).alias("unit"))
                    .withColumn("row", F.monotonically_increasing_id())
@@ -291,8 +323,8 @@ def near_links(vectors: DataFrame, embedding: str = "embedding", row_id: str = "
                    .mapInPandas(single, "id long, unit array<double>, copies long, dim int, vec binary"), "representatives")
     count, graph, links, label = reps.count(), None, None, None
     nodes, n, search, audits = _placed(reps, None), count, 0, 0
-    while count > 1 and audits < SEARCHES:
-        found, near = _search(nodes, n, search, None if graph is None else _marked(graph, nodes), threshold)
+    while count > 1:
+        found, near = _search(nodes, n, search, None if graph is None else _marked(graph, nodes), _tables(n, threshold) << audits, threshold)
         near = cut(_double(near, reps, threshold))
         linked, search = bool(near.limit(1).count()), search + 1
         if linked:
@@ -305,9 +337,12 @@ def near_links(vectors: DataFrame, embedding: str = "embedding", row_id: str = "
             nodes, n = _saturated(graph, placed, threshold)
             if n:
                 continue
-        if label is None or _recall(reps, label, threshold, search) >= TARGET:
+        recall = _recall(placed, count, threshold, search)
+        if recall >= TARGET:
             break
         nodes, n, audits = placed, count, audits + 1
+        if audits == AUDITS:
+            raise RuntimeError(f"near duplicates: recall {recall:.3f} after {search} searches, {TARGET} asked for")
     if label is None:
         label = classes.select("id", F.col("id").alias("component")).where("false")
     near = cut(_component_links(reps, label, threshold))

@@ -145,3 +145,22 @@ def test_tight_families_are_one_component(spark, monkeypatch, block):
     assert (n_links[:40] == 39).all() and not n_links[40:].any()
     found = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in nn_descent.near_links(vectors(spark, x)).collect()}
     assert found == {i: (int(n), 0 if i < 40 else i) for i, n in enumerate(n_links)}
+
+
+def test_tables_grow_with_the_blocks():
+    near = 1 - np.arccos(0.95) / np.pi
+    for count in (100, 10**4, 10**5, 10**7, 10**8):
+        together = near ** nn_descent._bits(count)
+        assert 1 - (1 - together) ** nn_descent._tables(count, 0.95) >= nn_descent.TARGET
+
+
+def test_audit_sees_few_links_and_what_is_missed_is_an_error(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    x = rng.standard_normal((3000, 16))
+    x[1::300] = x[::300] + 0.01 * rng.standard_normal((10, 16))  # 10 pairs among 3,000
+    found = nn_descent.near_links(vectors(spark, x))
+    assert found.where("n_links > 0").count() == 20
+    empty = spark.createDataFrame([], "u long, v long, sim double, own boolean, fresh boolean, rank int")
+    monkeypatch.setattr(nn_descent, "_search", lambda *args: (empty, empty.select("u", "v", "sim")))
+    with pytest.raises(RuntimeError, match="recall"):
+        nn_descent.near_links(vectors(spark, x)).count()
