@@ -83,3 +83,14 @@ def test_feature_view_registry(spark, weekly):
 def test_empty_scoring_input(model, weekly):
     out = score_region(model, FT.scoring_features(weekly.filter(F.lit(False))))
     assert out.isEmpty()
+
+
+def test_registered_query_trains_with_full_settings(spark, monkeypatch):
+    from meterwise.operators.models import gbt_estimator
+    from meterwise.plans import catalog_models
+
+    seen = []
+    monkeypatch.setattr(catalog_models, "train_gbt", lambda feats, params=None: seen.append(gbt_estimator(params)) or "STOP")
+    with pytest.raises(RuntimeError, match="STOP"):
+        catalog_models._gbt_scores(spark, SF_MID)
+    assert (seen[0].getMaxIter(), seen[0].getMaxDepth()) == (300, 7)
