@@ -227,7 +227,7 @@ FROM (SELECT {_RUNTIME} AS h, {_RATE} AS r, {_BILLED} AS p, {_LARGE} AS l) x""",
     _preflight)
 
 _RATE6 = f"round({_RATE}, 6)"
-register("refresh_cost_params", "S9 S10 C4", with_ctes(f"""
+register("refresh_cost_params", "S9", with_ctes(f"""
 SELECT coalesce(s.param_name, t.param_name) AS param_name,
   CASE WHEN s.param_name IS NOT NULL THEN s.param_value ELSE t.param_value END AS param_value,
   CASE WHEN s.param_name IS NOT NULL THEN TIMESTAMP '2024-01-31 00:00:00'

@@ -110,7 +110,7 @@ def _asof(spark, d):
     return FT.features_asof(spine, FT.stream_features(weekly), key="isrc", spine_ts="ts", feature_ts="week_ending")
 
 
-register("features_asof", "J6 F4", with_ctes(f"""
+register("features_asof", "J6", with_ctes(f"""
 SELECT s.isrc, s.ts, f.week_ending, f.avg_streams_to_date, f.streams_last_4_weeks
 FROM (SELECT isrc, week_ending + {ASOF_LAG_DAYS} AS ts FROM weekly_input WHERE region = '{ASOF_REGION}') s
 ASOF LEFT JOIN fv f ON s.isrc = f.isrc AND s.ts >= f.week_ending""", "weekly_input",
@@ -167,7 +167,7 @@ SELECT series, ts, cast(horizon AS int) AS horizon, round(yhat, 4) AS forecast,
 FROM y"""
 
 
-register("forecast_trend", "F10 F11 F12", with_ctes(_forecast_sql("'Global'"), "weekly_input"))(
+register("forecast_trend", "F10 F11", with_ctes(_forecast_sql("'Global'"), "weekly_input"))(
     lambda spark, d: FC.forecast(FC.fit_trend(weekly_input(spark, d, region="Global"))))
 
 register("forecast_by_track", "F10 F11", with_ctes(_forecast_sql("isrc"), "weekly_input"))(

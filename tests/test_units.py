@@ -246,3 +246,12 @@ def test_classification_matches_case_semantics(spark_session_for_hypothesis, tag
     want = [(py(t, "WORKLOAD", P.WORKLOAD_CLASSES, P.WORKLOAD_DEFAULT), py(t, "PATH", P.PATH_CLASSES, P.PATH_DEFAULT))
             for t in tags]
     assert got == want
+
+
+def test_labels_name_only_what_the_queries_call():
+    import __spark_entry__
+    from meterwise.plans.catalog import REGISTRY
+
+    __spark_entry__.queries()
+    labels = {name: REGISTRY[name].survey_ids.split() for name in ("refresh_cost_params", "features_asof", "forecast_trend")}
+    assert labels == {"refresh_cost_params": ["S9"], "features_asof": ["J6"], "forecast_trend": ["F10", "F11"]}
