@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterwise.llm import (chat_format, language_id, nn_descent, packing, parity_join, pii, quality_qda, token_counts, warc,
-                           winnowing)
+from meterwise.llm import (chat_format, language_id, nn_descent, packing, page_diff, parity_join, pii, prefix_trie, quality_qda,
+                           spelling, token_counts, warc, winnowing)
 from meterwise.llm.common import remainder, ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -185,3 +185,49 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     read = chat_format.read_back(formatted, _chat_digests,
                                  "n_turns long,turns_sha256 string,loss_chars long,loss_sha256 string,formatted_chars long")
     return read.select("conv_id", "read.*")
+
+
+# crc32 of a string's UTF-8 bytes, bit by bit: its generator polynomial is the fixed value 0xEDB88320.
+_CRC32 = """xor(4294967295, list_reduce(
+  list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(0, CAST(length(hex({0})) / 2 AS BIGINT)), lambda i: CAST('0x' || substr(hex({0}), 2 * i + 1, 2) AS BIGINT))),
+  lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda a, z: xor(a >> 1, 3988292384 * (a & 1)))))"""
+
+
+@query(f"""
+WITH t AS (SELECT conv_id c, turn, coalesce(role, '') r, coalesce(text, '') x FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT c, list(struct_pack(r := r, x := x) ORDER BY turn NULLS FIRST, r, x) s FROM t GROUP BY c),
+h AS (SELECT c, s, {_CRC32.format("CAST(c AS VARCHAR)")} % 9 h FROM o),
+b AS (SELECT h.c, coalesce(list_slice(o.s, 1, h), []) || list_slice(h.s, h + 1, len(h.s)) s FROM h LEFT JOIN o ON o.c = h.c - h.c % 5),
+e AS (SELECT c, s, unnest(range(0, len(s) + 1)) d FROM b),
+n AS (SELECT list_slice(s, 1, d) p, d, min(c) c, count(*) n, coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (len(s) = d), '') ends FROM e GROUP BY ALL),
+k AS (SELECT list_slice(p, 1, d - 1) p, count(*) kids FROM n WHERE d > 0 GROUP BY 1),
+u AS (SELECT n.*, coalesce(kids, 0) kids, CASE WHEN d > 0 THEN (n - 1) * strlen(p[d].x) ELSE 0 END saved FROM n LEFT JOIN k USING (p)),
+up AS (SELECT p, saved, kids, unnest(range(0, d + 1)) a FROM u),
+sums AS (SELECT list_slice(p, 1, a) p, sum(saved) saved, count(*) FILTER (kids = 0) leaves FROM up GROUP BY 1)
+SELECT u.c conv_id, u.d AS depth, q.c parent_conv_id, u.n n_convs, u.kids n_children, sums.leaves n_leaves, CAST(sums.saved AS BIGINT) saved_tokens, sha256(u.ends) ends_sha256
+FROM u JOIN sums ON sums.p = u.p LEFT JOIN u q ON u.d > 0 AND q.d = u.d - 1 AND q.p = list_slice(u.p, 1, u.d - 1)""")
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(prefix_trie.rebuilt(table(spark, sf_dir, "conversations")))
+
+
+@query()
+def op12_page_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_diff.main_text(table(spark, sf_dir, "pages"))
+
+
+@query(f"""
+WITH RECURSIVE t AS (SELECT doc_id, unnest(regexp_extract_all({_ASCII_LOWER.format("coalesce(text, '')")}, '[A-Za-zÀ-ÿ]+')) w FROM documents),
+d AS (SELECT w, count(*) n, coalesce(CAST(doc_id AS VARCHAR), '') || ':' || w k FROM t GROUP BY doc_id, w),
+h AS (SELECT w, n, {_CRC32.format("k")} h FROM d),
+v AS (SELECT CASE WHEN h % 97 = 0 THEN substr(w, 1, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END word, sum(n) n FROM h GROUP BY 1
+      HAVING sum(n) >= 3 AND length(word) >= 5),
+cut AS (SELECT word, n, unnest(range(1, length(word) + 1)) i, substr(word, 1, i - 1) || substr(word, i + 1) s FROM v),
+near AS (SELECT a.word, b.word o, b.n m FROM cut a JOIN cut b ON a.i = b.i AND a.s = b.s AND a.word <> b.word
+         UNION SELECT a.word, b.word, b.n FROM cut a JOIN v b ON a.s = b.word UNION SELECT b.word, a.word, a.n FROM cut a JOIN v b ON a.s = b.word),
+best AS (SELECT word, count(*) n_near, arg_min(o, struct_pack(m := -m, o := encode(o))) form, max(m) m FROM near GROUP BY word),
+f AS (SELECT v.word, v.n, coalesce(n_near, 0) n_near, CASE WHEN m >= 2 * v.n THEN form END form, CASE WHEN m >= 2 * v.n THEN m END form_n FROM v LEFT JOIN best USING (word)),
+walk(word, root) AS (SELECT word, word FROM f UNION SELECT walk.word, f.form FROM walk JOIN f ON f.word = walk.root WHERE f.form IS NOT NULL)
+SELECT f.word, CAST(f.n AS BIGINT) n, f.n_near, f.form, CAST(f.form_n AS BIGINT) form_n, root
+FROM f JOIN walk ON walk.word = f.word JOIN f last ON last.word = walk.root AND last.form IS NULL""")
+def op13_spelling_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variant_groups(table(spark, sf_dir, "documents"), noise=97)
