@@ -96,7 +96,9 @@ def neighbours(words: DataFrame) -> DataFrame:
     paths = written(trie(words), "paths")
     edges = paths.select("node", "c", "label", "child").distinct()
     ahead = paths.select(F.col("node").alias("child"), "c").distinct().groupBy("child").agg(F.collect_set("c").alias("ahead"))
-    edges = written(edges.join(ahead, "child", "left"), "edges")  # ahead: the letters that follow a child, one alphabet at most
+    # ahead: the letters that follow a child, one alphabet at most; edges that end a word have none and stay out of the shuffle
+    edges = written(edges.where("child is not null").join(ahead, "child").select("node", "c", "label", "child", "ahead")
+                    .unionByName(edges.where("child is null").withColumn("ahead", F.lit(None).cast("array<string>"))), "edges")
     # The longer word of a pair is found from the shorter, and of equally long words the one with the larger letter from the other.
     # An insertion before an equal letter is the same as one behind it, so the inserted letter differs from the next.
     middle = F.when(F.col("way") == 0, F.floor(F.char_length("word") / 2)).otherwise(F.ceil(F.char_length("word") / 2))
