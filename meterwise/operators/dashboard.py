@@ -17,6 +17,7 @@ from meterwise.functions.tags import model_path, workload_type
 from meterwise.functions.timeutil import diff_units
 from meterwise.operators.attribution import attribute, query_window
 from meterwise.operators.reports import meter_window, param_value, query_performance, warehouse_load
+from meterwise.operators.selection import median
 
 
 # --------------------------------------------------------- sources (dash) ---
@@ -106,14 +107,20 @@ def slowest_queries(qh, *, wh=P.WAREHOUSE, as_of=P.AS_OF, days=7, limit=10) -> D
 
 
 def workload_perf(qh, *, wh=P.WAREHOUSE, as_of=P.AS_OF, days=7, limit: int | None = None) -> DataFrame:
-    """Mean / median / max seconds, GB and count per workload, over the window (or its ``limit`` slowest)."""
-    return (query_performance(qh, wh=wh, as_of=as_of, days=days, limit=limit)
-            .groupBy("workload_type")
+    """Mean / median / max seconds, GB and count per workload, over the window (or its ``limit`` slowest).
+
+    The median is an exact order statistic by distributed selection, not a
+    buffer of a workload's values; both sides of the join are one row per workload.
+    """
+    perf = query_performance(qh, wh=wh, as_of=as_of, days=days, limit=limit)
+    middle = median(perf, ["workload_type"], "execution_time_seconds", "_median").select("workload_type", "_median")
+    return (perf.groupBy("workload_type")
             .agg(F.round(F.avg("execution_time_seconds"), 2).alias("avg_time_s"),
-                 F.round(F.median("execution_time_seconds"), 2).alias("median_time_s"),
                  F.round(F.max("execution_time_seconds"), 2).alias("max_time_s"),
                  F.round(F.sum("gb_scanned"), 2).alias("total_gb_scanned"),
-                 F.count("query_id").alias("query_count")))
+                 F.count("query_id").alias("query_count"))
+            .join(middle, "workload_type", "left")
+            .select("workload_type", "avg_time_s", F.round("_median", 2).alias("median_time_s"), "max_time_s", "total_gb_scanned", "query_count"))
 
 
 def runtime_histogram(qh, *, wh=P.WAREHOUSE, as_of=P.AS_OF, days=7, bins=P.HISTOGRAM_BINS,

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from meterwise import params as P
 from meterwise.operators import features as FT
+from meterwise.operators.horizon import forecast_boosted
 from meterwise.operators.models import score_region, train_gbt
 from meterwise.operators.registry import ModelRegistry
 from meterwise.plans import oracle as O
@@ -72,3 +74,20 @@ def _gbt_scores(spark, d):
 
 
 register("gbt_scores", "F5 F6 F7 F8 S11 U2")(_gbt_scores)
+
+# ---------------------------------------------------------------- F11 -------
+
+register("forecast_boosted", "F11 (boosted tier)")(lambda spark, d: forecast_boosted(weekly_input(spark, d, region="Global")))
+
+
+def _boosted_frame(spark, d):
+    """What SQL can say of the boosted forecast: its series, dates and horizons, and that its bounds hold it."""
+    fc = forecast_boosted(weekly_input(spark, d, region="Global"))
+    inside = (F.col("lower_bound") <= F.col("forecast")) & (F.col("forecast") <= F.col("upper_bound")) & (F.col("lower_bound") >= 0)
+    return fc.select("series", "ts", "horizon", inside.alias("bounded"))
+
+
+register("forecast_boosted_frame", "F11 (boosted tier: keys, dates, horizons)", with_ctes(f"""
+SELECT isrc AS series, CAST(last + 7 * CAST(h AS int) AS date) AS ts, CAST(h AS int) AS horizon, true AS bounded
+FROM (SELECT isrc, max(week_ending) AS last FROM weekly_input WHERE region = 'Global' GROUP BY isrc) t,
+  range(1, {P.FORECAST_HORIZON + 1}) AS r(h)""", "weekly_input"))(_boosted_frame)

@@ -11,7 +11,7 @@ import contextlib
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the operators rely on.  Shuffle partitions are left to the caller:
 # a cluster sizes them to the data, tests use a handful.
@@ -70,6 +70,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/meterwise/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def materialised(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared scratch folder and read back: cuts the lineage, and the planner knows its size."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 @contextlib.contextmanager
 def tagged(spark: SparkSession, workload: str, path: str | None = None, scheduled: bool = False):
     """Label every Spark job in the block with a ``WORKLOAD:x|PATH:y`` tag.

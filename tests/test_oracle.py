@@ -30,8 +30,8 @@ def test_matches_oracle(spark, duck, name):
 def test_registry_contract():
     qs, ors = E.queries(), E.oracle_sql()
     assert set(ors) <= set(qs)
-    # Everything in the catalog except the boosted-tree run has an oracle.
-    assert set(registry()) <= set(qs) and set(registry()) - set(ors) == {"gbt_scores"}
+    # Everything in the catalog except the boosted-tree figures has an oracle.
+    assert set(registry()) <= set(qs) and set(registry()) - set(ors) == {"gbt_scores", "forecast_boosted"}
 
 
 def test_entry_smoke(spark):
