@@ -16,7 +16,7 @@ from common import parse, session
 from meterwise import params as P
 from meterwise.operators import dashboard as D
 from meterwise.operators import reports as R
-from meterwise.session import tagged
+from meterwise.session import materialised, tagged
 from meterwise.sources.logs import materialize_hourly, usage_logs
 from meterwise.sources.sinks import staged_replace
 
@@ -24,19 +24,22 @@ from meterwise.sources.sinks import staged_replace
 def reports(spark, sf_dir: str, as_of: dt.datetime, days: int) -> dict:
     L = materialize_hourly(usage_logs(spark, sf_dir, max(days, 30), as_of=as_of))
     kw = {"as_of": as_of, "days": days}
+    groups = materialised(R.path_groups(L.qh, L.meter, **kw), "path_groups")  # one attribution for four reports
     return {
         "hourly_utilization": R.hourly_utilization(L.meter, **kw),
         "warehouse_load": R.warehouse_load(L.load, **kw),
-        "cost_by_workload_path": R.cost_by_workload_path(L.qh, L.meter, L.params, **kw),
+        "cost_by_workload_path": R.cost_by_workload_path(L.qh, L.meter, L.params, groups=groups, **kw),
         "query_performance": R.query_performance(L.qh, **kw),
         "daily_credit_trend": R.daily_credit_trend(L.meter, L.params, as_of=as_of, days=max(days, 30)),
         "dashboard_kpis": D.dashboard_kpis(L.meter, L.params, **kw),
-        "workload_costs": D.workload_costs(L.qh, L.meter, L.params, **kw),
-        "path_costs": D.path_costs(L.qh, L.meter, L.params, **kw),
+        "workload_costs": D.workload_costs(L.qh, L.meter, L.params, groups=groups, **kw),
+        "path_costs": D.path_costs(L.qh, L.meter, L.params, groups=groups, **kw),
+        "cost_breakdown": D.cost_breakdown(L.qh, L.meter, L.params, groups=groups, **kw),
         "workload_perf": D.workload_perf(L.qh, **kw),
         "runtime_histogram": D.runtime_histogram(L.qh, **kw),
         "recommendations": D.recommendations(L.qh, L.meter, L.load, **kw),
         "kpi_status": D.kpi_status(L.qh, L.meter, **kw),
+        "kpi_trends": D.kpi_trends(L.qh, L.meter, **kw),
         "executive_summary": R.executive_summary(L.qh, L.meter, L.params, **kw),
     }
 

@@ -6,11 +6,13 @@ the attributed sum over-counts the real credits; this is the reported
 behaviour and is kept on purpose (``prorate=True`` gives the share-of-hour
 variant instead).
 
-Plan: the metering side has one row per (warehouse, hour), so it is bounded by
-warehouses x hours in the window, not by query volume.  No join hint is given:
-with AQE on, Spark measures the metering side at run time and broadcasts it
-when it is under ``spark.sql.adaptive.autoBroadcastJoinThreshold``, and keeps
-a shuffled join (with skew splitting of a hot warehouse-hour) when it is not.
+Reports do not join query rows.  ``attributed_groups`` first reduces them to one
+row per (warehouse, hour, report keys) with map-side partial sums, joins those
+with the hour's credits, and rebuilds the fan-out sums as credits x queries: a
+hot warehouse-hour is combined before anything is shuffled, and neither side of
+the join grows with the number of queries.  ``attribute`` gives the joined query
+rows themselves, for reports on single queries.  No join hint is given: AQE
+measures the sides at run time.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ import datetime as dt
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterwise import params as P
@@ -63,3 +65,68 @@ def attribute(qh: DataFrame, meter: DataFrame, *, wh: str | None = P.WAREHOUSE,
         out = out.withColumn("credits_used", F.col("credits_used").cast("double") * F.col("total_elapsed_time")
                              / F.nullif(F.col("_hour_ms"), F.lit(0))).drop("_hour_ms")
     return out.drop("_hour")
+
+
+def meter_hours(meter: DataFrame, *, wh: str | None = P.WAREHOUSE, as_of: dt.datetime = P.AS_OF, days: int | None = None, **extra: Column) -> DataFrame:
+    """One row per (warehouse, hour): ``_m`` metering rows, ``_credits`` their exact sum, ``_known`` how many have credits, and ``extra`` sums."""
+    m = meter if wh is None else meter.filter(F.col("warehouse_name") == wh)
+    if days is not None:
+        m = m.filter(F.col("start_time") >= ntz(hour_floor(window_start(as_of, days))))
+    return (m.groupBy("warehouse_name", F.date_trunc("hour", "start_time").alias("_hour"))
+            .agg(F.count(F.lit(1)).alias("_m"), F.sum("credits_used").alias("_credits"), F.count("credits_used").alias("_known"),
+                 *(F.sum(c).alias(n) for n, c in extra.items())))
+
+
+def attributed_groups(qh: DataFrame, meter: DataFrame, keys: dict[str, Column], *, where: Column | None = None, distinct: bool = True,
+                      wh: str | None = P.WAREHOUSE, as_of: dt.datetime = P.AS_OF, days: int | None = None,
+                      success_only: bool = True, **extra: Column) -> DataFrame:
+    """Attribution grouped by ``keys`` without joining query rows.
+
+    Per group: ``rows`` (joined rows), ``query_count`` (distinct ids, with
+    ``distinct``), ``elapsed_ms``, ``credits`` (exact decimal sum over the
+    fan-out), ``credit_rows`` (joined rows with credits) and ``extra`` sums over
+    query rows.  Equal to grouping ``attribute``'s rows, also where an hour
+    has several metering rows, which repeat its queries.
+
+    Distinct ids do not depend on the join, so they are counted beside it: one
+    shuffle of (keys, query_id), with partial aggregation.
+    """
+    q = query_window(qh, wh=wh, as_of=as_of, days=days, success_only=success_only)
+    if where is not None:
+        q = q.filter(where)
+    named = [c.alias(n) for n, c in keys.items()]
+    hour = F.date_trunc("hour", "start_time").alias("_hour")
+    facts = q.groupBy("warehouse_name", hour, *named).agg(F.count(F.lit(1)).alias("_n"), F.sum("total_elapsed_time").alias("_ms"),
+                                                         *(F.sum(c).alias(n) for n, c in extra.items()))
+    times = F.coalesce(F.col("_m"), F.lit(1))
+    out = (facts.join(meter_hours(meter, wh=wh, as_of=as_of, days=days), ["warehouse_name", "_hour"], "left")
+           .groupBy(*keys).agg(F.sum(F.col("_n") * times).alias("rows"), F.sum(F.col("_ms") * times).alias("elapsed_ms"),
+                               F.sum(F.col("_n") * F.col("_credits")).alias("credits"),
+                               F.sum(F.col("_n") * F.coalesce("_known", F.lit(0))).alias("credit_rows"), *(F.sum(n).alias(n) for n in extra)))
+    if not distinct:
+        return out
+    ids = q.groupBy(*named).agg(F.count_distinct("query_id").alias("query_count"))
+    a, b = out.alias("a"), ids.alias("b")
+    same = reduce(and_, [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys])  # a row per group on both sides
+    return a.join(b, same).select("a.*", "b.query_count")
+
+
+def costliest(qh: DataFrame, meter: DataFrame, limit: int, *, wh: str | None = P.WAREHOUSE, as_of: dt.datetime = P.AS_OF,
+              days: int | None = None) -> DataFrame:
+    """The ``limit`` attributed query rows with the largest credits (ties: smallest query_id), without shuffling query rows.
+
+    Queries of an hour share its credits, so hours are ranked first, by credits
+    and then by their smallest query_id.  Each ranked hour holds a query, so the
+    first ``limit`` hours hold the result; only their queries are fetched, through
+    a broadcast of those ``limit`` rows.
+    """
+    q = query_window(qh, wh=wh, as_of=as_of, days=days).withColumn("_hour", F.date_trunc("hour", "start_time"))
+    # Null ids sort first, as in the result.
+    hours = q.groupBy("warehouse_name", "_hour").agg(F.max(F.col("query_id").isNull()).alias("_nulls"), F.min("query_id").alias("_first"))
+    m = meter if wh is None else meter.filter(F.col("warehouse_name") == wh)
+    if days is not None:
+        m = m.filter(F.col("start_time") >= ntz(hour_floor(window_start(as_of, days))))
+    m = m.filter(F.col("credits_used").isNotNull()).select("warehouse_name", F.date_trunc("hour", "start_time").alias("_hour"), "credits_used")
+    best = hours.join(m, ["warehouse_name", "_hour"]).orderBy(F.col("credits_used").desc(), F.col("_nulls").desc(), "_first").limit(limit).drop("_nulls", "_first")
+    return (q.join(F.broadcast(best), ["warehouse_name", "_hour"]).drop("_hour")
+            .orderBy(F.col("credits_used").desc(), F.col("query_id")).limit(limit))

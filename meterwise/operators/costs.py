@@ -16,21 +16,14 @@ from pyspark.sql import functions as F
 from meterwise import params as P
 from meterwise.functions.cost import estimate_cost
 from meterwise.functions.timeutil import diff_units, ntz, window_start
+from meterwise.operators.attribution import query_window
 from meterwise.operators.reports import meter_window, param_value
 from meterwise.sources.sinks import upsert
 
 
-def observed_hours(meter: DataFrame, *, wh=P.WAREHOUSE, as_of=P.AS_OF, days=7) -> F.Column:
-    """Metered hours of the window (minute boundaries / 60) as a scalar."""
-    return (meter_window(meter, wh=wh, as_of=as_of, days=days)
-            .select(F.sum(diff_units("minute", "start_time", "end_time")) / F.lit(60.0)).scalar())
-
-
-def observed_rate(meter: DataFrame, *, wh=P.WAREHOUSE, as_of=P.AS_OF, days=7) -> F.Column:
-    """Credits per metered hour of the window (A19, unrounded) as a scalar."""
-    m = meter_window(meter, wh=wh, as_of=as_of, days=days)
-    return m.select(F.sum("credits_used").cast("double")
-                    / F.nullif(F.sum(diff_units("minute", "start_time", "end_time")) / F.lit(60), F.lit(0.0))).scalar()
+def _rate() -> F.Column:
+    """Credits per metered hour (A19, unrounded) as an aggregate over metering rows."""
+    return F.sum("credits_used").cast("double") / F.nullif(F.sum(diff_units("minute", "start_time", "end_time")) / F.lit(60), F.lit(0.0))
 
 
 def observed_price(billing: DataFrame, *, as_of_date: dt.date = P.AS_OF_DATE, months: int = 3) -> F.Column:
@@ -44,23 +37,43 @@ def estimate_scenarios(meter: DataFrame, params: DataFrame, *, wh=P.WAREHOUSE, a
                        sizes=P.SIZE_SCENARIOS) -> DataFrame:
     """The window's metered hours priced on each size of the ladder.
 
-    One row per size; the size ladder is a literal of three rows, the hours
-    and the price are scalar sub-queries over the logs.
+    One row per size; the size ladder is a literal of three rows, stacked on
+    the one row of the window's hours.
     """
-    hours = observed_hours(meter, wh=wh, as_of=as_of, days=days)
     price = param_value(params, P.DOLLARS_PER_CREDIT)
-    m = meter_window(meter, wh=wh, as_of=as_of, days=days)
     ladder = ", ".join(f"'{s}', CAST({r} AS DOUBLE)" for s, r, _ in sizes)
     est = estimate_cost(F.col("runtime_hours"), F.col("credits_per_hour"), price)
-    return (m.agg(F.count(F.lit(1)).alias("_n"))
-            .selectExpr(f"stack({len(sizes)}, {ladder}) AS (size, credits_per_hour)")
-            .withColumn("runtime_hours", F.round(hours, 6))
+    m = meter_window(meter, wh=wh, as_of=as_of, days=days)  # the row of the sum is the row the ladder is stacked on
+    return (m.agg((F.sum(diff_units("minute", "start_time", "end_time")) / F.lit(60.0)).alias("_h"))
+            .selectExpr("_h", f"stack({len(sizes)}, {ladder}) AS (size, credits_per_hour)")
+            .withColumn("runtime_hours", F.round("_h", 6))
             .withColumn("cost_estimate", est)
             .select("size", "runtime_hours", "credits_per_hour",
                     F.round("cost_estimate.estimated_credits", 6).alias("estimated_credits"),
                     F.round("cost_estimate.estimated_dollars", 6).alias("estimated_dollars")))
 
 
+def job_scenarios(qh: DataFrame, params: DataFrame, *, wh=P.WAREHOUSE, as_of=P.AS_OF, days=30) -> DataFrame:
+    """The two planned jobs on the medium rate, beside what such jobs took in the log (one pass).
+
+    Observed: the mean training run, and 30 days of the mean daily inference time.
+    """
+    q = query_window(qh, wh=wh, as_of=as_of, days=days)
+    training, inference = (F.col("query_tag").contains(f"WORKLOAD:{w}") for w in ("TRAINING", "INFERENCE"))
+    hours = q.agg((F.avg(F.when(training, F.col("total_elapsed_time"))) / F.lit(3600000.0)).alias("a"),
+                  (F.lit(30.0) * F.sum(F.when(inference, F.col("total_elapsed_time"))) / F.lit(3600000.0)
+                   / F.nullif(F.count_distinct(F.when(inference, F.col("start_time").cast("date"))), F.lit(0))).alias("b"))
+    rate, price = param_value(params, P.MEDIUM_CREDITS_PER_HOUR), param_value(params, P.DOLLARS_PER_CREDIT)
+    rows = F.array(*(F.struct(F.lit(n).alias("scenario"), F.lit(h).alias("planned_hours"), F.col(c).alias("observed_hours"))
+                     for (n, h), c in zip(P.JOB_SCENARIOS, ("a", "b"))))
+    planned, observed = (estimate_cost(F.col(c), rate, price) for c in ("planned_hours", "observed_hours"))
+    return (hours.select(F.explode(rows).alias("r")).select("r.*")
+            .select("scenario", "planned_hours", F.round(planned.getField("estimated_credits"), 6).alias("planned_credits"),
+                    F.round(planned.getField("estimated_dollars"), 6).alias("planned_dollars"), F.round("observed_hours", 6).alias("observed_hours"),
+                    F.round(observed.getField("estimated_credits"), 6).alias("observed_credits"),
+                    F.round(observed.getField("estimated_dollars"), 6).alias("observed_dollars")))
+
+
 def preflight_estimate(qh: DataFrame, meter: DataFrame, billing: DataFrame, params: DataFrame, *,
                        job_pattern: str = "%job_purchase%", wh=P.WAREHOUSE, as_of=P.AS_OF, days=7) -> DataFrame:
     """Expected runtime (A21) x observed rate (A19) x billed price.
@@ -71,10 +84,11 @@ def preflight_estimate(qh: DataFrame, meter: DataFrame, billing: DataFrame, para
     runtime_h = (qh.filter((F.col("start_time") >= ntz(window_start(as_of, days)))
                            & F.col("query_text").ilike(job_pattern))
                  .select(F.avg(diff_units("minute", "start_time", "end_time")) / F.lit(60.0)).scalar())
-    rate = observed_rate(meter, wh=wh, as_of=as_of, days=days)
     price = observed_price(billing)
     large = param_value(params, P.LARGE_CREDITS_PER_HOUR)
-    base = meter_window(meter, wh=wh, as_of=as_of, days=days).agg(F.count(F.lit(1)).alias("_n"))
+    m = meter_window(meter, wh=wh, as_of=as_of, days=days)  # the rate's own row carries the others
+    base = m.agg(_rate().alias("_rate"))
+    rate = F.col("_rate")
     est = estimate_cost(runtime_h, rate, price)
     large_est = estimate_cost(runtime_h, large, param_value(params, P.DOLLARS_PER_CREDIT))
     return base.select(
@@ -104,11 +118,11 @@ def refresh_cost_params(params: DataFrame, meter: DataFrame, billing: DataFrame,
     DOLLARS_PER_CREDIT is updated from billing; OBSERVED_CREDITS_PER_HOUR is
     inserted (or updated); untouched rows keep their stamp.
     """
-    src = (meter_window(meter, wh=wh, as_of=as_of, days=days).agg(F.count(F.lit(1)).alias("_n"))
+    src = (meter_window(meter, wh=wh, as_of=as_of, days=days).agg(_rate().alias("_rate"))
            .select(F.explode(F.array(
                F.struct(F.lit(P.DOLLARS_PER_CREDIT).alias("param_name"),
                         observed_price(billing).alias("param_value")),
                F.struct(F.lit("OBSERVED_CREDITS_PER_HOUR").alias("param_name"),
-                        F.round(observed_rate(meter, wh=wh, as_of=as_of, days=days), 6).alias("param_value")),
+                        F.round("_rate", 6).alias("param_value")),
            )).alias("s")).select("s.*"))
     return upsert(params, src, ["param_name"], stamp_col="updated_at", stamp=as_of)

@@ -13,22 +13,20 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterwise import params as P
-from meterwise.functions.tags import model_path, workload_type
-from meterwise.functions.timeutil import diff_units
-from meterwise.operators.attribution import attribute, query_window
-from meterwise.operators.reports import meter_window, param_value, query_performance, warehouse_load
+from meterwise.functions.tags import workload_type
+from meterwise.functions.timeutil import diff_units, ntz, window_start
+from meterwise.operators.attribution import attributed_groups, meter_hours, query_window
+from meterwise.operators.reports import meter_window, param_value, path_groups, query_performance, warehouse_load
 from meterwise.operators.selection import median
 
 
 # --------------------------------------------------------- sources (dash) ---
 
-def cost_by_workload_dash(qh, meter, *, wh=P.WAREHOUSE, as_of=P.AS_OF, days=7) -> DataFrame:
-    """Dashboard cost table: per workload and path, credits kept exact (decimal)."""
-    return (attribute(qh, meter, wh=wh, as_of=as_of, days=days)
-            .groupBy(workload_type().alias("workload_type"), model_path().alias("model_path"))
-            .agg(F.count_distinct("query_id").alias("query_count"),
-                 (F.sum("total_elapsed_time") / F.lit(3600000.0)).alias("total_execution_hours"),
-                 F.sum("credits_used").alias("total_credits")))
+def cost_by_workload_dash(qh, meter, *, wh=P.WAREHOUSE, as_of=P.AS_OF, days=7, groups: DataFrame | None = None) -> DataFrame:
+    """Dashboard cost table: per workload and path, credits kept exact (decimal), from ``path_groups`` computed here or given."""
+    return ((groups if groups is not None else path_groups(qh, meter, wh=wh, as_of=as_of, days=days))
+            .select("workload_type", "model_path", "query_count",
+                    (F.col("elapsed_ms") / F.lit(3600000.0)).alias("total_execution_hours"), F.col("credits").alias("total_credits")))
 
 
 # ---------------------------------------------------------------- D1 - D6 ---
@@ -52,20 +50,20 @@ def queue_alert(load, *, wh=P.WAREHOUSE, as_of=P.AS_OF, days=7) -> DataFrame:
             .withColumn("queuing_detected", F.coalesce(F.col("peak_queued_queries") > 0, F.lit(False))))
 
 
-def workload_costs(qh, meter, params, *, wh=P.WAREHOUSE, as_of=P.AS_OF, days=7) -> DataFrame:
+def workload_costs(qh, meter, params, *, wh=P.WAREHOUSE, as_of=P.AS_OF, days=7, groups: DataFrame | None = None) -> DataFrame:
     """D3: credits, cost and query count per workload type."""
     price = param_value(params, default=P.PARAM_DEFAULTS[P.DOLLARS_PER_CREDIT])
-    return (cost_by_workload_dash(qh, meter, wh=wh, as_of=as_of, days=days)
+    return (cost_by_workload_dash(qh, meter, wh=wh, as_of=as_of, days=days, groups=groups)
             .groupBy("workload_type")
             .agg(F.sum("total_credits").cast("double").alias("total_credits"),
                  F.sum("query_count").alias("query_count"))
             .withColumn("estimated_cost", F.round(F.col("total_credits") * price, 6)))
 
 
-def path_costs(qh, meter, params, *, wh=P.WAREHOUSE, as_of=P.AS_OF, days=7) -> DataFrame:
+def path_costs(qh, meter, params, *, wh=P.WAREHOUSE, as_of=P.AS_OF, days=7, groups: DataFrame | None = None) -> DataFrame:
     """As D3 per model path, OTHER left out."""
     price = param_value(params, default=P.PARAM_DEFAULTS[P.DOLLARS_PER_CREDIT])
-    return (cost_by_workload_dash(qh, meter, wh=wh, as_of=as_of, days=days)
+    return (cost_by_workload_dash(qh, meter, wh=wh, as_of=as_of, days=days, groups=groups)
             .filter(F.col("model_path") != P.PATH_DEFAULT)
             .groupBy("model_path")
             .agg(F.sum("total_credits").cast("double").alias("total_credits"),
@@ -73,10 +71,10 @@ def path_costs(qh, meter, params, *, wh=P.WAREHOUSE, as_of=P.AS_OF, days=7) -> D
             .withColumn("estimated_cost", F.round(F.col("total_credits") * price, 6)))
 
 
-def cost_breakdown(qh, meter, params, *, wh=P.WAREHOUSE, as_of=P.AS_OF, days=7) -> DataFrame:
+def cost_breakdown(qh, meter, params, *, wh=P.WAREHOUSE, as_of=P.AS_OF, days=7, groups: DataFrame | None = None) -> DataFrame:
     """The detailed table, renamed and rounded."""
     price = param_value(params, default=P.PARAM_DEFAULTS[P.DOLLARS_PER_CREDIT])
-    c = cost_by_workload_dash(qh, meter, wh=wh, as_of=as_of, days=days)
+    c = cost_by_workload_dash(qh, meter, wh=wh, as_of=as_of, days=days, groups=groups)
     return c.select(F.col("workload_type").alias("workload"), "model_path",
                     F.col("query_count").alias("queries"),
                     F.round("total_credits", 4).cast("double").alias("credits"),
@@ -125,12 +123,15 @@ def workload_perf(qh, *, wh=P.WAREHOUSE, as_of=P.AS_OF, days=7, limit: int | Non
 
 def runtime_histogram(qh, *, wh=P.WAREHOUSE, as_of=P.AS_OF, days=7, bins=P.HISTOGRAM_BINS,
                       limit: int | None = None) -> DataFrame:
-    """Equal-width run-time bins (over min..max) per workload, over the window (or its ``limit`` slowest)."""
+    """Equal-width run-time bins (over min..max) per workload, over the window (or its ``limit`` slowest).
+
+    The ends are one scalar sub-query with both figures, shared by every use.
+    """
     perf = query_performance(qh, wh=wh, as_of=as_of, days=days, limit=limit)
-    lo = perf.select(F.min("execution_time_seconds")).scalar()
-    hi = perf.select(F.max("execution_time_seconds")).scalar()
-    width = (hi - lo) / F.lit(bins)
     x = F.col("execution_time_seconds")
+    ends = perf.select(F.struct(F.min(x).alias("lo"), F.max(x).alias("hi"))).scalar()
+    lo = ends.getField("lo")
+    width = (ends.getField("hi") - lo) / F.lit(bins)
     b = F.when(width > 0, F.least(F.floor((x - lo) / F.nullif(width, F.lit(0.0))), F.lit(bins - 1))).otherwise(0)
     return (perf.groupBy("workload_type", b.cast("int").alias("bin"))
             .agg(F.count(F.lit(1)).alias("query_count"))
@@ -149,37 +150,45 @@ def queued_queries(qh, *, wh=P.WAREHOUSE, as_of=P.AS_OF, days=7, limit=10) -> Da
 
 # ---------------------------------------------------------------- D11 -------
 
-def _utilisation(meter, *, wh, as_of, days, mode: str) -> Column:
-    """Share of hours with activity, in percent.
+def usage_hours(qh, meter, *, wh=P.WAREHOUSE, as_of=P.AS_OF, days=7, meter_days: int | None = None) -> DataFrame:
+    """One row per (warehouse, hour) with query or metering figures: every log read once for all rules and bands.
 
-    ``reference`` counts metered hours with at least one metering row over the
-    metered hours (always 100 when any row exists); ``calendar`` divides the
-    metered hours by the calendar hours of the window.
+    Query figures are of the last ``days``; metering figures of the last
+    ``meter_days`` (``days`` if not given), with ``in_window`` rows, and seconds,
+    of the last ``days``.  Hours cut by a window keep all their credits for
+    attribution; ``trend_credits`` are those from the window's start on.
     """
-    m = meter_window(meter, wh=wh, as_of=as_of, days=days)
-    active = F.count_distinct(F.date_trunc("hour", "start_time")).cast("double")
-    if mode == "calendar":
-        return m.select(F.lit(100.0) * active / F.lit(float(days * 24))).scalar()
-    return m.select(F.lit(100.0) * active / F.nullif(active, F.lit(0.0))).scalar()
+    untagged = workload_type() == P.WORKLOAD_DEFAULT
+    facts = (query_window(qh, wh=wh, as_of=as_of, days=days)
+             .groupBy("warehouse_name", F.date_trunc("hour", "start_time").alias("_hour"))
+             .agg(F.count(F.lit(1)).alias("queries"), F.count_if(untagged).alias("untagged_queries"),
+                  F.count_if(F.col("total_elapsed_time") > P.SLOW_QUERY_SECONDS * 1000).alias("slow_queries"),
+                  F.sum("total_elapsed_time").alias("elapsed_ms"), F.sum("queued_overload_time").alias("queued_ms")))
+    inside = F.col("start_time") >= ntz(window_start(as_of, days))
+    seconds = diff_units("second", "start_time", "end_time")
+    hours = meter_hours(meter, wh=wh, as_of=as_of, days=max(days, meter_days or days), in_window=inside.cast("long"),
+                        session_seconds=F.when(inside, seconds),
+                        trend_credits=F.when(F.col("start_time") >= ntz(window_start(as_of, meter_days or days)), F.col("credits_used")))
+    return facts.join(hours, ["warehouse_name", "_hour"], "full_outer")
 
 
 def recommendation_metrics(qh, meter, load, *, wh=P.WAREHOUSE, as_of=P.AS_OF, days=7,
                            utilisation_mode: str = "calendar") -> DataFrame:
-    """One row with every figure the rules need (each a scalar sub-query)."""
-    perf = query_performance(qh, wh=wh, as_of=as_of, days=days, limit=None)
-    cost = cost_by_workload_dash(qh, meter, wh=wh, as_of=as_of, days=days)
-    credits = cost.select(F.struct(
-        F.sum(F.when(F.col("workload_type") == P.WORKLOAD_DEFAULT, F.col("total_credits"))).cast("double").alias("u"),
-        F.sum("total_credits").cast("double").alias("a"))).scalar()   # one pass, two figures
-    untagged, all_credits = credits.getField("u"), credits.getField("a")
-    return (warehouse_load(load, wh=wh, as_of=as_of, days=days)
-            .agg(F.max("avg_queued_queries").alias("max_queued"))
-            .select("max_queued",
-                    _utilisation(meter, wh=wh, as_of=as_of, days=days, mode=utilisation_mode).alias("utilisation_pct"),
-                    perf.select(F.count_if(F.col("execution_time_seconds") > P.SLOW_QUERY_SECONDS)).scalar()
-                    .alias("slow_queries"),
-                    untagged.alias("untagged_credits"),
-                    (F.lit(100.0) * untagged / F.nullif(all_credits, F.lit(0.0))).alias("untagged_pct")))
+    """One row with every figure the rules need, from one pass over each log.
+
+    Utilisation: ``reference`` divides the hours with metering rows by
+    themselves (always 100 when any row exists); ``calendar`` by the window's hours.
+    """
+    metered = F.count_distinct(F.when(F.col("in_window") > 0, F.col("_hour"))).cast("double")
+    span = F.lit(float(days * 24)) if utilisation_mode == "calendar" else F.nullif(metered, F.lit(0.0))
+    # A query row appears once per metering row of its hour, so credits are the hour's sum times its queries.
+    untagged = F.sum(F.when(F.col("untagged_queries") > 0, F.col("untagged_queries") * F.col("_credits"))).cast("double")
+    every = F.sum(F.col("queries") * F.col("_credits")).cast("double")
+    peak = warehouse_load(load, wh=wh, as_of=as_of, days=days).select(F.max("avg_queued_queries")).scalar()
+    return (usage_hours(qh, meter, wh=wh, as_of=as_of, days=days)
+            .agg((F.lit(100.0) * metered / span).alias("utilisation_pct"), F.coalesce(F.sum("slow_queries"), F.lit(0)).alias("slow_queries"),
+                 untagged.alias("untagged_credits"), (F.lit(100.0) * untagged / F.nullif(every, F.lit(0.0))).alias("untagged_pct"))
+            .withColumn("max_queued", peak))
 
 
 def _fmt1(c: Column) -> Column:
@@ -188,30 +197,30 @@ def _fmt1(c: Column) -> Column:
 
 def recommendations(qh, meter, load, *, wh=P.WAREHOUSE, as_of=P.AS_OF, days=7,
                     utilisation_mode: str = "calendar") -> DataFrame:
-    """The four rules; fired ones only, ordered by priority."""
+    """The four rules, each with the step to take; fired ones only, ordered by priority."""
     m = recommendation_metrics(qh, meter, load, wh=wh, as_of=as_of, days=days, utilisation_mode=utilisation_mode)
     rank = dict(P.PRIORITY_RANK)
 
-    def rule(fired, priority, category, issue, advice):
+    def rule(fired, priority, category, issue, advice, action):
         return F.struct(fired.alias("fired"), F.lit(priority).alias("priority"), F.lit(category).alias("category"),
-                        issue.alias("issue"), advice.alias("recommendation"),
+                        issue.alias("issue"), advice.alias("recommendation"), F.lit(P.ACTIONS[action]).alias("action"),
                         F.lit(rank[priority]).alias("priority_rank"))
 
     rules = F.array(
         rule(F.col("max_queued") > P.QUEUE_PEAK_HIGH, "HIGH", "Performance",
              F.lit("Queries are queuing"),
              F.concat(F.lit("Peak queued load "), _fmt1(F.col("max_queued")),
-                      F.lit("; use a larger warehouse or more clusters."))),
+                      F.lit("; use a larger warehouse or more clusters.")), "queued"),
         rule(F.col("utilisation_pct") < P.LOW_UTILISATION_PCT, "MEDIUM", "Cost",
              F.concat(F.lit("Utilisation is low ("), _fmt1(F.col("utilisation_pct")), F.lit("%)")),
-             F.lit("Shorten auto-suspend or consolidate workloads.")),
+             F.lit("Shorten auto-suspend or consolidate workloads."), "idle"),
         rule(F.col("slow_queries") > 0, "MEDIUM", "Performance",
              F.concat(F.col("slow_queries").cast("string"), F.lit(" queries ran longer than "),
                       F.lit(str(P.SLOW_QUERY_SECONDS)), F.lit(" s")),
-             F.lit("Review their plans; consider clustering or materialised results.")),
+             F.lit("Review their plans; consider clustering or materialised results."), "slow"),
         rule(F.col("untagged_credits") > 0, "LOW", "Monitoring",
              F.concat(_fmt1(F.col("untagged_pct")), F.lit("% of credits are untagged")),
-             F.lit("Tag every workload as WORKLOAD:<type>|PATH:<path>.")),
+             F.lit("Tag every workload as WORKLOAD:<type>|PATH:<path>."), "untagged"),
     )
     return (m.select(F.explode(rules).alias("r")).select("r.*")
             .filter(F.coalesce(F.col("fired"), F.lit(False))).drop("fired")
@@ -228,36 +237,30 @@ def _band(value: Column, ok_below: float, act_above: float | None = None) -> Col
 
 
 def kpi_status(qh, meter, *, wh=P.WAREHOUSE, as_of=P.AS_OF, days=7, trend_days=30) -> DataFrame:
-    """KPI values against the monitoring guide's bands.
+    """KPI values against the monitoring guide's bands, from one pass over each log.
 
     daily variance = largest day-over-day change of daily credits (percent,
-    over ``trend_days`` -- a window over at most that many daily rows);
-    untagged, queue and idle shares and calendar utilisation over ``days``.
+    over ``trend_days``); untagged share of queries, queue and idle shares and
+    calendar utilisation over ``days``.  Hours become days (``trend_days`` rows,
+    over which the lag runs), and days one row.
     """
-    daily = (meter_window(meter, wh=wh, as_of=as_of, days=trend_days)
-             .groupBy(F.col("start_time").cast("date").alias("date"))
-             .agg(F.sum("credits_used").cast("double").alias("credits")))
+    sums = ("queries", "untagged_queries", "elapsed_ms", "queued_ms", "session_seconds")
+    daily = (usage_hours(qh, meter, wh=wh, as_of=as_of, days=days, meter_days=trend_days)
+             .groupBy(F.col("_hour").cast("date").alias("date"))
+             .agg(F.sum("trend_credits").cast("double").alias("credits"),
+                  F.count_distinct(F.when(F.col("in_window") > 0, F.col("_hour"))).alias("hours"),
+                  *(F.sum(c).alias(c) for c in sums)))
     prev = F.lag("credits").over(Window.orderBy("date"))
-    variance = (daily.select((F.lit(100.0) * F.abs(F.col("credits") - prev) / F.nullif(prev, F.lit(0.0))).alias("v"))
-                .select(F.max("v")).scalar())
-    att = attribute(qh, meter, wh=wh, as_of=as_of, days=days)
-    untagged = att.select(
-        F.lit(100.0) * F.sum(F.when(workload_type() == P.WORKLOAD_DEFAULT, F.col("credits_used"))).cast("double")
-        / F.nullif(F.sum("credits_used").cast("double"), F.lit(0.0))).scalar()
-    q = query_window(qh, wh=wh, as_of=as_of, days=days)
-    qs = q.select(F.struct(F.sum("queued_overload_time").alias("queued"),
-                           F.sum("total_elapsed_time").alias("elapsed"))).scalar()   # one pass, two figures
-    queue = F.lit(100.0) * qs.getField("queued") / F.nullif(qs.getField("elapsed"), F.lit(0))
-    active_h = qs.getField("elapsed") / F.lit(1000.0) / F.lit(3600.0)
-    # The metering window is the base row: session hours and metered hours in one pass.
-    m = meter_window(meter, wh=wh, as_of=as_of, days=days)
-    base = m.agg((F.sum(diff_units("second", "start_time", "end_time")) / F.lit(3600.0)).alias("_session_h"),
-                 F.count_distinct(F.date_trunc("hour", "start_time")).cast("double").alias("_hours"))
-    session_h = F.col("_session_h")
-    idle = F.lit(100.0) * (session_h - active_h) / F.nullif(session_h, F.lit(0.0))
-    util = F.lit(100.0) * F.col("_hours") / F.lit(float(days * 24))
+    m = (daily.withColumn("change", F.lit(100.0) * F.abs(F.col("credits") - prev) / F.nullif(prev, F.lit(0.0)))
+         .agg(F.max("change").alias("variance"), F.sum("hours").cast("double").alias("hours"), *(F.sum(c).alias(c) for c in sums)))
+    variance = F.col("variance")
+    untagged = F.lit(100.0) * F.col("untagged_queries") / F.nullif(F.col("queries"), F.lit(0))
+    queue = F.lit(100.0) * F.col("queued_ms") / F.nullif(F.col("elapsed_ms"), F.lit(0))
+    session_h = F.col("session_seconds") / F.lit(3600.0)
+    idle = F.lit(100.0) * (session_h - F.col("elapsed_ms") / F.lit(1000.0) / F.lit(3600.0)) / F.nullif(session_h, F.lit(0.0))
+    util = F.lit(100.0) * F.col("hours") / F.lit(float(days * 24))
     lo, hi = P.UTILISATION_BAND
-    return (base.select(F.explode(F.array(
+    return (m.select(F.explode(F.array(
         F.struct(F.lit("daily_cost_variance_pct").alias("kpi"), F.round(variance, 2).alias("value"),
                  _band(variance, P.DAILY_VARIANCE_OK_PCT, P.DAILY_VARIANCE_ACT_PCT).alias("status")),
         F.struct(F.lit("untagged_pct").alias("kpi"), F.round(untagged, 2).alias("value"),
@@ -270,3 +273,42 @@ def kpi_status(qh, meter, *, wh=P.WAREHOUSE, as_of=P.AS_OF, days=7, trend_days=3
                  F.when(util.isNull(), F.lit(None)).when(util < lo, "LOW").when(util <= hi, "OK")
                  .otherwise("HIGH").alias("status")),
     )).alias("k")).select("k.*"))
+
+
+def kpi_trends(qh, meter, *, wh=P.WAREHOUSE, as_of=P.AS_OF, days=7) -> DataFrame:
+    """D12, the guide's trends: each figure of the last ``days`` against the ``days`` before them.
+
+    change_pct is null without an earlier figure.  A cost per run that doubled
+    or a query time that grew by half is ACT; any other growth of a figure that
+    should not grow is WATCH; queued queries are WATCH where there are any.
+    """
+    recent = F.col("start_time") >= ntz(window_start(as_of, days))
+    groups = attributed_groups(qh, meter, {"workload_type": workload_type(), "recent": recent}, distinct=False, wh=wh, as_of=as_of,
+                               days=2 * days, q=F.lit(1), own_ms=F.col("total_elapsed_time"), read_bytes=F.col("bytes_scanned"),
+                               queued=(F.col("queued_overload_time") > 0).cast("long"))
+
+    def total(column: str, now: bool, workload: str | None) -> Column:
+        chosen = F.col("recent") if now else ~F.col("recent")
+        return F.sum(F.when(chosen if workload is None else chosen & (F.col("workload_type") == workload), F.col(column))).cast("double")
+
+    def ratio(a: str, b: str, scale: float = 1.0, workload: str | None = None) -> list[Column]:
+        return [total(a, now, workload) / F.nullif(total(b, now, workload) * scale, F.lit(0.0)) for now in (True, False)]
+
+    figures = {"training_credits_per_run": ratio("credits", "rows", workload="TRAINING"),
+               "inference_credits_per_run": ratio("credits", "rows", workload="INFERENCE"),
+               "avg_query_seconds": ratio("own_ms", "q", 1000.0), "credits_per_execution": ratio("credits", "rows"),
+               "gb_scanned_per_query": ratio("read_bytes", "q", 1073741824.0),
+               "queued_queries": [total("queued", now, None) for now in (True, False)]}
+    row = groups.agg(*(c.alias(f"{n}_{when}") for n, pair in figures.items() for c, when in zip(pair, ("now", "before"))))
+
+    def entry(name: str) -> Column:
+        now, before = F.col(f"{name}_now"), F.col(f"{name}_before")
+        change = F.lit(100.0) * (now - before) / F.nullif(before, F.lit(0.0))
+        acts = P.TREND_ACT_PCT.get(name)
+        grown = F.when(change.isNull(), F.lit(None))
+        grown = (grown if acts is None else grown.when(change >= acts, "ACT")).when(change > 0, "WATCH").otherwise("OK")
+        status = F.when(now > 0, "WATCH").otherwise("OK") if name == "queued_queries" else grown
+        return F.struct(F.lit(name).alias("kpi"), F.round(now, 6).alias("current"), F.round(before, 6).alias("previous"),
+                        F.round(change, 2).alias("change_pct"), status.alias("status"))
+
+    return row.select(F.explode(F.array(*map(entry, figures))).alias("k")).select("k.*")

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from meterwise import params as P
 from meterwise.functions.tags import model_path, parse_tag, workload_type
 from meterwise.functions.timeutil import diff_units, last_days, ntz, trunc, window_start
-from meterwise.operators.attribution import attribute, query_window
+from meterwise.operators.attribution import attributed_groups, costliest, query_window
 
 
 # ---------------------------------------------------------------- helpers ---
@@ -42,6 +42,19 @@ def credits_avg(c: str = "credits_used") -> Column:
     return F.sum(c).cast("double") / F.nullif(F.count(c), F.lit(0))
 
 
+def group_credits() -> Column:
+    """Attributed credits of an ``attributed_groups`` row, exact until here."""
+    return F.col("credits").cast("double")
+
+
+def group_credits_avg() -> Column:
+    return group_credits() / F.nullif(F.col("credit_rows"), F.lit(0))
+
+
+def group_seconds_avg() -> Column:
+    return F.col("elapsed_ms").cast("double") / F.col("rows") / F.lit(1000)
+
+
 def seconds_avg(ms: str = "total_elapsed_time") -> Column:
     return F.avg(ms) / F.lit(1000)
 
@@ -93,67 +106,57 @@ def warehouse_load(load: DataFrame, *, wh=P.WAREHOUSE, as_of=P.AS_OF, days=7) ->
 def cost_by_workload(qh, meter, params, *, wh=P.WAREHOUSE, as_of=P.AS_OF, days=14) -> DataFrame:
     """A3: attributed credits per workload type."""
     price = param_value(params)
-    return (attribute(qh, meter, wh=wh, as_of=as_of, days=days)
-            .groupBy(workload_type().alias("workload_type"))
-            .agg(F.count_distinct("query_id").alias("query_count"),
-                 F.round(F.sum("total_elapsed_time") / F.lit(3600000.0), 6).alias("total_execution_hours"),
-                 credits_sum().alias("total_credits"),
-                 F.round(credits_avg(), 6).alias("avg_credits_per_query"),
-                 F.sum("credits_used").cast("double").alias("_c"))
-            .withColumn("estimated_cost_dollars", F.round(F.col("_c") * price, 6)).drop("_c")
+    return (attributed_groups(qh, meter, {"workload_type": workload_type()}, wh=wh, as_of=as_of, days=days)
+            .select("workload_type", "query_count",
+                    F.round(F.col("elapsed_ms") / F.lit(3600000.0), 6).alias("total_execution_hours"),
+                    group_credits().alias("total_credits"),
+                    F.round(group_credits_avg(), 6).alias("avg_credits_per_query"),
+                    F.round(group_credits() * price, 6).alias("estimated_cost_dollars"))
             .orderBy(F.col("total_credits").desc_nulls_last()))
 
 
-def cost_by_workload_path(qh, meter, params, *, wh=P.WAREHOUSE, as_of=P.AS_OF, days=7) -> DataFrame:
-    """A4: attributed credits per workload type and model path, rounded."""
+def path_groups(qh, meter, *, wh=P.WAREHOUSE, as_of=P.AS_OF, days=7) -> DataFrame:
+    """Attribution per workload type and model path: A4, D3, D4 and D5 all derive from it, so a job computes it once."""
+    return attributed_groups(qh, meter, {"workload_type": workload_type(), "model_path": model_path()}, wh=wh, as_of=as_of, days=days)
+
+
+def cost_by_workload_path(qh, meter, params, *, wh=P.WAREHOUSE, as_of=P.AS_OF, days=7, groups: DataFrame | None = None) -> DataFrame:
+    """A4: attributed credits per workload type and model path, rounded (from ``groups`` if given)."""
     price = param_value(params)
-    return (attribute(qh, meter, wh=wh, as_of=as_of, days=days)
-            .groupBy(workload_type().alias("workload_type"), model_path().alias("model_path"))
-            .agg(F.count_distinct("query_id").alias("query_count"),
-                 F.round(F.sum("total_elapsed_time") / F.lit(3600000.0), 2).alias("total_execution_hours"),
-                 F.round(F.sum("credits_used"), 4).cast("double").alias("total_credits"),
-                 F.round(credits_avg(), 6).alias("avg_credits_per_query"),
-                 credits_sum().alias("_c"))
-            .withColumn("estimated_cost_dollars", F.round(F.col("_c") * price, 2)).drop("_c")
+    return ((groups if groups is not None else path_groups(qh, meter, wh=wh, as_of=as_of, days=days))
+            .select("workload_type", "model_path", "query_count",
+                    F.round(F.col("elapsed_ms") / F.lit(3600000.0), 2).alias("total_execution_hours"),
+                    F.round("credits", 4).cast("double").alias("total_credits"),
+                    F.round(group_credits_avg(), 6).alias("avg_credits_per_query"),
+                    F.round(group_credits() * price, 2).alias("estimated_cost_dollars"))
             .orderBy(F.col("total_credits").desc_nulls_last()))
 
 
 def path_comparison(qh, meter, params, *, wh=P.WAREHOUSE, as_of=P.AS_OF, days=14) -> DataFrame:
     """A5: tagged model paths only, COUNT(*) per path and workload."""
     price = param_value(params)
-    wl = workload_type(classes=("TRAINING", "INFERENCE"), default=None)
-    mp = model_path(default=None)
-    return (attribute(qh, meter, wh=wh, as_of=as_of, days=days)
-            .filter(F.col("query_tag").isNotNull())
-            .select(mp.alias("model_path"), wl.alias("workload_type"), "total_elapsed_time", "credits_used")
-            .filter(F.col("model_path").isNotNull() & F.col("workload_type").isNotNull())
-            .groupBy("model_path", "workload_type")
-            .agg(F.count(F.lit(1)).alias("execution_count"),
-                 F.round(seconds_avg(), 2).alias("avg_seconds"),
-                 F.round(F.sum("credits_used"), 4).cast("double").alias("total_credits"),
-                 credits_sum().alias("_c"), credits_avg().alias("_a"))
-            .withColumn("total_cost_dollars", F.round(F.col("_c") * price, 2))
-            .withColumn("avg_cost_per_run_dollars", F.round(F.col("_a") * price, 4))
-            .drop("_c", "_a")
+    keys = {"model_path": model_path(default=None), "workload_type": workload_type(classes=("TRAINING", "INFERENCE"), default=None)}
+    known = reduce(and_, [k.isNotNull() for k in keys.values()])
+    return (attributed_groups(qh, meter, keys, where=known, distinct=False, wh=wh, as_of=as_of, days=days)
+            .select("model_path", "workload_type", F.col("rows").alias("execution_count"),
+                    F.round(group_seconds_avg(), 2).alias("avg_seconds"),
+                    F.round("credits", 4).cast("double").alias("total_credits"),
+                    F.round(group_credits() * price, 2).alias("total_cost_dollars"),
+                    F.round(group_credits_avg() * price, 4).alias("avg_cost_per_run_dollars"))
             .orderBy("model_path", "workload_type"))
 
 
 def path_workload_comparison(qh, meter, params, *, wh=P.WAREHOUSE, as_of=P.AS_OF, days=14) -> DataFrame:
     """Paths other than OTHER, per path and (two-class) workload."""
     price = param_value(params)
-    wl = workload_type(classes=("TRAINING", "INFERENCE"), default="OTHER")
-    return (attribute(qh, meter, wh=wh, as_of=as_of, days=days)
-            .filter(F.col("query_tag").isNotNull())
-            .select("query_id", model_path().alias("model_path"), wl.alias("workload_type"),
-                    "total_elapsed_time", "credits_used")
-            .filter(F.col("model_path") != "OTHER")
-            .groupBy("model_path", "workload_type")
-            .agg(F.count_distinct("query_id").alias("query_count"),
-                 F.round(seconds_avg(), 2).alias("avg_execution_seconds"),
-                 F.round(F.sum("credits_used"), 4).cast("double").alias("total_credits"),
-                 F.round(credits_avg(), 6).alias("avg_credits_per_query"),
-                 credits_sum().alias("_c"))
-            .withColumn("estimated_cost_dollars", F.round(F.col("_c") * price, 2)).drop("_c")
+    keys = {"model_path": model_path(), "workload_type": workload_type(classes=("TRAINING", "INFERENCE"), default="OTHER")}
+    return (attributed_groups(qh, meter, keys, where=F.col("query_tag").isNotNull() & (keys["model_path"] != P.PATH_DEFAULT),
+                              wh=wh, as_of=as_of, days=days)
+            .select("model_path", "workload_type", "query_count",
+                    F.round(group_seconds_avg(), 2).alias("avg_execution_seconds"),
+                    F.round("credits", 4).cast("double").alias("total_credits"),
+                    F.round(group_credits_avg(), 6).alias("avg_credits_per_query"),
+                    F.round(group_credits() * price, 2).alias("estimated_cost_dollars"))
             .orderBy("model_path", "workload_type"))
 
 
@@ -198,12 +201,9 @@ def query_performance(qh, *, wh=P.WAREHOUSE, as_of=P.AS_OF, days=7,
 
 
 def expensive_queries(qh, meter, params, *, wh=P.WAREHOUSE, as_of=P.AS_OF, days=7, limit=20) -> DataFrame:
-    """Queries with the largest attributed credits (ties broken by id)."""
+    """Queries with the largest attributed credits (ties broken by id); hours are ranked before queries are fetched."""
     price = param_value(params)
-    return (attribute(qh, meter, wh=wh, as_of=as_of, days=days)
-            .filter(F.col("credits_used").isNotNull())
-            .orderBy(F.col("credits_used").desc(), F.col("query_id"))
-            .limit(limit)
+    return (costliest(qh, meter, limit, wh=wh, as_of=as_of, days=days)
             .select("query_id", "query_tag", F.substring("query_text", 1, 100).alias("query_preview"),
                     "user_name", "start_time",
                     (F.col("total_elapsed_time") / 1000).alias("execution_time_seconds"),
@@ -339,12 +339,10 @@ def lifetime_usage(meter, params, *, wh=P.WAREHOUSE) -> DataFrame:
 def lifetime_by_workload(qh, meter, params, *, wh=P.WAREHOUSE) -> DataFrame:
     """Attributed credits per workload, no time bound, COUNT(*)."""
     price = param_value(params)
-    return (attribute(qh, meter, wh=wh, days=None)
-            .groupBy(workload_type().alias("workload_type"))
-            .agg(F.count(F.lit(1)).alias("query_count"),
-                 F.round(F.sum("credits_used"), 4).cast("double").alias("total_credits"),
-                 credits_sum().alias("_c"))
-            .withColumn("estimated_cost_dollars", F.round(F.col("_c") * price, 2)).drop("_c")
+    return (attributed_groups(qh, meter, {"workload_type": workload_type()}, distinct=False, wh=wh)
+            .select("workload_type", F.col("rows").alias("query_count"),
+                    F.round("credits", 4).cast("double").alias("total_credits"),
+                    F.round(group_credits() * price, 2).alias("estimated_cost_dollars"))
             .orderBy(F.col("total_credits").desc_nulls_last()))
 
 
@@ -386,13 +384,11 @@ def weekly_summary(weekly: DataFrame) -> DataFrame:
 def scheduled_attribution(qh, meter, params, *, wh=P.WAREHOUSE, as_of=P.AS_OF, days=14) -> DataFrame:
     """Attributed credits split by workload and the SCHEDULED flag."""
     price = param_value(params)
-    scheduled = parse_tag()[2]
-    return (attribute(qh, meter, wh=wh, as_of=as_of, days=days)
-            .groupBy(workload_type().alias("workload_type"), scheduled)
-            .agg(F.count_distinct("query_id").alias("query_count"),
-                 F.round(F.sum("credits_used"), 4).cast("double").alias("total_credits"),
-                 credits_sum().alias("_c"))
-            .withColumn("estimated_cost_dollars", F.round(F.col("_c") * price, 2)).drop("_c")
+    keys = {"workload_type": workload_type(), "is_scheduled": parse_tag()[2]}
+    return (attributed_groups(qh, meter, keys, wh=wh, as_of=as_of, days=days)
+            .select("workload_type", "is_scheduled", "query_count",
+                    F.round("credits", 4).cast("double").alias("total_credits"),
+                    F.round(group_credits() * price, 2).alias("estimated_cost_dollars"))
             .orderBy("workload_type", "is_scheduled"))
 
 

@@ -25,6 +25,8 @@ LARGE_CREDITS_PER_HOUR = "SP_WH_LARGE_CREDITS_PER_HOUR"
 SEED_PARAMS = ((DOLLARS_PER_CREDIT, 3.0), (MEDIUM_CREDITS_PER_HOUR, 6.0))
 PARAM_DEFAULTS = {DOLLARS_PER_CREDIT: 3.0, MEDIUM_CREDITS_PER_HOUR: 6.0}
 
+# Job scenarios of the cost estimate: (name, hours); both on the medium rate.
+JOB_SCENARIOS = (("Training Job (2 hours)", 2.0), ("Daily Forecasting (30 days @ 15 min/day)", 7.5))
 # Size ladder used by the scenario comparison: (size, credits/hour, hours).
 SIZE_SCENARIOS = (("Small", 2.0, 1.0), ("Medium", 6.0, 1.0), ("Large", 16.0, 1.0))
 
@@ -38,6 +40,11 @@ LOW_UTILISATION_PCT = 30
 HISTOGRAM_BINS = 30
 PRIORITY_RANK = (("HIGH", 0), ("MEDIUM", 1), ("LOW", 2))
 
+# The step each recommendation asks for, in neutral words.
+ACTIONS = {"queued": "raise the warehouse size", "idle": "set auto-suspend to 30 seconds",
+           "slow": "read the query plans; add clustering keys or materialised views",
+           "untagged": "set the session's query tag before each workload"}
+
 # KPI bands from the monitoring guide.
 DAILY_VARIANCE_OK_PCT = 20
 DAILY_VARIANCE_ACT_PCT = 30
@@ -46,6 +53,8 @@ QUEUE_OK_PCT = 5
 QUEUE_ACT_PCT = 20
 IDLE_OK_PCT = 15
 UTILISATION_BAND = (60, 80)
+# Growth (percent) from which a trend of the guide needs action.
+TREND_ACT_PCT = {"inference_credits_per_run": 100, "avg_query_seconds": 50}
 
 # Weekly series rules.
 ALLOWED_REGIONS = ("Global", "AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")

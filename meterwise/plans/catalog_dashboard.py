@@ -108,20 +108,21 @@ FROM qp WHERE queue_time_seconds > 0 ORDER BY execution_time_seconds DESC, query
 
 _FMT = "printf('%.1f', round({x}, 1))"
 register("recommendations", "D11", with_ctes(f"""
-SELECT priority, category, issue, recommendation, priority_rank FROM (
+SELECT priority, category, issue, recommendation, action, priority_rank FROM (
   SELECT max_queued > {P.QUEUE_PEAK_HIGH} AS fired, 'HIGH' AS priority, 'Performance' AS category,
     'Queries are queuing' AS issue,
     'Peak queued load ' || {_FMT.format(x='max_queued')} || '; use a larger warehouse or more clusters.' AS recommendation,
+    '{P.ACTIONS["queued"]}' AS action,
     0 AS priority_rank FROM metrics
   UNION ALL SELECT utilisation_pct < {P.LOW_UTILISATION_PCT}, 'MEDIUM', 'Cost',
     'Utilisation is low (' || {_FMT.format(x='utilisation_pct')} || '%)',
-    'Shorten auto-suspend or consolidate workloads.', 1 FROM metrics
+    'Shorten auto-suspend or consolidate workloads.', '{P.ACTIONS["idle"]}', 1 FROM metrics
   UNION ALL SELECT slow_queries > 0, 'MEDIUM', 'Performance',
     cast(slow_queries AS varchar) || ' queries ran longer than {P.SLOW_QUERY_SECONDS} s',
-    'Review their plans; consider clustering or materialised results.', 1 FROM metrics
+    'Review their plans; consider clustering or materialised results.', '{P.ACTIONS["slow"]}', 1 FROM metrics
   UNION ALL SELECT untagged_credits > 0, 'LOW', 'Monitoring',
     {_FMT.format(x='untagged_pct')} || '% of credits are untagged',
-    'Tag every workload as WORKLOAD:<type>|PATH:<path>.', 2 FROM metrics
+    'Tag every workload as WORKLOAD:<type>|PATH:<path>.', '{P.ACTIONS["untagged"].replace("'", "''")}', 2 FROM metrics
 ) r WHERE coalesce(fired, false)""", "attributed", "lh", extra={
     "qp": QUERY_WINDOW_SQL,
     "dash": DASH_COST,
@@ -155,8 +156,7 @@ SELECT
      SELECT credits, lag(credits) OVER (ORDER BY date) AS prev FROM (
        SELECT cast(start_time AS date) AS date, cast(sum(credits_used) AS double) AS credits
        FROM ({_mwin(30)}) m GROUP BY 1) d) v) AS variance,
-  (SELECT 100.0::double * cast(sum(CASE WHEN workload_type = 'UNTAGGED' THEN credits_used END) AS double)
-          / nullif(cast(sum(credits_used) AS double), 0) FROM ({_att(7)}) a) AS untagged,
+  (SELECT 100.0::double * count(*) FILTER (WHERE {WL} = 'UNTAGGED') / nullif(count(*), 0) FROM ({_qwin(7)}) q) AS untagged,
   (SELECT 100.0::double * cast(sum(queued_overload_time) AS double) / nullif(cast(sum(total_elapsed_time) AS double), 0)
      FROM ({_qwin(7)}) q) AS queue,
   (SELECT 100.0::double * (s - a) / nullif(s, 0) FROM
@@ -166,6 +166,31 @@ SELECT
      FROM ({_mwin(7)}) m) AS util"""}))(
     logs(30, lambda L: D.kpi_status(L.qh, L.meter)))
 
+def _per(a: str, b: str, more: str = "") -> str:
+    return f"cast({a} FILTER (WHERE {{w}}{more}) AS double) / nullif({b.format(f='FILTER (WHERE {w}' + more + ')')}, 0)"
+
+
+_TREND_RATIOS = {"training_credits_per_run": _per("sum(credits_used)", "count(*) {f}", " AND workload_type = 'TRAINING'"),
+                 "inference_credits_per_run": _per("sum(credits_used)", "count(*) {f}", " AND workload_type = 'INFERENCE'"),
+                 "avg_query_seconds": _per("sum(total_elapsed_time)", "count(*) {f} * 1000.0::double"),
+                 "credits_per_execution": _per("sum(credits_used)", "count(*) {f}"),
+                 "gb_scanned_per_query": _per("sum(bytes_scanned)", "count(*) {f} * 1073741824.0::double"),
+                 "queued_queries": "count(*) FILTER (WHERE {w} AND queued_overload_time > 0)"}
+
+
+def _trend(name: str, expr: str) -> str:
+    now, before = (expr.format(w=w) for w in ("recent", "NOT recent"))
+    acts = P.TREND_ACT_PCT.get(name, 10 ** 9)
+    status = ("CASE WHEN c > 0 THEN 'WATCH' ELSE 'OK' END" if name == "queued_queries" else
+              f"CASE WHEN ch IS NULL THEN NULL WHEN ch >= {acts} THEN 'ACT' WHEN ch > 0 THEN 'WATCH' ELSE 'OK' END")
+    return (f"SELECT '{name}' AS kpi, round(c, 6) AS current, round(b, 6) AS previous, round(ch, 2) AS change_pct, {status} AS status "
+            f"FROM (SELECT c, b, 100.0::double * (c - b) / nullif(b, 0) AS ch FROM (SELECT cast({now} AS double) AS c, cast({before} AS double) AS b FROM a) x) y")
+
+
+register("kpi_trends", "D12 (trends)", with_ctes("\nUNION ALL ".join(_trend(n, e) for n, e in _TREND_RATIOS.items()), "attributed", extra={
+    "a": f"SELECT *, {WL} AS workload_type, start_time >= {since(7)} AS recent FROM attributed WHERE start_time >= {since(14)}"}))(
+    logs(14, lambda L: D.kpi_trends(L.qh, L.meter)))
+
 # ---------------------------------------------------------------- budgets ---
 
 register("budget_status", "M1", with_ctes(f"""
@@ -201,6 +226,18 @@ FROM (SELECT size, credits_per_hour, round({_HOURS}, 6) AS runtime_hours
       FROM (VALUES {_LADDER}) AS t(size, credits_per_hour)) s""", "mh", "params"))(
     logs(7, lambda L: C.estimate_scenarios(L.meter, L.params)))
 
+_JOBS = "\nUNION ALL ".join(f"SELECT '{n}' AS scenario, {h}::double AS planned_hours, {o} AS observed_hours" for (n, h), o in zip(P.JOB_SCENARIOS, (
+    "(SELECT avg(total_elapsed_time) / 3600000.0::double FROM q WHERE query_tag LIKE '%WORKLOAD:TRAINING%')",
+    "(SELECT 30.0::double * sum(total_elapsed_time) / 3600000.0::double / nullif(count(DISTINCT cast(start_time AS date)), 0) "
+    "FROM q WHERE query_tag LIKE '%WORKLOAD:INFERENCE%')")))
+register("job_scenarios", "C1 C2 A13 A14", with_ctes(f"""
+SELECT scenario, planned_hours, round(planned_hours * rate, 6) AS planned_credits, round(planned_hours * rate * price, 6) AS planned_dollars,
+  round(observed_hours, 6) AS observed_hours, round(observed_hours * rate, 6) AS observed_credits,
+  round(observed_hours * rate * price, 6) AS observed_dollars
+FROM jobs, (SELECT (SELECT max(param_value) FROM params WHERE param_name = '{P.MEDIUM_CREDITS_PER_HOUR}') AS rate, {O.PRICE} AS price) p""",
+    "qh", "params", extra={"q": _qwin(30), "jobs": _JOBS}))(logs(30, lambda L: C.job_scenarios(L.qh, L.params)))
+
+
 def _preflight(spark, d):
     week, history = usage_logs(spark, d, 7), usage_logs(spark, d, since=_billing_since())   # billing spans months
     return C.preflight_estimate(week.qh, week.meter, history.billing, week.params)
