@@ -28,6 +28,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 PART = "_part"
+#: Batch ids a manifest remembers; only the newest can be replayed.
+REMEMBERED = 1000
 #: Rows a task writes to one file of a part; larger parts are written by several tasks.
 ROWS_PER_FILE = 2_000_000
 
@@ -137,7 +139,7 @@ class VersionedTable:
 
     def _commit(self, old: dict | None, schema: T.StructType, files: list[dict], batch: str | None) -> DataFrame:
         manifest = {"version": old["version"] + 1 if old else 1, "schema": schema.jsonValue(), "layout": old["layout"] if old else self._layout,
-                    "files": files, "batches": [*(old["batches"] if old else []), *([batch] if batch is not None else [])]}
+                    "files": files, "batches": [*(old["batches"] if old else []), *([batch] if batch is not None else [])][-REMEMBERED:]}
         self._put(manifest)
         return self._frame(manifest)
 

@@ -4,13 +4,16 @@ R1 ``hourly_usage_stream``: query log rows -> one-hour windows per warehouse
     and workload, merged by key batch by batch, so that a late row updates its
     window whatever the number and order of files.  The log latency only
     decides the ``closed`` flag of a window; no row is dropped for lateness.
-R2 ``incremental_metering``: each micro-batch is aggregated per (warehouse,
-    hour) and merged into the running table with ``foreachBatch``.
+R1 ``closed_hours_stream``: the same windows from the state store: each is
+    emitted once, when the watermark has passed its end, and rows that come
+    later go to a corrections output instead of being dropped.
+R2 ``incremental_metering``, ``incremental_weekly_input``: each micro-batch is
+    aggregated and merged into the running table with ``foreachBatch``.
 
-A batch writes only the days it touches, as ``v=<epoch>/day=<day>`` computed
-from the newest earlier version of those days; the table is the newest version
-of each day.  A replayed batch (same epoch id) rewrites the same version: the
-sink is idempotent and survives executor or driver loss via the checkpoint.
+Merged tables are versioned (``sources.versions``): a batch rewrites the days or
+months it touches, one file each whatever wrote them, and commits them with its
+epoch id in one rename, so a replayed batch changes nothing.  One manifest says
+where everything is; no folder is listed and replaced files are removed.
 
 Checkpoints and outputs live under ``spark.checkpoint.dir`` (shared storage).
 """
@@ -24,6 +27,7 @@ from meterwise.functions.tags import workload_type
 from meterwise.session import scratch_path
 from meterwise.sources.logs import query_history
 from meterwise.sources.tables import DECLARED, table_path
+from meterwise.sources.versions import VersionedTable
 
 LOG_LATENCY = "45 minutes"
 # Files per micro-batch: ``availableNow`` still processes everything, but in
@@ -66,7 +70,7 @@ def hourly_usage_stream(spark: SparkSession, sf_dir: str, *, out: str | None = N
     stream = source if source is not None else events_stream(spark, sf_dir, max_files_per_trigger)
     hours = _merge_stream(spark, stream, lambda batch: hourly_usage(query_history(batch)),
                           ["warehouse_name", "workload_type", "window_start"],
-                          ["query_count", "total_elapsed_ms"], day="window_start", latest=["last_start"],
+                          ["query_count", "total_elapsed_ms"], part="to_date(window_start)", latest=["last_start"],
                           base=out or scratch_path(spark, "hourly_usage"),
                           checkpoint=checkpoint or scratch_path(spark, "hourly_usage_ckpt"))
     return closed_windows(hours)
@@ -74,40 +78,6 @@ def hourly_usage_stream(spark: SparkSession, sf_dir: str, *, out: str | None = N
 
 # ----------------------------------------------------------------- R2 -------
 
-def _hadoop_fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
-def _versions(spark: SparkSession, base: str) -> dict[str, list[int]]:
-    """Committed versions (folders ``v=N`` with a _SUCCESS marker) that hold each day, in order."""
-    fs, p = _hadoop_fs(spark, base)
-    found: dict[str, list[int]] = {}
-    for st in fs.listStatus(p) if fs.exists(p) else []:
-        name = st.getPath().getName()
-        if name.startswith("v=") and fs.exists(st.getPath().suffix("/_SUCCESS")):
-            for day in fs.listStatus(st.getPath()):
-                if day.getPath().getName().startswith("day="):
-                    found.setdefault(day.getPath().getName()[4:], []).append(int(name[2:]))
-    return {day: sorted(v) for day, v in found.items()}
-
-
-def _newest(spark: SparkSession, base: str, schema, days: set[str] | None = None, before: int | None = None) -> DataFrame:
-    """The newest version (below ``before``) of the given days, or of all."""
-    paths = [f"{base}/v={max(old)}/day={day}" for day, versions in sorted(_versions(spark, base).items())
-             if (days is None or day in days) and (old := [v for v in versions if before is None or v < before])]
-    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
-
-
-def _drop_replaced(spark: SparkSession, base: str) -> None:
-    """Delete versions of a day other than its newest and the one that was built from (for a replay)."""
-    fs, _ = _hadoop_fs(spark, base)
-    for day, versions in _versions(spark, base).items():
-        for v in versions[:-2]:
-            fs.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{base}/v={v}/day={day}"), True)
-
-
 def _batch_hours(batch: DataFrame) -> DataFrame:
     qh = query_history(batch)
     return (qh.groupBy("warehouse_name", F.date_trunc("hour", "start_time").cast("timestamp_ntz").alias("hour"))
@@ -121,29 +91,25 @@ def merge_sum(current: DataFrame, delta: DataFrame, keys, measures, latest=()) -
 
 
 def _merge_stream(spark: SparkSession, stream: DataFrame, batch_agg, keys, measures, *, base: str,
-                  checkpoint: str, day: str, latest=()) -> DataFrame:
-    """Run ``stream`` to the end of the available files, merging each batch into ``base``.
+                  checkpoint: str, part: str, latest=()) -> DataFrame:
+    """Run ``stream`` to the end of the available files, merging each batch into the versioned table ``base``.
 
-    ``day`` is the key column whose date the table is stored by.  The days of a
-    batch reach the driver (a bounded list); only they are read and rewritten.
+    ``part`` is the expression of the keys the table is stored by (a day or a
+    month).  The parts of a batch reach the driver; only they are read and rewritten.
     """
-    schemas = []
+    table = VersionedTable(spark, base, part=part)
 
     def merge(batch: DataFrame, epoch_id: int) -> None:
+        if table.holds(str(epoch_id)):
+            return
         delta = batch_agg(batch).persist()
-        schemas.append(delta.schema)
-        days = {str(r[0]) for r in delta.select(F.to_date(day)).distinct().collect()}
-        current = _newest(spark, base, delta.schema, days, epoch_id)
-        (merge_sum(current, delta, keys, measures, latest).withColumn("day", F.to_date(day))
-         .write.mode("overwrite").partitionBy("day").parquet(f"{base}/v={epoch_id}"))
+        table.rewrite(table.parts_of(delta), lambda now: merge_sum(now, delta, keys, measures, latest), schema=delta.schema, batch=str(epoch_id))
         delta.unpersist()
-        _drop_replaced(spark, base)
+        table.expire()
 
-    q = (stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    schema = schemas[-1] if schemas else batch_agg(spark.createDataFrame([], stream.schema)).schema
-    return _newest(spark, base, schema)
+    (stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
+     .trigger(availableNow=True).start().awaitTermination())
+    return table.create(batch_agg(spark.createDataFrame([], stream.schema)).schema)
 
 
 def incremental_metering(spark: SparkSession, sf_dir: str, *, base: str | None = None,
@@ -152,7 +118,7 @@ def incremental_metering(spark: SparkSession, sf_dir: str, *, base: str | None =
     """R2: keep a per-(warehouse, hour) usage table current, batch by batch."""
     stream = source if source is not None else events_stream(spark, sf_dir, max_files_per_trigger)
     table = _merge_stream(spark, stream, _batch_hours, ["warehouse_name", "hour"],
-                          ["query_count", "total_elapsed_ms"], day="hour",
+                          ["query_count", "total_elapsed_ms"], part="to_date(hour)",
                           base=base or scratch_path(spark, "metering_incremental"),
                           checkpoint=checkpoint or scratch_path(spark, "metering_incremental_ckpt"))
     return table.withColumn(
@@ -174,27 +140,35 @@ def incremental_weekly_input(spark: SparkSession, sf_dir: str, *, base: str | No
     """R2: keep the weekly input current as new shipment files arrive.
 
     Each batch of lineitem rows joins the static part and supplier-region
-    tables (stream-static joins), is summed per (region, track, week) and per
-    (track, week) for Global, and is merged by key into the stored table.
-    Plays are additive, so the merged table equals a full recomputation.
+    tables (stream-static joins), is summed per (region, track, week) and merged
+    by key into the stored table, by month.  Stored sums are exact decimals;
+    they are rounded, and the Global rows derived from them, on reading, so the
+    table does not depend on how rows fall into batches.
     """
-    from meterwise.sources.weekly import GLOBAL, shipments_of, track_columns
+    from meterwise.sources.weekly import shipments_of
 
     dims = shipments_of(spark, sf_dir)
-
-    def batch_agg(batch: DataFrame) -> DataFrame:
-        rows = dims(batch)
-        regional = (rows.groupBy("r_name", "p_brand", "week_ending")
-                    .agg(F.round(F.sum("l_quantity")).cast("bigint").alias("q")))
-        both = (regional.groupingSets([["r_name", "p_brand", "week_ending"], ["p_brand", "week_ending"]],
-                                      "r_name", "p_brand", "week_ending")
-                .agg(F.sum("q").alias("streams"))
-                .select(F.coalesce("r_name", F.lit(GLOBAL)).alias("region"), "p_brand", "week_ending", "streams"))
-        return both
-
     stream = source if source is not None else lineitem_stream(spark, sf_dir, max_files_per_trigger)
-    table = _merge_stream(spark, stream, batch_agg, ["region", "p_brand", "week_ending"], ["streams"], day="week_ending",
+    table = _merge_stream(spark, stream, lambda batch: regional_sums(dims(batch)), REGIONAL_KEYS, ["q"], part=MONTH,
                           base=base or scratch_path(spark, "weekly_incremental"),
                           checkpoint=checkpoint or scratch_path(spark, "weekly_incremental_ckpt"))
-    brand = F.col("p_brand")
-    return table.select("region", *track_columns(brand), "week_ending", F.col("streams").cast("bigint"))
+    return weekly_of(table)
+
+
+REGIONAL_KEYS = ["r_name", "p_brand", "week_ending"]
+MONTH = "date_format(week_ending, 'yyyy-MM')"
+
+
+def regional_sums(rows: DataFrame) -> DataFrame:
+    """Exact plays per (region, track, week)."""
+    return rows.groupBy(*REGIONAL_KEYS).agg(F.sum(F.col("l_quantity").cast("decimal(28,9)")).cast("decimal(38,9)").alias("q"))
+
+
+def weekly_of(regional: DataFrame) -> DataFrame:
+    """The weekly input from exact regional sums: rounded regional rows and their Global totals, in one aggregation."""
+    from meterwise.sources.weekly import GLOBAL, track_columns
+
+    both = (regional.withColumn("q", F.round("q").cast("bigint"))
+            .groupingSets([[F.col(c) for c in REGIONAL_KEYS], [F.col("p_brand"), F.col("week_ending")]], *REGIONAL_KEYS)
+            .agg(F.sum("q").alias("streams")))
+    return both.select(F.coalesce("r_name", F.lit(GLOBAL)).alias("region"), *track_columns(F.col("p_brand")), "week_ending", F.col("streams").cast("bigint"))
