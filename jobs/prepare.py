@@ -16,7 +16,7 @@ from common import parse, session
 from meterwise.operators.features import weekly_summary
 from meterwise.operators.quality import quality_report
 from meterwise.session import tagged
-from meterwise.sources.weekly import weekly_input
+from meterwise.sources.weekly import load_weekly, store_weekly, weekly_input
 
 
 def main() -> str:
@@ -24,10 +24,7 @@ def main() -> str:
     spark = session("meterwise-prepare")
     with tagged(spark, "DATA_PREP"):
         weekly = weekly_input(spark, args.sf_dir)
-        target = f"{args.out}/weekly_input"
-        (weekly.repartition("region", "isrc").sortWithinPartitions("region", "isrc", "week_ending")
-         .write.mode("overwrite").partitionBy("region").parquet(target))
-        prepared = spark.read.parquet(target)
+        prepared = load_weekly(spark, store_weekly(weekly, f"{args.out}/weekly_input"))
         quality_report(prepared).write.mode("overwrite").parquet(f"{args.out}/weekly_quality")
         # The weekly summary, kept as a table refreshed with its input (a materialised view).
         weekly_summary(prepared).write.mode("overwrite").partitionBy("region").parquet(f"{args.out}/weekly_summary")

@@ -142,6 +142,39 @@ def features_asof(spine: DataFrame, features: DataFrame, *, key: str = "isrc", s
             .select(*spine.columns, *[F.col(f"_f_{c}").alias(c) for c in fcols]))
 
 
+def features_asof_views(spine: DataFrame, views: dict[str, tuple[DataFrame, str]], *, key: str = "isrc", spine_ts: str = "ts",
+                        bucket_days: int = 91) -> DataFrame:
+    """J6 over several feature views: for each spine row, every view's latest row of its key at or before its time.
+
+    One sort-merge over the union of spine and views: within (key, bucket of
+    ``bucket_days``) rows are ordered by time and the last row of each view is
+    carried along.  What a bucket begins with is the last row of the buckets
+    before it, carried over one row per (key, bucket), so a key of any length
+    spreads over its buckets and no task holds a whole key.  A view has one row
+    per key and time; a spine row at a feature's own time sees it.  Null keys and
+    times find nothing.  Columns: the spine's, then ``<view>_<column>``.
+    """
+    columns = {name: [c for c in df.columns if c != key] for name, (df, _) in views.items()}
+    empty = {name: F.lit(None).cast(df.select(F.struct(*columns[name]).alias("s")).schema["s"].dataType) for name, (df, _) in views.items()}
+    spine_row = F.struct(*[F.col(c) for c in spine.columns])
+    rows = spine.select(F.col(key).alias("_k"), F.col(spine_ts).cast("timestamp").alias("_t"), F.lit(2).alias("_o"), spine_row.alias("_s"),
+                        *[empty[n].alias(n) for n in views])
+    nothing = F.lit(None).cast(rows.schema["_s"].dataType)
+    for name, (df, ts) in views.items():
+        rows = rows.unionByName(df.filter(F.col(key).isNotNull() & F.col(ts).isNotNull()).select(
+            F.col(key).alias("_k"), F.col(ts).cast("timestamp").alias("_t"), F.lit(1).alias("_o"), nothing.alias("_s"),
+            *[(F.struct(*columns[n]) if n == name else empty[n]).alias(n) for n in views]))
+    rows = rows.withColumn("_b", F.floor(_epoch_days("_t") / bucket_days))
+    before = Window.partitionBy("_k").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    last = (rows.groupBy("_k", "_b").agg(*[F.max_by(n, F.when(F.col(n).isNotNull(), F.col("_t"))).alias(n) for n in views], F.max("_o").alias("_o"))
+            .select("_k", "_b", "_o", *[F.last(n, ignorenulls=True).over(before).alias(n) for n in views]))
+    begun = last.filter("_o = 2").select("_k", F.lit(None).cast("timestamp").alias("_t"), F.lit(0).alias("_o"), nothing.alias("_s"), *views, "_b")
+    so_far = Window.partitionBy("_k", "_b").orderBy(F.col("_o") != 0, "_t", "_o").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    carried = rows.unionByName(begun).select("_s", "_o", "_k", "_t", *[F.last(n, ignorenulls=True).over(so_far).alias(n) for n in views]).filter("_o = 2")
+    known = F.col("_k").isNotNull() & F.col("_t").isNotNull()
+    return carried.select("_s.*", *[F.when(known, F.col(n).getField(c)).alias(f"{n}_{c}") for n in views for c in columns[n]])
+
+
 def weekly_summary(weekly: DataFrame) -> DataFrame:
     """Total plays and distinct tracks per region and week."""
     return (weekly.groupBy("region", "week_ending")

@@ -1,8 +1,9 @@
-"""Model and feature-view registries kept as parquet tables on shared storage.
+"""Model and feature-view registries kept as versioned tables on shared storage.
 
 A registry is a small metadata table (one row per version) next to the
-artifacts it points at.  Changes are written with a staged replace, so a
-failed job never leaves a half-written registry.
+artifacts it points at.  Artifacts are written first, then the table is merged
+and swapped by one rename: a failed job leaves the registry as it was, and two
+jobs that register at once cannot overwrite each other's entry.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterwise.schemas import FEATURE_VIEWS, REGISTRY
-from meterwise.sources.sinks import ensure_table, staged_replace
+from meterwise.sources.versions import VersionedTable
 
 
 def _now_literal(stamp: dt.datetime | None):
@@ -29,10 +30,10 @@ class ModelRegistry:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self.table = f"{self.root}/_models"
+        self.table = VersionedTable(spark, f"{self.root}/_models", keys=["model_name", "version_name"])
 
     def entries(self) -> DataFrame:
-        return ensure_table(self.spark, self.table, REGISTRY)
+        return self.table.create(REGISTRY)
 
     def log_model(self, model: PipelineModel, name: str, version: str, comment: str = "",
                   created_at: dt.datetime | None = None) -> str:
@@ -41,8 +42,8 @@ class ModelRegistry:
         row = (self.spark.createDataFrame([(name, version, artifact, comment)],
                                           "model_name string, version_name string, artifact string, comment string")
                .withColumn("created_at", _now_literal(created_at)))
-        current = self.entries().filter(~((F.col("model_name") == name) & (F.col("version_name") == version)))
-        staged_replace(current.unionByName(row), self.table)
+        self.entries()
+        self.table.merge(row)
         return artifact
 
     def get(self, name: str, version: str) -> PipelineModel:
@@ -56,7 +57,7 @@ class ModelRegistry:
         """DROP MODEL IF EXISTS: remove every version's row and artifact."""
         entries = self.entries()
         gone = entries.filter(F.col("model_name") == name).select("artifact").collect()
-        staged_replace(entries.filter(F.col("model_name") != name), self.table)
+        self.table.replace(entries.filter(F.col("model_name") != name))
         jvm = self.spark.sparkContext._jvm
         conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         for r in gone:
@@ -70,10 +71,10 @@ class FeatureViewRegistry:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self.table = f"{self.root}/_feature_views"
+        self.table = VersionedTable(spark, f"{self.root}/_feature_views", keys=["name", "version"])
 
     def entries(self) -> DataFrame:
-        return ensure_table(self.spark, self.table, FEATURE_VIEWS)
+        return self.table.create(FEATURE_VIEWS)
 
     def register_view(self, df: DataFrame, name: str, version: str, entity_keys, timestamp_col: str,
                       created_at: dt.datetime | None = None) -> DataFrame:
@@ -86,8 +87,8 @@ class FeatureViewRegistry:
                                           "name string, version string, path string, entity_keys string, "
                                           "timestamp_col string")
                .withColumn("created_at", _now_literal(created_at)))
-        current = self.entries().filter(~((F.col("name") == name) & (F.col("version") == version)))
-        staged_replace(current.unionByName(row), self.table)
+        self.entries()
+        self.table.merge(row)
         return self.spark.read.parquet(path)
 
     def read_view(self, name: str, version: str) -> DataFrame:
@@ -103,7 +104,7 @@ class FeatureViewRegistry:
         paths = entries.filter(hit).select("path").collect()
         if not paths:
             return False
-        staged_replace(entries.filter(~hit), self.table)
+        self.table.replace(entries.filter(~hit))
         jvm = self.spark.sparkContext._jvm
         conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         for r in paths:

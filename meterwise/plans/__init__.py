@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-CATALOG_MODULES = ("catalog", "catalog_series", "catalog_dashboard", "catalog_models")
+CATALOG_MODULES = ("catalog", "catalog_series", "catalog_dashboard", "catalog_models", "catalog_tables")
 
 
 def registry():

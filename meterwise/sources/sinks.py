@@ -7,9 +7,10 @@ given).  Nothing is collected to the driver; every write is a Spark job.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -74,19 +75,40 @@ def append_table(df: DataFrame, name: str) -> DataFrame:
 
 
 def staged_replace(df: DataFrame, name: str, *, validate=None) -> DataFrame:
-    """Write to a staging folder first, then swap into the target.
+    """Write beside the target, then swap by renaming: one write, and nothing staged is left behind.
 
-    The target may be an input of ``df``: the staged copy cuts the lineage, so
-    overwriting the target never reads from itself.  ``validate`` gets the
-    staged DataFrame and may raise to abort before the target is touched.
+    The target may be an input of ``df``.  ``validate`` gets the staged rows and
+    may raise before the target is touched.  Between the two renames the target
+    is missing for a moment; tables that are read while they are replaced belong
+    in ``sources.versions``, whose swap is a single rename.  A catalog table is
+    staged in scratch and overwritten.
     """
     spark = df.sparkSession
-    stage = scratch_path(spark, "staging")
-    df.write.mode("overwrite").parquet(stage)
-    staged = spark.read.parquet(stage)
-    if validate is not None:
-        validate(staged)
-    return replace_table(staged, name)
+    if not _is_path(name):
+        stage = scratch_path(spark, "staging")
+        df.write.mode("overwrite").parquet(stage)
+        staged = spark.read.parquet(stage)
+        if validate is not None:
+            validate(staged)
+        return replace_table(staged, name)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    mark = uuid.uuid4().hex[:12]
+    target, stage, old = (path(f"{name.rstrip('/')}{suffix}") for suffix in ("", f".staged-{mark}", f".replaced-{mark}"))
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    df.write.parquet(stage.toString())
+    try:
+        if validate is not None:
+            validate(spark.read.schema(df.schema).parquet(stage.toString()))
+    except BaseException:
+        fs.delete(stage, True)
+        raise
+    if fs.exists(target) and not fs.rename(target, old):
+        raise OSError(f"cannot move {name} aside")
+    if not fs.rename(stage, target):
+        fs.rename(old, target)
+        raise OSError(f"cannot move the new rows to {name}")
+    fs.delete(old, True)
+    return spark.read.parquet(name)
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], *,
@@ -118,10 +140,11 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], *,
     return joined.select(*out).select(*target.columns)
 
 
-def set_param(params: DataFrame, name: str, value: float, stamp: dt.datetime | None = None) -> DataFrame:
-    """UPDATE params SET value = ... WHERE param_name = name."""
+def set_param(params: DataFrame, name: str, value: float | Column, stamp: dt.datetime | None = None) -> DataFrame:
+    """UPDATE params SET value = ... WHERE param_name = name; ``value`` is a number or a scalar column."""
     hit = F.col("param_name") == name
-    out = params.withColumn("param_value", F.when(hit, F.lit(float(value))).otherwise(F.col("param_value")))
+    new = value if isinstance(value, Column) else F.lit(float(value))
+    out = params.withColumn("param_value", F.when(hit, new).otherwise(F.col("param_value")))
     if "updated_at" in params.columns:
         new_stamp = _stamp(stamp)
         out = out.withColumn("updated_at", F.when(hit, new_stamp).otherwise(F.col("updated_at")))

@@ -93,7 +93,14 @@ def weekly_input(spark: SparkSession, sf_dir: str, region: str | None = None) ->
     return conform(out, WEEKLY_INPUT)
 
 
+def store_weekly(weekly: DataFrame, path: str) -> str:
+    """The weekly table in a folder per region, rows clustered by track and week within files."""
+    (weekly.repartition("region", "isrc").sortWithinPartitions("region", "isrc", "week_ending")
+     .write.mode("overwrite").partitionBy("region").parquet(path))
+    return path
+
+
 def load_weekly(spark: SparkSession, path: str, region: str | None = None) -> DataFrame:
-    """Scan a stored weekly table; the region filter is pushed to the scan."""
+    """Scan a stored weekly table; a region filter, or a join with filtered regions, prunes its folders."""
     df = spark.read.parquet(path)
     return df if region is None else df.filter(F.col("region") == region)

@@ -19,7 +19,7 @@ def plan_text(df, mode="formatted") -> str:
 
 
 @pytest.mark.parametrize("name", sorted(set(registry()) - {"gbt_scores", "forecast_boosted", "forecast_boosted_frame",
-                                                            "stream_hourly_usage", "stream_incremental_metering"}))
+                                                            "stream_hourly_usage", "stream_incremental_metering", "stream_closed_hours"}))
 def test_no_python_udfs(spark, name):
     text = plan_text(E.queries()[name](spark, SF_SMALL), "extended")
     assert not any(node in text for node in PY_NODES)
@@ -72,3 +72,9 @@ def test_window_bound_is_pushed_to_events_scan(spark, name):
     text = plan_text(E.queries()[name](spark, SF_SMALL))
     scans = [line for part in text.split("\n\n") if "events.parquet" in part for line in part.splitlines() if line.startswith("PushedFilters")]
     assert scans and all("GreaterThanOrEqual(ts," in line for line in scans), scans
+
+
+def test_regions_prune_the_stored_table(spark):
+    text = plan_text(E.queries()["stored_weekly_pruned"](spark, SF_SMALL))
+    stored = next(part for part in text.split("\n\n") if "weekly_by_region" in part and "PartitionFilters" in part)
+    assert "dynamicpruning" in stored

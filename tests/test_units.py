@@ -255,3 +255,29 @@ def test_labels_name_only_what_the_queries_call():
     __spark_entry__.queries()
     labels = {name: REGISTRY[name].survey_ids.split() for name in ("refresh_cost_params", "features_asof", "forecast_trend")}
     assert labels == {"refresh_cost_params": ["S9"], "features_asof": ["J6"], "forecast_trend": ["F10", "F11"]}
+
+
+def test_asof_over_several_views_equals_brute_force(spark):
+    import random
+
+    from meterwise.operators.features import features_asof_views
+    rng = random.Random(6)
+    base = dt.datetime(2024, 1, 1)
+    at = lambda: base + dt.timedelta(hours=rng.randint(0, 400))
+    views = {}
+    for name in ("a", "b"):
+        seen = {(rng.choice(["hot", "x", "y"]), at()) for _ in range(120)}
+        views[name] = [(k, t, i) for i, (k, t) in enumerate(sorted(seen))]
+    spine = [(rng.choice(["hot", "hot", "x", "y", "none", None]), at(), i) for i in range(300)] + [("hot", None, 900), ("hot", views["a"][0][1], 901)]
+    frames = {n: (spark.createDataFrame(rows + [(None, base, -1)], "k string, t timestamp, v int"), "t") for n, rows in views.items()}
+    got = features_asof_views(spark.createDataFrame(spine, "k string, at timestamp, i int"), frames, key="k", spine_ts="at", bucket_days=2)
+    assert got.columns == ["k", "at", "i", "a_t", "a_v", "b_t", "b_v"]
+    want = set()
+    for k, t, i in spine:
+        found = []
+        for name in ("a", "b"):
+            best = max(((ft, v) for fk, ft, v in views[name] if fk == k and k is not None and t is not None and ft <= t), default=(None, None))
+            found += best
+        want.add((k, t, i, *found))
+    rows = [tuple(r) for r in got.collect()]
+    assert len(rows) == len(spine) and set(rows) == want
