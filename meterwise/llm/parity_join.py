@@ -10,8 +10,11 @@ and (pigeonhole) of its first D + r in a common order at least r are equal.
 B depends on the size band, and a document near a band's lower end is also
 sketched as one of the band below.
 
-Equal blocks are found by one shuffle of these leading blocks.  Documents with
-fewer equal ones than r cannot have a partner and leave.  Of the others all
+Equal blocks are found by one shuffle of these leading blocks, packed: a chunk
+of documents sends one row per range of block keys, with 32 bits of each key and
+one byte that says whose it is; a key met twice within the chunk is settled
+there and sent once.  What comes back is a list of hits.  Documents with fewer
+equal blocks than r cannot have a partner and leave.  Of the others all
 blocks are compared: at least N - D of a document's N must be equal to some
 partner's, which a passage that many documents share doesn't reach; and of the
 equal ones each document needs only its rarest to meet its partners (prefix
@@ -25,6 +28,11 @@ most others (the text that a family of copies was made from is nearer to each
 of them than they are to each other); afterwards, pairs that share a block but
 are still in different classes are verified as well.  No link between classes
 is lost and no group is paired all with all.
+
+A set is told by a 64-bit hash of its shingles, not by its document's id, so rows
+that repeat an id with other texts are sets of their own.  Texts are never
+shuffled: which documents a look concerns is a bit table of hashed ids of bounded
+size, whose false hits only cost time.
 """
 
 from __future__ import annotations
@@ -49,6 +57,12 @@ SPARE = 16
 #: 64-bit words of the short bit sketch.
 SKETCH_WORDS = 16
 CHUNK = 256
+#: Documents whose leading blocks travel together; the last value of a byte means no document.
+TOGETHER = 255
+#: Leading blocks in a range of keys, about.
+RANGE = 1 << 20
+#: Bits of a table of ids for each id, and in all.
+BITS_PER_ID, MOST_BITS = 64, 1 << 27
 
 
 def shingles(words: np.ndarray, size: int = SHINGLE) -> np.ndarray:
@@ -99,48 +113,137 @@ def bit_sketch(hashes: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
-def _sets(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """(id, n, hi, lo) of each document's set: its size and a 128-bit sum of its hashes."""
-    @F.pandas_udf("n long, hi long, lo long")
+def set_id(s: np.ndarray) -> int:
+    """A set's 64-bit hash."""
+    return int(np.bitwise_xor.reduce(mixed(s)).view(np.int64)) if len(s) else 0
+
+
+def _sets(docs: DataFrame, size: int) -> DataFrame:
+    """(_id, n, set) of each document: its set's size and hash."""
+    @F.pandas_udf("n long, set long")
     def digest(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         hasher = WordHasher(SPACED_WORDS)
         for batch in batches:
-            rows = []
-            for text in batch:
-                s = shingles(hasher((text or "").encode("utf-8", "surrogatepass")), size)
-                rows.append((len(s), int(np.bitwise_xor.reduce(mixed(s)).view(np.int64)) if len(s) else 0,
-                             int(np.sum(mixed(s + np.uint64(3)), dtype=np.uint64).view(np.int64)) if len(s) else 0))
-            yield pd.DataFrame(rows, columns=["n", "hi", "lo"])
+            found = [shingles(hasher((text or "").encode("utf-8", "surrogatepass")), size) for text in batch]
+            yield pd.DataFrame([(len(s), set_id(s)) for s in found], columns=["n", "set"])
 
-    return docs.withColumn("_set", digest("_text")).select("_id", "_text", "_set.*")
+    return docs.withColumn("_set", digest("_text")).select("_id", "_set.*")
 
 
-def _leading(batches: Iterator[pd.DataFrame], size: int, percent: int) -> Iterator[pd.DataFrame]:
-    """(id, need, key) of the first D + r blocks of each text in its bands."""
-    hasher = WordHasher(SPACED_WORDS)
+def _listed(ids: DataFrame) -> DataFrame:
+    """(word, bits): a bit table of the ids, ``BITS_PER_ID`` bits each and no more than ``MOST_BITS`` in all."""
+    n = max(1, ids.count())
+    width = 1 << max(6, min(math.ceil(math.log2(n * BITS_PER_ID)), MOST_BITS.bit_length() - 1))
+    at = F.xxhash64("_id").bitwiseAND(width - 1)
+    return (written(ids.select(at.alias("at")).groupBy(F.shiftright("at", 6).alias("word"))
+                    .agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("bits")), "listed").withColumn("width", F.lit(width).cast("long")))
+
+
+def _kept(rows: DataFrame, table: DataFrame) -> DataFrame:
+    """The rows whose id is listed, and some whose hash falls on a listed one's; the table's words are at most ``MOST_BITS`` / 64."""
+    width = table.select("width").first()
+    if width is None:
+        return rows.where("false")
+    at = F.xxhash64("_id").bitwiseAND(width[0] - 1)
+    met = rows.withColumn("_at", at).join(F.broadcast(table.select("word", "bits")), F.shiftright("_at", 6) == F.col("word"))
+    return met.where(F.expr("bits & shiftleft(1L, cast(_at & 63 as int)) <> 0")).select(*rows.columns)
+
+
+_PACKED = "range int, chunk long, keys binary, whose binary, sets binary, needs binary, hits binary"
+
+
+def _leading(batches: Iterator[pd.DataFrame], size: int, percent: int, bits: int) -> Iterator[pd.DataFrame]:
+    """The first D + r blocks of each text in its bands, packed by ``TOGETHER`` documents and 2 ** ``bits`` ranges of keys.
+
+    A header row (hits not null) has the chunk's sets, what each needs, and its
+    hits within the chunk; it travels with one of the ranges.
+    """
+    from pyspark import TaskContext
+
+    hasher, task, count = WordHasher(SPACED_WORDS), TaskContext.get().partitionId(), 0
     for batch in batches:
-        for lo in range(0, len(batch), CHUNK):
-            part = batch.iloc[lo:lo + CHUNK]
-            ids, need, keys = [], [], []
-            for key, value in zip(part["_id"], part["_text"]):
+        for lo in range(0, len(batch), TOGETHER):
+            sets, needs, keys, whose = [], [], [], []
+            for value in batch["_text"].iloc[lo:lo + TOGETHER]:
                 s = shingles(hasher(value.encode("utf-8", "surrogatepass")), size)
                 for band in bands(len(s), percent) if len(s) else []:
                     k = blocks(s, band)[: slack(len(s), percent) + spare(len(s))]
-                    ids.append(np.full(len(k), key))
-                    need.append(np.full(len(k), needed(len(s), percent), np.int32))
                     keys.append(k)
-            if ids:
-                yield pd.DataFrame({"id": np.concatenate(ids), "need": np.concatenate(need), "key": np.concatenate(keys).view(np.int64)})
+                    whose.append(np.full(len(k), len(sets), np.uint8))
+                if len(s):
+                    sets.append(set_id(s))
+                    needs.append(needed(len(s), percent))
+            if not sets:
+                continue
+            key, owner = np.concatenate(keys), np.concatenate(whose)
+            order = np.argsort(key, kind="stable")
+            key, owner = key[order], owner[order]
+            first = np.concatenate([[True], key[1:] != key[:-1]])
+            again = ~first | np.concatenate([~first[1:], [False]])  # met twice or more within the chunk
+            hits = owner[again]
+            key, owner = key[first], np.where(again, np.uint8(TOGETHER), owner)[first]
+            of = (key >> np.uint64(64 - bits)).astype(np.int64)
+            edge = np.concatenate([[0], np.flatnonzero(np.diff(of)) + 1, [len(of)]])
+            low = (key >> np.uint64(32 - bits)).astype(np.uint32)
+            chunk = task << 32 | count
+            count += 1
+            rows = [(int(of[i]), chunk, low[i:j].tobytes(), owner[i:j].tobytes(), None, None, None) for i, j in zip(edge[:-1], edge[1:])]
+            rows.append((chunk % (1 << bits), chunk, None, None, np.array(sets, np.int64).tobytes(), np.array(needs, np.int32).tobytes(), hits.tobytes()))
+            yield pd.DataFrame(rows, columns=[c.split()[0] for c in _PACKED.split(", ")])
+
+
+_HITS = "chunk long, sets binary, needs binary, hits binary"
+
+
+def _met(frame: pd.DataFrame) -> pd.DataFrame:
+    """Of one range, each chunk's hits: the documents of the keys that another chunk has as well.  Header rows pass through."""
+    head = frame["hits"].notna().to_numpy()
+    out, rows = [frame[head][["chunk", "sets", "needs", "hits"]]], frame[~head]
+    if len(rows):
+        parts = [np.frombuffer(k, np.uint32) for k in rows["keys"]]
+        key = np.concatenate(parts)
+        order = np.argsort(key, kind="stable")
+        same = key[order][1:] == key[order][:-1]
+        twice = np.zeros(len(key), bool)
+        twice[order[1:][same]] = twice[order[:-1][same]] = True
+        found, at = [], 0
+        for chunk, whose in zip(rows["chunk"], rows["whose"]):
+            whose = np.frombuffer(whose, np.uint8)
+            hits = whose[twice[at:at + len(whose)] & (whose != TOGETHER)]
+            at += len(whose)
+            if len(hits):
+                found.append((chunk, None, None, hits.tobytes()))
+        out.append(pd.DataFrame(found, columns=["chunk", "sets", "needs", "hits"]))
+    return pd.concat(out)
+
+
+def _enough(frame: pd.DataFrame) -> pd.DataFrame:
+    """(set) of one chunk's documents that have as many equal blocks as they need."""
+    head = frame[frame["sets"].notna()].iloc[0]
+    sets, needs = np.frombuffer(head["sets"], np.int64), np.frombuffer(head["needs"], np.int32)
+    hits = np.bincount(np.frombuffer(b"".join(frame["hits"]), np.uint8), minlength=len(sets))[:len(sets)]
+    return pd.DataFrame({"set": sets[hits >= needs]})
+
+
+def packed(s: np.ndarray) -> bytes:
+    """The upper 48 bits of each hash of a set, 6 bytes each and sorted."""
+    return np.unique(s >> np.uint64(16)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def unpacked(raw: bytes) -> np.ndarray:
+    out = np.zeros((len(raw) // 6, 8), np.uint8)
+    out[:, :6] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
+    return out.view("<u8").ravel()
 
 
 def _hashed(batches: Iterator[pd.DataFrame], size: int) -> Iterator[pd.DataFrame]:
-    """(id, n, hashes, bits) of each text."""
+    """(set, n, hashes, bits) of each text that has shingles."""
     hasher = WordHasher(SPACED_WORDS)
     for batch in batches:
         for lo in range(0, len(batch), CHUNK):
-            part = batch.iloc[lo:lo + CHUNK]
-            found = [shingles(hasher(t.encode("utf-8", "surrogatepass")), size) for t in part["_text"]]
-            yield pd.DataFrame({"id": part["_id"].to_numpy(), "n": [len(s) for s in found], "hashes": [s.tobytes() for s in found],
+            found = [shingles(hasher(t.encode("utf-8", "surrogatepass")), size) for t in batch["_text"].iloc[lo:lo + CHUNK]]
+            found = [s for s in found if len(s)]
+            yield pd.DataFrame({"set": [set_id(s) for s in found], "n": [len(s) for s in found], "hashes": [packed(s) for s in found],
                                 "bits": [bit_sketch(s) for s in found]})
 
 
@@ -150,7 +253,7 @@ def _all_blocks(batches: Iterator[pd.DataFrame], percent: int) -> Iterator[pd.Da
         for lo in range(0, len(batch), CHUNK):
             rows = []
             for key, value in zip(batch["id"].iloc[lo:lo + CHUNK], batch["hashes"].iloc[lo:lo + CHUNK]):
-                s = np.frombuffer(value, np.uint64)
+                s = unpacked(value)
                 for band in bands(len(s), percent):
                     k = blocks(s, band)
                     rows.append((np.full(len(k), key), np.full(len(k), band, np.int32),
@@ -175,7 +278,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     def similar(left: pd.Series, right: pd.Series) -> pd.Series:
         out = []
         for x, y in zip(left, right):
-            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            x, y = unpacked(x), unpacked(y)
             both = len(np.intersect1d(x, y, assume_unique=True))
             out.append(100 * both >= percent * (len(x) + len(y) - both))
         return pd.Series(out, dtype=bool)
@@ -192,38 +295,41 @@ def jaccard_classes(docs: DataFrame, text: str = "text", row_id: str = "doc_id",
     Two documents link when 100 * intersection >= ``percent`` * union.  Null,
     empty and wordless texts have an empty set and link with nothing, not even
     each other.  Equal texts are one class whatever their number.  Rows that
-    repeat a doc_id with one text are each returned; a row without an id is never
+    repeat a doc_id, with one text or with several, are each returned with their own text's class; a row without an id is never
     a class's smallest id and has itself no class (null component_id) unless it
     equals a document that has one.
     """
-    id_type = docs.schema[row_id].dataType.simpleString()
     rows = docs.select(F.col(row_id).alias("_id"), F.col(text).alias("_text"))
-    digests = written(_sets(rows, size, percent).drop("_text"), "set_digests")
+    digests = written(_sets(rows, size), "set_digests")
     # Equal sets are one: the smallest id stands for them.
-    same = digests.where("n > 0").groupBy("n", "hi", "lo").agg(F.min("_id").alias("id")).where("id is not null")
-    stands = written(digests.join(same, ["n", "hi", "lo"], "left").select("_id", "n", "id"), "set_classes")
-    silent = written(stands.where("id is null or _id is null or _id <> id").select("_id").distinct(), "not_standing")
+    same = written(digests.where("n > 0").groupBy("set").agg(F.min("_id").alias("id")).where("id is not null"), "sets_once")
+    stands = written(digests.join(same, "set", "left").select("_id", "n", "set", "id"), "set_classes")
+    texts = rows.where(F.col("_text").isNotNull() & F.col("_id").isNotNull())
+    standing = stands.where("_id = id").select("_id", "set")
 
     # First look: the leading blocks of all that stand for a set.
-    look = (rows.where(F.col("_text").isNotNull() & F.col("_id").isNotNull()).join(silent, "_id", "left_anti")
-            .mapInPandas(lambda batches: _leading(batches, size, percent), f"id {id_type}, need int, key long"))
-    by_key, by_id, by_band = Window.partitionBy("key"), Window.partitionBy("id"), Window.partitionBy("id", "band")
-    met = look.withColumn("others", F.count("*").over(by_key)).where("others > 1").select("id", "need")
-    likely = written(met.groupBy("id", "need").count().where("count >= need").select("id"), "likely")
+    total = digests.agg(F.sum("n")).first()[0] or 0
+    bits = min(20, max(3, math.ceil(math.log2(max(1, total / 2) / RANGE))))
+    hits = (_kept(texts, _listed(standing)).mapInPandas(lambda batches: _leading(batches, size, percent, bits), _PACKED)
+            .groupBy("range").applyInPandas(_met, _HITS))
+    likely = written(hits.groupBy("chunk").applyInPandas(_enough, "set long").distinct(), "likely")
 
     # Second look: the sets and all blocks of the few that are left.
-    sets = written(rows.join(likely, F.col("_id") == F.col("id"), "left_semi").where(F.col("_text").isNotNull())
-                   .mapInPandas(lambda batches: _hashed(batches, size), f"id {id_type}, n long, hashes binary, bits array<long>")
-                   .dropDuplicates(["id"]), "sets")
-    every = sets.select("id", "hashes").mapInPandas(lambda batches: _all_blocks(batches, percent), f"id {id_type}, band int, need int, key long")
-    shared = (every.withColumn("others", F.count("*").over(by_key)).where("others > 1").drop("others")
-              .withColumn("met", F.count("*").over(by_band)).where("met >= need").drop("met"))
-    ranked = (shared.withColumn("others", F.count("*").over(by_key)).where("others > 1")
-              .withColumn("met", F.count("*").over(by_band))
+    sets = written(_kept(texts, _listed(standing.join(likely, "set").select("_id")))
+                   .mapInPandas(lambda batches: _hashed(batches, size), "set long, n long, hashes binary, bits array<long>")
+                   .withColumn("id", F.monotonically_increasing_id()), "sets")
+    copies = written(sets.groupBy("set").agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n"), "copies")
+    if not copies.isEmpty():
+        sets = written(sets.join(copies, "set", "left").where("first is null or id = first").drop("first"), "sets")
+    every = sets.select("id", "hashes").mapInPandas(lambda batches: _all_blocks(batches, percent), "id long, band int, need int, key long")
+    by_key, by_band = Window.partitionBy("key"), Window.partitionBy("id", "band")
+    shared = every.withColumn("others", F.count("*").over(by_key)).where("others > 1")
+    ranked = (shared.withColumn("met", F.count("*").over(by_band)).where("met >= need")
               .withColumn("central", F.round(F.sum(F.log("others")).over(by_band) / F.col("need"), 6))
               .withColumn("rank", F.row_number().over(by_band.orderBy("others", "key"))))
-    leads = (ranked.where("rank <= met - need + 1")
-             .withColumn("lead", F.min(F.struct(-F.col("central"), F.col("id").alias("id"))).over(by_key)["id"]))
+    leads = (ranked.where("rank <= met - need + 1").select("id", "key", "central")
+             .withColumn("lead", F.min(F.struct(-F.col("central"), F.col("id").alias("id"))).over(by_key)["id"])
+             .withColumn("others", F.count("*").over(by_key)).where("others > 1"))
     prefix = written(leads.select("id", "key", "lead"), "rarest_blocks")
     info = sets.select("id", "n", *(F.col("bits")[i].alias(f"bit{i}") for i in range(SKETCH_WORDS)))
 
@@ -244,7 +350,9 @@ def jaccard_classes(docs: DataFrame, text: str = "text", row_id: str = "doc_id",
             .select(F.least("x_id", "y_id").alias("a"), F.greatest("x_id", "y_id").alias("b")).distinct()
             .join(first, ["a", "b"], "left_anti"))
     links = stars.unionByName(_verified(rest, sets, percent))
-    final = components(links).withColumnRenamed("id", "member")
-    return (stands.join(final, F.col("id") == F.col("member"), "left")
-            .select(F.col("_id").alias(row_id), F.col("n").alias("n_shingles"),
-                    F.coalesce("component", "id", "_id").alias("component_id")))
+    final = components(links)
+    # A class is named by the smallest document id of its sets.
+    sets_of = final.join(sets.select("id", "set"), "id").select("set", "component").join(same, "set")
+    named = written(sets_of.join(sets_of.groupBy("component").agg(F.min("id").alias("class")), "component").select("set", "class"), "classes")
+    return (stands.join(named, "set", "left")
+            .select(F.col("_id").alias(row_id), F.col("n").alias("n_shingles"), F.coalesce("class", "id", "_id").alias("component_id")))

@@ -164,3 +164,38 @@ def test_audit_sees_few_links_and_what_is_missed_is_an_error(spark, monkeypatch)
     monkeypatch.setattr(nn_descent, "_search", lambda *args: (empty, empty.select("u", "v", "sim")))
     with pytest.raises(RuntimeError, match="recall"):
         nn_descent.near_links(vectors(spark, x)).count()
+
+
+def test_repeated_ids_with_other_texts(spark):
+    """An id that stands for two texts hides neither: each row is judged by its own text."""
+    import random
+
+    rng = random.Random(12)
+    words = [f"w{i}" for i in range(400)]
+
+    def text():
+        return [rng.choice(words) for _ in range(60)]
+
+    rows = []
+    for g in range(40):
+        a, b = text(), text()
+        near_a, near_b = a[:-1] + ["end"], b[:-1] + ["end"]
+        rows += [(10 * g + 1, a), (10 * g + 1, b), (10 * g + 2, near_a), (10 * g + 3, near_b), (10 * g + 3, near_b)]
+    frame = spark.createDataFrame([(i, " ".join(t)) for i, t in rows], "doc_id long, text string").repartition(6)
+    classes = jaccard_brute([" ".join(t) for _, t in rows])[1]
+    least = {}
+    for (i, _), c in zip(rows, classes):
+        least[c] = min(least.get(c, i), i)
+    want = sorted((i, least[c]) for (i, _), c in zip(rows, classes))
+    assert sorted((r["doc_id"], r["component_id"]) for r in parity_join.jaccard_classes(frame).collect()) == want
+
+
+def test_sets_survive_packing_and_full_tables_of_ids(spark, monkeypatch):
+    rng = np.random.default_rng(1)
+    s = np.unique(rng.integers(0, 2 ** 63, 500, dtype=np.uint64))
+    assert (parity_join.unpacked(parity_join.packed(s)) == s >> np.uint64(16)).all()
+    monkeypatch.setattr(parity_join, "MOST_BITS", 64)  # a table that lists nearly everything only costs time
+    monkeypatch.setattr(parity_join, "RANGE", 50)
+    texts = [" ".join(f"w{(i // 3) * 50 + j}" for j in range(40)) + (f" x{i}" if i % 3 else "") for i in range(90)] * 2
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    assert {(r["doc_id"], r["component_id"]) for r in parity_join.jaccard_classes(frame).collect()} == {(i, (i % 90) // 3 * 3) for i in range(180)}
