@@ -42,6 +42,12 @@ def ship(spark: SparkSession) -> None:
         sc._meterwise_shipped = True
 
 
+def small_batches(spark: SparkSession, rows: int = 1000, size: str = "8m") -> None:
+    """Bound what a Python worker holds of whole texts at a time, by rows and by bytes, for jobs whose stages share their workers."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -139,14 +139,21 @@ def _listed(ids: DataFrame) -> DataFrame:
                     .agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("bits")), "listed").withColumn("width", F.lit(width).cast("long")))
 
 
-def _kept(rows: DataFrame, table: DataFrame) -> DataFrame:
-    """The rows whose id is listed, and some whose hash falls on a listed one's; the table's words are at most ``MOST_BITS`` / 64."""
+def _kept(rows: DataFrame, table: DataFrame, without: bool = False) -> DataFrame:
+    """The rows whose id is listed, and some whose hash falls on a listed one's, or (``without``) all others; the table's words are at most ``MOST_BITS`` / 64."""
     width = table.select("width").first()
     if width is None:
-        return rows.where("false")
+        return rows if without else rows.where("false")
     at = F.xxhash64("_id").bitwiseAND(width[0] - 1)
-    met = rows.withColumn("_at", at).join(F.broadcast(table.select("word", "bits")), F.shiftright("_at", 6) == F.col("word"))
-    return met.where(F.expr("bits & shiftleft(1L, cast(_at & 63 as int)) <> 0")).select(*rows.columns)
+    met = rows.withColumn("_at", at).join(F.broadcast(table.select("word", "bits")), F.shiftright("_at", 6) == F.col("word"), "left" if without else "inner")
+    hit = F.expr("coalesce(bits & shiftleft(1L, cast(_at & 63 as int)), 0L) <> 0")
+    return met.where(~hit if without else hit).select(*rows.columns)
+
+
+def split_by(rows: DataFrame, ids: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
+    """(rows that may be named by ``ids``, rows that are not), without a shuffle: only the first need an exact join."""
+    table, known = _listed(ids.select(F.col(column).alias("_id"))), rows.withColumn("_id", F.col(column))
+    return _kept(known, table).drop("_id"), _kept(known, table, without=True).drop("_id")
 
 
 _PACKED = "range int, chunk long, keys binary, whose binary, sets binary, needs binary, hits binary"
