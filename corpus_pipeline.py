@@ -10,16 +10,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterwise.llm import language_id, packing, parity_join, pii, winnowing
-from meterwise.llm.common import ship, table, written
+from meterwise.llm.common import ship, small_batches, table, written
 from meterwise.llm.queries import held_out, vocabulary
 
 #: No stage but the third can be said in SQL; tests hold the rows against brute force.
 ORACLE_SQL = None
 
 
+def ready(spark: SparkSession) -> None:
+    ship(spark)
+    small_batches(spark)
+
+
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the documents whose language can be told; null and letterless texts are rejected."""
-    ship(spark)
+    ready(spark)
     known = language_id.reference(docs.where(~held_out(3, 1)))
     if not known.languages:  # nothing labelled to learn from: only what can have no language goes
         return docs.where(F.col("text").rlike(r"\p{L}"))
@@ -32,7 +37,7 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Documents are told apart by id and text, so that rows repeating a doc_id are
     judged each by its text, and only one of equal rows stays.
     """
-    ship(spark)
+    ready(spark)
     keyed = docs.withColumn("_key", F.xxhash64("doc_id", "text"))
     classes = written(parity_join.jaccard_classes(keyed.select("_key", "text"), row_id="_key")
                       .where("n_shingles > 0").groupBy("_key", "component_id").count(), "classes")
@@ -41,20 +46,23 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     judged = classes.join(stays, "component_id")
     goes = written(judged.where("_key <> stay").select("_key"), "goes")
     again = written(judged.where("_key = stay and count > 1").select("_key"), "again")
-    once = keyed.join(goes, "_key", "left_anti").join(again, "_key", "left_anti")
-    return once.unionByName(keyed.join(again, "_key", "left_semi").dropDuplicates(["_key"])).select(*docs.columns)
+    # Rows that are neither dropped nor repeated pass without a shuffle; the few that may be are settled exactly.
+    named, others = parity_join.split_by(keyed, goes.unionByName(again), "_key")
+    once = named.join(goes, "_key", "left_anti").join(again, "_key", "left_anti")
+    first = named.join(again, "_key", "left_semi").dropDuplicates(["_key"])
+    return others.unionByName(once).unionByName(first).select(*docs.columns)
 
 
 def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the documents that share no window of ten words with a benchmark item."""
-    ship(spark)
+    ready(spark)
     found = winnowing.contamination(docs.withColumn("_all", F.struct(*docs.columns)), table(spark, sf_dir, "benchmark"))
     return found.where("n_hit = 0").select("_all.*")
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replace personal data by its kind; n_chars follows the text."""
-    ship(spark)
+    ready(spark)
     out = pii.redact(docs.withColumn("_before", F.col("text")), pii.fit(docs))
     if "n_chars" in docs.columns:
         changed = ~F.col("text").eqNullSafe(F.col("_before"))
@@ -64,7 +72,7 @@ def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pack the documents into sequences of at most 4096 tokens."""
-    ship(spark)
+    ready(spark)
     return packing.pack_documents(docs, vocabulary("word_bpe_49k.json"), capacity=4096)
 
 
