@@ -6,14 +6,19 @@ folder the cluster names in ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import os
 import re
+import sys
 import tempfile
 import zipfile
 from collections.abc import Iterator
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,6 +53,22 @@ def small_batches(spark: SparkSession, rows: int = 1000, size: str = "8m") -> No
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
 
 
+def release(keep: str = "") -> None:
+    """In a Python worker: forget what other operators' tasks remembered there (tokenizers, parsers) and give memory back.
+
+    Workers are reused by one job's stages, so a stage would else start on top of the memories of all before it.
+    """
+    for name, module in list(sys.modules.items()):
+        if name.startswith("meterwise.llm.") and name != keep:
+            for value in list(vars(module).values()):
+                if hasattr(value, "cache_clear"):
+                    value.cache_clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not a GNU C library
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -45,7 +45,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterwise.llm.common import SPACED_WORDS, WordHasher, components, cut, grams, mixed, written
+from meterwise.llm.common import SPACED_WORDS, WordHasher, components, cut, grams, mixed, release, written
 
 SHINGLE = 5
 #: Similarity of a link, in hundredths.
@@ -122,6 +122,7 @@ def _sets(docs: DataFrame, size: int) -> DataFrame:
     """(_id, n, set) of each document: its set's size and hash."""
     @F.pandas_udf("n long, set long")
     def digest(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        release()
         hasher = WordHasher(SPACED_WORDS)
         for batch in batches:
             found = [shingles(hasher((text or "").encode("utf-8", "surrogatepass")), size) for text in batch]
@@ -167,6 +168,7 @@ def _leading(batches: Iterator[pd.DataFrame], size: int, percent: int, bits: int
     """
     from pyspark import TaskContext
 
+    release()
     hasher, task, count = WordHasher(SPACED_WORDS), TaskContext.get().partitionId(), 0
     for batch in batches:
         for lo in range(0, len(batch), TOGETHER):
@@ -245,6 +247,7 @@ def unpacked(raw: bytes) -> np.ndarray:
 
 def _hashed(batches: Iterator[pd.DataFrame], size: int) -> Iterator[pd.DataFrame]:
     """(set, n, hashes, bits) of each text that has shingles."""
+    release()
     hasher = WordHasher(SPACED_WORDS)
     for batch in batches:
         for lo in range(0, len(batch), CHUNK):
