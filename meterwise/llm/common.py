@@ -13,11 +13,13 @@ import os
 import re
 import sys
 import tempfile
+import time
 import zipfile
 from collections.abc import Iterator
 from pathlib import Path
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,6 +71,17 @@ def release(keep: str = "") -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
+def release_workers(spark: SparkSession) -> None:
+    """``release`` in the Python workers of all cores: a job of short waits, two for each core, so that all of them are busy at once."""
+    def wait(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        release()
+        time.sleep(0.1)
+        yield from batches
+
+    n = 2 * spark.sparkContext.defaultParallelism
+    spark.range(0, n, 1, n).mapInPandas(wait, "id long").count()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
