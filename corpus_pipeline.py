@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterwise.llm import language_id, packing, parity_join, pii, winnowing
-from meterwise.llm.common import ship, small_batches, table, written
+from meterwise.llm.common import release_workers, ship, small_batches, table, written
 from meterwise.llm.queries import held_out, vocabulary
 
 #: No stage but the third can be said in SQL; tests hold the rows against brute force.
@@ -18,8 +18,10 @@ ORACLE_SQL = None
 
 
 def ready(spark: SparkSession) -> None:
+    """Stages share executors: each starts with bounded batches and without what the one before remembered in Python workers."""
     ship(spark)
     small_batches(spark)
+    release_workers(spark)
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
