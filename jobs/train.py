@@ -1,6 +1,6 @@
 """Train the boosted-tree model on Global features and register it (idempotent).
 
-    spark-submit jobs/train.py --sf-dir <tables> --out <root> [--version v1] [--quick]
+    spark-submit jobs/train.py --sf-dir <tables> --out <root> [--version v1] [--param max_depth=5 ...]
 """
 
 from __future__ import annotations
@@ -14,11 +14,11 @@ from meterwise.session import tagged
 
 
 def main() -> str:
-    args = parse(__doc__, [(("--version",), {"default": "v1"}), (("--quick",), {"action": "store_true"})])
+    args = parse(__doc__, [(("--version",), {"default": "v1"}), (("--param",), {"action": "append", "default": [], "metavar": "NAME=VALUE"})])
     spark = session("meterwise-train")
     with tagged(spark, "TRAINING", "BOOSTED"):
         feats = FT.training_features(weekly(spark, args, region="Global"))
-        model = train_gbt(feats, params={"n_estimators": 10, "max_depth": 4} if args.quick else None)
+        model = train_gbt(feats, params={k: float(v) for k, v in (p.split("=", 1) for p in args.param)})
         if isinstance(model, str):
             return model
         ModelRegistry(spark, f"{args.out}/models").log_model(model, "stream_forecast", args.version,

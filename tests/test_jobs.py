@@ -33,7 +33,7 @@ def test_prepare_train_score_forecast(spark, monkeypatch):
     assert run_job(monkeypatch, "forecast", *common, "--by-track") == "OK"
     fc = spark.read.parquet(f"{out}/forecast_output_trend")
     assert fc.count() == 12 * weekly.filter(F.col("region") == "Global").select("isrc").distinct().count()
-    assert run_job(monkeypatch, "train", *common, "--quick") == "MODEL_SAVED"
+    assert run_job(monkeypatch, "train", *common, "--param", "n_estimators=5", "--param", "max_depth=3") == "MODEL_SAVED"
     assert run_job(monkeypatch, "score", *common) == "OK"
     scored = spark.read.parquet(f"{out}/forecast_output_global")
     assert scored.count() == 2 * weekly.filter(F.col("region") == "Global").count()

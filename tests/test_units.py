@@ -15,7 +15,6 @@ from meterwise.functions.tags import model_path, parse_tag, workload_type
 from meterwise.functions.timeutil import diff_units
 from meterwise.operators.forecast import fit_trend, forecast, linear_fit
 from meterwise.operators.reports import param_value, recent_sessions
-from meterwise.sources.generator import generate_weekly
 from meterwise.sources.logs import cost_params
 from meterwise.sources.sinks import set_param, upsert
 
@@ -116,25 +115,6 @@ def test_exact_line_forecast(spark):
     assert lf["slope"] is None  # constant x
 
 
-def test_generator_bounds_and_age_filter_fact(spark):
-    """Three tracks released 120/90/60 weeks before the anchor keep 0/14/44 rows under 52 weeks."""
-    anchor = dt.date(2024, 1, 27)
-    tracks = spark.createDataFrame(
-        [(f"TRK00{i}", f"Artist {i}", f"Track {i}", anchor - dt.timedelta(weeks=w), i)
-         for i, w in ((1, 120), (2, 90), (3, 60))],
-        "isrc string, display_artist string, track string, release_date date, track_key int")
-    g = generate_weekly(tracks, anchor=anchor)
-    assert g.count() == 312
-    b = g.groupBy("region").agg(F.min("streams").alias("lo"), F.max("streams").alias("hi")).collect()
-    lims = {r["region"]: (r["lo"], r["hi"]) for r in b}
-    assert 50_000 <= lims["Global"][0] and lims["Global"][1] <= 5_000_000
-    assert 25_000 <= lims["US"][0] and lims["US"][1] <= 3_500_000
-    assert g.filter(F.dayofweek("week_ending") != 7).count() == 0
-    from meterwise.operators.features import training_features
-    kept = training_features(g).groupBy("isrc").count().collect()
-    assert {r["isrc"]: r["count"] for r in kept} == {"TRK002": 14, "TRK003": 44}
-
-
 def test_cost_params_view_defaults(spark):
     from meterwise.operators.costs import cost_params_view
     params = spark.createDataFrame([("DOLLARS_PER_CREDIT", 2.5)], "param_name string, param_value double")
