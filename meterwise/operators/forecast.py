@@ -1,6 +1,6 @@
 """Closed-form trend forecasts with prediction intervals.
 
-Fitting is one hash aggregation per series (count and first/second moments);
+Fitting is one aggregation per series (count, means and centred co-moments);
 forecasting multiplies each fitted series by its horizons with
 ``explode(sequence(1, h))`` -- no shuffle, no per-series Python.
 
@@ -18,6 +18,7 @@ With n < 3 or cxx = 0 the forecast is the series mean and the bounds are NULL.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from statistics import NormalDist
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,19 +32,36 @@ def period_index(ts: str = "week_ending", period_days: int = 7) -> F.Column:
 
 
 def moments(df: DataFrame, x: str, y: str, group_cols: Sequence[str], *extra) -> DataFrame:
-    """n, sums of x, y, x^2, x*y, y^2 (exact for integer data below 2^53)."""
+    """n, means and centred sums of squares and products of the rows that have both x and y.
+
+    The built-in co-moment aggregates keep centred partial sums and merge them
+    pairwise, so large offsets of x or y cancel nothing, however rows are partitioned.
+    """
     xd, yd = F.col(x).cast("double"), F.col(y).cast("double")
     return df.groupBy(*group_cols).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(xd).alias("sx"), F.sum(yd).alias("sy"),
-        F.sum(xd * xd).alias("sxx"), F.sum(xd * yd).alias("sxy"), F.sum(yd * yd).alias("syy"), *extra)
+        F.regr_count(yd, xd).alias("n"), F.regr_avgx(yd, xd).alias("tbar"), F.regr_avgy(yd, xd).alias("ybar"),
+        F.regr_sxx(yd, xd).alias("cxx"), F.regr_sxy(yd, xd).alias("cxy"), F.regr_syy(yd, xd).alias("cyy"), *extra)
 
 
-def _centered(df: DataFrame) -> DataFrame:
-    """Centered sums cxx, cxy, cyy (names differ from sxx.. case-insensitively)."""
-    n = F.col("n").cast("double")
-    return (df.withColumn("cxx", F.col("sxx") - F.col("sx") * F.col("sx") / n)
-              .withColumn("cxy", F.col("sxy") - F.col("sx") * F.col("sy") / n)
-              .withColumn("cyy", F.col("syy") - F.col("sy") * F.col("sy") / n))
+def _merged(parts: DataFrame, group_cols: Sequence[str], keep: str, *extra) -> DataFrame:
+    """Moments of whole groups from those of their parts (a bounded number per group, told apart by ``keep``)."""
+    part = F.struct(keep, "n", "tbar", "ybar", "cxx", "cxy", "cyy")
+    rows = parts.groupBy(*group_cols).agg(F.sort_array(F.collect_list(F.when(F.col("n") > 0, part))).alias("_parts"), *extra)
+
+    def total(term):
+        return F.aggregate("_parts", F.lit(0.0), lambda acc, w: acc + term(w))
+
+    rows = rows.withColumn("n", F.aggregate("_parts", F.lit(0).cast("bigint"), lambda acc, w: acc + w["n"]))
+    count = F.nullif(F.col("n"), F.lit(0).cast("bigint"))
+    rows = rows.withColumns({"tbar": total(lambda w: w["n"] * w["tbar"]) / count, "ybar": total(lambda w: w["n"] * w["ybar"]) / count})
+
+    def off(w, mean):
+        return w[mean] - F.col(mean)
+
+    return rows.withColumns({
+        "cxx": total(lambda w: w["cxx"] + w["n"] * off(w, "tbar") * off(w, "tbar")),
+        "cxy": total(lambda w: w["cxy"] + w["n"] * off(w, "tbar") * off(w, "ybar")),
+        "cyy": total(lambda w: w["cyy"] + w["n"] * off(w, "ybar") * off(w, "ybar"))})
 
 
 def fit_trend(df: DataFrame, *, ts: str = "week_ending", y: str = "streams", series_cols: Sequence[str] = (),
@@ -63,31 +81,25 @@ def fit_trend(df: DataFrame, *, ts: str = "week_ending", y: str = "streams", ser
     obs = (df.groupBy(series.alias("series"), F.col(ts).alias("ts"))
            .agg(combine(y).alias("y"))
            .withColumn("t", period_index("ts", period_days)))
+    ends = [F.max("ts").alias("last_ts"), F.max("t").alias("last_t"), F.min("t").alias("first_t")]
     if seasonal:
         # One pass: moments per (series, ISO week), then per series.  The week
         # partials (<= 53 per series) ride along as an array, from which the
         # seasonal index -- the mean trend residual per week -- is computed
         # with higher-order functions: no join back to the observations.
-        weekly = moments(obs, "t", "y", ["series", F.weekofyear("ts").alias("woy")],
-                         F.max("ts").alias("last_ts"), F.max("t").alias("last_t"), F.min("t").alias("first_t"))
-        totals = weekly.groupBy("series").agg(
-            *[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "sxy", "syy")],
-            F.max("last_ts").alias("last_ts"), F.max("last_t").alias("last_t"), F.min("first_t").alias("first_t"),
-            F.collect_list(F.struct("woy", F.col("n").alias("wn"), F.col("sx").alias("wsx"),
-                                    F.col("sy").alias("wsy"))).alias("_weeks"))
+        weekly = moments(obs, "t", "y", ["series", F.weekofyear("ts").alias("woy")], *ends)
+        fitted = _merged(weekly, ["series"], "woy", F.max("last_ts").alias("last_ts"), F.max("last_t").alias("last_t"),
+                         F.min("first_t").alias("first_t"))
     else:
-        totals = moments(obs, "t", "y", ["series"], F.max("ts").alias("last_ts"), F.max("t").alias("last_t"),
-                         F.min("t").alias("first_t"))
-    fitted = _centered(totals)
+        fitted = moments(obs, "t", "y", ["series"], *ends)
     n = F.col("n").cast("double")
     ok = (F.col("n") >= 3) & (F.col("cxx") > 0)
     model = fitted.select(
-        "series", "n", "last_ts", "last_t", "first_t", (F.col("sx") / n).alias("tbar"),
-        (F.col("sy") / n).alias("ybar"), "cxx", "cxy", "cyy",
+        "series", "n", "last_ts", "last_t", "first_t", "tbar", "ybar", "cxx", "cxy", "cyy",
         F.when(ok, F.col("cxy") / F.col("cxx")).alias("slope"),
         F.when(ok, F.greatest(F.lit(0.0), (F.col("cyy") - F.col("cxy") * F.col("cxy") / F.col("cxx"))
                                 / (n - 2))).alias("sigma2"),
-        *([F.col("_weeks")] if seasonal else []))
+        *([F.col("_parts")] if seasonal else []))
     if not seasonal:
         return model.withColumn("season", F.lit(None).cast("map<int,double>"))
     slope = F.coalesce(F.col("slope"), F.lit(0.0))
@@ -95,17 +107,22 @@ def fit_trend(df: DataFrame, *, ts: str = "week_ending", y: str = "streams", ser
     def residual(w):
         # mean over the week of y - (ybar + slope (t - tbar))
         return F.struct(w["woy"].alias("key"),
-                        (w["wsy"] / w["wn"] - (F.col("ybar") + slope * (w["wsx"] / w["wn"] - F.col("tbar"))))
-                        .alias("value"))
+                        (w["ybar"] - (F.col("ybar") + slope * (w["tbar"] - F.col("tbar")))).alias("value"))
 
     season = F.when(F.col("last_t") - F.col("first_t") >= min_season_periods,
-                    F.map_from_entries(F.transform("_weeks", residual)))
-    return model.withColumn("season", season).drop("_weeks")
+                    F.map_from_entries(F.transform("_parts", residual)))
+    return model.withColumn("season", season).drop("_parts")
 
 
 def forecast(model: DataFrame, *, periods: int = P.FORECAST_HORIZON, level_z: float = P.Z_95,
-             period_days: int = 7, digits: int | None = 4) -> DataFrame:
-    """``periods`` future periods per series with lower and upper bounds."""
+             level: float | None = None, period_days: int = 7, digits: int | None = 4) -> DataFrame:
+    """``periods`` future periods per series with lower and upper bounds.
+
+    ``level`` (between 0 and 1) states the share of outcomes the bounds shall
+    hold; without it they lie ``level_z`` standard errors off.
+    """
+    if level is not None:
+        level_z = NormalDist().inv_cdf(0.5 + level / 2)
     h = F.col("horizon")
     dt = (F.col("last_t") + h).cast("double") - F.col("tbar")
     trend = F.when(F.col("slope").isNull(), F.col("ybar")).otherwise(F.col("ybar") + F.col("slope") * dt)
@@ -123,13 +140,12 @@ def forecast(model: DataFrame, *, periods: int = P.FORECAST_HORIZON, level_z: fl
 
 def linear_fit(df: DataFrame, *, x: str, y: str, group_cols: Sequence[str], digits: int = 6) -> DataFrame:
     """per-group OLS slope, intercept and R^2 from the same moment sums."""
-    m = _centered(moments(df, x, y, group_cols))
-    n = F.col("n").cast("double")
+    m = moments(df, x, y, group_cols)
     slope = F.col("cxy") / F.nullif(F.col("cxx"), F.lit(0.0))
     r2 = F.col("cxy") * F.col("cxy") / F.nullif(F.col("cxx") * F.col("cyy"), F.lit(0.0))
     return m.select(*group_cols, "n",
                     F.round(slope, digits).alias("slope"),
-                    F.round(F.col("sy") / n - slope * F.col("sx") / n, digits).alias("intercept"),
+                    F.round(F.col("ybar") - slope * F.col("tbar"), digits).alias("intercept"),
                     F.round(r2, digits).alias("r2"))
 
 

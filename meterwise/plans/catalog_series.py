@@ -135,7 +135,7 @@ register("quality_report", "Q1 Q2 Q3 Q4 Q5 Q6", with_ctes(QUALITY_SQL,
 
 
 def _forecast_sql(series_expr: str, seasonal: bool = False) -> str:
-    """Oracle of fit_trend + forecast (same operations, same order)."""
+    """Oracle of fit_trend + forecast: least squares by definition, deviations from the means in a second pass."""
     season = "coalesce(i.s, 0.0::double)" if seasonal else "0.0::double"
     index_join = "LEFT JOIN idx i ON f.series = i.series AND weekofyear(f.ts) = i.woy" if seasonal else ""
     return f"""
@@ -143,10 +143,12 @@ WITH obs AS (SELECT {series_expr} AS series, week_ending AS ts, sum(streams) AS
              FROM weekly_input WHERE region = 'Global' GROUP BY 1, 2),
 o2 AS (SELECT series, ts, y, cast(floor(date_diff('day', DATE '1970-01-01', ts) / 7) AS bigint) AS t FROM obs),
 m AS (SELECT series, count(*) AS n, sum(cast(t AS double)) AS sx, sum(cast(y AS double)) AS sy,
-        sum(cast(t AS double) * cast(t AS double)) AS sxx, sum(cast(t AS double) * cast(y AS double)) AS sxy,
-        sum(cast(y AS double) * cast(y AS double)) AS syy, max(ts) AS last_ts, max(t) AS last_t, min(t) AS first_t
+        max(ts) AS last_ts, max(t) AS last_t, min(t) AS first_t
       FROM o2 GROUP BY series),
-c AS (SELECT *, sxx - sx * sx / n AS cxx, sxy - sx * sy / n AS cxy, syy - sy * sy / n AS cyy FROM m),
+c AS (SELECT m.*, d.cxx, d.cxy, d.cyy FROM m JOIN (
+        SELECT o2.series, sum((t - sx / n) * (t - sx / n)) AS cxx, sum((t - sx / n) * (cast(y AS double) - sy / n)) AS cxy,
+          sum((cast(y AS double) - sy / n) * (cast(y AS double) - sy / n)) AS cyy
+        FROM o2 JOIN m ON o2.series = m.series GROUP BY o2.series) d ON m.series = d.series),
 p AS (SELECT series, n, last_ts, last_t, first_t, sx / n AS tbar, sy / n AS ybar, cxx,
         CASE WHEN n >= 3 AND cxx > 0 THEN cxy / cxx END AS slope,
         CASE WHEN n >= 3 AND cxx > 0 THEN greatest(0.0::double, (cyy - cxy * cxy / cxx) / (n - 2)) END AS sigma2

@@ -115,6 +115,44 @@ def test_exact_line_forecast(spark):
     assert lf["slope"] is None  # constant x
 
 
+def test_moments_keep_digits_beside_large_offsets(spark):
+    """Moments of offset series equal exact fractions, for any partitioning; rows without a value are no observations."""
+    from fractions import Fraction
+
+    from meterwise.operators.forecast import moments
+    xs, ys = [10**8 + 3 * i for i in range(500)], [10**8 + 40 * i + (i * i) % 97 for i in range(500)]
+    xm, ym = Fraction(sum(xs), 500), Fraction(sum(ys), 500)
+    want = {"cxx": sum((x - xm) ** 2 for x in xs), "cxy": sum((x - xm) * (y - ym) for x, y in zip(xs, ys)),
+            "cyy": sum((y - ym) ** 2 for y in ys)}
+    rows = spark.createDataFrame([("A", x, y) for x, y in zip(xs, ys)] + [("A", 5, None)], "s string, x long, y long")
+    for parts in (1, 3, 40):
+        got = moments(rows.repartition(parts), "x", "y", ["s"]).first()
+        assert got["n"] == 500
+        assert all(got[k] == pytest.approx(float(v), rel=1e-9) for k, v in want.items())
+
+
+def test_seasonal_and_plain_fits_agree(spark):
+    """Merging week partials gives the moments of the whole series."""
+    rows = [(s, dt.date(2020, 1, 4) + dt.timedelta(days=7 * i), 10**8 + (i * 7919) % 1009 + 130 * i)
+            for s in "AB" for i in range(160 if s == "A" else 2)]
+    df = spark.createDataFrame(rows, "isrc string, week_ending date, streams long")
+    plain = {r["series"]: r for r in fit_trend(df, series_cols=["isrc"]).collect()}
+    merged = {r["series"]: r for r in fit_trend(df, series_cols=["isrc"], seasonal=True).collect()}
+    for s, r in plain.items():
+        assert merged[s]["n"] == r["n"] and merged[s]["last_ts"] == r["last_ts"]
+        for k in ("tbar", "ybar", "cxx", "cxy", "cyy", "slope", "sigma2"):
+            assert merged[s][k] == (r[k] if r[k] is None else pytest.approx(r[k], rel=1e-9))
+    assert plain["B"]["slope"] is None and merged["B"]["season"] is None and merged["A"]["season"] is not None
+
+
+def test_forecast_level(spark):
+    rows = [("A", dt.date(2024, 1, 6) + dt.timedelta(days=7 * i), 100 + i % 3) for i in range(20)]
+    model = fit_trend(spark.createDataFrame(rows, "isrc string, week_ending date, streams long"))
+    half = {z: (lambda r: r["upper_bound"] - r["forecast"])(forecast(model, periods=1, digits=None, **z_).first())
+            for z, z_ in (("z", {"level_z": 1.0}), ("level", {"level": 0.9}))}
+    assert half["level"] / half["z"] == pytest.approx(1.6448536, rel=1e-6)
+
+
 def test_cost_params_view_defaults(spark):
     from meterwise.operators.costs import cost_params_view
     params = spark.createDataFrame([("DOLLARS_PER_CREDIT", 2.5)], "param_name string, param_value double")
