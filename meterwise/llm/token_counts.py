@@ -8,12 +8,19 @@ without a mergeable pair leave with the number of symbols they have left.
 A pair made by a merge always has a higher rank than the merge that made it, so
 this gives what merging one pair at a time gives.
 
+A pre-token of more than LONG symbols would need a round over all its symbols for
+every merge it has in turn.  Such pre-tokens are swept by rank instead: places
+wait under the rank of their pair, all places of the lowest rank merge at once,
+and only the pairs beside them are looked up anew.  The sweep has at most as many
+rounds as the vocabulary has ranks, however long the pre-token.
+
 Counts of pre-tokens are kept in a bounded table per Python worker; only those
 not in it are merged.
 """
 
 from __future__ import annotations
 
+import heapq
 import json
 import re
 from collections.abc import Iterator
@@ -31,8 +38,10 @@ from meterwise.llm.common import mixed
 REMEMBERED = 500_000
 #: Texts counted together.
 CHUNK = 256
-#: Bytes merged together; bounds the arrays of a round (a longer pre-token is merged alone).
+#: Bytes merged together; bounds the arrays of a round (a pre-token of more than LONG symbols is merged alone).
 MERGED_BYTES = 1 << 20
+#: Pre-tokens of more symbols are swept by rank.
+LONG = 512
 _NONE = np.int32(2**31 - 1)
 #: Fixed value: how byte-level vocabularies cut a text into pre-tokens before merging.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -59,7 +68,7 @@ class PairMerger:
 
     def _index(self, keys: np.ndarray, made: np.ndarray) -> None:
         """Pairs by open addressing: slot -> key, rank, symbol made."""
-        self.bits = 19
+        self.bits = max(19, len(keys).bit_length() + 2)
         self.slot_key = np.full(1 << self.bits, -1, np.int64)
         self.slot_rank = np.full(1 << self.bits, _NONE, np.int32)
         self.slot_made = np.zeros(1 << self.bits, np.int64)
@@ -118,6 +127,54 @@ class PairMerger:
         return sym[order], seq[order]
 
 
+    def swept(self, sym: np.ndarray) -> np.ndarray:
+        """The symbols left of one pre-token: as ``merge``, with places waiting under the rank of their pair."""
+        n = len(sym)
+        sym, after, before = sym.copy(), np.arange(1, n + 1), np.arange(-1, n - 1)
+        rank = np.full(n, _NONE, np.int32)  # of the pair that begins at a place; _NONE also where no symbol is left
+        made = np.zeros(n, np.int64)
+        live = np.ones(n, bool)
+        waiting: dict[int, list[np.ndarray]] = {}
+        ranks: list[int] = []
+
+        def wait(places: np.ndarray) -> None:
+            """Look up the pairs that begin at ``places`` and put them under their ranks."""
+            slot = self._found(sym[places] * self.size + sym[after[places]])
+            rank[places] = np.where(slot >= 0, self.slot_rank[slot], _NONE)
+            made[places] = self.slot_made[slot]
+            places = places[slot >= 0]
+            order = np.argsort(rank[places], kind="stable")
+            places = places[order]
+            edges = np.flatnonzero(np.diff(rank[places])) + 1
+            for group in np.split(places, edges) if len(places) else ():
+                r = int(rank[group[0]])
+                if r not in waiting:
+                    waiting[r] = []
+                    heapq.heappush(ranks, r)
+                waiting[r].append(group)
+
+        wait(np.arange(n - 1))
+        while ranks:
+            lowest = heapq.heappop(ranks)
+            places = np.unique(np.concatenate(waiting.pop(lowest)))
+            places = places[rank[places] == lowest]  # others have changed since they began to wait
+            if not len(places):
+                continue
+            # Of overlapping places (aaa) every other one, from the left.
+            begins = np.concatenate([[True], after[places[:-1]] != places[1:]])
+            run = np.maximum.accumulate(np.where(begins, np.arange(len(places)), 0))
+            places = places[(np.arange(len(places)) - run) % 2 == 0]
+            gone = after[places]
+            sym[places] = made[places]
+            live[gone], rank[gone], rank[places] = False, _NONE, _NONE
+            after[places] = after[gone]
+            inner = after[places] < n
+            before[after[places[inner]]] = places[inner]
+            left = before[places]
+            wait(np.unique(np.concatenate([left[left >= 0], places[inner]])))
+        return sym[live]
+
+
 class Vocabulary(PairMerger):
     """A byte-level BPE file and the counts remembered so far."""
 
@@ -135,6 +192,8 @@ class Vocabulary(PairMerger):
 
     def merged(self, pieces: list[bytes]) -> np.ndarray:
         """Symbols left of each (non-empty) pre-token."""
+        if len(pieces) == 1 and len(pieces[0]) > LONG:
+            return np.array([len(self.swept(self.symbol[np.frombuffer(pieces[0], np.uint8)]))])
         sym = self.symbol[np.frombuffer(b"".join(pieces), np.uint8)]
         seq = np.repeat(np.arange(len(pieces)), np.fromiter(map(len, pieces), np.int64, len(pieces)))
         return np.bincount(self.merge(sym, seq)[1], minlength=len(pieces))
@@ -146,7 +205,7 @@ class Vocabulary(PairMerger):
         at = 0
         while at < len(raw):
             end, size = at, 0
-            while end < len(raw) and (end == at or size + len(raw[end]) <= MERGED_BYTES):
+            while end < len(raw) and (end == at or len(raw[at]) <= LONG >= len(raw[end]) and size + len(raw[end]) <= MERGED_BYTES):
                 size += len(raw[end])
                 end += 1
             self.tokens.update(zip(new[at:end], self.merged(raw[at:end]).tolist()))
