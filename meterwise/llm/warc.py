@@ -36,8 +36,8 @@ LEAST_BYTES = 100
 FILE_BYTES = 1 << 30
 #: Ranges with at most this gap are read together, up to so many bytes.
 GAP_BYTES, READ_BYTES = 1 << 16, 1 << 22
-#: Index rows whose offsets fall into the same stretch of a file are read by one task.
-STRETCH_BYTES = 1 << 26
+#: Archive bytes that a reading task gets: index rows are spread over tasks by stretches of a quarter of that.
+TASK_BYTES = 1 << 24
 
 INDEX = "file string, offset long, length long, url string, digest string, page_id string, record_type string"
 RECORD = ("page_id string, url string, record_type string, refers_to string, payload_bytes long, payload_digest string, "
@@ -57,11 +57,11 @@ def record(page_id: str, url: str, payload: bytes, digest: str, refers_to: str |
     """One record, compressed; a revisit keeps the digest and length of its payload but not the payload."""
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(payload)
     block = http if refers_to is not None else http + payload
-    head = ["WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}", f"WARC-Record-ID: <urn:page:{page_id}>",
+    head = ["WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}", f"WARC-Record-ID: <urn:page:{_line(page_id)}>",
             f"WARC-Date: {date}", f"WARC-Target-URI: {_line(url)}", f"WARC-Payload-Digest: sha256:{digest}",
             "Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}"]
     if refers_to is not None:
-        head[5:5] = ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: <urn:page:{refers_to}>"]
+        head[5:5] = ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: <urn:page:{_line(refers_to)}>"]
     return gzip.compress("\r\n".join([*head, "", ""]).encode() + block + b"\r\n\r\n", 6, mtime=0)
 
 
@@ -77,7 +77,7 @@ def parse(raw: bytes) -> tuple:
         raise ValueError(f"record {fields['WARC-Record-ID']}: payload and digest differ")
 
     def page(value: str | None) -> str | None:
-        return value.removeprefix("<urn:page:").removesuffix(">") if value else None
+        return _unline(value.removeprefix("<urn:page:").removesuffix(">")) if value else None
 
     return (page(fields["WARC-Record-ID"]) or None, _unline(fields["WARC-Target-URI"]), kind, page(fields.get("WARC-Refers-To")),
             size, digest, payload if kind == "response" else None)
@@ -162,15 +162,18 @@ def read_ranges(wanted: Iterator[pd.DataFrame], with_payload: bool, gap: int = G
         opened[1].close()
 
 
-def read_records(index: DataFrame, with_payload: bool = True, gap: int = GAP_BYTES, most: int = READ_BYTES) -> DataFrame:
+def read_records(index: DataFrame, with_payload: bool = True, gap: int = GAP_BYTES, most: int = READ_BYTES,
+                 task_bytes: int = TASK_BYTES) -> DataFrame:
     """The records that ``index`` (all rows or a selection) points to; see RECORD for the columns.
 
-    A stretch of a file is one task's, read in order of offset; the payload of a
-    revisit is null (join with the response it refers to).  An empty selection
-    gives no rows; a row that repeats is read again.
+    Tasks are as many as the bytes to be read ask for (the index itself is small
+    and says nothing of them).  A stretch of a file is one task's, read in order of
+    offset; the payload of a revisit is null (join with the response it refers to).
+    An empty selection gives no rows; a row that repeats is read again.
     """
+    size = index.agg(F.sum("length")).first()[0] or 0
     places = (index.select("file", "offset", "length")
-              .repartition("file", F.floor(F.col("offset") / F.lit(STRETCH_BYTES)))
+              .repartition(1 + size // task_bytes, "file", F.floor(F.col("offset") / F.lit(task_bytes // 4)))
               .sortWithinPartitions("file", "offset"))
     found = places.mapInPandas(lambda batches: read_ranges(batches, with_payload, gap, most), RECORD)
     return found.withColumn("page_id", F.nullif("page_id", F.lit("")))
