@@ -4,7 +4,7 @@ A document is a vector of transformed statistics of its whole text.  Each class
 has a mean and a covariance shrunk towards the pooled one and a multiple of the
 identity.  The score is the probability of the good class from the difference of
 the two Gaussian log densities, whose Mahalanobis distances come from Cholesky
-factors computed once.
+factors computed and inverted once.
 
 The moments of the classes are sums that Spark aggregates over all training
 rows; only they (two numbers per pair of features and class) reach the driver.
@@ -69,27 +69,32 @@ def features(text: Column) -> Column:
 
 @dataclass(frozen=True)
 class Model:
-    """Scaling of the features and, per class, mean, Cholesky factor, log determinant and log prior."""
+    """Scaling of the features and, per class, mean, inverse of the Cholesky factor, log determinant and log prior."""
 
     centre: np.ndarray
     scale: np.ndarray
     classes: tuple[tuple[np.ndarray, np.ndarray, float, float] | None, ...]
 
     def score(self, x: np.ndarray) -> np.ndarray:
-        """Probability of class 1 per row; a class never seen has probability 0."""
+        """Probability of class 1 per row; a class never seen has probability 0, and both have a half if neither was."""
+        if self.classes == (None, None):
+            return np.full(len(x), 0.5)
         if None in self.classes:
             return np.full(len(x), 1 - EDGE if self.classes[0] is None else EDGE)
         z = (x - self.centre) / self.scale
         density = []
-        for mean, factor, log_det, prior in self.classes:
+        for mean, inverse, log_det, prior in self.classes:
             # |L^-1 (z - mean)|^2 is the Mahalanobis distance for covariance L L^T.
-            distance = np.sum(np.linalg.solve(factor, (z - mean).T) ** 2, axis=0)
+            distance = np.sum(((z - mean) @ inverse.T) ** 2, axis=1)
             density.append(prior - 0.5 * (distance + log_det))
         return np.clip(1 / (1 + np.exp(np.clip(density[0] - density[1], -700, 700))), EDGE, 1 - EDGE)
 
 
 def fit(rows: DataFrame, x: str = "features", label: str = "label", pooled: float = POOLED, ridge: float = RIDGE) -> Model:
-    """Fit on all rows with a label of 0 or 1; one aggregation, two rows to the driver."""
+    """Fit on all rows with a label of 0 or 1; one aggregation, two rows to the driver.
+
+    Without such a row the model knows neither class.
+    """
     d = len(FEATURES)
     col = [F.col(x)[i] for i in range(d)]
     sums = [F.sum(c).alias(f"s{i}") for i, c in enumerate(col)]
@@ -97,7 +102,7 @@ def fit(rows: DataFrame, x: str = "features", label: str = "label", pooled: floa
     found = {r["y"]: r for r in rows.where(F.col(label).isin(0, 1)).groupBy(F.col(label).cast("int").alias("y"))
              .agg(F.count("*").alias("n"), *sums).collect()}
     if not found:
-        raise ValueError("no labelled rows to learn from")
+        return Model(np.zeros(d), np.ones(d), (None, None))
     total = sum(r["n"] for r in found.values())
     moment = {}
     for y, r in found.items():
@@ -121,7 +126,7 @@ def fit(rows: DataFrame, x: str = "features", label: str = "label", pooled: floa
         cov = (1 - pooled) * own / unit + pooled * within / unit
         cov = (1 - ridge) * cov + ridge * max(np.trace(cov) / d, 1e-3) * np.eye(d)
         factor = np.linalg.cholesky(cov)
-        classes.append(((mean - centre) / scale, factor, 2 * float(np.log(np.diag(factor)).sum()), math.log(n / total)))
+        classes.append(((mean - centre) / scale, np.linalg.inv(factor), 2 * float(np.log(np.diag(factor)).sum()), math.log(n / total)))
     return Model(centre, scale, tuple(classes))
 
 
@@ -142,8 +147,10 @@ def classify(docs: DataFrame, labels: DataFrame, learn: Column, text: str = "tex
     ``learn`` may use the id column only.  Null and empty texts have the
     statistics of an empty text and a score like any other; labels that are null
     or neither 0 nor 1, or without a document, are not used, and a row repeated
-    on either side counts as often as it occurs.  The statistics are computed
-    once and written; texts aren't shuffled.
+    on either side counts as often as it occurs.  If no usable label is left every
+    score is 0.5; if one class has none, the other's rows decide (score near 0 or 1).
+    Empty ``docs`` give no rows.  The statistics are computed once and written;
+    texts aren't shuffled.
     """
     from meterwise.llm.common import written
 
