@@ -24,6 +24,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from meterwise.llm.common import written
+
 UNDETERMINED = "und"
 #: Symbols a document is cut into before parsing; the parse restarts at each.
 BLOCK = 512
@@ -51,21 +53,27 @@ def reference(labelled: DataFrame, text: str = "text", lang: str = "lang", row_i
     """A bounded sample of labelled rows, the only thing learned from.
 
     Per language, the row with the smallest hash of its id in each of
-    ``sample_texts`` hash buckets is taken, and ``sample_symbols`` letters and
-    spaces of its text.  At most ``sample_texts`` x languages short texts reach
-    the driver.  Rows without a language or a letter are not used; with nothing to
-    learn from, every text is ``und``.
+    ``sample_texts`` hash buckets is taken, and of its words (runs of letters,
+    lower-cased) the ``sample_symbols`` symbols that begin at a hashed place, so
+    that any part of a long text may be learned from.  The cut is made before
+    rows leave the executors: at most ``sample_texts`` x languages pieces reach
+    the driver.  Of rows that repeat an id in a language, the smallest piece
+    counts.  Rows without a language or a letter are not used; with nothing to
+    learn from, every text is ``und``.  The list of picked ids is joined by its
+    measured size.
     """
     rows = (labelled.where(F.col(lang).isNotNull() & F.col(row_id).isNotNull() & F.col(text).rlike(r"\p{L}"))
-            .select(F.col(lang).alias("_lang"), F.col(row_id).alias("_id"), F.xxhash64(row_id).alias("_hash")))
-    picked = (rows.groupBy("_lang", F.pmod("_hash", F.lit(sample_texts)).alias("_bucket"))
-              .agg(F.min_by("_id", F.struct("_hash", "_id")).alias("_id")).select("_lang", "_id"))
-    texts = (labelled.join(F.broadcast(picked), (F.col(lang) == F.col("_lang")) & (F.col(row_id) == F.col("_id")), "left_semi")
-             .select(lang, row_id, text).dropDuplicates([row_id]))
+            .select(F.col(lang).alias("_lang"), F.col(row_id).alias("_id"), F.col(text).alias("_text")))
+    hashed = rows.select("_lang", "_id", F.xxhash64("_id").alias("_hash"))
+    picked = written(hashed.groupBy("_lang", F.pmod("_hash", F.lit(sample_texts)).alias("_bucket"))
+                     .agg(F.min_by("_id", F.struct("_hash", "_id")).alias("_id")).select("_lang", "_id"), "picked")
+    words = F.trim(F.regexp_replace(F.lower("_text"), r"\P{L}+", " "))
+    place = F.pmod(F.xxhash64("_id", F.lit("place")), F.greatest(F.length("_words") - sample_symbols + 1, F.lit(1))).cast("int")
+    pieces = (rows.join(picked, ["_lang", "_id"], "left_semi").select("_lang", "_id", words.alias("_words"))
+              .groupBy("_lang", "_id").agg(F.min(F.substr("_words", place + 1, F.lit(sample_symbols))).alias("_piece")))
     found: dict[str, list[str]] = {}
-    for row in sorted(texts.collect(), key=lambda r: (str(r[0]), str(r[1]))):
-        words = "".join(c if c.isalpha() else " " for c in row[2].lower()).split()
-        found.setdefault(row[0], []).append(" ".join(words)[:sample_symbols])
+    for row in sorted(pieces.collect(), key=lambda r: (str(r[0]), str(r[1]))):
+        found.setdefault(row[0], []).append("".join(c if c.isalpha() else " " for c in row[2]))
     languages = tuple(sorted(found))
     return Reference(languages, tuple(" ".join(found[k]) for k in languages))
 

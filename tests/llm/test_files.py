@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 from conftest import SF_MID
 from odd_rows import no_docs, odd_docs  # noqa: F401 - fixtures
+from pyspark.sql import functions as F
 
 from meterwise.llm import chat_format, packing, warc
 from meterwise.llm.queries import QUERIES, vocabulary
@@ -30,6 +31,16 @@ def test_archives_round_trip(spark, odd_docs):
     assert warc.read_records(warc.write_archives(pages.where("false"))).count() == 0
 
 
+def test_archives_are_read_by_several_tasks(spark):
+    """Reading tasks go by archive bytes, whatever the size of the index; ids keep signs that headers use."""
+    rows = [(f"p\r\n{i}>%0A", "u", random.Random(i).randbytes(600).hex()) for i in range(60)]
+    pages = spark.createDataFrame(rows, "page_id string, url string, html string")
+    index = warc.write_archives(pages.coalesce(1))
+    found = warc.read_records(index, task_bytes=4096)
+    assert found.select(F.spark_partition_id().alias("p")).distinct().count() > 2
+    assert {r["page_id"]: bytes(r["payload"]).decode() for r in found.collect()} == {i: html for i, _, html in rows}
+
+
 def test_local_search_empties_bins():
     sizes = [6, 6, 4, 4, 5, 5]  # best fit needs three bins of ten; so does the bound
     assert len(packing.pack_sizes(sizes, 10)) == 3

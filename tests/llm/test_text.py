@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import random
 import re
 
+import numpy as np
 import pytest
 from conftest import SF_MID
 from odd_rows import no_docs, odd_docs  # noqa: F401 - fixtures
@@ -96,8 +98,6 @@ def test_personal_data_on_documents(spark, odd_docs, no_docs):
 
 
 def test_secrets_are_learnt_without_labels():
-    import numpy as np
-
     votes = np.array([[2, 2, 2, 2], [1, 2, 2, 2], [1, 1, 0, 1], [1, 0, 0, 0]])
     personal, table_ = pii.expectation_maximisation(votes, np.array([50.0, 40, 80, 60]))
     assert (personal.round() == [1, 1, 0, 0]).all() and np.allclose(table_.sum(axis=2), 1)
@@ -131,5 +131,55 @@ def test_quality_odd_rows(spark, odd_docs, no_docs):
     rows = scored.collect()
     assert len(rows) == odd_docs.count() and all(0 < r["score"] < 1 for r in rows)
     assert quality_qda.classify(odd_docs, labels.where("quality = 1"), learn).where("score < 0.9").count() == 0
-    with pytest.raises(ValueError):
-        quality_qda.classify(no_docs, labels, learn)
+    for docs, known, where in ((odd_docs, labels.where("false"), learn), (odd_docs, labels, F.lit(False)), (no_docs, labels, learn)):
+        unlearned = quality_qda.classify(docs, known, where)
+        assert unlearned.count() == docs.count() and unlearned.where("score <> 0.5").count() == 0
+
+
+def test_quality_equals_dense_densities(spark):
+    """Scores equal Gaussian log densities computed densely: two-pass covariances, inverse and determinant by numpy."""
+    rng = np.random.default_rng(3)
+    d = len(quality_qda.FEATURES)
+    x = rng.normal(size=(400, d)) @ rng.normal(size=(d, d)) + 5
+    y = (rng.random(400) < 0.4).astype(int)
+    x[y == 1] += rng.normal(size=d)
+    rows = spark.createDataFrame([(v.tolist(), int(k)) for v, k in zip(x, y)], "features array<double>, label int").repartition(5)
+    model = quality_qda.fit(rows)
+    scale = x.std(axis=0)
+    z = (x - x.mean(axis=0)) / scale
+    own = [np.cov(z[y == k].T, bias=True) for k in (0, 1)]
+    within = sum(c * (y == k).sum() for k, c in enumerate(own)) / len(y)
+    density = []
+    for k in (0, 1):
+        cov = (1 - quality_qda.POOLED) * own[k] + quality_qda.POOLED * within
+        cov = (1 - quality_qda.RIDGE) * cov + quality_qda.RIDGE * np.trace(cov) / d * np.eye(d)
+        off = z - z[y == k].mean(axis=0)
+        density.append(np.log((y == k).mean()) - 0.5 * (np.einsum("ij,jk,ik->i", off, np.linalg.inv(cov), off) + np.linalg.slogdet(cov)[1]))
+    want = 1 / (1 + np.exp(density[0] - density[1]))
+    assert np.allclose(model.score(x), np.clip(want, quality_qda.EDGE, 1 - quality_qda.EDGE), atol=1e-6)
+
+
+def test_long_pre_tokens_equal_the_library():
+    from tokenizers import Tokenizer
+
+    path = vocabulary("byte_bpe_50k.json")
+    library, vocab = Tokenizer.from_file(path), token_counts.Vocabulary(path)
+    rng = random.Random(5)
+    texts = ["a" * 4001, "ab" * 900 + "a", "é" * 2000, "9" * 1500, "=" * 3001, " " * 2000 + "x", "\n" * 1001]
+    for alphabet in ("ab", "abc", "etaoinshr", "abcdefghijklmnopqrstuvwxyz", "あいう漢字中文"):
+        texts += ["".join(rng.choices(alphabet, k=k)) for k in (511, 512, 513, 600, 1500, 6000)]
+    texts.append(" short " + " ".join(texts[:9]) + " tail")
+    assert vocab.counts(texts) == [len(e.ids) for e in library.encode_batch(texts, add_special_tokens=False)]
+    piece = np.array(vocab.symbol[np.frombuffer(texts[-2].encode(), np.uint8)])
+    assert (vocab.swept(piece) == vocab.merge(piece, np.zeros(len(piece), np.int64))[0]).all()
+
+
+def test_language_learns_from_any_part(spark):
+    """A long text's piece begins at a hashed place; the sample is bounded and the same for any order of rows."""
+    rows = [(i, "x" * 3000 + " " + " ".join(f"word{'abcdefghij'[j % 10]}" for j in range(2000)), "aa") for i in range(40)]
+    rows += [(3, "other text of the same id", "aa"), (3, "und noch einer", "bb"), (50, "12 ... only letters: é", "bb")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    refs = [language_id.reference(docs.repartition(n), sample_texts=16, sample_symbols=100) for n in (1, 7)]
+    assert refs[0] == refs[1] and refs[0].languages == ("aa", "bb")
+    assert "word" in refs[0].texts[0] and len(refs[0].texts[0]) <= 16 * 101
+    assert refs[0].texts[1] in ("only letters é und noch einer", "und noch einer only letters é")
