@@ -15,7 +15,6 @@ occurs, k and w are chosen so that k + w - 1 is that length.
 from __future__ import annotations
 
 import re
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -86,32 +85,42 @@ def _table(docs: DataFrame, text: str, key: str, sizes: list[int] | None, window
             .mapInPandas(rows, f"_key {docs.schema[key].dataType.simpleString()}, size int, place int, hash long"))
 
 
+def _diagonals(own: np.ndarray, places: np.ndarray, theirs: np.ndarray, k: int, w: int) -> np.ndarray:
+    """Offsets (place in the document less place in the item) at which the two share a fingerprint."""
+    g = grams(own, k)
+    places = np.unique(places[places < len(g)])
+    places = places[np.argsort(g[places], kind="stable")]
+    found = g[places]
+    met = np.zeros(len(own) + len(theirs), bool)
+    at, hashes = fingerprints(theirs, k, w)
+    for p, lo, hi in zip(at, np.searchsorted(found, hashes, "left"), np.searchsorted(found, hashes, "right")):
+        met[places[lo:hi] - p + len(theirs)] = True
+    return np.flatnonzero(met) - len(theirs)
+
+
 def _hits(words: list[str], met: list, window: int) -> tuple[np.ndarray, list[str]]:
     """Which words lie in a shared window, and the ids of the items that have one; ``met``: (item, text, places)."""
     hit = np.zeros(len(words), bool)
     items = set()
     hasher = WordHasher(PLAIN_WORDS)
     own = hasher(" ".join(words).encode("utf-8", "surrogatepass"))
+    # Words are compared by number, not by hash.
+    number: dict[str, int] = {}
+    mine = np.fromiter((number.setdefault(w, len(number)) for w in words), np.int64, len(words))
     for item, text, places in met:
         other = words_of(text)
         size = min(window, len(other))
-        k, w = family(len(other), window)
+        their = np.fromiter((number.get(w, -1) for w in other), np.int64, len(other))
         theirs = hasher(" ".join(other).encode("utf-8", "surrogatepass"))
-        where = defaultdict(list)
-        for place, h in zip(*fingerprints(theirs, k, w)):
-            where[int(h)].append(int(place))
-        own_grams = grams(own, k)
-        offsets = {place - p for place in places if place < len(own_grams) for p in where.get(int(own_grams[place]), ())}
-        for d in offsets:  # word d + i of the document stands beside word i of the item
-            run = 0
-            for i in range(max(0, -d), min(len(other), len(words) - d) + 1):
-                if i < min(len(other), len(words) - d) and other[i] == words[d + i]:
-                    run += 1
-                    continue
-                if run >= size:
-                    hit[d + i - run:d + i] = True
-                    items.add(item)
-                run = 0
+        for d in _diagonals(own, np.asarray(places, np.int64), theirs, *family(len(other), window)).tolist():
+            # Word d + i of the document stands beside word i of the item.
+            lo, hi = max(0, -d), min(len(other), len(words) - d)
+            same = np.zeros(hi - lo + 2, np.int8)
+            same[1:-1] = their[lo:hi] == mine[d + lo:d + hi]
+            runs = np.flatnonzero(np.diff(same)).reshape(-1, 2)
+            for begin, end in runs[runs[:, 1] - runs[:, 0] >= size] + d + lo:
+                hit[begin:end] = True
+                items.add(item)
     return hit, sorted(items)
 
 

@@ -8,7 +8,7 @@ from conftest import SF_MID
 from odd_rows import no_docs, odd_docs  # noqa: F401 - fixtures
 
 from meterwise.llm import nn_descent, parity_join, winnowing
-from meterwise.llm.common import components
+from meterwise.llm.common import PLAIN_WORDS, WordHasher, components
 from meterwise.llm.queries import ORACLES, QUERIES
 
 
@@ -199,3 +199,23 @@ def test_sets_survive_packing_and_full_tables_of_ids(spark, monkeypatch):
     texts = [" ".join(f"w{(i // 3) * 50 + j}" for j in range(40)) + (f" x{i}" if i % 3 else "") for i in range(90)] * 2
     frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
     assert {(r["doc_id"], r["component_id"]) for r in parity_join.jaccard_classes(frame).collect()} == {(i, (i % 90) // 3 * 3) for i in range(180)}
+
+
+def test_hits_of_repeated_words():
+    """Runs along every diagonal equal a search for each window; long repeats stay quick."""
+    import random
+    import time
+
+    rng = random.Random(8)
+    for _ in range(60):
+        words = rng.choices("ab", k=rng.randint(1, 80)) + rng.choices("abcdefgh", k=10)
+        item = rng.choices("ab", k=rng.randint(1, 30)) if rng.random() < 0.5 else words[5:5 + rng.randint(3, 40)]
+        size = min(10, len(item))
+        at, g = winnowing.fingerprints(WordHasher(PLAIN_WORDS)(" ".join(words).encode()), *winnowing.family(len(item)))
+        windows = {tuple(item[i:i + size]) for i in range(len(item) - size + 1)}
+        want = [any(tuple(words[j:j + size]) in windows for j in range(max(0, i - size + 1), i + 1)) for i in range(len(words))]
+        hit, ids = winnowing._hits(words, [("x", " ".join(item), list(at))], 10)
+        assert hit.tolist() == want and ids == (["x"] if any(want) else [])
+    begun = time.process_time()
+    hit, _ = winnowing._hits(["same"] * 20000, [("x", "same " * 400, list(range(20000)))], 10)
+    assert hit.all() and time.process_time() - begun < 3
