@@ -170,9 +170,9 @@ WITH c AS (
   UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
   UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'),
 e AS (SELECT *, 33 + length(r) + length(t) + len(regexp_extract_all(r, '<\\*\|')) + len(regexp_extract_all(t, '<\\*\|')) n FROM c)
-SELECT conv_id, count(*) n_turns, sha256(string_agg(r || chr(10) || t || chr(10), '' ORDER BY turn, r, t)) turns_sha256,
+SELECT conv_id, count(*) n_turns, sha256(string_agg(r || chr(10) || t || chr(10), '' ORDER BY turn NULLS FIRST, r, t)) turns_sha256,
        CAST(sum(CASE WHEN r = 'assistant' THEN length(t) ELSE 0 END) AS BIGINT) loss_chars,
-       sha256(coalesce(string_agg(CASE WHEN r = 'assistant' THEN t END, '' ORDER BY turn, r, t), '')) loss_sha256,
+       sha256(coalesce(string_agg(CASE WHEN r = 'assistant' THEN t END, '' ORDER BY turn NULLS FIRST, r, t), '')) loss_sha256,
        CAST(sum(n) AS BIGINT) formatted_chars
 FROM e GROUP BY conv_id""")
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
