@@ -6,10 +6,13 @@ the reference; the greedy parse cuts the document into as few such phrases as
 possible.  Phrases per character times log2 of the reference's length estimates
 the cross entropy, and the language with the smallest one wins.
 
-The parse restarts every ``BLOCK`` symbols, so a text of any length is a set of
-bounded columns that numpy steps through together, all languages at once: the
-automaton's missing transitions are folded into one table whose lowest bits
-say how many phrases ended here, and a step is one gather.
+A text of any length is cut into bounded columns that numpy steps through
+together, all languages at once: the automaton's missing transitions are folded
+into one table whose lowest bits say how many phrases ended here, and a step is
+one gather.  The parse does not restart at a cut: columns first begin as if no
+phrase were open, then those whose predecessor ended in another state begin
+again from that, until all agree.  Greedy parses soon fall into step, so this
+takes few passes; what does not settle is parsed through, one column a text.
 """
 
 from __future__ import annotations
@@ -27,15 +30,18 @@ from pyspark.sql import functions as F
 from meterwise.llm.common import written
 
 UNDETERMINED = "und"
-#: Symbols a document is cut into before parsing; the parse restarts at each.
+#: Symbols of a column.
 BLOCK = 512
-#: Blocks that step together; bounds the memory of a task whatever the batch holds.
-LANES = 4096
+#: Columns that step together, and symbols they hold; bounds the memory of a task whatever the batch holds.
+LANES, CELLS = 4096, 4096 * 512
+#: Passes over columns that begin in another state than thought, before a text is parsed through.
+PASSES = 8
 #: Bound on the reference sample: texts per language, and symbols per text.
 SAMPLE_TEXTS = 96
 SAMPLE_SYMBOLS = 256
-#: Distinct letters told apart; rarer ones share a symbol.
-LETTERS = 62
+#: Distinct letters told apart, as many as a symbol's byte can name; rarer ones share a symbol.  Where so many
+#: letters would make the table of all languages longer than this, fewer are, ``LEAST_LETTERS`` at least.
+LETTERS, TABLE, LEAST_LETTERS = 253, 1 << 25, 62
 
 _RESULT = "lang_pred string, score double, phrases array<long>"
 
@@ -120,7 +126,9 @@ class Parser:
             for c in text:
                 if c != " ":
                     seen[c] = seen.get(c, 0) + 1
-        letters = sorted(seen, key=lambda c: (-seen[c], c))[:LETTERS]
+        states = sum(2 * len(text) + 2 for text in ref.texts)
+        told = min(LETTERS, max(LEAST_LETTERS, TABLE // max(1, states) - 2))
+        letters = sorted(seen, key=lambda c: (-seen[c], c))[:told]
         self.languages = ref.languages
         self.width = len(letters) + 2  # 0: anything but a letter; 1: another letter
         code = {c: i + 2 for i, c in enumerate(letters)}
@@ -146,32 +154,61 @@ class Parser:
         self.root = np.array(self.root, self.table.dtype)
         self.bits = np.array([math.log2(max(2, len(t))) for t in ref.texts])
 
-    def phrases(self, symbols: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        """Phrases per text and language; ``symbols`` holds the texts one after another."""
-        out = np.zeros((len(sizes), len(self.languages)), np.int64)
-        first = np.cumsum(sizes) - sizes
-        blocks = -(-sizes // BLOCK)
-        owner = np.repeat(np.arange(len(sizes)), blocks)
-        part = np.arange(len(owner)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
-        at = first[owner] + part * BLOCK
-        size = np.minimum(BLOCK, sizes[owner] - part * BLOCK)
+    def _walk(self, symbols: np.ndarray, at: np.ndarray, size: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Phrases ended in each column of ``size`` symbols from ``at`` on and the state after it, begun in state ``start``; by language."""
+        ended, after = np.zeros(start.shape, np.int64), np.empty_like(start)
         order = np.argsort(-size, kind="stable")
-        for lo in range(0, len(order), LANES):
-            own = order[lo:lo + LANES]
+        lo = 0
+        while lo < len(order):
+            own = order[lo:lo + max(1, min(LANES, CELLS // max(1, int(size[order[lo]]))))]
+            lo += len(own)
             a, n = at[own], size[own]
             columns = np.zeros((n[0], len(own)), np.uint8)
             for i in range(len(own)):
                 columns[: n[i], i] = symbols[a[i]:a[i] + n[i]]
             alive = np.searchsorted(-n, -np.arange(n[0]), side="left")
-            state = np.repeat(self.root[:, None], len(own), axis=1)
+            state = start[:, own]
             count = np.zeros(state.shape, np.int32)
             for k in range(n[0]):
                 m = alive[k]
                 moved = self.table[state[:, :m] + columns[k, :m]]
                 count[:, :m] += moved & 3
                 state[:, :m] = moved >> 2
-            np.add.at(out, owner[own], (count + (state != self.root[:, None])).T)
-        return out
+            ended[:, own], after[:, own] = count, state
+        return ended, after
+
+    def phrases(self, symbols: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Phrases per text and language; ``symbols`` holds the texts one after another."""
+        first = np.cumsum(sizes) - sizes
+        blocks = -(-sizes // BLOCK)
+        owner = np.repeat(np.arange(len(sizes)), blocks)
+        part = np.arange(len(owner)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
+        at = first[owner] + part * BLOCK
+        size = np.minimum(BLOCK, sizes[owner] - part * BLOCK)
+        start = np.repeat(self.root[:, None], len(owner), axis=1)
+        ended, after = self._walk(symbols, at, size, start)
+        follows = np.flatnonzero(part > 0)
+        for passes in range(PASSES + 1):
+            begin = after[:, follows - 1]
+            todo = (begin != start[:, follows]).any(axis=0)
+            again, begin = follows[todo], begin[:, todo]
+            if not len(again) or passes == PASSES:
+                break
+            start[:, again] = begin
+            ended[:, again], after[:, again] = self._walk(symbols, at[again], size[again], begin)
+        through = np.zeros((len(self.languages), len(sizes)), np.int64)
+        final = np.repeat(self.root[:, None], len(sizes), axis=1)
+        last = np.cumsum(blocks) - 1
+        final[:, blocks > 0] = after[:, last[blocks > 0]]
+        if len(again):  # from the first column that did not settle to the text's end
+            texts, where = np.unique(owner[again], return_index=True)
+            open_ = np.full(len(sizes), len(owner))
+            open_[texts] = again[where]
+            ended[:, np.arange(len(owner)) >= open_[owner]] = 0
+            place = at[open_[texts]]
+            through[:, texts], final[:, texts] = self._walk(symbols, place, first[texts] + sizes[texts] - place, begin[:, where])
+        np.add.at(through, (slice(None), owner), ended)
+        return (through + (final != self.root[:, None])).T
 
     def predict(self, texts: list[str | None]) -> pd.DataFrame:
         lowered = [(t or "").lower() for t in texts]

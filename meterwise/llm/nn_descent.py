@@ -7,11 +7,12 @@ the vectors of its neighbours (of both directions) are brought together and
 compared with each other, and what is nearer than the farthest neighbour known
 goes into the lists.  Rounds go on until few lists change.
 
-Pairs at or above the threshold link.  Of all pairs ever compared, in a block or at
-a node, those that connect what links there are kept beside the lists, and make
-components.  A list full of links is saturated, and may have pushed out others:
-such vectors are searched again, now for neighbours outside their component
-(with those inside to lead there), until no new link appears.  Each component is
+Pairs at or above the threshold link.  A list full of links is saturated and may
+have pushed out others, so it is enlarged for further links, up to ``MOST``.  Of all pairs ever compared, in a block or
+at a node, those that connect what links there are kept beside the lists, and make
+components.  Vectors whose largest list is still saturated are searched again, now
+for neighbours outside their component (with those inside to lead there), until no
+new link appears.  Each component is
 compared in tiles, so that links are counted in full without a row per pair.  At
 last a sample of vectors, drawn until enough of them have links, is compared with
 all to audit the recall; below the target, twice as many tables of blocks are drawn
@@ -31,8 +32,9 @@ from pyspark.sql import functions as F
 from meterwise.llm.common import components, cut, written
 
 THRESHOLD = 0.95
-#: Neighbours kept per vector, and brought together at a node in one round.
-K, JOINED = 10, 16
+#: Neighbours kept per vector, brought together at a node in one round, and kept where all are links;
+#: links that the largest list has no room for are searched by component.
+K, JOINED, MOST = 10, 16, 40
 #: Random tables of blocks per search at least, and at a time; and rows of a block or tile.
 TABLES, BLOCK = 4, 512
 #: Rounds of a search at most, and the share of changed neighbours below which it ends.
@@ -68,11 +70,13 @@ def _vectors(column: pd.Series, kind: type = np.float32) -> np.ndarray:
     return np.frombuffer(b"".join(column), kind).reshape(len(column), -1)
 
 
-def _top(edges: DataFrame, k: int) -> DataFrame:
-    """The ``k`` nearest distinct neighbours (v, sim, fresh) per u, of its own component and of others."""
+def _top(edges: DataFrame, k: int, threshold: float, most: int = 0) -> DataFrame:
+    """The ``k`` nearest distinct neighbours (v, sim, fresh) per u, of its own component and of others; to ``most`` where all are links."""
     best = edges.groupBy("u", "v", "own").agg(F.max("sim").alias("sim"), F.min("fresh").alias("fresh"))
     order = Window.partitionBy("u", "own").orderBy(F.desc("sim"), "v")
-    return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    # In this order only links stand before a link: one beyond ``k`` means that the list is full of them.
+    more = (F.col("rank") <= most) & (F.col("sim") >= threshold - MARGIN)
+    return best.withColumn("rank", F.row_number().over(order)).where((F.col("rank") <= k) | more)
 
 
 def _links(sim: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
@@ -151,8 +155,11 @@ def _descend(graph: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
     """New pairs (u, v, sim, link) of different components: neighbours of a node compared with each other, where one of the two is new there."""
     both = (graph.select("u", "v", "sim", "own", "fresh")
             .unionByName(graph.select(F.col("v").alias("u"), F.col("u").alias("v"), "sim", "own", "fresh")))
-    met = _top(both, JOINED)
-    last = graph.where("not own").groupBy("u").agg(F.min(F.when(F.col("rank") == K, F.col("sim"))).alias("last"))
+    met = _top(both, JOINED, threshold)
+    # What a list still takes: anything while it is short, links while it can be enlarged, else what is nearer than its last.
+    size, low = F.count("*"), F.min("sim")
+    last = (graph.where("not own").groupBy("u")
+            .agg(F.when(size >= MOST, low).when(size >= K, F.least(low, F.lit(threshold - MARGIN))).alias("last")))
     info = (nodes.join(last, nodes["id"] == last["u"], "left")
             .select(F.col("id").alias("v"), "component", "vec", F.coalesce("last", F.lit(-2.0)).alias("last")))
     gathered = (met.join(info, "v").groupBy("u")
@@ -194,14 +201,14 @@ def _search(nodes: DataFrame, count: int, seed: int, known: DataFrame | None, ta
             start = start.unionByName(graph.select("u", "v", "sim", "own", "fresh"))
         elif known is not None:
             start = start.unionByName(known.select("u", "v", "sim", "own", F.lit(False).alias("fresh")))
-        graph = written(_top(start, K), "neighbours")
+        graph = written(_top(start, K, threshold, MOST), "neighbours")
     for _ in range(ROUNDS):
         found = written(_descend(graph, nodes, threshold), "compared")
         links = links.unionByName(found.where("link"))
         both = F.array(F.struct("u", "v", "sim"), F.struct(F.col("v").alias("u"), F.col("u").alias("v"), "sim"))
         added = (found.where("not link").select(F.explode(both).alias("e")).select("e.*")
                  .withColumns({"own": F.lit(False), "fresh": F.lit(True)}))
-        graph = written(_top(graph.select("u", "v", "sim", "own", F.lit(False).alias("fresh")).unionByName(added), K), "neighbours")
+        graph = written(_top(graph.select("u", "v", "sim", "own", F.lit(False).alias("fresh")).unionByName(added), K, threshold, MOST), "neighbours")
         if graph.where("fresh").count() <= STILL * K * count:
             break
     return graph, links.select("u", "v", "sim")
@@ -233,8 +240,8 @@ def _marked(graph: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def _saturated(graph: DataFrame, placed: DataFrame, threshold: float) -> tuple[DataFrame, int]:
-    """Vectors whose list is full of links, so that more may have been pushed out, and how many; none if they are of one component."""
-    full = graph.where(F.col("sim") >= threshold - MARGIN).groupBy(F.col("u").alias("id")).count().where(F.col("count") >= K)
+    """Vectors whose largest list is full of links, so that more may have been pushed out, and how many; none if they are of one component."""
+    full = graph.where(F.col("sim") >= threshold - MARGIN).groupBy(F.col("u").alias("id")).count().where(F.col("count") >= MOST)
     nodes = placed.join(full, "id", "left_semi")
     n, first, last = nodes.agg(F.count("*"), F.min("component"), F.max("component")).first()
     return nodes, n if first != last else 0
@@ -332,7 +339,7 @@ def near_links(vectors: DataFrame, embedding: str = "embedding", row_id: str = "
             label = components(links, "u", "v")
         placed = _placed(reps, label)
         graph = found if graph is None else graph.select("u", "v", "sim").unionByName(found.select("u", "v", "sim"))
-        graph = written(_top(_marked(graph, placed).withColumn("fresh", F.lit(False)), K), "neighbours")
+        graph = written(_top(_marked(graph, placed).withColumn("fresh", F.lit(False)), K, threshold, MOST), "neighbours")
         if linked:  # what joins components may make others meet
             nodes, n = _saturated(graph, placed, threshold)
             if n:

@@ -5,15 +5,17 @@ sequence are cut.  Pieces are dealt by hash into groups of a bounded number;
 each group is packed by itself: best fit, longest first, then a local search
 that moves a document, or exchanges one for one or one for two, between
 underfull bins.  A change is made only if it raises the sum of squared fills,
-so fuller bins grow at the cost of emptier ones until bins empty.  Bins that
-stay underfull are dissolved and dealt into fewer groups, again and again,
-until one group is left; no piece or group ever goes through the driver.
+so fuller bins grow at the cost of emptier ones until bins empty, and the search
+ends where no change raises it.  Bins that stay underfull are dissolved and dealt
+anew, into fewer groups where they can be, as long as that saves sequences; no
+piece or group ever goes through the driver.
 """
 
 from __future__ import annotations
 
 import bisect
 import json
+import math
 import unicodedata
 import zlib
 from collections.abc import Iterator
@@ -35,8 +37,8 @@ END_ID = 1
 GROUP = 4096
 #: Bins at least this full are kept as they are when groups are merged.
 FULL = 0.995
-#: Changes the local search of one group may make, and how many of the emptiest bins try to give at each.
-STEPS, GIVERS = 400, 4
+#: Underfull bins are dealt anew while that saves more than this share of them (of few bins, while it saves any).
+SAVED = 0.001
 #: Units (text between spaces) remembered per Python worker.
 REMEMBERED = 600_000
 CHUNK = 256
@@ -163,75 +165,126 @@ def best_fit(sizes: list[int], capacity: int) -> list[list[int]]:
     return bins
 
 
-def improve(bins: list[list[int]], sizes: list[int], capacity: int, steps: int) -> list[list[int]]:
-    """Local search between underfull bins; stops at the lower bound, without a raising change, or after ``steps``.
-
-    The emptiest bin gives: a document moves, or is exchanged for one or two
-    shorter ones of another bin.  The receiver gains ``d`` and must end fuller
-    than the giver was, so the sum of squares rises by 2 d (receiver - giver + d).
-    """
-    bins = [list(b) for b in bins]
-    fill = [sum(sizes[i] for i in b) for b in bins]
-    least = -(-sum(fill) // capacity)
-    alive = len(bins)
-    while alive > least and steps > 0:
-        under = sorted((b for b in range(len(bins)) if 0 < fill[b] < capacity), key=lambda b: (fill[b], b))
-        change = None
-        for giver in under[:GIVERS]:
-            takers = [b for b in under if b != giver]
-            if not takers:
-                break
-            change = _change(giver, takers, bins, fill, sizes, capacity)
-            if change:
-                break
-        if not change:
-            break
-        out, taker, back = change
-        for b, gone, come in ((giver, [out], back), (taker, back, [out])):
-            bins[b] = [i for i in bins[b] if i not in gone] + list(come)
-            fill[b] += sum(sizes[i] for i in come) - sum(sizes[i] for i in gone)
-        alive -= not bins[giver]
-        steps -= 1
-    return [b for b in bins if b]
-
-
-def _change(giver: int, takers: list[int], bins, fill, sizes, capacity: int):
-    """(document given, bin that takes it, documents given back) with the largest gain, or None; cheaper kinds first."""
-    level = np.array([fill[b] for b in takers])
-    room = capacity - level
-    gives = sorted(set(bins[giver]), key=lambda i: -sizes[i])
-
-    def pick(less: np.ndarray, of: np.ndarray):
-        """Best (document, option) when the taker gives back ``less`` tokens; ``of``: its place in takers."""
-        best, found = 0, None
-        for i in gives:
-            d = sizes[i] - less
-            gain = np.where((d > 0) & (d <= room[of]), d * (level[of] - fill[giver] + d), 0)
+class _Bins:
+    """Bins under local search; their documents in one array sorted by (bin, size), so that the best partner is a binary search."""
+
+    def __init__(self, bins: list[list[int]], sizes: list[int], capacity: int) -> None:
+        self.sizes, self.capacity, self.base = sizes, capacity, capacity + 1
+        of = np.repeat(np.arange(len(bins)), [len(b) for b in bins])
+        docs = np.array([i for b in bins for i in b], np.int64)
+        key = of * self.base + np.array(sizes, np.int64)[docs]
+        order = np.argsort(key, kind="stable")
+        self.key, self.docs = key[order], docs[order]
+        self.fill = np.bincount(of, np.array(sizes, np.int64)[docs], len(bins)).astype(np.int64)
+        #: When a bin last changed, and when it last found nothing to give.
+        self.clock, self.changed, self.tried = 1, np.ones(len(bins), np.int64), np.zeros(len(bins), np.int64)
+
+    def under(self) -> np.ndarray:
+        """Underfull bins, the emptiest first."""
+        found = np.flatnonzero((self.fill > 0) & (self.fill < self.capacity))
+        return found[np.argsort(self.fill[found], kind="stable")]
+
+    def _span(self, b: int) -> tuple[int, int]:
+        lo, hi = np.searchsorted(self.key, [b * self.base, (b + 1) * self.base])
+        return int(lo), int(hi)
+
+    def change(self, giver: int):
+        """(place of the document given, taker, places given back) with the largest gain, or None; cheaper kinds first."""
+        takers = (self.fill > 0) & (self.fill < self.capacity)
+        if self.changed[giver] <= self.tried[giver]:  # what it could do with the others is known: nothing
+            takers &= self.changed > self.tried[giver]
+        takers[giver] = False
+        taker = np.flatnonzero(takers)
+        if not len(taker):
+            return None
+        lo, hi = self._span(giver)
+        size, at = np.unique(self.key[lo:hi] - giver * self.base, return_index=True)
+        give, level = size[:, None], self.fill[taker][None, :]
+        room = self.capacity - level
+
+        def best(less: np.ndarray, ok: np.ndarray, of: np.ndarray | None = None):
+            """Place of the largest gain when ``less`` tokens come back."""
+            free, high = (room, level) if of is None else (room[:, of], level[:, of])
+            d = give - less
+            gain = np.where(ok & (d > 0) & (d <= free), d * (high - self.fill[giver] + d), 0)
             k = int(np.argmax(gain))
-            if gain[k] > best:
-                best, found = int(gain[k]), (i, k)
-        return found
-
-    whole = np.arange(len(takers))
-    if found := pick(np.zeros(len(takers), np.int64), whole):
-        return found[0], takers[found[1]], []
-    docs = np.array([i for b in takers for i in bins[b]])
-    of = np.repeat(whole, [len(bins[b]) for b in takers])
-    size = np.array(sizes)[docs]
-    if found := pick(size, of):
-        return found[0], takers[of[found[1]]], [int(docs[found[1]])]
-    first = np.cumsum([0, *(len(bins[b]) for b in takers)])
-    for t, b in enumerate(takers):  # one bin's pairs at a time bound the memory
-        if len(bins[b]) > 1:
-            i, j = np.triu_indices(len(bins[b]), 1)
-            own = size[first[t]:first[t + 1]]
-            if found := pick(own[i] + own[j], np.full(len(i), t)):
-                return found[0], b, [bins[b][i[found[1]]], bins[b][j[found[1]]]]
-    return None
+            return divmod(k, gain.shape[1]) if gain.flat[k] > 0 else None
+
+        if found := best(np.zeros_like(level), np.True_):
+            return lo + int(at[found[0]]), int(taker[found[1]]), []
+        key = np.append(self.key, len(self.fill) * self.base)
+        # One for one: the gain grows with what the taker gains, so of each bin the shortest that leaves no overflow.
+        first = np.searchsorted(key, taker * self.base + np.maximum(give - room, 0))
+        back = key[first] - taker * self.base
+        if found := best(back, back < self.base):
+            return lo + int(at[found[0]]), int(taker[found[1]]), [int(first[found])]
+        # Two for one: for each document of a taker, the shortest other that leaves no overflow.
+        place = np.flatnonzero(takers[self.key // self.base])
+        owner = self.key[place] // self.base
+        of = np.searchsorted(taker, owner)
+        one = self.key[place] - owner * self.base
+        picked = None
+        for g in range(len(size)):  # one document given at a time bounds the memory
+            give = size[g:g + 1, None]
+            other = np.searchsorted(key, owner * self.base + np.maximum(give[0] - room[0, of] - one, 0))
+            other += other == place
+            two = key[other] - owner * self.base
+            if found := best((one + two)[None, :], (two < self.base)[None, :], of):
+                d = int(size[g] - one[found[1]] - two[found[1]])
+                gain = d * (int(self.fill[owner[found[1]]]) - int(self.fill[giver]) + d)
+                if picked is None or gain > picked[0]:
+                    picked = gain, (lo + int(at[g]), int(owner[found[1]]), [int(place[found[1]]), int(other[found[1]])])
+        return picked and picked[1]
+
+    def apply(self, giver: int, out: int, taker: int, back: list[int]) -> None:
+        places = [out, *back]
+        docs = self.docs[places]
+        to = np.array([taker] + [giver] * len(back))
+        moved = to * self.base + self.key[places] % self.base
+        gain = int(self.key[out] % self.base - (self.key[back] % self.base).sum())
+        self.fill[giver] -= gain
+        self.fill[taker] += gain
+        key, left = np.delete(self.key, places), np.delete(self.docs, places)
+        order = np.argsort(moved, kind="stable")
+        at = np.searchsorted(key, moved[order])
+        self.key, self.docs = np.insert(key, at, moved[order]), np.insert(left, at, docs[order])
+        self.clock += 1
+        self.changed[[giver, taker]] = self.clock
+
+    def lists(self) -> list[list[int]]:
+        ends = np.searchsorted(self.key, np.arange(1, len(self.fill)) * self.base)
+        return [b.tolist()[::-1] for b in np.split(self.docs, ends) if len(b)]
+
+
+def improve(bins: list[list[int]], sizes: list[int], capacity: int, steps: int | None = None) -> list[list[int]]:
+    """Local search between underfull bins, until the lower bound is met or no bin has a raising change left.
+
+    A caller who wants a shorter search may give the number of ``steps`` at most.
+
+    Bins give in turn, the emptiest first: a document moves, or is exchanged for
+    one or two shorter ones of another bin.  The receiver gains ``d`` and must
+    end fuller than the giver was, so the sum of squares rises by
+    2 d (receiver - giver + d) and the search ends.  A bin that found nothing is
+    compared again only with bins changed since.
+    """
+    steps = math.inf if steps is None else steps
+    state = _Bins(bins, sizes, capacity)
+    least = -(-int(state.fill.sum()) // capacity)
+    alive, moving = int((state.fill > 0).sum()), True
+    while moving and alive > least:
+        moving = False
+        for giver in state.under().tolist():
+            while alive > least and steps > 0 and 0 < state.fill[giver] < capacity and (found := state.change(giver)):
+                state.apply(giver, *found)
+                steps -= 1
+                alive -= int(state.fill[giver] == 0)
+                moving = True
+            state.tried[giver] = state.clock
+    return state.lists()
 
 
 def pack_sizes(sizes: list[int], capacity: int) -> list[list[int]]:
-    return improve(best_fit(sizes, capacity), sizes, capacity, steps=STEPS)
+    return improve(best_fit(sizes, capacity), sizes, capacity)
 
 
 # -- packing of a table ----------------------------------------------------
@@ -264,18 +317,29 @@ def pack(pieces_: DataFrame, capacity: int = CAPACITY, group: int = GROUP, full:
     found = written(pieces_.drop("sequence_id", "offset").withColumn("_uid", F.monotonically_increasing_id()), "pieces")
     if found.where(F.col("length") > capacity).limit(1).count():
         raise ValueError(f"a piece is longer than {capacity}")
-    rest = found.where(F.col("length") < capacity).select(F.col("_uid").alias("uid"), "length")
-    kept, level, count = [], 1, rest.count()
-    while count:
-        groups = -(-count // group)
-        done = written(_packed(rest, groups, level, capacity), "packed")
-        rest = done.where(F.col("fill") < F.lit(full * capacity))
-        again = rest.count() if groups > 1 else 0
-        if groups == 1 or -(-again // group) == groups:  # the last group, or merging would change nothing
+    short = found.where(F.col("length") < capacity).select(F.col("_uid").alias("uid"), "length")
+    count, kept, level = short.count(), [], 1
+    groups = -(-count // group)
+    done = written(_packed(short, groups, level, capacity), "packed") if count else None
+    while done is not None:
+        under = F.col("fill") < F.lit(full * capacity)
+        rest = done.where(under)
+        # Each sequence has one piece at its start.
+        count, bins, tokens = rest.agg(F.count("*"), F.count(F.when(F.col("offset") == 0, 1)), F.coalesce(F.sum("length"), F.lit(0))).first()
+        if groups == 1 or bins <= -(-tokens // capacity):  # dealing anew would change nothing
             kept.append(done)
             break
-        kept.append(done.where(F.col("fill") >= F.lit(full * capacity)))
-        count, level = again, level + 1
+        groups, level = min(groups, -(-count // group)), level + 1
+        again = written(_packed(rest, groups, level, capacity), "packed")
+        fewer = again.where("offset = 0").count()
+        if fewer >= bins:
+            kept.append(done)
+            break
+        kept.append(done.where(~under))
+        if groups > 1 and (bins - fewer) <= SAVED * bins:
+            kept.append(again)
+            break
+        done = again
     alone = (found.where(F.col("length") == capacity)
              .select(F.col("_uid").alias("uid"), (-F.col("_uid") - 1).alias("sequence_id"), F.lit(0).cast("long").alias("offset")))
     places = alone

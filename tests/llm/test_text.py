@@ -17,15 +17,13 @@ from meterwise.llm.queries import QUERIES, held_out, vocabulary
 
 
 def greedy_phrases(symbols: str, text: str) -> int:
-    """Phrases of the greedy parse of ``symbols`` with ``text``, restarting at each block."""
-    n = 0
-    for b in range(0, len(symbols), language_id.BLOCK):
-        s, i = symbols[b:b + language_id.BLOCK], 0
-        while i < len(s):
-            j = i + 1
-            while j <= len(s) and s[i:j] in text:
-                j += 1
-            i, n = max(i + 1, j - 1), n + 1
+    """Phrases of the greedy parse of the whole of ``symbols`` with ``text``."""
+    n = i = 0
+    while i < len(symbols):
+        j = i + 1
+        while j <= len(symbols) and symbols[i:j] in text:
+            j += 1
+        i, n = max(i + 1, j - 1), n + 1
     return n
 
 
@@ -42,6 +40,31 @@ def test_cross_parse_is_the_greedy_parse():
     assert list(found["lang_pred"])[3] == "und" and list(found["lang_pred"])[5] == "b"
 
 
+@pytest.mark.parametrize("passes", [0, 1, 8])
+def test_parse_runs_on_over_columns(monkeypatch, passes):
+    """No restart at a column's end, whether the columns settle or a text is parsed through."""
+    monkeypatch.setattr(language_id, "BLOCK", 7)
+    monkeypatch.setattr(language_id, "CELLS", 50)
+    monkeypatch.setattr(language_id, "PASSES", passes)
+    rng = random.Random(passes)
+    ref = language_id.Reference(("a", "b"), ("abcabcabcabd" * 3, "".join(rng.choice("abcd") for _ in range(60))))
+    parser = language_id.Parser(ref)
+    texts = ["abc" * 40, "", "ab", "q" * 30, *("".join(rng.choice("abcde ") for _ in range(rng.randint(1, 90))) for _ in range(40))]
+
+    def letters(t):
+        return "".join(chr(65 + int(parser.symbol[ord(c)])) for c in t)
+
+    assert [list(p) for p in parser.predict(texts)["phrases"]] == [[greedy_phrases(letters(t), letters(r)) for r in ref.texts] for t in texts]
+
+
+def test_letters_of_many_scripts_are_told_apart():
+    blocks = [range(0x430, 0x450), range(0x3B1, 0x3C9), range(0x10D0, 0x10F1), range(0x561, 0x587), range(0x61, 0x7B)]
+    ref = language_id.Reference(tuple("abcde"), tuple("".join(map(chr, b)) for b in blocks))
+    parser = language_id.Parser(ref)
+    codes = [int(parser.symbol[p]) for b in blocks for p in b]
+    assert len(set(codes)) == len(codes) > 100 and min(codes) > 1
+
+
 def test_language_held_out_accuracy(spark):
     docs = table(spark, SF_MID, "documents").select("doc_id", "lang")
     row = (QUERIES["op2_language_id"](spark, SF_MID).join(docs, "doc_id").where("held_out")
