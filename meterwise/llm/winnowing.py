@@ -6,7 +6,8 @@ Two texts that share k + w - 1 consecutive words share such a window and so a
 fingerprint; with k = 5 and w = 6 no shared span of ten words is missed.
 Fingerprints of documents and benchmark are joined; a document gets the
 items it meets with the places where they do, and each place is extended to
-the whole shared span, compared word by word.
+the whole shared span, compared word by word.  A document that meets more items
+than a row should hold is compared with them in parts, and the spans united.
 
 An item of fewer than ten words is one window; for each such length that
 occurs, k and w are chosen so that k + w - 1 is that length.
@@ -31,8 +32,11 @@ _WORD = re.compile(WORD)
 _LOWER = {i: i + 32 for i in range(65, 91)}
 #: Documents hashed before their fingerprints are handed on.
 CHUNK = 256
+#: Bytes of item texts that one row may bring to a document; more are dealt into parts of about this size.
+PART = 1 << 20
 
-_RESULT = "n_words long, n_hit long, items array<string>, spans array<struct<start:int,stop:int>>"
+_SPANS = "array<struct<start:int,stop:int>>"
+_RESULT = f"n_words long, n_hit long, items array<string>, spans {_SPANS}"
 
 
 def words_of(text: str | None) -> list[str]:
@@ -125,13 +129,15 @@ def _hits(words: list[str], met: list, window: int) -> tuple[np.ndarray, list[st
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", row_id: str = "doc_id",
-                  item_text: str = "text", item_id: str = "item_id", window: int = WINDOW) -> DataFrame:
+                  item_text: str = "text", item_id: str = "item_id", window: int = WINDOW, part: int = PART) -> DataFrame:
     """``docs`` with ``n_words``, ``n_hit``, ``items`` (ids as sorted strings) and ``spans`` of hit words.
 
     Null and wordless texts have no words and no hits; an item without words has
     no window.  Rows repeating an item_id are one item; rows repeating a doc_id
     are judged each by its own text; rows without a doc_id as well (they look up
-    the candidates of all such rows, and only true spans count).  The benchmark
+    the candidates of all such rows, and only true spans count).  Columns of
+    ``docs`` that have the results' names are replaced, all others stay.  A row
+    holds about ``part`` bytes of item texts at most, or one item.  The benchmark
     side is joined by its measured size: broadcast under Spark's threshold,
     else shuffled, where the skew join splits a passage that many documents share.
     """
@@ -145,9 +151,14 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", row
     # A null id is looked up under a value of its own, beside the ids as text.
     key = F.coalesce(F.concat(F.lit("="), F.col(row_id).cast("string")), F.lit(""))
     found = _table(docs.select(key.alias("_row"), F.col(text).alias("_value")).where(F.col("_value").isNotNull()), "_value", "_row", sizes, window)
-    met = (found.join(marks, ["size", "hash"]).groupBy("_key", "k").agg(F.collect_set("place").alias("places")))
     lookup = items.select(F.xxhash64("item", "item_text").alias("k"), "item", "item_text")
-    candidates = written(met.join(lookup, "k").groupBy("_key")
+    met = written(found.join(marks, ["size", "hash"]).groupBy("_key", "k").agg(F.collect_set("place").alias("places"))
+                  .join(lookup.select("k", F.octet_length("item_text").alias("bytes")), "k"), "met")
+    # Documents that meet more than a row should hold; usually none.
+    large = written(met.groupBy("_key").agg(F.sum("bytes").alias("bytes")).where(F.col("bytes") > part)
+                    .select("_key", F.ceil(F.col("bytes") / part).alias("_parts")), "large")
+    number = F.pmod(F.xxhash64("k", F.lit("part")), F.coalesce("_parts", F.lit(1)))
+    candidates = written(met.join(large, "_key", "left").withColumn("_part", number).join(lookup, "k").groupBy("_key", "_parts", "_part")
                          .agg(F.collect_list(F.struct("item", "item_text", "places")).alias("_met")), "candidates")
 
     @F.pandas_udf(_RESULT)
@@ -167,7 +178,40 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", row
                 rows.append((len(words), int(hit.sum()), ids, spans))
             yield pd.DataFrame(rows, columns=["n_words", "n_hit", "items", "spans"])
 
-    joined = docs.withColumn("_key", key).join(candidates, "_key", "left").withColumn("_judged", judged(F.col(text), F.col("_met")))
-    for name in ("n_words", "n_hit", "items", "spans"):
-        joined = joined.withColumn(name, F.col("_judged")[name])
-    return joined.drop("_key", "_met", "_judged")
+    @F.pandas_udf(_SPANS)
+    def united(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            out = []
+            for spans in batch:
+                ends = sorted((s["start"], s["stop"]) for s in spans)
+                whole: list[list[int]] = []
+                for start, stop in ends:
+                    if whole and start <= whole[-1][1]:
+                        whole[-1][1] = max(whole[-1][1], stop)
+                    else:
+                        whole.append([start, stop])
+                out.append([{"start": a, "stop": b} for a, b in whole])
+            yield pd.Series(out, dtype=object)
+
+    # The row travels as one struct, so that no column of it can clash.
+    rows = docs.select(key.alias("_key"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"))
+    value = F.coalesce(F.col("_row").getField(text).cast("string"), F.lit(""))
+    few = candidates.where("_parts is null").select("_key", "_met")
+    if large.limit(1).count() == 0:
+        judged_ = rows.join(few, "_key", "left").select("_row", judged(value, F.col("_met")).alias("_judged"))
+    else:
+        one = (rows.join(large, "_key", "left_anti").join(few, "_key", "left")
+               .select("_row", judged(value, F.col("_met")).alias("_judged")))
+        many = rows.join(large.select("_key"), "_key", "left_semi").withColumn("_value", value)
+        found_ = (many.select("_key", "_value").distinct().join(candidates.where("_parts is not null"), "_key")
+                  .select("_key", "_value", judged(F.col("_value"), F.col("_met")).alias("j"))
+                  .groupBy("_key", "_value").agg(F.max("j.n_words").alias("n_words"), F.flatten(F.collect_list("j.items")).alias("items"),
+                                                 F.flatten(F.collect_list("j.spans")).alias("spans"))
+                  .withColumn("spans", united("spans")))
+        n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + (s["stop"] - s["start"]))
+        found_ = found_.select("_key", "_value", F.struct("n_words", n_hit.alias("n_hit"), F.array_sort(F.array_distinct("items")).alias("items"),
+                                                          "spans").alias("_judged"))
+        judged_ = one.unionByName(many.join(found_, ["_key", "_value"]).select("_row", "_judged"))
+    names = ["n_words", "n_hit", "items", "spans"]
+    columns = [*docs.columns, *(n for n in names if n not in docs.columns)]
+    return judged_.select(*(F.col("_judged" if c in names else "_row").getField(c).alias(c) for c in columns))

@@ -147,6 +147,14 @@ def test_tight_families_are_one_component(spark, monkeypatch, block):
     assert found == {i: (int(n), 0 if i < 40 else i) for i, n in enumerate(n_links)}
 
 
+@pytest.mark.parametrize("links, others, kept", [(8, 7, 10), (10, 5, 10), (12, 3, 12), (60, 5, nn_descent.MOST)])
+def test_lists_are_enlarged_for_links(spark, links, others, kept):
+    rows = [(1, 100 + i, 0.96 + i * 1e-4, False, True) for i in range(links)] + [(1, 900 + i, 0.5, False, True) for i in range(others)]
+    edges = spark.createDataFrame(rows + rows[:3], "u long, v long, sim double, own boolean, fresh boolean")
+    found = nn_descent._top(edges, nn_descent.K, 0.95, nn_descent.MOST).collect()
+    assert len(found) == kept and sum(r["sim"] > 0.95 for r in found) == min(links, kept)
+
+
 def test_tables_grow_with_the_blocks():
     near = 1 - np.arccos(0.95) / np.pi
     for count in (100, 10**4, 10**5, 10**7, 10**8):
@@ -219,3 +227,17 @@ def test_hits_of_repeated_words():
     begun = time.process_time()
     hit, _ = winnowing._hits(["same"] * 20000, [("x", "same " * 400, list(range(20000)))], 10)
     assert hit.all() and time.process_time() - begun < 3
+
+
+def test_items_beyond_a_row_come_in_parts(spark):
+    """A document that meets many items is compared in parts, with the same result; no column of the documents is lost."""
+    rng = np.random.default_rng(8)
+    words = [f"w{i}" for i in range(400)]
+    texts = [" ".join(rng.choice(words, 60)) for _ in range(12)]
+    bench = [(f"i{i}", " ".join(texts[i % 12].split()[j:j + 10 + i % 25])) for i, j in enumerate(rng.integers(0, 25, 80).tolist())]
+    docs = [(i, texts[i] + " " + texts[(i + 1) % 12], "k", "m", 7) for i in range(12)] + [(0, "short", "k", "m", 7), (0, None, "k", "m", 7), (None, texts[3], "k", "m", 7), (99, "no such", "k", "m", 7)]
+    docs = spark.createDataFrame(docs, "doc_id long, text string, _key string, _met string, n_hit int")
+    items = spark.createDataFrame(bench, "item_id string, text string")
+    whole, parts, mixed = ([tuple(r) for r in winnowing.contamination(docs, items, part=p).sort("doc_id", "text").collect()] for p in (1 << 20, 1, 700))
+    assert whole == parts == mixed and len(whole) == 16 and {r[2:4] for r in whole} == {("k", "m")}
+    assert sum(r[4] > 0 for r in whole) >= 12
