@@ -77,9 +77,17 @@ class Encoder:
         marks = "|".join(regex.escape(t["content"]) for t in spec["added_tokens"])
         #: Characters whose case and composition Python and the library treat alike.
         self.plain = regex.compile(rf"(?!.*(?:{marks}))[!-~À-į]+" if marks else r"[!-~À-į]+")
+        #: Whether a run of ASCII letters is one piece and cannot hold an added token; most units are such runs.
+        self.whole = r"|[\p{L}]+|" in self.cut.pattern and not any(t["content"].isalpha() for t in spec["added_tokens"])
+
+    def _is_plain(self, unit: str) -> bool:
+        if unit.isascii():
+            return self.whole and unit.isalpha() or self.plain.fullmatch(unit) is not None
+        return self.plain.fullmatch(unit) is not None and unicodedata.is_normalized("NFC", unit)
 
     def _merge(self, units: list[str]) -> None:
-        pieces = [self.cut.findall(u.lower()) for u in units]
+        lowered = [u.lower() for u in units]
+        pieces = [[u] if self.whole and u.isalpha() and u.isascii() else self.cut.findall(u) for u in lowered]
         raw = [t.encode() for p in pieces for t in p]
         size = np.fromiter(map(len, raw), np.int64, len(raw))
         data = np.frombuffer(b"".join(raw), np.uint8)
@@ -102,8 +110,8 @@ class Encoder:
             self.known = {}
         self.known[""] = b""
         units = [t.replace("\n", " ").split(" ") for t in texts]
-        new = list(set().union(*units) - self.known.keys())
-        plain = [u for u in new if self.plain.fullmatch(u) and unicodedata.is_normalized("NFC", u)]
+        new = list(set().union(*units).difference(self.known))  # looks up the new ones only; ``- keys()`` would walk all that is known
+        plain = list(filter(self._is_plain, new))
         if plain:
             self._merge(plain)
         other = [u for u in new if u not in self.known]
