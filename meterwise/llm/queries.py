@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from meterwise.llm import (chat_format, language_id, nn_descent, packing, page_diff, parity_join, pii, prefix_trie, quality_qda,
                            spelling, token_counts, warc, winnowing)
-from meterwise.llm.common import remainder, ship, table
+from meterwise.llm.common import remainder, ship, small_batches, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -63,6 +63,7 @@ SELECT e.vec_id, coalesce(n.n, 0) n_links, least(e.vec_id, coalesce(l.y, e.vec_i
        e.vec_id = least(e.vec_id, coalesce(l.y, e.vec_id)) kept
 FROM embeddings e LEFT JOIN n ON n.x = e.vec_id LEFT JOIN least_id l ON l.x = e.vec_id""")
 def op1_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)  # a row of the descent holds the vectors of a node's neighbours
     return nn_descent.near_links(table(spark, sf_dir, "embeddings"))
 
 
