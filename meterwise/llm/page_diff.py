@@ -11,14 +11,19 @@ there is) are deleted as the site's own.
 Inside a marked article a line goes only if a paired page has it outside its
 article: articles on neighbouring URLs may share passages, or be copies of each
 other, and differencing alone would take these for the site's.  Pages that share
-nine tenths of their text are copies and are not paired.
+nine tenths of their text are copies and are not paired: behind a run of copies,
+however long, the nearest other page is found by passing whole blocks of copies.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
+from graphlib import CycleError, TopologicalSorter
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
@@ -27,8 +32,12 @@ from pyspark.sql import functions as F
 
 from meterwise.llm.common import written
 
-#: Pages aligned by one task at a time, and the pages before and behind that it may pair them with.
+#: Pages aligned by one task at a time, and the pages before and behind that it tries first; pages with copies alone there look further.
 TILE, REACH = 64, 8
+#: Pages of a host that are passed together where all of them are copies.
+BLOCK = 256
+#: Cells of the tables by which pages of two blocks are compared at once; larger ones page by page.
+MATRIX = 1 << 23
 #: Share of the shorter page's characters from which two pages are copies.
 COPY = 0.9
 #: Bits of alignment kept for reading it back; longer pages are aligned in halves.
@@ -246,37 +255,233 @@ def common(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     return ends + [(pa[i], pb[j]) for i, j in middle] + ends_behind
 
 
+def _paired(a: tuple, b: tuple) -> tuple[list[tuple[int, int]], bool]:
+    """Places of the lines two pages (hashes, sizes, zones) share that differencing may delete, and whether the pages are copies."""
+    (x, sx, zx), (y, sy, zy) = a, b
+    met = common(x, y)
+    copies = sum(int(sx[p]) for p, _ in met) >= COPY * min(int(sx.sum()), int(sy.sum()))
+    return [(p, q) for p, q in met if zx[p] == OPEN or zy[q] == OPEN], copies
+
+
+def _pages(rows: pd.DataFrame) -> list[tuple]:
+    return [(np.asarray(x).tolist(), np.asarray(s), np.asarray(z)) for x, s, z in zip(rows["hashes"], rows["sizes"], rows["zones"])]
+
+
+_SIDES = "host string, digest binary, rank long, side int, lines array<int>, open boolean"
+
+
 def _aligned(tile: pd.DataFrame) -> pd.DataFrame:
-    """(host, digest, deleted) of a tile's own pages that lose lines."""
+    """Rows of ``_SIDES``: the lines that a tile's own pages lose (side 0).
+
+    A page with nothing but copies within ``REACH`` on a side gives one row for each side instead: the lines shared there, or open.
+    """
     tile = tile.sort_values("rank")
-    pages = [(h, d, list(x), np.asarray(s), np.asarray(z), o) for h, d, x, s, z, o in zip(tile["host"], tile["digest"], tile["hashes"], tile["sizes"], tile["zones"], tile["own"])]
+    pages, hosts, own = _pages(tile), tile["host"].tolist(), tile["own"].tolist()
     done: dict[tuple[int, int], tuple[list[tuple[int, int]], bool]] = {}
 
     def pair(i: int, j: int) -> tuple[list[tuple[int, int]], bool]:
         if (i, j) not in done:
-            (_, _, a, sa, za, _), (_, _, b, sb, zb, _) = pages[i], pages[j]
-            met = common(a, b)
-            copies = sum(int(sa[p]) for p, _ in met) >= COPY * min(int(sa.sum()), int(sb.sum()))
-            done[i, j] = [(p, q) for p, q in met if za[p] == OPEN or zb[q] == OPEN], copies
+            done[i, j] = _paired(pages[i], pages[j])
         return done[i, j]
 
     out = []
-    for i, (host, digest, lines, _, _, own) in enumerate(pages):
-        if not own or not lines:
+    for i, (host, digest, rank) in enumerate(zip(hosts, tile["digest"], tile["rank"])):
+        if not own[i] or not pages[i][0]:
             continue
-        shared = []
+        shared, far = {}, []
         for step in (-1, 1):
             j = i + step
-            while 0 <= j < len(pages) and abs(j - i) <= REACH and pages[j][0] == host:
+            while 0 <= j < len(pages) and abs(j - i) <= REACH and hosts[j] == host:
                 met, copies = pair(min(i, j), max(i, j))
-                if pages[j][2] and not copies:
-                    shared.append({p if i < j else q for p, q in met})
+                if pages[j][0] and not copies:
+                    shared[step] = {p if i < j else q for p, q in met}
                     break
                 j += step
-        deleted = set.intersection(*shared) if shared else set()
-        if deleted:
-            out.append((host, digest, sorted(deleted)))
-    return pd.DataFrame(out, columns=["host", "digest", "deleted"])
+            else:
+                if abs(j - i) > REACH:
+                    far.append(step)
+        if not all(shared.values()):
+            continue
+        if far:
+            out += [(host, digest, rank, step, sorted(met), False) for step, met in shared.items()] + [(host, digest, rank, step, None, True) for step in far]
+        elif shared:
+            out.append((host, digest, rank, 0, sorted(set.intersection(*shared.values())), False))
+    return pd.DataFrame(out, columns=["host", "digest", "rank", "side", "lines", "open"])
+
+
+# -- passing runs of copies ------------------------------------------------
+
+#: A common subsequence of some pages, their distinct lines with sizes and the largest number of times in a page, and the longest page's characters.
+_SUMMARY = "core array<long>, line array<long>, size array<int>, times array<int>, longest long"
+
+
+def _page_summary(page: tuple) -> tuple[list[int], dict[int, tuple[int, int]], int]:
+    hashes, sizes, _ = page
+    size = dict(zip(hashes, sizes.tolist()))
+    return hashes, {x: (size[x], n) for x, n in Counter(hashes).items()}, int(sizes.sum())
+
+
+def _merged(a: tuple, b: tuple) -> tuple[list[int], dict[int, tuple[int, int]], int]:
+    core = [a[0][p] for p, _ in common(a[0], b[0])]
+    if not core:  # nothing can be told of these pages together
+        return [], {}, max(a[2], b[2])
+    lines = dict(a[1])
+    for x, (size, n) in b[1].items():
+        lines[x] = size, max(n, lines[x][1]) if x in lines else n
+    return core, lines, max(a[2], b[2])
+
+
+def _surely_copies(a: tuple, b: tuple) -> bool:
+    """Whether every page of one summary is certainly a copy of every page of the other.
+
+    Two such pages align at least as many lines as the cores do, and only lines
+    that both summaries know: they share at least the smallest that many of these.
+    """
+    met = len(common(a[0], b[0]))
+    if not met:
+        return False
+    sizes = sorted(size for x, (size, n) in a[1].items() if x in b[1] for _ in range(min(n, b[1][x][1])))
+    return sum(sizes[:met]) >= COPY * min(a[2], b[2])
+
+
+class _Block:
+    """Pages in the order they are searched, with summaries of their halves, quarters and so on, built when asked for."""
+
+    def __init__(self, pages: list[tuple]) -> None:
+        self.pages, self.known = pages, {}
+
+    def summary(self, low: int, high: int) -> tuple:
+        if (low, high) not in self.known:
+            mid = (low + high) // 2
+            self.known[low, high] = _page_summary(self.pages[low]) if high - low == 1 else _merged(self.summary(low, mid), self.summary(mid, high))
+        return self.known[low, high]
+
+    def first_other(self, page: tuple, summary: tuple, start: int, low: int, high: int) -> int | None:
+        """Place of the first page from ``start`` on, between low and high, that is no copy of ``page``."""
+        if high <= start:
+            return None
+        if high - low == 1:
+            return None if _paired(page, self.pages[low])[1] else low
+        if _surely_copies(summary, self.summary(low, high)):
+            return None
+        mid = (low + high) // 2
+        near = self.first_other(page, summary, start, low, mid)
+        return near if near is not None else self.first_other(page, summary, start, mid, high)
+
+
+def _copies(asking: list[tuple], block: list[tuple]) -> np.ndarray | None:
+    """Which asking pages are copies of which of the block's; None where the pages do not keep one order of their lines.
+
+    With one order (the first, second, ... time of a line counting as different
+    lines) two pages align all lines they both have, so that the shares are one
+    product of matrices.
+    """
+    def times(page: tuple) -> list[tuple[int, int]]:
+        seen: Counter = Counter()
+        out = []
+        for x in page[0]:
+            out.append((x, seen[x]))
+            seen[x] += 1
+        return out
+
+    listed = [[times(p) for p in pages] for pages in (asking, block)]
+    both = set().union(*listed[0]) & set().union(*listed[1])
+    place = {x: i for i, x in enumerate(both)}
+    if (len(asking) + len(block)) * len(place) > MATRIX:
+        return None
+    steps = {step for pages in listed for page in pages for step in pairwise([place[x] for x in page if x in place])}
+    order = TopologicalSorter()
+    for before, after in steps:
+        order.add(after, before)
+    try:
+        order.prepare()
+    except CycleError:
+        return None
+    tables = []
+    for pages, lines in zip((asking, block), listed):
+        table = np.zeros((len(pages), len(place)))
+        for row, page, line in zip(table, pages, lines):
+            for x, size in zip(line, page[1].tolist()):
+                if x in place:
+                    row[place[x]] = size
+        tables.append(table)
+    shared = tables[0] @ (tables[1] > 0).astype(float).T
+    totals = [np.array([int(p[1].sum()) for p in pages]) for pages in (asking, block)]
+    return shared >= COPY * np.minimum(totals[0][:, None], totals[1][None, :])
+
+
+def _summarised(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    core, lines, longest = _Block(_pages(rows.sort_values("rank"))).summary(0, len(rows))
+    row = (*key, core, list(lines), [s for s, _ in lines.values()], [n for _, n in lines.values()], longest)
+    return pd.DataFrame([row], columns=[*[f"k{i}" for i in range(len(key))], "core", "line", "size", "times", "longest"])
+
+
+def _undecided(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The (host, tile, side, other) whose asking pages are not all surely copies of the other block's."""
+    for batch in batches:
+        sides = [[(np.asarray(c).tolist(), {x: (z, n) for x, z, n in zip(np.asarray(line).tolist(), np.asarray(size).tolist(), np.asarray(times).tolist())}, longest)
+                  for c, line, size, times, longest in zip(*(batch[f"{s}_{c}"] for c in ("core", "line", "size", "times", "longest")))] for s in "ab"]
+        yield batch.loc[[not _surely_copies(a, b) for a, b in zip(*sides)], ["host", "tile", "side", "other"]]
+
+
+def _met_further(key: tuple, asking: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
+    """(host, digest, rank, side, away, lines) of the asking pages that have a partner in the block, the nearest of it."""
+    host, tile, side, other = key
+    rows = rows.sort_values("rank", ascending=side > 0)
+    block, ranks, out = _Block(_pages(rows)), rows["rank"].to_numpy() * side, []
+    pages = _pages(asking)
+    copies = _copies(pages, block.pages)
+    for i, (digest, rank, page) in enumerate(zip(asking["digest"], asking["rank"], pages)):
+        start = int(np.searchsorted(ranks, rank * side, "right"))
+        if copies is None:
+            j = block.first_other(page, _page_summary(page), start, 0, len(rows))
+        else:
+            others = np.flatnonzero(~copies[i, start:])
+            j = start + int(others[0]) if len(others) else None
+        if j is not None:
+            met = _paired(page, block.pages[j])[0] if side > 0 else _paired(block.pages[j], page)[0]
+            out.append((host, digest, rank, side, abs(other - tile), sorted({p if side > 0 else q for p, q in met})))
+    return pd.DataFrame(out, columns=["host", "digest", "rank", "side", "away", "lines"])
+
+
+def _further(ranked: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(host, digest, rank, side, lines) of the wanted (host, rank, side) that have a partner beyond ``REACH``, however far on the host.
+
+    Each round looks into twice as many blocks as the one before, so that rounds
+    grow with the logarithm of a run of copies.  A block is compared with the
+    asking pages of another by their summaries; where these leave it open, the
+    pages themselves are compared, nearest first: all at once where they keep one
+    order of their lines, else by alignment.
+    """
+    pages = written(ranked.join(wanted.select("host").distinct(), "host", "left_semi").where(F.size("hashes") > 0)
+                    .select("host", "digest", "rank", F.floor(F.col("rank") / BLOCK).alias("tile"), "hashes", "sizes", "zones"), "searched")
+    ends = pages.groupBy("host").agg(F.min("tile").alias("low"), F.max("tile").alias("high"))
+    left = (wanted.select("host", "rank", "side").withColumn("tile", F.floor(F.col("rank") / BLOCK)).join(ends, "host")
+            .select("host", "tile", "side", "rank", F.when(F.col("side") > 0, F.col("high") - F.col("tile")).otherwise(F.col("tile") - F.col("low")).alias("room")))
+    left = written(left, "open")
+    asking = pages.join(left.select("rank", "side"), "rank").groupBy("host", "tile", "side")
+    asking = written(asking.applyInPandas(_summarised, f"k0 string, k1 long, k2 int, {_SUMMARY}"), "asking")
+    blocks = written(pages.groupBy("host", "tile").applyInPandas(_summarised, f"k0 string, k1 long, {_SUMMARY}"), "blocks")
+    names = ("core", "line", "size", "times", "longest")
+    asking = asking.select(F.col("k0").alias("host"), F.col("k1").alias("tile"), F.col("k2").alias("side"), *(F.col(n).alias(f"a_{n}") for n in names))
+    blocks = blocks.select(F.col("k0").alias("host"), F.col("k1").alias("other"), *(F.col(n).alias(f"b_{n}") for n in names))
+    found, start, span = [], 0, 1
+    while not left.isEmpty():
+        away = F.explode(F.sequence(F.lit(start).cast("long"), F.least("room", F.lit(start + span - 1).cast("long"))))
+        pairs = left.select("host", "tile", "side", "room").distinct().select("host", "tile", "side", away.alias("away"))
+        pairs = pairs.select("host", "tile", "side", (F.col("tile") + F.col("side") * F.col("away")).alias("other"))
+        pairs = pairs.join(asking, ["host", "tile", "side"]).join(blocks, ["host", "other"])
+        pairs = written(pairs.mapInPandas(_undecided, "host string, tile long, side int, other long"), "pairs")
+        keys = ["host", "tile", "side", "other"]
+        those = pages.join(left.select("rank", "side"), "rank").join(pairs, ["host", "tile", "side"]).groupBy(*keys)
+        others = pages.withColumnRenamed("tile", "other").join(pairs, ["host", "other"])
+        others = others.toDF(*others.columns).groupBy(*keys)  # columns of its own, not those of the other side
+        met = those.cogroup(others).applyInPandas(_met_further, "host string, digest binary, rank long, side int, away long, lines array<int>")
+        met = written(met.groupBy("host", "digest", "rank", "side").agg(F.min_by("lines", "away").alias("lines")), "further")
+        found.append(met)
+        start, span = start + span, 2 * span
+        left = written(left.where(F.col("room") >= start).join(met, ["rank", "side"], "left_anti").select("host", "tile", "side", "rank", "room"), "open")
+    return reduce(DataFrame.union, found)
 
 
 # -- over a table ----------------------------------------------------------
@@ -300,7 +505,8 @@ def shared_lines(pages: DataFrame) -> DataFrame:
     A host's pages with equal lines are one entry.  Entries are ranked by host
     and path with a range partitioning and the sizes of its partitions, so that a
     host of any size spreads over tasks; a tile of consecutive ranks, with
-    ``REACH`` pages of context on both sides, is aligned by one task.
+    ``REACH`` pages of context on both sides, is aligned by one task.  Pages that
+    meet only copies there are searched for further.
     """
     lines = written(pages.mapInPandas(_hashed, "key long, host string, path string, digest binary, hashes array<long>, sizes array<int>, zones array<byte>"), "lines")
     entries = lines.groupBy("host", "digest").agg(F.min("path").alias("path"), F.first("hashes").alias("hashes"), F.first("sizes").alias("sizes"), F.first("zones").alias("zones"))
@@ -317,8 +523,15 @@ def shared_lines(pages: DataFrame) -> DataFrame:
     near = F.sequence(F.floor((F.col("rank") - REACH) / TILE), F.floor((F.col("rank") + REACH) / TILE))
     dealt = ranked.withColumn("own_tile", tile).withColumn("tile", F.explode(near)).select(
         "tile", "rank", "host", "digest", "hashes", "sizes", "zones", (F.col("tile") == F.col("own_tile")).alias("own"))
-    found = dealt.groupBy("tile").applyInPandas(_aligned, "host string, digest binary, deleted array<int>")
-    found = written(found, "deleted")
+    sides = written(dealt.groupBy("tile").applyInPandas(_aligned, _SIDES), "deleted")
+    found = sides.where("side = 0").select("host", "digest", F.col("lines").alias("deleted"))
+    wanted = sides.where("open")
+    if not wanted.isEmpty():
+        met = ["host", "digest", "rank", "side", "lines"]
+        both = sides.where("side <> 0 and not open").select(met).union(_further(ranked, wanted).select(met))
+        both = both.groupBy("host", "digest").agg(F.array_intersect(F.min_by("lines", "side"), F.max_by("lines", "side")).alias("deleted"))
+        found = found.union(both)
+    found = found.where(F.size("deleted") > 0)
     return lines.select("key", "host", "digest").distinct().join(found, ["host", "digest"]).select("key", "deleted")
 
 

@@ -10,6 +10,7 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from conftest import SF_MID
 from odd_rows import no_docs, odd_docs  # noqa: F401 - fixtures
@@ -175,6 +176,71 @@ def test_differencing_deletes_the_template(spark, monkeypatch):
     assert page_diff.main_text(frame.where("false")).count() == 0
 
 
+def runs_of_copies(host, runs, seed):
+    """(url, html) in path order: runs of pages that differ from each other by a line, or drop one, between a head and a foot each run shares with others."""
+    rng = random.Random(seed)
+    words = lambda k: " ".join(rng.choice("alder birch cedar dogwood elm fir ginkgo hazel".split()) + str(rng.randint(0, 999)) for _ in range(k))
+    out = []
+    for run in runs:
+        body = [words(12) for _ in range(15)] * rng.choice([1, 1, 2])
+        for _ in range(run):
+            lines = [f"{host} home", f"No {rng.randint(0, 3)}", *body, f"seen {rng.randint(0, 10**9)}", rng.choice(["About us", "All rights"])]
+            if rng.random() < 0.2:
+                del lines[rng.randrange(2, 2 + len(body))]
+            out.append((f"https://{host}/{len(out):05d}", "".join(f"<p>{x}</p>" for x in lines)))
+    return out
+
+
+def test_partners_behind_long_runs_of_copies(spark, monkeypatch):
+    """Copies are passed however many they are; by definition: the nearest page that is no copy, on either side."""
+    sites = [runs_of_copies("run.example.org", [1, 30, 2, 1, 70, 12, 1], 3), runs_of_copies("copies.example.org", [40], 4), runs_of_copies("ends.example.org", [25, 9], 5),
+             runs_of_copies("few.example.org", [1] * 9 + [9, 1], 6)]
+    want = {}
+    for pages in sites:
+        read = [page_diff.read_lines(h)[0] for _, h in pages]
+        lines = [[t for _, t in x] for x in read]
+        for i, mine in enumerate(lines):
+            lost = []
+            for others in (range(i - 1, -1, -1), range(i + 1, len(lines))):
+                for j in others:
+                    met = page_diff.common(*((mine, lines[j]) if i < j else (lines[j], mine)))
+                    if sum(len(lines[min(i, j)][p]) for p, _ in met) < page_diff.COPY * min(sum(map(len, mine)), sum(map(len, lines[j]))):
+                        lost.append({p if i < j else q for p, q in met})
+                        break
+            lost = set.intersection(*lost) if lost else set()
+            want[pages[i][0]] = " ".join(t for k, t in enumerate(mine) if k not in lost)
+    home = [u for u, t in want.items() if "home" not in t]
+    assert {"https://run.example.org/00015", "https://run.example.org/00070", "https://ends.example.org/00003"} <= set(home)
+    assert not any("copies" in u for u in home)
+    rows = [(i, u, h) for i, (u, h) in enumerate(p for pages in sites for p in pages)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    for tile, block in ((64, 256), (5, 4)):  # neither size matters
+        monkeypatch.setattr(page_diff, "TILE", tile)
+        monkeypatch.setattr(page_diff, "BLOCK", block)
+        assert {r["url"]: r["text"] for r in page_diff.main_text(frame).collect()} == want
+
+
+def test_summaries_promise_only_copies():
+    rng = random.Random(8)
+    size = {x: rng.choice([1, 3, 40]) for x in range(12)}
+    promised = compared = 0
+    for _ in range(400):
+        base = [rng.randint(0, 11) for _ in range(rng.randint(1, 14))]
+        pages = []
+        for _ in range(6):
+            page = [x if rng.random() > 0.04 else rng.randint(0, 11) for x in base if rng.random() > 0.02] or [0]
+            pages.append((page, np.array([size[x] for x in page]), np.zeros(len(page), int)))
+        near, far = page_diff._Block(pages[:3]).summary(0, 3), page_diff._Block(pages[3:]).summary(0, 3)
+        if page_diff._surely_copies(near, far):
+            promised += 1
+            assert all(page_diff._paired(a, b)[1] for a in pages[:3] for b in pages[3:])
+        told = page_diff._copies(pages[:3], pages[3:])
+        if told is not None:
+            compared += 1
+            assert told.tolist() == [[bool(page_diff._paired(a, b)[1]) for b in pages[3:]] for a in pages[:3]]
+    assert 50 < promised < 400 and 50 < compared < 400
+
+
 # -- spelling --------------------------------------------------------------
 
 def words_of(docs, noise):
