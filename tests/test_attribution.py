@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as E
 from meterwise.functions.tags import model_path, workload_type
 from meterwise.operators.attribution import attribute, attributed_groups, costliest
+from meterwise.operators.dashboard import kpi_status
 from tests.conftest import SF_SMALL
 from tests.test_plans import plan_text
 
@@ -56,6 +57,25 @@ def test_groups_equal_grouped_rows(odd_logs, wh, days):
     assert [r[5] for r in rows[0]] == [r[5] for r in rows[1]]  # decimals of different scale compare by value
 
 
+@pytest.mark.parametrize("tagged_only", [False, True])
+def test_kpi_untagged_share_of_queries_and_of_attributed_credits(odd_logs, tagged_only):
+    q, m = odd_logs
+    q = q.withColumn("queued_overload_time", F.lit(1))
+    if tagged_only:
+        q = q.where("query_tag like '%WORKLOAD%'")
+    as_of = dt.datetime(2024, 1, 30, 10, 30)
+    untagged = workload_type() == "UNTAGGED"
+    rows = attribute(q, m, days=5, as_of=as_of).withColumn("c", F.col("credits_used").cast("double"))
+    credits = rows.agg(100 * F.sum(F.when(untagged, F.col("c")).otherwise(0.0)) / F.sum("c")).first()[0]
+    queries = q.where("warehouse_name = 'FORECAST_WH' and execution_status = 'SUCCESS' and start_time >= timestamp_ntz'2024-01-25 10:30:00'")
+    share = queries.agg(100 * F.avg(untagged.cast("double"))).first()[0]
+    got = {r["kpi"]: r for r in kpi_status(q, m, as_of=as_of, days=5).collect()}
+    assert got["untagged_pct"]["value"] == pytest.approx(share, abs=0.006)
+    assert got["untagged_pct"]["value_by_credits"] == pytest.approx(credits, abs=0.006)
+    assert tagged_only == (credits == 0) and (tagged_only or abs(credits - share) > 0.02)
+    assert len(got) == 5 and all(r["value_by_credits"] is None for k, r in got.items() if k != "untagged_pct")
+
+
 @pytest.mark.parametrize("limit", [1, 7, 60, 5000])
 def test_costliest_equals_sorted_rows(odd_logs, limit):
     q, m = odd_logs
