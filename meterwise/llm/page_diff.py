@@ -36,8 +36,8 @@ from meterwise.llm.common import written
 TILE, REACH = 64, 8
 #: Pages of a host that are passed together where all of them are copies.
 BLOCK = 256
-#: Cells of the tables by which pages of two blocks are compared at once; larger ones page by page.
-MATRIX = 1 << 23
+#: Lines of a block up to which parts of it are summarised (times 4: of two blocks whose pages are compared at once), and cells of their tables; larger ones page by page.
+LINES, MATRIX = 1 << 17, 1 << 23
 #: Share of the shorter page's characters from which two pages are copies.
 COPY = 0.9
 #: Bits of alignment kept for reading it back; longer pages are aligned in halves.
@@ -258,13 +258,13 @@ def common(a: list[int], b: list[int]) -> list[tuple[int, int]]:
 def _paired(a: tuple, b: tuple) -> tuple[list[tuple[int, int]], bool]:
     """Places of the lines two pages (hashes, sizes, zones) share that differencing may delete, and whether the pages are copies."""
     (x, sx, zx), (y, sy, zy) = a, b
-    met = common(x, y)
+    met = common(x.tolist(), y.tolist())
     copies = sum(int(sx[p]) for p, _ in met) >= COPY * min(int(sx.sum()), int(sy.sum()))
     return [(p, q) for p, q in met if zx[p] == OPEN or zy[q] == OPEN], copies
 
 
 def _pages(rows: pd.DataFrame) -> list[tuple]:
-    return [(np.asarray(x).tolist(), np.asarray(s), np.asarray(z)) for x, s, z in zip(rows["hashes"], rows["sizes"], rows["zones"])]
+    return [(np.asarray(x, np.int64), np.asarray(s), np.asarray(z)) for x, s, z in zip(rows["hashes"], rows["sizes"], rows["zones"])]
 
 
 _SIDES = "host string, digest binary, rank long, side int, lines array<int>, open boolean"
@@ -286,14 +286,14 @@ def _aligned(tile: pd.DataFrame) -> pd.DataFrame:
 
     out = []
     for i, (host, digest, rank) in enumerate(zip(hosts, tile["digest"], tile["rank"])):
-        if not own[i] or not pages[i][0]:
+        if not own[i] or not len(pages[i][0]):
             continue
         shared, far = {}, []
         for step in (-1, 1):
             j = i + step
             while 0 <= j < len(pages) and abs(j - i) <= REACH and hosts[j] == host:
                 met, copies = pair(min(i, j), max(i, j))
-                if pages[j][0] and not copies:
+                if len(pages[j][0]) and not copies:
                     shared[step] = {p if i < j else q for p, q in met}
                     break
                 j += step
@@ -316,7 +316,7 @@ _SUMMARY = "core array<long>, line array<long>, size array<int>, times array<int
 
 
 def _page_summary(page: tuple) -> tuple[list[int], dict[int, tuple[int, int]], int]:
-    hashes, sizes, _ = page
+    hashes, sizes = page[0].tolist(), page[1]
     size = dict(zip(hashes, sizes.tolist()))
     return hashes, {x: (size[x], n) for x, n in Counter(hashes).items()}, int(sizes.sum())
 
@@ -345,10 +345,10 @@ def _surely_copies(a: tuple, b: tuple) -> bool:
 
 
 class _Block:
-    """Pages in the order they are searched, with summaries of their halves, quarters and so on, built when asked for."""
+    """Pages in the order they are searched, with summaries of their halves, quarters and so on, built when asked for; none where these would take much memory."""
 
     def __init__(self, pages: list[tuple]) -> None:
-        self.pages, self.known = pages, {}
+        self.pages, self.known, self.small = pages, {}, sum(len(p[0]) for p in pages) <= LINES
 
     def summary(self, low: int, high: int) -> tuple:
         if (low, high) not in self.known:
@@ -362,7 +362,7 @@ class _Block:
             return None
         if high - low == 1:
             return None if _paired(page, self.pages[low])[1] else low
-        if _surely_copies(summary, self.summary(low, high)):
+        if self.small and _surely_copies(summary, self.summary(low, high)):
             return None
         mid = (low + high) // 2
         near = self.first_other(page, summary, start, low, mid)
@@ -379,11 +379,13 @@ def _copies(asking: list[tuple], block: list[tuple]) -> np.ndarray | None:
     def times(page: tuple) -> list[tuple[int, int]]:
         seen: Counter = Counter()
         out = []
-        for x in page[0]:
+        for x in page[0].tolist():
             out.append((x, seen[x]))
             seen[x] += 1
         return out
 
+    if sum(len(p[0]) for p in asking + block) > 4 * LINES:
+        return None
     listed = [[times(p) for p in pages] for pages in (asking, block)]
     both = set().union(*listed[0]) & set().union(*listed[1])
     place = {x: i for i, x in enumerate(both)}
@@ -411,7 +413,7 @@ def _copies(asking: list[tuple], block: list[tuple]) -> np.ndarray | None:
 
 
 def _summarised(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-    core, lines, longest = _Block(_pages(rows.sort_values("rank"))).summary(0, len(rows))
+    core, lines, longest = reduce(_merged, map(_page_summary, _pages(rows.sort_values("rank"))))
     row = (*key, core, list(lines), [s for s, _ in lines.values()], [n for _, n in lines.values()], longest)
     return pd.DataFrame([row], columns=[*[f"k{i}" for i in range(len(key))], "core", "line", "size", "times", "longest"])
 

@@ -220,7 +220,7 @@ def test_partners_behind_long_runs_of_copies(spark, monkeypatch):
         assert {r["url"]: r["text"] for r in page_diff.main_text(frame).collect()} == want
 
 
-def test_summaries_promise_only_copies():
+def test_summaries_promise_only_copies(monkeypatch):
     rng = random.Random(8)
     size = {x: rng.choice([1, 3, 40]) for x in range(12)}
     promised = compared = 0
@@ -229,8 +229,13 @@ def test_summaries_promise_only_copies():
         pages = []
         for _ in range(6):
             page = [x if rng.random() > 0.04 else rng.randint(0, 11) for x in base if rng.random() > 0.02] or [0]
-            pages.append((page, np.array([size[x] for x in page]), np.zeros(len(page), int)))
+            pages.append((np.array(page), np.array([size[x] for x in page]), np.zeros(len(page), int)))
         near, far = page_diff._Block(pages[:3]).summary(0, 3), page_diff._Block(pages[3:]).summary(0, 3)
+        others = [not page_diff._paired(pages[0], p)[1] for p in pages]
+        for lines in (0, 1 << 17):  # without and with summaries
+            monkeypatch.setattr(page_diff, "LINES", lines)
+            block, mine = page_diff._Block(pages), page_diff._page_summary(pages[0])
+            assert [block.first_other(pages[0], mine, i, 0, 6) for i in range(6)] == [next((j for j in range(i, 6) if others[j]), None) for i in range(6)]
         if page_diff._surely_copies(near, far):
             promised += 1
             assert all(page_diff._paired(a, b)[1] for a in pages[:3] for b in pages[3:])
